@@ -17,10 +17,17 @@ from pyspark.sql import types as T
 
 from vaultwright.functions import audit_columns, column, is_blank, to_column_type, valid_or_fail
 from vaultwright.operators.numbering import add_tech_keys
-from vaultwright.operators.skew import HOT_ROWS, ROWS, join_lookup
+from vaultwright.operators.skew import (
+    BROADCAST_BYTES,
+    HOT_ROWS,
+    KeyStats,
+    join_lookup,
+    rows_per_key,
+)
 from vaultwright.spec import HubSpec, KeyedSpec, LinkSpec
 
 _FIRST = "__first"
+_TECH_KEY = "__tech_key"
 
 
 @dataclass(frozen=True)
@@ -90,20 +97,20 @@ def _prepare(df: DataFrame, table: DataFrame | None, spec: KeyedSpec, on_invalid
     return _Input(rows.select(*out, *key_parts), rejects, df.columns, keys)
 
 
-def _lookup(table: DataFrame, spec: KeyedSpec, wanted: DataFrame, keys: list[str]) -> DataFrame:
+def _lookup(table, spec, wanted, keys, broadcastable) -> DataFrame:
     """Stored keys that the input asks for, one row each.
 
-    Joining from the table towards the wanted keys lets Spark filter the table
-    while scanning it when the input is small.  A key stored twice (a defect,
-    see ``duplicate_keys``) yields its smallest technical key, so it cannot
-    multiply rows.
+    When the wanted keys are few they are broadcast and filter the table while
+    it is scanned.  A key stored twice (a defect, see ``duplicate_keys``) yields
+    its smallest technical key, so it cannot multiply rows.
     """
     parts = [column(c).alias(k) for k, c in zip(keys, spec.keys.values())]
-    stored = table.select(*parts, column(spec.tech_key).cast("bigint").alias(spec.tech_key))
+    stored = table.select(*parts, column(spec.tech_key).cast("bigint").alias(_TECH_KEY))
+    wanted = wanted.select(*keys)
     return (
-        stored.join(wanted, keys, "left_semi")
+        stored.join(F.broadcast(wanted) if broadcastable else wanted, keys, "left_semi")
         .groupBy(*keys)
-        .agg(F.min(column(spec.tech_key)).alias(spec.tech_key))
+        .agg(F.min(_TECH_KEY).alias(_TECH_KEY))
     )
 
 
@@ -127,6 +134,7 @@ def load_keyed(
     on_invalid: str = "error",
     sequence_start: int | None = None,
     hot_rows: int | None = HOT_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> KeyedLoad:
     """Load a hub or link from ``df`` into ``table`` (None: not there yet).
 
@@ -142,14 +150,15 @@ def load_keyed(
     }
 
     # Partial aggregation makes this one row per key and task before the shuffle.
-    wanted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(ROWS))
+    wanted = rows_per_key(rows, keys)
+    stats = KeyStats.of(wanted, keys)
     if table is None:
         known, unseen = None, wanted
     else:
-        known = _lookup(table, spec, wanted.select(*keys), keys)
+        known = _lookup(table, spec, wanted, keys, stats.fits(broadcast_bytes))
         unseen = wanted.join(known, keys, "left_anti")
 
-    numbered = add_tech_keys(unseen.select(*keys), keys, spec, table, sequence_start)
+    numbered = add_tech_keys(unseen.select(*keys), keys, _TECH_KEY, spec, table, sequence_start)
     new = numbered
     if others:
         order = _order_columns(order_by, [])
@@ -161,17 +170,15 @@ def load_keyed(
     stored_form = [column(k).alias(c) for k, c in zip(keys, spec.keys.values())]
     stored_form += [F.col(f"{_FIRST}.v{i}").alias(c) for i, c in enumerate(others)]
     stored_form += audit_columns(spec, load_ts)
-    inserts = new.select(*stored_form, column(spec.tech_key))
+    inserts = new.select(*stored_form, F.col(_TECH_KEY).alias(spec.tech_key))
 
     lookup = numbered if known is None else known.unionByName(numbered)
-    lookup = lookup.withColumnRenamed(spec.tech_key, "__tech_key")
-    output = _append_keys(given, lookup, wanted, spec, hot_rows)
-    return KeyedLoad(output, inserts, given.rejects)
+    joined = join_lookup(rows, lookup, keys, wanted, stats, hot_rows, broadcast_bytes)
+    return KeyedLoad(_with_key(joined, given, spec), inserts, given.rejects)
 
 
-def _append_keys(given, lookup, wanted, spec, hot_rows):
-    joined = join_lookup(given.rows, lookup, given.keys, wanted, hot_rows)
-    key = column("__tech_key").alias(spec.key_field)
+def _with_key(joined: DataFrame, given: _Input, spec: KeyedSpec) -> DataFrame:
+    key = F.col(_TECH_KEY).alias(spec.key_field)
     return joined.select(*[column(c) for c in given.columns], key)
 
 
@@ -182,6 +189,7 @@ def attach_keys(
     *,
     on_invalid: str = "error",
     hot_rows: int | None = HOT_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Look up stored keys only: the input rows whose key is in the table, with it.
 
@@ -189,10 +197,12 @@ def attach_keys(
     without numbering anything again.
     """
     given = _prepare(df, table, spec, on_invalid)
-    wanted = given.rows.groupBy(*given.keys).agg(F.count(F.lit(1)).alias(ROWS))
-    known = _lookup(table, spec, wanted.select(*given.keys), given.keys)
-    lookup = known.withColumnRenamed(spec.tech_key, "__tech_key")
-    return _append_keys(given, lookup, wanted, spec, hot_rows)
+    rows, keys = given.rows, given.keys
+    wanted = rows_per_key(rows, keys)
+    stats = KeyStats.of(wanted, keys)
+    known = _lookup(table, spec, wanted, keys, stats.fits(broadcast_bytes))
+    joined = join_lookup(rows, known, keys, wanted, stats, hot_rows, broadcast_bytes)
+    return _with_key(joined, given, spec)
 
 
 def load_hub(df: DataFrame, table: DataFrame | None, spec: HubSpec, **options) -> KeyedLoad:

@@ -41,11 +41,12 @@ def largest_key(table: DataFrame | None, tech_key: str) -> Column:
 def add_tech_keys(
     rows: DataFrame,
     keys: list[str],
+    name: str,
     spec: KeyedSpec,
     table: DataFrame | None,
     sequence_start: int | None = None,
 ) -> DataFrame:
-    """Add ``spec.tech_key`` to rows that are unique in ``keys``.
+    """Add the technical key as column ``name`` to rows that are unique in ``keys``.
 
     * table maximum: dense, from the largest stored key + 1
     * sequence: dense steps of ``sequence_increment`` from ``sequence_start``
@@ -64,7 +65,7 @@ def add_tech_keys(
             + bucket_no
             + F.lit(1)
         )
-        return ranked.withColumn(spec.tech_key, number).drop(_BUCKET, _RANK)
+        return ranked.withColumn(name, number).drop(_BUCKET, _RANK)
 
     # At most BUCKETS rows, so one task and a broadcast are safe at any scale.
     before = Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
@@ -81,6 +82,6 @@ def add_tech_keys(
         number = largest_key(table, spec.tech_key) + position
     return (
         ranked.join(F.broadcast(offsets), _BUCKET)
-        .withColumn(spec.tech_key, number.cast("bigint"))
+        .withColumn(name, number.cast("bigint"))
         .drop(_BUCKET, _RANK, _OFFSET)
     )

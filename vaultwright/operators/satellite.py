@@ -4,7 +4,7 @@ The stored records of the parents in the batch and the new records are put on
 one timeline per parent.  Window functions over that timeline decide which new
 records are kept and which validity ends move.
 
-A parent with few records is one window partition, and everything after the
+A parent with few records is one window partition, and everything after the one
 shuffle by parent happens in place.  A *hot* parent (more than ``hot_rows``
 records) is cut into time slices.  Identity is one record per millisecond, so a
 slice of 2^22 ms (about 70 minutes) holds at most four million records however
@@ -31,7 +31,13 @@ from vaultwright.functions import (
     to_column_type,
     valid_or_fail,
 )
-from vaultwright.operators.skew import HOT_ROWS, ROWS
+from vaultwright.operators.skew import (
+    BROADCAST_BYTES,
+    HOT_ROWS,
+    KeyStats,
+    hot_keys,
+    rows_per_key,
+)
 from vaultwright.spec import SatSpec
 
 SLICE_MILLIS = 2**22
@@ -80,6 +86,7 @@ def load_satellite(
     on_invalid: str = "error",
     lookback: bool = False,
     hot_rows: int | None = HOT_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
     slice_millis: int = SLICE_MILLIS,
 ) -> SatLoad:
     """Load a satellite from ``df`` into ``table`` (None: not there yet).
@@ -102,26 +109,29 @@ def load_satellite(
         return SatLoad(df, _table_form(inserts, df, table, spec, names, load_ts), None, rejects)
 
     stored = _stored(table, spec, names)
-    if hot_rows is None:
-        kept = _cold_timelines(batch, stored, spec, names, lookback)
-    else:
-        hot = _hot_parents([batch] if stored is None else [batch, stored], hot_rows)
-        kept = _cold_timelines(
-            batch.join(hot, FK, "left_anti"),
-            None if stored is None else stored.join(hot, FK, "left_anti"),
-            spec,
-            names,
-            lookback,
-        ).unionByName(
-            _hot_timelines(
-                batch.join(hot, FK, "left_semi"),
-                None if stored is None else stored.join(hot, FK, "left_semi"),
-                spec,
-                names,
-                lookback,
-                slice_millis,
-            )
+    counts = rows_per_key(batch, [FK])
+    stats = KeyStats.of(counts, [FK])
+    if stored is not None:
+        few_parents = stats.fits(broadcast_bytes)
+        if lookback:
+            stored = _since(batch, stored, few_parents)
+        elif few_parents:
+            # Filters the table while scanning it.  Beyond that the table meets
+            # the batch in the shuffle below: parents without new records have
+            # no effect, and a separate join would shuffle the table twice.
+            stored = stored.join(F.broadcast(counts.select(FK)), FK, "left_semi")
+        counts = rows_per_key(batch.select(FK).unionAll(stored.select(FK)), [FK])
+        if hot_rows is not None:
+            stats = KeyStats.of(counts, [FK])
+
+    rows = _union(stored, batch, names)
+    if stats.has_hot(hot_rows):
+        hot = hot_keys(counts, [FK], hot_rows)
+        kept = _timelines(rows.join(hot, FK, "left_anti"), spec, names).unionByName(
+            _sliced_timelines(rows.join(hot, FK, "left_semi"), spec, names, slice_millis)
         )
+    else:
+        kept = _timelines(rows, spec, names)
 
     inserts = _table_form(kept.filter(~F.col(STORED)), df, table, spec, names, load_ts)
     closings = None
@@ -241,36 +251,21 @@ def _unseen(batch, stored_keys, keys, names) -> DataFrame:
 # -- timelines ---------------------------------------------------------------
 
 
-def _hot_parents(record_keys: list[DataFrame], hot_rows: int) -> DataFrame:
-    """Parents with more than ``hot_rows`` records: no more than records / hot_rows."""
-    rows = record_keys[0].select(FK)
-    for more in record_keys[1:]:
-        rows = rows.unionAll(more.select(FK))
-    counts = rows.groupBy(FK).agg(F.count(F.lit(1)).alias(ROWS))
-    return F.broadcast(counts.filter(F.col(ROWS) > F.lit(hot_rows)).select(FK))
-
-
-def _since(batch, stored, broadcast) -> DataFrame:
+def _since(batch, stored, few_parents) -> DataFrame:
     """Stored records from the last one before the first new record onward."""
     starts = batch.groupBy(FK).agg(F.min(MS).alias("__start"))
-    starts = F.broadcast(starts) if broadcast else starts
-    dated = stored.join(starts, FK)
-    last_before = dated.groupBy(FK).agg(
+    dated = stored.join(F.broadcast(starts) if few_parents else starts, FK)
+    bounds = dated.groupBy(FK).agg(
         F.max(F.when(F.col(MS) < F.col("__start"), F.col(MS))).alias("__bound")
     )
-    last_before = F.broadcast(last_before) if broadcast else last_before
     in_range = F.col("__bound").isNull() | (F.col(MS) >= F.col("__bound"))
-    return stored.join(last_before, FK).filter(in_range).drop("__bound")
+    stored = stored.join(F.broadcast(bounds) if few_parents else bounds, FK)
+    return stored.filter(in_range).drop("__bound")
 
 
-def _cold_timelines(batch, stored, spec, names, lookback) -> DataFrame:
-    """Parents that fit one window partition: one shuffle by parent, all windows on it."""
-    if stored is not None:
-        if lookback:
-            stored = _since(batch, stored, broadcast=False)
-        else:
-            stored = stored.join(batch.select(FK).distinct(), FK, "left_semi")
-    rows = _union(stored, batch.repartition(FK), names)
+def _timelines(rows, spec, names) -> DataFrame:
+    """Parents that fit a task: one shuffle by parent, all windows on it."""
+    rows = rows.repartition(FK)
 
     # Stored records win over new ones, then the first new one wins.
     by_identity = Window.partitionBy(FK, MS).orderBy(
@@ -291,17 +286,9 @@ def _cold_timelines(batch, stored, spec, names, lookback) -> DataFrame:
     return rows.select(*_result_columns(spec, names))
 
 
-def _hot_timelines(batch, stored, spec, names, lookback, slice_millis) -> DataFrame:
-    """Parents too large for one task, cut into time slices."""
-    if stored is not None:
-        # Both broadcasts hold one row per hot parent at most.
-        if lookback:
-            stored = _since(batch, stored, broadcast=True)
-        else:
-            touched = F.broadcast(batch.select(FK).distinct())
-            stored = stored.join(touched, FK, "left_semi")
-
-    rows = _union(stored, batch, names).withColumn("__is_new", ~F.col(STORED))
+def _sliced_timelines(rows, spec, names, slice_millis) -> DataFrame:
+    """Parents too large for a task, cut into time slices."""
+    rows = rows.withColumn("__is_new", ~F.col(STORED))
     rows = _first_per(rows, [FK, MS], names, lead=["__is_new"])
     rows = rows.withColumns(
         {STORED: ~F.col("__is_new"), SLICE: F.floor(F.col(MS) / F.lit(slice_millis))}
@@ -442,10 +429,11 @@ def validity_view(
             STORED: F.lit(True),
         }
     )
-    if hot_rows is None:
+    counts = rows_per_key(rows, [FK])
+    if hot_rows is None or not KeyStats.of(counts, [FK]).has_hot(hot_rows):
         dated = _Timeline([FK]).with_next(rows)
     else:
-        hot = _hot_parents([rows], hot_rows)
+        hot = hot_keys(counts, [FK], hot_rows)
         sliced = rows.join(hot, FK, "left_semi")
         sliced = sliced.withColumn(SLICE, F.floor(F.col(MS) / F.lit(slice_millis)))
         dated = _Timeline([FK]).with_next(rows.join(hot, FK, "left_anti")).unionByName(

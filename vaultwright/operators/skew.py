@@ -1,39 +1,86 @@
-"""Handling of keys that hold a large share of all rows.
-
-A key is *hot* when it holds more than ``hot_rows`` rows.  There are at most
-``rows / hot_rows`` hot keys, which is what makes it safe to broadcast them:
-with the default of two million rows, 10^12 input rows can hold no more than
-500,000 hot keys.  Every key that is not hot fits a task by definition.  When
-no key is hot, the empty broadcast lets adaptive execution drop the hot branch
-and the filter of the cold branch.
+"""Decisions that depend on how the keys of the data are spread.
+
+Two facts decide how a lookup is joined, both taken from one aggregate that
+returns a single row:
+
+* How large is the set of distinct keys?  Up to ``BROADCAST_BYTES`` it may be
+  broadcast: the large side is then filtered or joined where it is, without a
+  shuffle.  Beyond that the join is left to a shuffle.
+* How many rows has the largest key?  A key with more than ``hot_rows`` rows is
+  *hot*.  There can be no more than ``rows / hot_rows`` hot keys, which is what
+  makes it safe to broadcast them: with the default of two million rows, 10^12
+  rows hold at most 500,000 hot keys.  Any other key fits a task by definition.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from vaultwright.functions import column
 
 HOT_ROWS = 2_000_000
+BROADCAST_BYTES = 128 * 2**20
+
+# Assumed bytes of one entry in a broadcast hash table, apart from the key itself.
+ENTRY_BYTES = 40
 
 ROWS = "__rows"
 
 
+def rows_per_key(rows: DataFrame, keys: list[str]) -> DataFrame:
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(ROWS))
+
+
+@dataclass(frozen=True)
+class KeyStats:
+    """Size of a set of distinct keys as broadcast, and rows of the largest key."""
+
+    key_bytes: int
+    largest: int
+
+    @classmethod
+    def of(cls, counts: DataFrame, keys: list[str]) -> KeyStats:
+        width = F.lit(ENTRY_BYTES)
+        for key in keys:
+            type_ = counts.schema[key].dataType
+            sized = isinstance(type_, (T.StringType, T.BinaryType))
+            width = width + (F.octet_length(column(key)) if sized else F.lit(8))
+        row = counts.agg(F.sum(width.cast("bigint")), F.max(ROWS)).first()
+        return cls(row[0] or 0, row[1] or 0)
+
+    def fits(self, broadcast_bytes: int) -> bool:
+        return self.key_bytes <= broadcast_bytes
+
+    def has_hot(self, hot_rows: int | None) -> bool:
+        return hot_rows is not None and self.largest > hot_rows
+
+
+def hot_keys(counts: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows, to be broadcast."""
+    return F.broadcast(counts.filter(F.col(ROWS) > F.lit(hot_rows)).select(*keys))
+
+
 def join_lookup(
     rows: DataFrame,
     lookup: DataFrame,
     keys: list[str],
     counts: DataFrame,
+    stats: KeyStats,
     hot_rows: int | None,
+    broadcast_bytes: int,
 ) -> DataFrame:
-    """Inner join of rows with a lookup that is unique in ``keys``.
-
-    ``counts`` holds the number of rows (``ROWS``) per key.  Rows of hot keys
-    stay where they are and meet a broadcast; the others are joined as Spark
-    sees fit.
-    """
-    if hot_rows is None:
+    """Inner join of rows with a lookup that is unique in ``keys``."""
+    if stats.fits(broadcast_bytes):
+        return rows.join(F.broadcast(lookup), keys)
+    if not stats.has_hot(hot_rows):
         return rows.join(lookup, keys)
-    hot_keys = F.broadcast(counts.filter(F.col(ROWS) > F.lit(hot_rows)).select(*keys))
-    hot = rows.join(F.broadcast(lookup.join(hot_keys, keys, "left_semi")), keys)
-    cold = rows.join(hot_keys, keys, "left_anti").join(lookup, keys)
-    return hot.unionByName(cold)
+    # Rows of hot keys stay where they are, the others are shuffled.
+    hot = hot_keys(counts, keys, hot_rows)
+    hot_lookup = F.broadcast(lookup.join(hot, keys, "left_semi"))
+    stay = rows.join(hot_lookup, keys)
+    move = rows.join(hot, keys, "left_anti").join(lookup, keys)
+    return stay.unionByName(move)
