@@ -44,6 +44,10 @@ SLICE_MILLIS = 2**22
 
 # Working columns: parent key, from-date and its milliseconds, stored flag, slice.
 FK, FROM, MS, STORED, SLICE = "__fk", "__from", "__ms", "__stored", "__slice"
+# Whether a stored record is its parent's current one.
+OPEN = "__open"
+
+IS_CLOSING, WAS_OPEN = "is_closing", "was_open"
 
 
 @dataclass(frozen=True)
@@ -55,12 +59,15 @@ class SatLoad:
     ``closings``  stored records whose to-date moves: fk, from-date, new to-date
                   (None unless closing dates are on)
     ``rejects``   input rows without foreign key or from-date (None unless asked for)
+    ``changes``   inserts and closings in one DataFrame, told apart by the flags
+                  ``is_closing`` and ``was_open``; one evaluation gives both
     """
 
     output: DataFrame
     inserts: DataFrame
     closings: DataFrame | None = None
     rejects: DataFrame | None = None
+    changes: DataFrame | None = None
 
 
 class _Names:
@@ -133,16 +140,19 @@ def load_satellite(
     else:
         kept = _timelines(rows, spec, names)
 
-    inserts = _table_form(kept.filter(~F.col(STORED)), df, table, spec, names, load_ts)
-    closings = None
-    if spec.uses_to_date:
-        followed_by_new = F.col(STORED) & ~F.col("__next.stored")
-        closings = kept.filter(followed_by_new).select(
-            F.col(FK).alias(spec.fk_col),
-            F.col(FROM).alias(spec.from_col),
-            F.col("__next.start").alias(spec.to_date_col),
-        )
-    return SatLoad(df, inserts, closings, rejects)
+    if not spec.uses_to_date:
+        new = kept.filter(~F.col(STORED))
+        return SatLoad(df, _table_form(new, df, table, spec, names, load_ts), None, rejects)
+
+    followed_by_new = ~F.coalesce(F.col("__next.stored"), F.lit(True))
+    changed = kept.filter(~F.col(STORED) | followed_by_new)
+    flags = [F.col(STORED).alias(IS_CLOSING), F.col(OPEN).alias(WAS_OPEN)]
+    changes = _table_form(changed, df, table, spec, names, load_ts, flags)
+    inserts = changes.filter(~F.col(IS_CLOSING)).drop(IS_CLOSING, WAS_OPEN)
+    closings = changes.filter(F.col(IS_CLOSING)).select(
+        *[column(c) for c in (spec.fk_col, spec.from_col, spec.to_date_col)]
+    )
+    return SatLoad(df, inserts, closings, rejects, changes)
 
 
 # -- input and stored records ------------------------------------------------
@@ -204,7 +214,7 @@ def _stored_keys(table, spec) -> DataFrame | None:
 
 
 def _stored(table, spec, names) -> DataFrame | None:
-    """Stored records without meta, to-date and audit columns: only what is compared."""
+    """Stored records without meta and audit columns: only what is compared."""
     if table is None:
         return None
     type_ = table.schema[spec.from_col].dataType
@@ -215,15 +225,19 @@ def _stored(table, spec, names) -> DataFrame | None:
     ]
     for col, name in names.attributes.items():
         select.append(empty_to_null(column(col), table.schema[col].dataType).alias(name))
+    if spec.uses_to_date:
+        select.append((column(spec.to_date_col) == F.lit(spec.max_date)).alias(OPEN))
     return table.select(*select)
 
 
 def _union(stored, batch, names) -> DataFrame:
     """One set of records; stored ones have no meta and no order values."""
-    new = batch.withColumn(STORED, F.lit(False))
+    new = batch.withColumns({STORED: F.lit(False), OPEN: F.lit(None).cast("boolean")})
     if stored is None:
         return new
-    absent = [n for n in [*names.meta.values(), *names.order]]
+    if OPEN not in stored.columns:
+        stored = stored.withColumn(OPEN, F.lit(None).cast("boolean"))
+    absent = [*names.meta.values(), *names.order]
     types = dict(batch.dtypes)
     old = stored.withColumns(
         {STORED: F.lit(True), **{n: F.lit(None).cast(types[n]) for n in absent}}
@@ -234,9 +248,9 @@ def _union(stored, batch, names) -> DataFrame:
 # -- dedupe and anti join: static satellites and loads as is -------------------
 
 
-def _first_per(rows: DataFrame, keys: list[str], names: _Names, lead: list[str] = ()) -> DataFrame:
+def _first_per(rows, keys, names, lead=(), extra=()) -> DataFrame:
     """First row per key.  Aggregates before the shuffle, so copies never pile up."""
-    values = [c for c in [*lead, *names.tie_break] if c in rows.columns and c not in keys]
+    values = [c for c in [*lead, *names.tie_break, *extra] if c in rows.columns and c not in keys]
     first = rows.groupBy(*keys).agg(F.min(F.struct(*values)).alias("__first"))
     return first.select(*keys, *[F.col(f"__first.{c}").alias(c) for c in values])
 
@@ -289,7 +303,7 @@ def _timelines(rows, spec, names) -> DataFrame:
 def _sliced_timelines(rows, spec, names, slice_millis) -> DataFrame:
     """Parents too large for a task, cut into time slices."""
     rows = rows.withColumn("__is_new", ~F.col(STORED))
-    rows = _first_per(rows, [FK, MS], names, lead=["__is_new"])
+    rows = _first_per(rows, [FK, MS], names, lead=["__is_new"], extra=[OPEN])
     rows = rows.withColumns(
         {STORED: ~F.col("__is_new"), SLICE: F.floor(F.col(MS) / F.lit(slice_millis))}
     ).drop("__is_new")
@@ -395,10 +409,10 @@ def _kept(spec) -> Column:
 
 def _result_columns(spec, names) -> list[str]:
     columns = [FK, FROM, STORED, *names.attributes.values(), *names.meta.values()]
-    return columns + (["__next"] if spec.uses_to_date else [])
+    return columns + ([OPEN, "__next"] if spec.uses_to_date else [])
 
 
-def _table_form(rows, df, table, spec, names, load_ts) -> DataFrame:
+def _table_form(rows, df, table, spec, names, load_ts, flags=()) -> DataFrame:
     select = [F.col(FK).alias(spec.fk_col)]
     if spec.is_temporal:
         select.append(F.col(FROM).alias(spec.from_col))
@@ -407,7 +421,7 @@ def _table_form(rows, df, table, spec, names, load_ts) -> DataFrame:
     if spec.uses_to_date:
         until = F.lit(spec.max_date).cast(_from_type(df, table, spec))
         select.append(F.coalesce(F.col("__next.start"), until).alias(spec.to_date_col))
-    return rows.select(*select, *audit_columns(spec, load_ts))
+    return rows.select(*select, *audit_columns(spec, load_ts), *flags)
 
 
 def validity_view(
