@@ -85,9 +85,10 @@ def random_stored(rng, parents, per_parent, span):
 OPTIONS = [
     {},
     {"hot_rows": None},
-    {"lookback": True},
+    {"lookback": "from_date"},
+    {"broadcast_bytes": 0},
     {"hot_rows": 5, "slice_millis": 3},
-    {"hot_rows": 0, "slice_millis": 1, "lookback": True},
+    {"hot_rows": 0, "slice_millis": 1, "lookback": "from_date"},
 ]
 
 
@@ -256,6 +257,29 @@ def test_virtual_and_materialized_to_dates_agree(spark, options):
     assert {tuple(r) for r in view.collect()} == expected
 
 
+@pytest.mark.parametrize("options", [{}, {"hot_rows": 2, "slice_millis": 4}], ids=["cold", "hot"])
+def test_lookback_by_to_date(spark, options):
+    """Same result as without, on a table whose to-dates are complete."""
+    rng = random.Random(29)
+    stored = frame(spark, random_stored(rng, 80, 6, 40)).drop("pos")
+    table = validity_view(stored, TEMPORAL)
+    late = [(fk, n + 15, v) for fk, n, v in random_records(rng, 90, 5, 30)]
+    batch = frame(spark, late)
+
+    def changes(**more):
+        load = load_satellite(batch, table, TEMPORAL, order_by="pos", **more)
+        return {tuple(r) for r in load.inserts.collect()}, {tuple(r) for r in load.closings.collect()}
+
+    expected = changes()
+    assert changes(lookback="to_date", **options) == expected
+    assert expected[1]
+    with pytest.raises(ValueError, match="lookback"):
+        changes(lookback=True)
+    plain = SatSpec(table="s", fk="fk", from_date="at", attributes=["value"])
+    with pytest.raises(ValueError, match="no to-date"):
+        load_satellite(batch, None, plain, lookback="to_date")
+
+
 def test_invalid_rows(spark):
     rows = [(None, at(1), "A"), (1, None, "A"), (2, at(1), "A")]
     df = spark.createDataFrame(rows, "fk bigint, at timestamp_ntz, value string")

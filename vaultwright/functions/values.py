@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MILLIS_PER_DAY = 86_400_000
+# From 0001-01-01 to 1970-01-01 in the proleptic Gregorian calendar.
+MILLIS_TO_1970 = 719_162 * MILLIS_PER_DAY
 
 
 def column(name: str) -> Column:
@@ -59,10 +61,10 @@ def identity_millis(value: Column, type_: T.DataType) -> Column:
     if isinstance(type_, T.DateType):
         return F.unix_date(value).cast("bigint") * F.lit(MILLIS_PER_DAY)
     if isinstance(type_, T.TimestampNTZType):
-        days = F.unix_date(value.cast("date")).cast("bigint")
-        minutes = F.hour(value) * F.lit(60) + F.minute(value)
-        millis = F.floor(F.extract(F.lit("SECOND"), value) * F.lit(1000))
-        return days * F.lit(MILLIS_PER_DAY) + minutes * F.lit(60_000) + millis
+        # Counted from year 1, so that dividing rounds down before 1970 as well.
+        since_year_1 = value - F.lit("0001-01-01 00:00:00").cast("timestamp_ntz")
+        millisecond = F.expr("INTERVAL '0.001' SECOND")
+        return F.call_function("div", since_year_1, millisecond) - F.lit(MILLIS_TO_1970)
     return F.unix_millis(value)
 
 

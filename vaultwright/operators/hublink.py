@@ -7,9 +7,10 @@ parts only, so they share one function.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, field
 from datetime import datetime
+from functools import cache, cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,18 +31,28 @@ _FIRST = "__first"
 _TECH_KEY = "__tech_key"
 
 
-@dataclass(frozen=True)
+@dataclass
 class KeyedLoad:
     """Result of a hub or link load.
 
-    ``output``   the input rows with the technical key appended
     ``inserts``  the rows to append to the table
+    ``output``   the input rows with the technical key appended
     ``rejects``  the input rows with an invalid key (None unless asked for)
+    ``stats``    sizes that decide how keys are joined, worked out when first needed
     """
 
-    output: DataFrame
     inserts: DataFrame
-    rejects: DataFrame | None = None
+    rejects: DataFrame | None
+    _stats: Callable[[], KeyStats] = field(repr=False)
+    _output: Callable[[KeyStats], DataFrame] = field(repr=False)
+
+    @cached_property
+    def stats(self) -> KeyStats:
+        return self._stats()
+
+    @cached_property
+    def output(self) -> DataFrame:
+        return self._output(self.stats)
 
 
 @dataclass(frozen=True)
@@ -151,11 +162,11 @@ def load_keyed(
 
     # Partial aggregation makes this one row per key and task before the shuffle.
     wanted = rows_per_key(rows, keys)
-    stats = KeyStats.of(wanted, keys)
+    stats = cache(lambda: KeyStats.of(wanted, keys))
     if table is None:
         known, unseen = None, wanted
     else:
-        known = _lookup(table, spec, wanted, keys, stats.fits(broadcast_bytes))
+        known = _lookup(table, spec, wanted, keys, stats().fits(broadcast_bytes))
         unseen = wanted.join(known, keys, "left_anti")
 
     numbered = add_tech_keys(unseen.select(*keys), keys, _TECH_KEY, spec, table, sequence_start)
@@ -173,8 +184,12 @@ def load_keyed(
     inserts = new.select(*stored_form, F.col(_TECH_KEY).alias(spec.tech_key))
 
     lookup = numbered if known is None else known.unionByName(numbered)
-    joined = join_lookup(rows, lookup, keys, wanted, stats, hot_rows, broadcast_bytes)
-    return KeyedLoad(_with_key(joined, given, spec), inserts, given.rejects)
+
+    def output(sizes: KeyStats) -> DataFrame:
+        joined = join_lookup(rows, lookup, keys, wanted, sizes, hot_rows, broadcast_bytes)
+        return _with_key(joined, given, spec)
+
+    return KeyedLoad(inserts, given.rejects, stats, output)
 
 
 def _with_key(joined: DataFrame, given: _Input, spec: KeyedSpec) -> DataFrame:
@@ -190,16 +205,18 @@ def attach_keys(
     on_invalid: str = "error",
     hot_rows: int | None = HOT_ROWS,
     broadcast_bytes: int = BROADCAST_BYTES,
+    stats: KeyStats | None = None,
 ) -> DataFrame:
     """Look up stored keys only: the input rows whose key is in the table, with it.
 
     After a load has been written this gives the same rows as its ``output``
-    without numbering anything again.
+    without numbering anything again.  ``stats`` of that load save working them
+    out once more.
     """
     given = _prepare(df, table, spec, on_invalid)
     rows, keys = given.rows, given.keys
     wanted = rows_per_key(rows, keys)
-    stats = KeyStats.of(wanted, keys)
+    stats = stats or KeyStats.of(wanted, keys)
     known = _lookup(table, spec, wanted, keys, stats.fits(broadcast_bytes))
     joined = join_lookup(rows, known, keys, wanted, stats, hot_rows, broadcast_bytes)
     return _with_key(joined, given, spec)

@@ -38,6 +38,7 @@ from vaultwright.operators.skew import (
     hot_keys,
     rows_per_key,
 )
+from vaultwright.staging import stage
 from vaultwright.spec import SatSpec
 
 SLICE_MILLIS = 2**22
@@ -46,6 +47,10 @@ SLICE_MILLIS = 2**22
 FK, FROM, MS, STORED, SLICE = "__fk", "__from", "__ms", "__stored", "__slice"
 # Whether a stored record is its parent's current one.
 OPEN = "__open"
+# Neighbours: has a record before, repeats it, is repeated by the next one; the next one.
+HAS_PREV, REPEATS, REPEATED, NEXT = "__has_prev", "__repeats", "__repeated", "__next"
+# Per parent: where its first run of equal records ends, and its first stored record.
+FIRST_CHANGE, FIRST_STORED = "__first_change", "__first_stored"
 
 IS_CLOSING, WAS_OPEN = "is_closing", "was_open"
 
@@ -91,7 +96,7 @@ def load_satellite(
     order_by: Sequence[str | Column] | None = None,
     load_ts: datetime | None = None,
     on_invalid: str = "error",
-    lookback: bool = False,
+    lookback: str | None = None,
     hot_rows: int | None = HOT_ROWS,
     broadcast_bytes: int = BROADCAST_BYTES,
     slice_millis: int = SLICE_MILLIS,
@@ -101,9 +106,17 @@ def load_satellite(
     Of several input rows with the same identity the first in ``order_by`` wins;
     ties and the default are decided by the mapped columns, ascending.  One call
     is one batch: the idempotent rules look at the stored records and at all
-    rows of the call together.  ``lookback`` reads no stored record older than
-    the one before the earliest new record of its parent; the result is the same.
+    rows of the call together.
+
+    ``lookback`` leaves out stored records that cannot matter, with the same
+    result: ``"from_date"`` looks up, per parent, the last record before its
+    first new one; ``"to_date"`` skips, while scanning, records that ended before
+    the first new one of the batch, and trusts that stored to-dates are complete.
     """
+    if lookback not in (None, "from_date", "to_date"):
+        raise ValueError("lookback is None, 'from_date' or 'to_date'")
+    if lookback == "to_date" and not spec.uses_to_date:
+        raise ValueError(f"{spec.table}: has no to-date to look back with")
     spec.check_stream(df)
     spec.check_table(table)
     batch, rejects, names = _batch(df, table, spec, order_by, on_invalid)
@@ -115,12 +128,14 @@ def load_satellite(
         inserts = _unseen(batch, _stored_keys(table, spec), [FK, MS], names)
         return SatLoad(df, _table_form(inserts, df, table, spec, names, load_ts), None, rejects)
 
+    if table is not None and lookback == "to_date":
+        table = table.filter(column(spec.to_date_col) >= batch.agg(F.min(FROM)).scalar())
     stored = _stored(table, spec, names)
     counts = rows_per_key(batch, [FK])
     stats = KeyStats.of(counts, [FK])
     if stored is not None:
         few_parents = stats.fits(broadcast_bytes)
-        if lookback:
+        if lookback == "from_date":
             stored = _since(batch, stored, few_parents)
         elif few_parents:
             # Filters the table while scanning it.  Beyond that the table meets
@@ -133,7 +148,7 @@ def load_satellite(
 
     rows = _union(stored, batch, names)
     if stats.has_hot(hot_rows):
-        hot = hot_keys(counts, [FK], hot_rows)
+        hot = F.broadcast(stage(hot_keys(counts, [FK], hot_rows), "hot"))
         kept = _timelines(rows.join(hot, FK, "left_anti"), spec, names).unionByName(
             _sliced_timelines(rows.join(hot, FK, "left_semi"), spec, names, slice_millis)
         )
@@ -144,7 +159,7 @@ def load_satellite(
         new = kept.filter(~F.col(STORED))
         return SatLoad(df, _table_form(new, df, table, spec, names, load_ts), None, rejects)
 
-    followed_by_new = ~F.coalesce(F.col("__next.stored"), F.lit(True))
+    followed_by_new = ~F.coalesce(F.col(f"{NEXT}.stored"), F.lit(True))
     changed = kept.filter(~F.col(STORED) | followed_by_new)
     flags = [F.col(STORED).alias(IS_CLOSING), F.col(OPEN).alias(WAS_OPEN)]
     changes = _table_form(changed, df, table, spec, names, load_ts, flags)
@@ -278,101 +293,119 @@ def _since(batch, stored, few_parents) -> DataFrame:
 
 
 def _timelines(rows, spec, names) -> DataFrame:
-    """Parents that fit a task: one shuffle by parent, all windows on it."""
-    rows = rows.repartition(FK)
-
+    """Parents that fit a task: one shuffle and one sort, all windows on them."""
     # Stored records win over new ones, then the first new one wins.
-    by_identity = Window.partitionBy(FK, MS).orderBy(
-        F.col(STORED).desc(), *[F.col(c) for c in names.tie_break]
+    ranked = Window.partitionBy(FK).orderBy(
+        MS, F.col(STORED).desc(), *[F.col(c) for c in names.tie_break]
     )
-    rows = rows.withColumn("__n", F.row_number().over(by_identity))
-    rows = rows.filter(F.col("__n") == F.lit(1)).drop("__n")
+    rows = rows.repartition(FK).withColumn("__same", F.lag(MS).over(ranked).eqNullSafe(F.col(MS)))
+    rows = rows.filter(~F.col("__same")).drop("__same")
 
-    timeline = _Timeline([FK])
+    timeline = Window.partitionBy(FK).orderBy(MS)
     if spec.idempotent:
-        rows = timeline.with_repeats(rows, _payload(spec, rows, names))
-        whole = Window.partitionBy(FK).orderBy(MS)
-        whole = whole.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        rows = rows.withColumns({n: e.over(whole) for n, e in _run_facts().items()})
+        rows = rows.withColumn("__prev", F.lag(_payload(spec, rows, names)).over(timeline))
+        rows = rows.withColumns(_repeats(F.col("__prev"), _payload(spec, rows, names)))
+        rows = rows.drop("__prev").withColumns(
+            {
+                REPEATED: F.coalesce(F.lead(REPEATS).over(timeline), F.lit(False)),
+                FIRST_CHANGE: F.min(F.when(_changes(), F.col(MS))).over(_whole(timeline)),
+                FIRST_STORED: F.min(F.when(F.col(STORED), F.col(MS))).over(_whole(timeline)),
+            }
+        )
         rows = rows.filter(_kept(spec))
     if spec.uses_to_date:
-        rows = timeline.with_next(rows)
+        rows = _with_next(rows)
     return rows.select(*_result_columns(spec, names))
 
 
 def _sliced_timelines(rows, spec, names, slice_millis) -> DataFrame:
-    """Parents too large for a task, cut into time slices."""
+    """Parents too large for a task, cut into time slices.
+
+    The records are read more than once, so they are staged: first without
+    copies, then (for closing dates) only those that stay.
+    """
     rows = rows.withColumn("__is_new", ~F.col(STORED))
     rows = _first_per(rows, [FK, MS], names, lead=["__is_new"], extra=[OPEN])
     rows = rows.withColumns(
         {STORED: ~F.col("__is_new"), SLICE: F.floor(F.col(MS) / F.lit(slice_millis))}
-    ).drop("__is_new")
+    )
+    rows = stage(rows.drop("__is_new"), "records")
 
-    timeline = _Timeline([FK, SLICE])
     if spec.idempotent:
-        rows = timeline.with_repeats(rows, _payload(spec, rows, names))
-        # One row per hot parent: bounded like the list of hot parents itself.
-        facts = rows.groupBy(FK).agg(*[e.alias(n) for n, e in _run_facts().items()])
-        rows = rows.join(F.broadcast(facts), FK).filter(_kept(spec))
+        in_slice = Window.partitionBy(FK, SLICE).orderBy(MS)
+        rows = rows.withColumn("__v", _payload(spec, rows, names))
+        rows = rows.withColumn("__prev", F.lag("__v").over(in_slice))
+        rows = rows.withColumns(_repeats(F.col("__prev"), F.col("__v")))
+        across = _slice_facts(rows)
+        rows = rows.withColumn("__follow", F.lead(REPEATS).over(in_slice))
+        rows = rows.join(across, [FK, SLICE])
+        prev = F.coalesce("__prev", "__before")
+        rows = rows.withColumns(
+            {
+                **_repeats(prev, F.col("__v")),
+                REPEATED: F.coalesce("__follow", "__after_repeats", F.lit(False)),
+            }
+        )
+        rows = rows.filter(_kept(spec))
     if spec.uses_to_date:
-        rows = timeline.with_next(rows)
+        kept = [FK, FROM, MS, STORED, OPEN, SLICE, *names.attributes.values()]
+        rows = _with_next(stage(rows.select(*kept, *names.meta.values()), "kept"))
     return rows.select(*_result_columns(spec, names))
 
 
-class _Timeline:
-    """Neighbours of a record in its parent's timeline, whole or cut into slices."""
-
-    def __init__(self, partition: list[str]):
-        self.sliced = SLICE in partition
-        self.partition = partition
-        self.window = Window.partitionBy(*partition).orderBy(MS)
-
-    def _with_neighbours(self, rows, value: Column, prev: str | None, next_: str | None):
-        """Add ``value`` (a struct, never NULL) of the neighbours; NULL if there is none."""
-        wanted = {}
-        if prev:
-            wanted[prev] = F.lag(value).over(self.window)
-        if next_:
-            wanted[next_] = F.lead(value).over(self.window)
-        result = rows.withColumns(wanted)
-        if not self.sliced:
-            return result
-        ends = rows.groupBy(*self.partition).agg(
-            F.min_by(value, MS).alias("__head"), F.max_by(value, MS).alias("__tail")
-        )
-        slices = Window.partitionBy(FK).orderBy(SLICE)
-        across = {}
-        if prev:
-            across[prev] = F.lag("__tail").over(slices)
-        if next_:
-            across[next_] = F.lead("__head").over(slices)
-        ends = ends.select(
-            *self.partition, *[e.alias(f"__across{n}") for n, e in across.items()]
-        )
-        joined = result.join(ends, self.partition)
-        for name in across:
-            joined = joined.withColumn(name, F.coalesce(name, f"__across{name}"))
-            joined = joined.drop(f"__across{name}")
-        return joined
-
-    def with_repeats(self, rows, payload: Column) -> DataFrame:
-        """Flags: has a predecessor, equals the predecessor, equals the successor."""
-        rows = rows.withColumn("__v", F.struct(payload.alias("v")))
-        rows = self._with_neighbours(rows, F.col("__v"), "__prev", "__follow")
-        has_prev = F.col("__prev").isNotNull()
-        return rows.withColumns(
-            {
-                "__has_prev": has_prev,
-                "__repeats": has_prev & F.col("__prev.v").eqNullSafe(F.col("__v.v")),
-                "__repeated": F.col("__follow").isNotNull()
-                & F.col("__follow.v").eqNullSafe(F.col("__v.v")),
-            }
-        ).drop("__v", "__prev", "__follow")
+def _slice_facts(rows) -> DataFrame:
+    """One row per slice: what lies before and after it in its parent's timeline."""
+    ends = rows.groupBy(FK, SLICE).agg(
+        F.min_by("__v", MS).alias("__head"),
+        F.max_by("__v", MS).alias("__tail"),
+        F.min(MS).alias("__start"),
+        F.min(F.when(_changes(), F.col(MS))).alias("__change"),
+        F.min(F.when(F.col(STORED), F.col(MS))).alias("__stored_at"),
+    )
+    slices = Window.partitionBy(FK).orderBy(SLICE)
+    ends = ends.withColumns(
+        {"__before": F.lag("__tail").over(slices), "__after": F.lead("__head").over(slices)}
+    )
+    changes_at_start = F.col("__before").isNotNull() & (F.col("__before") != F.col("__head"))
+    change = F.least("__change", F.when(changes_at_start, F.col("__start")))
+    after_repeats = F.col("__after").isNotNull() & F.col("__after").eqNullSafe(F.col("__tail"))
+    return ends.select(
+        FK,
+        SLICE,
+        "__before",
+        after_repeats.alias("__after_repeats"),
+        F.min(change).over(_whole(slices)).alias(FIRST_CHANGE),
+        F.min("__stored_at").over(_whole(slices)).alias(FIRST_STORED),
+    )
+
+
+def _whole(window):
+    return window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+
+def _repeats(prev: Column, payload: Column) -> dict[str, Column]:
+    """``prev`` is a struct, so NULL means that there is no record before."""
+    return {
+        HAS_PREV: prev.isNotNull(),
+        REPEATS: prev.isNotNull() & prev.eqNullSafe(payload),
+    }
 
-    def with_next(self, rows) -> DataFrame:
-        """Start and stored flag of the next record."""
-        value = F.struct(F.col(FROM).alias("start"), F.col(STORED).alias("stored"))
-        return self._with_neighbours(rows, value, None, "__next")
+
+def _changes() -> Column:
+    return F.col(HAS_PREV) & ~F.col(REPEATS)
+
+
+def _with_next(rows) -> DataFrame:
+    """Add start and stored flag of the next record; NULL after the last one."""
+    value = F.struct(F.col(FROM).alias("start"), F.col(STORED).alias("stored"))
+    if SLICE not in rows.columns:
+        return rows.withColumn(NEXT, F.lead(value).over(Window.partitionBy(FK).orderBy(MS)))
+    in_slice = Window.partitionBy(FK, SLICE).orderBy(MS)
+    slices = Window.partitionBy(FK).orderBy(SLICE)
+    heads = rows.groupBy(FK, SLICE).agg(F.min_by(value, MS).alias("__head"))
+    heads = heads.select(FK, SLICE, F.lead("__head").over(slices).alias("__across"))
+    dated = rows.withColumn(NEXT, F.lead(value).over(in_slice)).join(heads, [FK, SLICE])
+    return dated.withColumn(NEXT, F.coalesce(NEXT, "__across")).drop("__across", SLICE)
 
 
 def _payload(spec, rows, names) -> Column:
@@ -382,34 +415,24 @@ def _payload(spec, rows, names) -> Column:
     return F.struct(*parts)
 
 
-def _run_facts() -> dict[str, Column]:
-    """Per parent: where its first run of equal records ends, and its first stored record."""
-    changes = F.col("__has_prev") & ~F.col("__repeats")
-    return {
-        "__first_change": F.min(F.when(changes, F.col(MS))),
-        "__first_stored": F.min(F.when(F.col(STORED), F.col(MS))),
-    }
-
-
 def _kept(spec) -> Column:
     """Records that survive an idempotent load.
 
     Stored records always do.  A new record does when it differs from the one
     before it.  Of a first run without any stored record, one new record stays.
     """
-    open_run = F.col("__first_change").isNull()
-    in_first_run = open_run | (F.col(MS) < F.col("__first_change"))
-    run_has_stored = F.col("__first_stored").isNotNull() & (
-        open_run | (F.col("__first_stored") < F.col("__first_change"))
+    open_run = F.col(FIRST_CHANGE).isNull()
+    in_first_run = open_run | (F.col(MS) < F.col(FIRST_CHANGE))
+    run_has_stored = F.col(FIRST_STORED).isNotNull() & (
+        open_run | (F.col(FIRST_STORED) < F.col(FIRST_CHANGE))
     )
-    chosen = ~F.col("__repeated") if spec.first_run == "latest" else ~F.col("__has_prev")
-    starts_later_run = F.col("__has_prev") & ~F.col("__repeats")
-    return F.col(STORED) | starts_later_run | (in_first_run & ~run_has_stored & chosen)
+    chosen = ~F.col(REPEATED) if spec.first_run == "latest" else ~F.col(HAS_PREV)
+    return F.col(STORED) | _changes() | (in_first_run & ~run_has_stored & chosen)
 
 
 def _result_columns(spec, names) -> list[str]:
     columns = [FK, FROM, STORED, *names.attributes.values(), *names.meta.values()]
-    return columns + ([OPEN, "__next"] if spec.uses_to_date else [])
+    return columns + ([OPEN, NEXT] if spec.uses_to_date else [])
 
 
 def _table_form(rows, df, table, spec, names, load_ts, flags=()) -> DataFrame:
@@ -420,7 +443,7 @@ def _table_form(rows, df, table, spec, names, load_ts, flags=()) -> DataFrame:
         select += [F.col(name).alias(col) for col, name in group.items()]
     if spec.uses_to_date:
         until = F.lit(spec.max_date).cast(_from_type(df, table, spec))
-        select.append(F.coalesce(F.col("__next.start"), until).alias(spec.to_date_col))
+        select.append(F.coalesce(F.col(f"{NEXT}.start"), until).alias(spec.to_date_col))
     return rows.select(*select, *audit_columns(spec, load_ts), *flags)
 
 
@@ -445,15 +468,13 @@ def validity_view(
     )
     counts = rows_per_key(rows, [FK])
     if hot_rows is None or not KeyStats.of(counts, [FK]).has_hot(hot_rows):
-        dated = _Timeline([FK]).with_next(rows)
+        dated = _with_next(rows)
     else:
-        hot = hot_keys(counts, [FK], hot_rows)
+        hot = F.broadcast(stage(hot_keys(counts, [FK], hot_rows), "hot"))
         sliced = rows.join(hot, FK, "left_semi")
         sliced = sliced.withColumn(SLICE, F.floor(F.col(MS) / F.lit(slice_millis)))
-        dated = _Timeline([FK]).with_next(rows.join(hot, FK, "left_anti")).unionByName(
-            _Timeline([FK, SLICE]).with_next(sliced).drop(SLICE)
-        )
-    until = F.coalesce(F.col("__next.start"), F.lit(spec.max_date).cast(type_))
+        dated = _with_next(rows.join(hot, FK, "left_anti")).unionByName(_with_next(sliced))
+    until = F.coalesce(F.col(f"{NEXT}.start"), F.lit(spec.max_date).cast(type_))
     return dated.withColumn(spec.to_date_col, until).select(
         *[column(c) for c in table.columns if c != spec.to_date_col], column(spec.to_date_col)
     )

@@ -60,8 +60,8 @@ class KeyStats:
 
 
 def hot_keys(counts: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows, to be broadcast."""
-    return F.broadcast(counts.filter(F.col(ROWS) > F.lit(hot_rows)).select(*keys))
+    """Keys with more than ``hot_rows`` rows: few enough to be broadcast."""
+    return counts.filter(F.col(ROWS) > F.lit(hot_rows)).select(*keys)
 
 
 def join_lookup(
@@ -79,7 +79,7 @@ def join_lookup(
     if not stats.has_hot(hot_rows):
         return rows.join(lookup, keys)
     # Rows of hot keys stay where they are, the others are shuffled.
-    hot = hot_keys(counts, keys, hot_rows)
+    hot = F.broadcast(hot_keys(counts, keys, hot_rows))
     hot_lookup = F.broadcast(lookup.join(hot, keys, "left_semi"))
     stay = rows.join(hot_lookup, keys)
     move = rows.join(hot, keys, "left_anti").join(lookup, keys)

@@ -49,6 +49,9 @@ def _append(target, rows: DataFrame) -> int:
 
 
 def _satellite_into(target, df, spec, load_id, options) -> Loaded:
+    if isinstance(target, SatelliteStore):
+        # The store keeps every to-date complete, so old records can be skipped.
+        options = {"lookback": "to_date", **options}
     load = load_satellite(df, target.read(), spec, **options)
     if isinstance(target, SatelliteStore):
         counts = target.apply(load, load_id)
@@ -74,7 +77,8 @@ def _keyed_into(target, df, spec: KeyedSpec, sequence, verify, options) -> Loade
     written = target.read()
     if verify:
         _verify(df, written, spec, options)
-    return Loaded(attach_keys(df, written, spec, **lookup_options), {"inserted": inserted})
+    output = attach_keys(df, written, spec, stats=load.stats, **lookup_options)
+    return Loaded(output, {"inserted": inserted})
 
 
 def _verify(df, written, spec, options):

@@ -7,10 +7,11 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from vaultwright.operators import load_satellite, validity_view
+from vaultwright.plans.into import load_into
 from vaultwright.plans.queries_keys import SQL_BLANKED, blanked_orders
 from vaultwright.plans.registry import earlier, later, query, read, sql_earlier, sql_later
 from vaultwright.sources import SatelliteStore, stage
-from vaultwright.sources.files import new_folder
+from vaultwright.staging import new_folder
 from vaultwright.spec import SatSpec
 
 STAMP = datetime(2024, 1, 1)
@@ -189,7 +190,17 @@ def sat_idempotent_incremental(spark, sf_dir):
 @query(f"WITH {SQL_INCREMENTAL} {SELECT_INSERTS}")
 def sat_lookback(spark, sf_dir):
     stored, batch = _loaded_earlier(spark, sf_dir, order_status())
-    return load_satellite(batch, stored, order_status(), order_by=FIRST, lookback=True).inserts
+    load = load_satellite(
+        batch, stored, order_status(), order_by=FIRST, lookback="from_date"
+    )
+    return load.inserts
+
+
+@query(f"WITH {SQL_INCREMENTAL} {SELECT_DATED}")
+def sat_lookback_todate(spark, sf_dir):
+    spec = order_status(to_date_col="valid_to")
+    stored, batch = _loaded_earlier(spark, sf_dir, spec)
+    return load_satellite(batch, stored, spec, order_by=FIRST, lookback="to_date").inserts
 
 
 SQL_EVENTS = """SELECT user_id AS fk, ts AS d, event_type AS v, event_id AS o,
@@ -304,7 +315,7 @@ def sat_todate_materialized(spark, sf_dir):
     orders = _orders(spark, sf_dir)
     even = F.year("o_orderdate") % 2 == 0
     for load_id, batch in (("even", orders.filter(even)), ("odd", orders.filter(~even))):
-        store.apply(load_satellite(batch, store.read(), spec, order_by=FIRST), load_id)
+        load_into(store, batch, spec, load_id=load_id, order_by=FIRST)
     return store.read()
 
 

@@ -24,7 +24,7 @@ from vaultwright.plans.queries_keys import (
 )
 from vaultwright.plans.registry import earlier, later, query, read, sql_earlier, sql_later, sql_rank
 from vaultwright.sources import ParquetTable, stage
-from vaultwright.sources.files import new_folder
+from vaultwright.staging import new_folder
 from vaultwright.spec import HubSpec, LinkSpec, SatSpec
 from vaultwright.streaming import load_stream
 

@@ -1,8 +1,8 @@
-from vaultwright.sources.files import shared_folder, stage
 from vaultwright.sources.history import SatelliteStore
 from vaultwright.sources.schemas import create_statement, empty_table, target_schema
 from vaultwright.sources.sequences import Sequence
 from vaultwright.sources.tables import CatalogTable, ParquetTable
+from vaultwright.staging import shared_folder, stage
 
 __all__ = [
     "CatalogTable",

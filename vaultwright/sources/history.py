@@ -28,17 +28,13 @@ from pyspark.sql import functions as F
 
 from vaultwright.functions import column
 from vaultwright.operators.satellite import IS_CLOSING, WAS_OPEN, SatLoad
-from vaultwright.sources.files import new_folder, read_parquet
+from vaultwright.staging import new_folder, read_parquet
 from vaultwright.spec import SatSpec
 
 STATE, BUCKET, LOAD = "_state", "_bucket", "_load"
 PARTITION = [STATE, BUCKET, LOAD]
 CURRENT = "current"
 
-_LEDGER_SCHEMA = (
-    "load string, step string, folder string, buckets int, inserted bigint, closed bigint"
-)
-
 
 @dataclass(frozen=True)
 class SatelliteStore:
@@ -64,9 +60,16 @@ class SatelliteStore:
         return None if table is None else table.drop(*PARTITION)
 
     def _log(self, load_id, step, folder, inserted, closed):
-        row = [(load_id, step, folder, self.buckets, inserted, closed)]
-        entry = self.spark.createDataFrame(row, _LEDGER_SCHEMA).coalesce(1)
-        entry.write.mode("append").parquet(self._ledger_path)
+        entry = {
+            "load": F.lit(load_id),
+            "step": F.lit(step),
+            "folder": F.lit(folder),
+            "buckets": F.lit(self.buckets),
+            "inserted": F.lit(inserted).cast("bigint"),
+            "closed": F.lit(closed).cast("bigint"),
+        }
+        row = self.spark.range(1).select(*[value.alias(name) for name, value in entry.items()])
+        row.coalesce(1).write.mode("append").parquet(self._ledger_path)
 
     def _progress(self, load_id: str) -> dict[str, tuple]:
         """Steps already done for this load; a few rows by construction."""

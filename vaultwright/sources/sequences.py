@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from vaultwright.sources.files import read_parquet
+from vaultwright.staging import read_parquet
 
 
 @dataclass(frozen=True)

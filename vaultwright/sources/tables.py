@@ -10,7 +10,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vaultwright.sources.files import read_parquet
+from vaultwright.staging import read_parquet
 from vaultwright.sources.schemas import quoted
 from vaultwright.spec import TableSpec
 
