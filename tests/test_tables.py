@@ -98,6 +98,12 @@ def test_schema_and_create_statement(spark):
     assert target_schema(df, sat).simpleString() == (
         "struct<hub_id:bigint,at:date,v:string,k:string,to:date>"
     )
+    name = f"created_{uuid.uuid4().hex}"
+    spark.sql(create_statement(df, HubSpec(table=name, tech_key="id", keys={"k": "my key"})))
+    try:
+        assert spark.table(name).columns == ["my key", "id"]
+    finally:
+        spark.sql(f"DROP TABLE {name}")
     empty = empty_table(spark, df, sat)
     rows = spark.createDataFrame([(1, "2020-01-01", "A", "x")], "n int, at string, v string, k string")
     rows = rows.withColumn("at", F.col("at").cast("date"))

@@ -167,7 +167,9 @@ def load_keyed(
         known, unseen = None, wanted
     else:
         known = _lookup(table, spec, wanted, keys, stats().fits(broadcast_bytes))
-        unseen = wanted.join(known, keys, "left_anti")
+        # Not an anti join: with the technical key in every use, all of them read
+        # one and the same shuffle of the stored keys.
+        unseen = wanted.join(known, keys, "left").filter(F.col(_TECH_KEY).isNull())
 
     numbered = add_tech_keys(unseen.select(*keys), keys, _TECH_KEY, spec, table, sequence_start)
     new = numbered

@@ -26,7 +26,15 @@ HOT_ROWS = 2_000_000
 BROADCAST_BYTES = 128 * 2**20
 
 # Assumed bytes of one entry in a broadcast hash table, apart from the key itself.
-ENTRY_BYTES = 40
+ENTRY_BYTES = 32
+# Types of 16 bytes at most.
+FIXED_WIDTH = (
+    T.NumericType,
+    T.BooleanType,
+    T.DateType,
+    T.TimestampType,
+    T.TimestampNTZType,
+)
 
 ROWS = "__rows"
 
@@ -46,9 +54,10 @@ class KeyStats:
     def of(cls, counts: DataFrame, keys: list[str]) -> KeyStats:
         width = F.lit(ENTRY_BYTES)
         for key in keys:
-            type_ = counts.schema[key].dataType
-            sized = isinstance(type_, (T.StringType, T.BinaryType))
-            width = width + (F.octet_length(column(key)) if sized else F.lit(8))
+            if isinstance(counts.schema[key].dataType, FIXED_WIDTH):
+                width = width + F.lit(16)
+            else:
+                width = width + F.octet_length(column(key).cast("string"))
         row = counts.agg(F.sum(width.cast("bigint")), F.max(ROWS)).first()
         return cls(row[0] or 0, row[1] or 0)
 

@@ -46,12 +46,12 @@ def sql_timeline(
     batch AS ({batch}),
     stored AS ({stored}),
     n1 AS (SELECT fk, d, v, m FROM (
-             SELECT *, row_number() OVER (PARTITION BY fk, epoch_ms(d) ORDER BY o, d, v, m) AS rn
+             SELECT *, row_number() OVER (PARTITION BY fk, date_trunc('milliseconds', d) ORDER BY o, d, v, m) AS rn
              FROM batch) WHERE rn = 1),
     u AS (SELECT fk, d, v, NULL AS m, true AS p FROM stored WHERE fk IN (SELECT fk FROM n1)
           UNION ALL
           SELECT fk, d, v, m, false FROM n1 WHERE NOT EXISTS (
-            SELECT 1 FROM stored s WHERE s.fk = n1.fk AND epoch_ms(s.d) = epoch_ms(n1.d))),
+            SELECT 1 FROM stored s WHERE s.fk = n1.fk AND date_trunc('milliseconds', s.d) = date_trunc('milliseconds', n1.d))),
     a AS (SELECT *, lag(d) OVER w IS NOT NULL AS has_prev,
                  lag(d) OVER w IS NOT NULL AND lag(v) OVER w IS NOT DISTINCT FROM v AS prev_eq,
                  lead(d) OVER w IS NOT NULL AND lead(v) OVER w IS NOT DISTINCT FROM v AS next_eq
