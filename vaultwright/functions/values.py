@@ -80,7 +80,13 @@ def audit_columns(spec, load_ts: datetime | None) -> list[Column]:
     columns = []
     if spec.load_dts_col:
         type_ = spec.types.get(spec.load_dts_col, T.TimestampType())
-        columns.append(F.lit(load_ts or datetime.now()).cast(type_).alias(spec.load_dts_col))
+        moment = load_ts or datetime.now()
+        if isinstance(type_, T.TimestampNTZType):
+            # As text, so that no time zone shifts it.
+            stamp = F.lit(moment.replace(tzinfo=None).isoformat(sep=" "))
+        else:
+            stamp = F.lit(moment)
+        columns.append(stamp.cast(type_).alias(spec.load_dts_col))
     if spec.rec_src_col:
         columns.append(F.lit(spec.rec_src).cast("string").alias(spec.rec_src_col))
     return columns

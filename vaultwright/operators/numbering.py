@@ -67,13 +67,15 @@ def add_tech_keys(
         )
         return ranked.withColumn(name, number).drop(_BUCKET, _RANK)
 
+    if table is None:
+        sizes = bucketed.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("__n"))
+    else:
+        # New keys come out of a join: with the last rank as size both uses read
+        # the same shuffle, and the join runs once.
+        sizes = ranked.groupBy(_BUCKET).agg(F.max(_RANK).alias("__n"))
     # At most BUCKETS rows, so one task and a broadcast are safe at any scale.
     before = Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        bucketed.groupBy(_BUCKET)
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .select(_BUCKET, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias(_OFFSET))
-    )
+    offsets = sizes.select(_BUCKET, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias(_OFFSET))
     position = F.col(_OFFSET) + F.col(_RANK)
     if spec.key_method == SEQUENCE:
         start = spec.sequence_start if sequence_start is None else sequence_start
