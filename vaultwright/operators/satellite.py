@@ -121,33 +121,29 @@ def load_satellite(
     spec.check_table(table)
     batch, rejects, names = _batch(df, table, spec, order_by, on_invalid)
 
-    if not spec.is_temporal:
-        inserts = _unseen(batch, _stored_keys(table, spec), [FK], names)
-        return SatLoad(df, _table_form(inserts, df, table, spec, names, load_ts), None, rejects)
-    if not spec.idempotent and not spec.uses_to_date:
-        inserts = _unseen(batch, _stored_keys(table, spec), [FK, MS], names)
+    counts = rows_per_key(batch, [FK])
+    parents = None
+    if table is not None:
+        stats = KeyStats.of(counts, [FK])
+        parents = F.broadcast(counts.select(FK)) if stats.fits(broadcast_bytes) else None
+
+    if not spec.is_temporal or not (spec.idempotent or spec.uses_to_date):
+        identity = [FK, MS] if spec.is_temporal else [FK]
+        inserts = _unseen(batch, _of_parents(_stored_keys(table, spec), parents), identity, names)
         return SatLoad(df, _table_form(inserts, df, table, spec, names, load_ts), None, rejects)
 
     if table is not None and lookback == "to_date":
         table = table.filter(column(spec.to_date_col) >= batch.agg(F.min(FROM)).scalar())
-    stored = _stored(table, spec, names)
-    counts = rows_per_key(batch, [FK])
-    stats = KeyStats.of(counts, [FK])
+    stored = _of_parents(_stored(table, spec, names), parents)
     if stored is not None:
-        few_parents = stats.fits(broadcast_bytes)
         if lookback == "from_date":
-            stored = _since(batch, stored, few_parents)
-        elif few_parents:
-            # Filters the table while scanning it.  Beyond that the table meets
-            # the batch in the shuffle below: parents without new records have
-            # no effect, and a separate join would shuffle the table twice.
-            stored = stored.join(F.broadcast(counts.select(FK)), FK, "left_semi")
+            stored = _since(batch, stored, parents is not None)
         counts = rows_per_key(batch.select(FK).unionAll(stored.select(FK)), [FK])
-        if hot_rows is not None:
-            stats = KeyStats.of(counts, [FK])
+    if hot_rows is not None:
+        stats = KeyStats.of(counts, [FK])
 
     rows = _union(stored, batch, names)
-    if stats.has_hot(hot_rows):
+    if hot_rows is not None and stats.has_hot(hot_rows):
         hot = F.broadcast(stage(hot_keys(counts, [FK], hot_rows), "hot"))
         kept = _timelines(rows.join(hot, FK, "left_anti"), spec, names).unionByName(
             _sliced_timelines(rows.join(hot, FK, "left_semi"), spec, names, slice_millis)
@@ -280,6 +276,18 @@ def _unseen(batch, stored_keys, keys, names) -> DataFrame:
 # -- timelines ---------------------------------------------------------------
 
 
+def _of_parents(stored, parents) -> DataFrame | None:
+    """Stored records of the parents in the batch, when those are few.
+
+    Their broadcast filters the table while it is scanned.  With more of them the
+    table meets the batch in the shuffle that follows: records of other parents
+    have no effect, and a join of its own would shuffle the table twice.
+    """
+    if stored is None or parents is None:
+        return stored
+    return stored.join(parents, FK, "left_semi")
+
+
 def _since(batch, stored, few_parents) -> DataFrame:
     """Stored records from the last one before the first new record onward."""
     starts = batch.groupBy(FK).agg(F.min(MS).alias("__start"))
