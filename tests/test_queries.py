@@ -7,8 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
-
-ORACLES = contract.oracle_sql()
+from vaultwright.plans.registry import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -24,9 +23,9 @@ def ordered(rows):
     return sorted(rows, key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, data, duck, name):
-    result = contract.queries()[name](spark, data)
+    result = QUERIES[name](spark, data)
     expected = duck.execute(ORACLES[name])
     columns = sorted(result.columns)
     assert sorted(d[0] for d in expected.description) == columns
