@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultwright.llm import quality_rules
+from vaultwright.llm import quality_rules, warc
 from vaultwright.llm.common import table
 
 TEXT_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,3 +29,22 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, sf_dir, "documents"))
     counts = [F.col(c).cast("long").alias(c) for c in quality_rules.BASE]
     return judged.select("doc_id", *counts, "base_failed", "kept", "failed")
+
+
+@text_query(
+    """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+    d AS (SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest FROM p),
+    g AS (SELECT payload_digest, max(page_id) AS kept FROM d WHERE payload_bytes >= 1000 GROUP BY payload_digest)
+    SELECT d.page_id, d.payload_bytes, d.payload_digest,
+           CASE WHEN d.page_id < g.kept THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN d.page_id < g.kept THEN g.kept END AS refers_to
+    FROM d LEFT JOIN g ON g.payload_digest = d.payload_digest AND d.payload_bytes >= 1000
+    """
+)
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    folder = warc.new_archive_folder(pages)
+    index = warc.write_archives(pages, folder)
+    records = warc.read_records(index, folder, with_payload=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
