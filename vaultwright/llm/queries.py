@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultwright.llm import html_text, prob_minhash, quality_rules, toxicity, warc
+from vaultwright.llm import html_text, line_dedup, prob_minhash, quality_rules, toxicity, warc
 from vaultwright.llm.common import table
 
 TEXT_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +65,8 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = prob_minhash.document_classes(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "class_id", "class_size", "n_links")
+
+
+@text_query()
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(table(spark, sf_dir, "documents"))
