@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultwright.llm import html_text, line_dedup, prob_minhash, quality_rules, toxicity, warc
+from vaultwright.llm import html_text, line_dedup, piece_sampling, prob_minhash, quality_rules, toxicity, warc
 from vaultwright.llm.common import table
 
 TEXT_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +70,9 @@ def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @text_query()
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(table(spark, sf_dir, "documents"))
+
+
+@text_query()
+def op4_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = piece_sampling.Vocabulary.load(piece_sampling.default_model())
+    return piece_sampling.encode(table(spark, sf_dir, "documents"), vocabulary, k=3, checked=True)
