@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultwright.llm import html_text, line_dedup, piece_sampling, prob_minhash, quality_rules, toxicity, warc
+from vaultwright.llm import (
+    html_text,
+    line_dedup,
+    piece_sampling,
+    prob_minhash,
+    quality_rules,
+    template_decontamination,
+    toxicity,
+    warc,
+)
 from vaultwright.llm.common import table
 
 TEXT_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +85,11 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = piece_sampling.Vocabulary.load(piece_sampling.default_model())
     return piece_sampling.encode(table(spark, sf_dir, "documents"), vocabulary, k=3, checked=True)
+
+
+@text_query()
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = template_decontamination.contaminated(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    return found.select("doc_id", "item_id", "n_windows", "item_windows", "n_slots", "n_agreeing")
