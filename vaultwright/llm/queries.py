@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultwright.llm import (
+    context_mixing,
     html_text,
     line_dedup,
     piece_sampling,
     prob_minhash,
     quality_rules,
+    quotation_linking,
     template_decontamination,
     toxicity,
     warc,
@@ -93,3 +95,13 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     )
     return found.select("doc_id", "item_id", "n_windows", "item_windows", "n_slots", "n_agreeing")
+
+
+@text_query()
+def op8_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotation_linking.link(table(spark, sf_dir, "conversations"))
+
+
+@text_query()
+def op1_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_mixing.score(table(spark, sf_dir, "documents"))
