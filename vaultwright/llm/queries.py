@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from vaultwright.llm import (
     context_mixing,
     html_text,
@@ -105,3 +106,8 @@ def op8_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
 @text_query()
 def op1_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context_mixing.score(table(spark, sf_dir, "documents"))
+
+
+@text_query(corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
