@@ -1,13 +1,13 @@
 """Fuzzy duplicates among lines, by SimHash blocks that must agree by the pigeonhole principle.
 
-A line is normalised (lower case, runs of anything but letters and digits become one space).
-Its words fall into blocks by their hash, and each block is the 64-bit SimHash of its words,
-weighted by length.  Replacing a word touches two blocks at most, so with six blocks two lines that
+A line is normalised (lower case, ASCII punctuation becomes space, white space one space).
+Its words fall into blocks by their hash, and each block is the 32-bit SimHash of its words,
+weighted by their bytes beyond three, as short words say little.  Replacing a word touches two blocks at most, so with six blocks two lines that
 differ by two replaced words agree in at least two of them.  Lines with an equal block are
 candidates (see ``linking`` for how pairs of large groups are avoided) and are verified by edit
 similarity, 1 - distance / longer length.  Lines below ``short`` characters have three blocks, as six
 would be too small to tell lines apart; those between ``long`` and ``short`` have both, so that
-similar lines always share a kind.  Blocks of less than ``least_block`` bytes are not used.
+similar lines always share a kind.  Blocks of less weight than ``least_block`` are not used.
 
 Connected lines are a group; of each group the first occurrence (by doc_id, text, line
 number) stays.  Lines with fewer than ``least_words`` words are always kept.
@@ -21,7 +21,6 @@ columns stay as they are.
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,7 +34,8 @@ from vaultwright.llm.common import hash_words, mix, stage, word_spans
 from vaultwright.llm.linking import classes
 
 BROADCAST_KEYS = 500_000  # of 24 bytes
-_NOISE = re.compile(r"[\W_]+")
+# Bytes of UTF-8: everything in ASCII but letters, digits and the line feed becomes a space.
+_PLAIN = bytes(b if b >= 128 or b == 10 or chr(b).isalnum() else 32 for b in range(256))
 
 
 @dataclass(frozen=True)
@@ -44,12 +44,16 @@ class Settings:
     least_words: int = 5
     long: int = 120
     short: int = 160
-    least_block: int = 16
-    seeds: int = 4
+    least_block: int = 10
+    seeds: int = 2
+
+
+def _plain(text: str) -> str:
+    return text.lower().encode("utf-8", "replace").translate(_PLAIN).decode()
 
 
 def normalise(line: str) -> str:
-    return _NOISE.sub(" ", line.lower()).strip()
+    return " ".join(_plain(line).split())
 
 
 def block_hashes(lines: list[str], blocks: int, least: int) -> np.ndarray:
@@ -59,20 +63,21 @@ def block_hashes(lines: list[str], blocks: int, least: int) -> np.ndarray:
     starts, ends = word_spans(buffer)
     words = hash_words(buffer, starts, ends)
     line = np.searchsorted(edges, starts, side="right") - 1
-    length = np.minimum(ends - starts, 24).astype(np.int32)
+    weight = np.clip(ends - starts - 3, 0, 21).astype(np.int32)
     block = (mix(words) >> np.uint64(33)) % np.uint64(blocks)
+    block[weight == 0] = blocks  # in none
     out = np.zeros((len(lines), blocks), np.uint64)
     for b in range(blocks):
         mine = np.flatnonzero(block == b)
         if not len(mine):
             continue
-        of, size = line[mine], length[mine]
+        of, heavy = line[mine], weight[mine]
         first = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
-        bits = np.unpackbits(words[mine].view(np.uint8).reshape(-1, 8), axis=1).astype(np.int32)
-        bits = (2 * bits - 1) * size[:, None]
-        sums = np.add.reduceat(bits, first, axis=0) > 0
-        simhash = np.packbits(sums, axis=1).view(np.uint64).ravel()
-        used = np.add.reduceat(size, first) >= least
+        bits = np.unpackbits(words[mine].astype(np.uint32).view(np.uint8).reshape(-1, 4), axis=1) * heavy[:, None]
+        total = np.add.reduceat(heavy, first)
+        sums = 2 * np.add.reduceat(bits, first, axis=0) > total[:, None]
+        simhash = np.packbits(sums, axis=1).view(np.uint32).ravel().astype(np.uint64)
+        used = total >= least
         key = mix(simhash ^ mix(np.array([b + 16 * blocks], np.uint64)))
         out[of[first[used]], b] = key[used]
     return out
@@ -85,7 +90,7 @@ def keys_of(lines: list[str], settings: Settings) -> list[list[int]]:
         (6, [i for i, n in enumerate(lines) if len(n) >= settings.long]),
         (3, [i for i, n in enumerate(lines) if len(n) < settings.short]),
     ):
-        for start in range(0, len(chosen), 4096):  # 64 bytes per word at a time
+        for start in range(0, len(chosen), 4096):  # 128 bytes per word at a time
             part = chosen[start : start + 4096]
             found = block_hashes([lines[i] for i in part], blocks, settings.least_block).view(np.int64)
             for i, row in zip(part, found.tolist()):
@@ -96,9 +101,10 @@ def keys_of(lines: list[str], settings: Settings) -> list[list[int]]:
 def _split(text: str | None, least_words: int) -> list[tuple[int, str]]:
     """Numbered normalised lines that take part."""
     out = []
-    for number, line in enumerate((text or "").split("\n")):
-        if line and (clean := normalise(line)).count(" ") >= least_words - 1 and clean:
-            out.append((number, clean))
+    for number, line in enumerate(_plain(text).split("\n") if text else ()):
+        words = line.split()
+        if words and len(words) >= least_words:
+            out.append((number, " ".join(words)))
     return out
 
 
