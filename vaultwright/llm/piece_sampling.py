@@ -141,12 +141,13 @@ def build(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray, vocabulary:
     head = (buffer & 0xC0) != 0x80  # first byte of a character
     edge_from, edge_to, edge_piece = [], [], []
     positions = np.flatnonzero(head)
+    literals = np.append(0, np.cumsum(literal[:n]))
     for length in vocabulary.lengths:
         positions = positions[positions + length <= unit_end[positions]]
         if not len(positions):
             break
         found = vocabulary.find(hash_words(buffer, positions, positions + length))
-        hit = (found >= 0) & ~literal[positions]
+        hit = (found >= 0) & (literals[positions + length] == literals[positions])
         edge_from.append(positions[hit])
         edge_to.append(positions[hit] + length)
         edge_piece.append(found[hit])

@@ -47,10 +47,10 @@ class Settings:
 def marked(text: Column) -> Column:
     """Lower-case words one space apart, with a mark before each name, number and unit."""
     t = F.concat(F.lit(" "), F.regexp_replace(text, r"[\x00-\x20]+", " "), F.lit(" "))
-    t = F.regexp_replace(t, r"(?<=[^.!?:; ][\"')]? )(\p{Lu}\p{Ll}[\p{L}'-]*)", NAME + "$1")
     t = F.regexp_replace(t, rf"(?i)([0-9])({UNITS}|%)(?=[^\p{{L}}\p{{N}}])", "$1 $2")
     t = F.regexp_replace(t, r"(?<= )([+-]?[$€£]?[0-9][0-9.,:/]*)(?=[^\p{L}\p{N}])", NUMBER + "$1")
     t = F.regexp_replace(t, rf"(?i)({NUMBER}[^ ]+ )({UNITS}|%)(?=[^\p{{L}}\p{{N}}])", "$1" + UNIT + "$2")
+    t = F.regexp_replace(t, r"(?<=[^.!?:; ][\"')]? [\"'(]?)(\p{Lu}\p{Ll}[\p{L}'-]*)", NAME + "$1")
     # Punctuation at the edges of words, but not the per cent sign of a unit.
     t = F.regexp_replace(t, rf"(?<= )[^\p{{L}}\p{{N}}{NAME}-{UNIT}]+|(?<!{UNIT})[^\p{{L}}\p{{N}} {NAME}-{UNIT}]+(?= )", "")
     return F.trim(F.regexp_replace(F.lower(t), " +", " "))
