@@ -10,14 +10,18 @@ classes is lost, while no pair is made inside a class.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vaultwright.llm.common import stage
 
 MAX_ROUNDS = 200
+SMALL_KEY = 32
+BLOCK = 384
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -64,26 +68,121 @@ def star_pairs(members: DataFrame, seeds: int) -> DataFrame:
     return pairs.select(F.least("node", "chosen").alias("a"), F.greatest("node", "chosen").alias("b")).distinct()
 
 
-def across(members: DataFrame, labels: DataFrame, tested: DataFrame) -> DataFrame:
-    """The untested pairs of nodes that share a key but not a class."""
+def open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, node, root, n) of the keys whose n nodes are not all in one class."""
     rooted = members.join(labels, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-    open_keys = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi")
-    rows = stage(rooted.join(open_keys.select("key"), "key", "left_semi"), "open-keys")
+    open_keys = (
+        rooted.groupBy("key")
+        .agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n"))
+        .filter("lo <> hi")
+    )
+    return stage(rooted.join(open_keys.select("key", "n"), "key").select("key", "node", "root", "n"), "open-keys")
+
+
+def across(rows: DataFrame, tested: DataFrame) -> DataFrame:
+    """The untested pairs of nodes that share a key but not a class."""
     one = rows.select("key", F.col("node").alias("a"), F.col("root").alias("root_a"))
     two = rows.select("key", F.col("node").alias("b"), F.col("root").alias("root_b"))
     pairs = one.join(two, "key").filter("a < b AND root_a <> root_b").select("a", "b").distinct()
     return pairs.join(tested, ["a", "b"], "left_anti")
 
 
-def classes(members: DataFrame, verify: Callable[[DataFrame], DataFrame], seeds: int = 4) -> tuple[DataFrame, DataFrame]:
+def _close(first: tuple, second: tuple, threshold: float) -> Iterator[tuple[int, int]]:
+    """Pairs of sets at least as similar as ``threshold``, one for each two classes.
+
+    The sets are (size, elements, owner); elements in one set only cannot be shared and are left out.
+    """
+    (n_a, e_a, o_a, root_a), (n_b, e_b, o_b, root_b) = first, second
+    kinds, number, times = np.unique(np.concatenate([e_a, e_b]), return_inverse=True, return_counts=True)
+    place = np.cumsum(times > 1) - 1
+    shared = np.zeros((len(n_a), len(n_b)), np.float32)
+    own_a, own_b = number[: len(e_a)], number[len(e_a) :]
+    columns = int((times > 1).sum())
+    for start in range(0, columns, 4096):  # of a table of 0 and 1, sets by elements
+        parts = []
+        for own, of, n in ((own_a, o_a, len(n_a)), (own_b, o_b, len(n_b))):
+            at = place[own]
+            here = (times[own] > 1) & (at >= start) & (at < start + 4096)
+            part = np.zeros((n, min(4096, columns - start)), np.float32)
+            part[of[here], at[here] - start] = 1
+            parts.append(part)
+        shared += parts[0] @ parts[1].T
+    similarity = shared / np.maximum(n_a[:, None] + n_b[None, :] - shared, 1)
+    i, j = np.nonzero((similarity >= threshold) & (root_a[:, None] != root_b[None, :]))
+    classes_ = np.stack([np.minimum(root_a[i], root_b[j]), np.maximum(root_a[i], root_b[j])], axis=1)
+    _, first_of = np.unique(classes_, axis=0, return_index=True)
+    return zip(i[first_of].tolist(), j[first_of].tolist())
+
+
+def across_blocks(rows: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) that link classes within large keys.
+
+    ``sets`` has (node, elements): the distinct elements of each node as 32-bit numbers in bytes.
+    Each block of a key meets every other one, and itself, in one place.
+    """
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    placed = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = met.select(
+        "key",
+        F.least("block", "other").alias("i"),
+        F.greatest("block", "other").alias("j"),
+        "block",
+        "node",
+        "root",
+    )
+    kind = dict(rows.dtypes)["node"]
+
+    def compare(group: pa.Table) -> pa.Table:
+        nodes, block = group.column("node").to_pylist(), group.column("block").to_numpy()
+        roots = np.unique(np.array(group.column("root").to_pylist(), dtype=object), return_inverse=True)[1]
+        elements = [np.frombuffer(e, np.uint32) for e in group.column("elements").to_pylist()]
+
+        def part(at):
+            sizes = np.array([len(elements[k]) for k in at], np.int64)
+            all_of = np.concatenate([elements[k] for k in at]) if len(at) else np.zeros(0, np.uint32)
+            return sizes, all_of, np.repeat(np.arange(len(at)), sizes), roots[at]
+
+        low = np.flatnonzero(block == block.min())
+        high = np.flatnonzero(block == block.max())
+        pairs = [(nodes[low[i]], nodes[high[j]]) for i, j in _close(part(low), part(high), threshold)]
+        pairs = [(min(p), max(p)) for p in pairs]
+        types = group.schema.field("node").type
+        return pa.table({"a": pa.array([a for a, _ in pairs], types), "b": pa.array([b for _, b in pairs], types)})
+
+    return (
+        met.join(sets, "node")
+        .groupBy("key", "i", "j")
+        .applyInArrow(compare, f"a {kind}, b {kind}")
+        .distinct()
+    )
+
+
+def classes(
+    members: DataFrame,
+    verify: Callable[[DataFrame], DataFrame],
+    seeds: int = 4,
+    elements: Callable[[DataFrame], DataFrame] | None = None,
+    threshold: float = 1.0,
+) -> tuple[DataFrame, DataFrame]:
     """(node, root) of all linked nodes, and the verified links (a, b) that were needed to find them.
 
-    ``verify`` takes pairs (a, b) and returns those that are similar enough.
+    ``verify`` takes pairs (a, b) and returns those that are similar enough.  ``elements`` gives the
+    sets of nodes for ``across_blocks``, which looks for Jaccard similarities of ``threshold``;
+    without it large keys join their pairs as small ones do.
     """
     tested = stage(star_pairs(members, seeds), "pairs")
     links = stage(verify(tested).select("a", "b"), "verified")
     labels = components(links)
-    rest = stage(across(members, labels, tested), "pairs")
+    rows = open_members(members, labels)
+    small = rows if elements is None else rows.filter(F.col("n") <= SMALL_KEY)
+    rest = across(small, tested)
+    if elements is not None:
+        large = stage(rows.filter(F.col("n") > SMALL_KEY), "large-keys")
+        if not large.isEmpty():
+            sets = stage(elements(large.select("node").distinct()), "elements")
+            rest = rest.union(across_blocks(large, sets, threshold)).distinct()
+    rest = stage(rest, "pairs")
     if not rest.isEmpty():
         more = stage(verify(rest).select("a", "b"), "verified")
         if not more.isEmpty():

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from vaultwright.llm.common import hash_words, mix
 
-UNIT_BYTES = 8 << 20  # of text whose distinct units share one lattice
+UNIT_BYTES = 2 << 20  # of text whose distinct units share one lattice
 SPACE = "▁".encode()
 
 
