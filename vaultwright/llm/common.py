@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from vaultwright.staging import new_folder, stage
 
 __all__ = [
-    "WORD", "WORD_PATTERN", "fold", "hash_words", "mix", "new_folder", "rows_of", "shared_bytes", "stage",
+    "SpanHashes", "WORD", "WORD_PATTERN", "fold", "hash_words", "mix", "mix_one", "new_folder", "rows_of", "shared_bytes", "stage",
     "table", "word_spans",
 ]
 
@@ -86,16 +86,38 @@ def _power_table(base: int, n: int) -> np.ndarray:
     return known[:n]
 
 
-def hash_words(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of spans of bytes: a prefix polynomial shifted to its start, mixed with the length.
+class SpanHashes:
+    """64-bit hashes of spans of bytes: a prefix polynomial shifted to the span's start, mixed with its length.
 
-    Spans may overlap and must not be empty.
+    The prefix is worked out once for all spans.  Spans may overlap and must not be empty.
     """
-    if not len(starts):
-        return np.zeros(0, np.uint64)
-    n = len(buffer)
-    with np.errstate(over="ignore"):
-        prefix = np.zeros(n + 1, np.uint64)
-        np.cumsum((buffer.astype(np.uint64) + np.uint64(1)) * _power_table(_BASE, n), out=prefix[1:])
-        value = (prefix[ends] - prefix[starts]) * _power_table(_INVERSE, n + 1)[starts]
-        return mix(value ^ ((ends - starts).astype(np.uint64) << np.uint64(48)))
+
+    def __init__(self, buffer: np.ndarray):
+        n = len(buffer)
+        self._inverse = _power_table(_INVERSE, n + 1)
+        self._prefix = np.zeros(n + 1, np.uint64)
+        with np.errstate(over="ignore"):
+            np.cumsum((buffer.astype(np.uint64) + np.uint64(1)) * _power_table(_BASE, n), out=self._prefix[1:])
+
+    def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        if not len(starts):
+            return np.zeros(0, np.uint64)
+        with np.errstate(over="ignore"):
+            value = (self._prefix[ends] - self._prefix[starts]) * self._inverse[starts]
+            return mix(value ^ ((ends - starts).astype(np.uint64) << np.uint64(48)))
+
+
+def hash_words(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of spans, see ``SpanHashes``."""
+    return SpanHashes(buffer)(starts, ends) if len(starts) else np.zeros(0, np.uint64)
+
+
+_MASK = (1 << 64) - 1
+
+
+def mix_one(x: int) -> int:
+    """``mix`` of a single number."""
+    x = (x + 0x9E3779B97F4A7C15) & _MASK
+    x = ((x ^ x >> 30) * 0xBF58476D1CE4E5B9) & _MASK
+    x = ((x ^ x >> 27) * 0x94D049BB133111EB) & _MASK
+    return x ^ x >> 31

@@ -31,15 +31,16 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from math import log
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultwright.llm.common import hash_words, mix
+from vaultwright.llm.common import SpanHashes, hash_words, mix, mix_one
 
-UNIT_BYTES = 2 << 20  # of text whose distinct units share one lattice
+UNIT_BYTES = 1 << 20  # of text whose distinct units share one lattice
 SPACE = "▁".encode()
 
 
@@ -142,11 +143,12 @@ def build(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray, vocabulary:
     edge_from, edge_to, edge_piece = [], [], []
     positions = np.flatnonzero(head)
     literals = np.append(0, np.cumsum(literal[:n]))
+    hashes = SpanHashes(buffer)
     for length in vocabulary.lengths:
         positions = positions[positions + length <= unit_end[positions]]
         if not len(positions):
             break
-        found = vocabulary.find(hash_words(buffer, positions, positions + length))
+        found = vocabulary.find(hashes(positions, positions + length))
         hit = (found >= 0) & (literals[positions + length] == literals[positions])
         edge_from.append(positions[hit])
         edge_to.append(positions[hit] + length)
@@ -163,16 +165,25 @@ def build(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray, vocabulary:
     edge_from.append(heads[as_bytes])
     edge_to.append(heads[as_bytes] + size[as_bytes])
     edge_piece.append(np.full(int(as_bytes.sum()), -1, np.int32))
-    f, t, p = (np.concatenate(x) for x in (edge_from, edge_to, edge_piece))
-    order = np.argsort(f, kind="stable")
-    f, t, p = f[order], t[order], p[order]
+    # Edges of a node side by side, shorter ones first: each length has at most one edge per node.
+    degree = np.zeros(n + 1, np.int64)
+    for start in edge_from:
+        degree[start] += 1
+    first = np.append(0, np.cumsum(degree))
+    free = first[:-1].copy()
+    f, t = np.empty(first[-1], np.int64), np.empty(first[-1], np.int64)
+    p = np.empty(first[-1], np.int32)
+    for start, end, piece in zip(edge_from, edge_to, edge_piece):
+        at = free[start]
+        f[at], t[at], p[at] = start, end, piece
+        free[start] += 1
     weight = np.where(p >= 0, vocabulary.weights[p], (t - f) * vocabulary.byte_weight)
-    first = np.zeros(n + 2, np.int64)
-    np.cumsum(np.bincount(f, minlength=n + 1), out=first[1:])
     # Backward sums from the unit's end: all units at once, by distance to the end.
     mass = np.full(n + 1, -np.inf)
     end_of = unit_end[f]
     distance = end_of - f
+    if len(distance) and distance.max() < 1 << 16:
+        distance = distance.astype(np.uint16)  # sorted digit by digit
     by_distance = np.argsort(distance, kind="stable")
     cuts = np.flatnonzero(np.diff(distance[by_distance])) + 1
     value = np.empty(len(f))
@@ -188,10 +199,14 @@ def build(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray, vocabulary:
         count = np.diff(np.append(new, len(v)))
         mass[nodes[new]] = top + np.log(np.add.reduceat(np.exp(v - np.repeat(top, count)), new))
     logq = value - mass[f]
-    total = np.cumsum(np.exp(logq))
-    before = np.append(0, total)[first[f]]
-    upto = total - before
-    last = first[1:][first[1:] > first[:-1]] - 1
+    upto = np.exp(logq)
+    begin, size = first[:-1], degree
+    k = 1
+    while len(begin := begin[size > k]):  # summed up node by node, so that no other text matters
+        size = size[size > k]
+        upto[begin + k] += upto[begin + k - 1]
+        k += 1
+    last = first[1:][degree > 0] - 1
     upto[last] = np.inf  # the last edge takes what rounding leaves
     return Lattice(buffer, starts, ends, first, f, t, p, logq, upto, mass)
 
@@ -200,6 +215,10 @@ def _uniform(seed: np.ndarray) -> np.ndarray:
     return ((mix(seed) >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
 
 
+def _uniform_one(seed: int) -> float:
+    return ((mix_one(seed) >> 11) + 0.5) * 2.0**-53
+
+
 def escape(text: str) -> tuple[bytes, list[int]]:
     """The escaped text, and the byte offsets of U+2581 that stood in the text itself."""
     data = text.encode("utf-8", "replace")
@@ -273,6 +292,7 @@ class Batch:
         ends = lat.ends[units]
         active, at = np.arange(len(units)), nodes.copy()
         whose, chosen = [], []
+        counts = np.zeros(len(units), np.int64)
         step = np.uint64(0)
         open_ = at < ends
         active, at = active[open_], at[open_]
@@ -286,14 +306,15 @@ class Batch:
                 wrong = wrong[u[wrong] > lat.upto[edge[wrong]]]
             whose.append(active)
             chosen.append(edge)
+            counts[active] += 1
             at = lat.target[edge]
             on = at < ends[active]
             active, at = active[on], at[on]
-        if not whose:
-            return np.zeros(0, np.int64), np.zeros(len(units), np.int64)
-        whose_, chosen_ = np.concatenate(whose), np.concatenate(chosen)
-        order = np.argsort(whose_, kind="stable")
-        return chosen_[order], np.bincount(whose_, minlength=len(units))
+        path = np.empty(int(counts.sum()), np.int64)
+        start = np.cumsum(counts) - counts
+        for k, (active, edge) in enumerate(zip(whose, chosen)):
+            path[start[active] + k] = edge
+        return path, counts
 
     def sample(self, keys: list[int], k: int) -> list[tuple[list[tuple[float, float, np.ndarray]], float]]:
         """Per text up to k (perturbed, log_prob, edges), largest first, and the threshold (-inf if none is left).
@@ -310,25 +331,31 @@ class Batch:
             ends = np.append(0, np.cumsum(counts))
             unit = 0
             for search, (rest, _, _) in zip(waiting, parts):
-                own = counts[unit : unit + len(rest)]
-                search.finish(path[ends[unit] : ends[unit + len(rest)]], own)
+                a, b = ends[unit], ends[unit + len(rest)]
+                search.finish(path[a:b], counts[unit : unit + len(rest)])
                 unit += len(rest)
         return [(s.out, -s.heap[0][0] if s.heap else -np.inf) for s in searches]
 
-    def ids(self, edges: np.ndarray) -> np.ndarray:
-        """Piece ids along a path."""
+    def ids(self, paths: list[np.ndarray]) -> list[np.ndarray]:
+        """Piece ids along paths."""
         lat = self.lattice
-        if not len(edges):
-            return np.zeros(0, np.int32)
-        pieces = lat.piece[edges]
-        plain = pieces >= 0
-        if plain.all():
-            return pieces
-        starts = lat.source[edges]
-        counts = np.where(plain, 1, lat.target[edges] - starts)
-        out = np.repeat(pieces, counts)
-        at = np.repeat(starts - np.cumsum(counts) + counts, counts) + np.arange(len(out))
-        return np.where(out >= 0, out, self.vocabulary.byte_ids[lat.buffer[np.minimum(at, len(lat.buffer) - 1)]])
+        if lat is None or not paths:
+            return [np.zeros(0, np.int32) for _ in paths]
+        edges = np.concatenate(paths)
+        ends = np.cumsum([len(x) for x in paths])
+        out = lat.piece[edges]
+        as_bytes = np.flatnonzero(out < 0)
+        if len(as_bytes):
+            starts = lat.source[edges]
+            counts = np.ones(len(edges), np.int64)
+            counts[as_bytes] = lat.target[edges[as_bytes]] - starts[as_bytes]
+            after = np.cumsum(counts)
+            out = np.repeat(out, counts)
+            at = np.flatnonzero(out < 0)
+            of = np.repeat(as_bytes, counts[as_bytes])
+            out[at] = self.vocabulary.byte_ids[lat.buffer[starts[of] + at - (after - counts)[of]]]
+            ends = np.where(ends > 0, np.append(0, after)[ends], 0)
+        return np.split(out, ends[:-1])
 
 
 class _Search:
@@ -341,11 +368,11 @@ class _Search:
 
     def __init__(self, batch: Batch, units: np.ndarray, key: int, k: int):
         self.lattice, self.units, self.k = batch.lattice, units, k
-        self.row = mix(np.array([key & (1 << 64) - 1], np.uint64))[0]
+        self.row = mix_one(key & (1 << 64) - 1)
         self.out: list[tuple[float, float, np.ndarray]] = []
         self.opened = 0
         self.heap: list[tuple] = []  # minus value, number, subtree
-        root = float(-np.log(-np.log(_uniform(np.array([self.row]))))[0])
+        root = -log(-log(_uniform_one(self.row)))
         if len(units):
             self._push(root, (np.zeros(0, np.int64), 0, int(self.lattice.starts[units[0]]), 0.0))
         else:
@@ -356,7 +383,7 @@ class _Search:
         heapq.heappush(self.heap, (-value, self.opened, subtree))
 
     def _noise(self, number: int) -> np.uint64:
-        return mix(np.array([self.row ^ np.uint64(number)], np.uint64))[0]
+        return np.uint64(mix_one(self.row ^ number))
 
     def wants_descent(self) -> bool:
         """Open the best subtrees until a node below which a path is unknown is on top."""
@@ -382,16 +409,17 @@ class _Search:
     def finish(self, path: np.ndarray, counts: np.ndarray) -> None:
         """Take the leaf at the end of ``path`` and open the stretches along it."""
         minus, number, (prefix, done, _, before) = self.now
-        masses = before + np.append(0.0, np.cumsum(self.lattice.logq[path]))
-        self.out.append((-minus, float(masses[-1]), np.append(prefix, path).astype(np.int64)))
+        total = np.zeros(len(path) + 1)
+        np.cumsum(self.lattice.logq[path], out=total[1:])
+        self.out.append((-minus, float(before + total[-1]), np.concatenate([prefix, path])))
         cuts = _cuts(len(path))
-        with np.errstate(divide="ignore"):
-            mass = masses[cuts[:-1]] + np.log(-np.expm1(np.minimum(masses[cuts[1:]] - masses[cuts[:-1]], 0.0)))
-        seed = mix(np.arange(len(mass), dtype=np.uint64) ^ self._noise(number) ^ np.uint64(1 << 40))
-        with np.errstate(over="ignore", invalid="ignore"):
+        at = before + total[cuts]
+        with np.errstate(divide="ignore", over="ignore", invalid="ignore"):
+            mass = at[:-1] + np.log(-np.expm1(np.minimum(at[1:] - at[:-1], 0.0)))
+            seed = mix(np.arange(len(mass), dtype=np.uint64) ^ self._noise(number) ^ np.uint64(1 << 40))
             values = _truncated(mass, -minus, seed)
         values[~np.isfinite(mass)] = -np.inf
-        known = (path, masses, counts, prefix, done)
+        known = (path, total, before, counts, prefix, done)
         wanted = self.k - len(self.out) + 1  # further samples and the threshold
         for c in np.argsort(-values, kind="stable")[:wanted].tolist():
             if values[c] > -np.inf:
@@ -399,7 +427,7 @@ class _Search:
 
     def _split(self, value: float, number: int, known: tuple, start: int, stop: int, *_: None) -> None:
         """Open the branches of a stretch, one of which holds its largest value."""
-        path, masses, counts, prefix, done = known
+        path, total, before, counts, prefix, done = known
         lat = self.lattice
         nodes = lat.source[path[start:stop]]
         lo = lat.first[nodes]
@@ -410,11 +438,11 @@ class _Search:
         place, edge = place[other], edge[other]
         if not len(edge):
             return
-        phi = masses[place] + lat.logq[edge]
+        phi = before + total[place] + lat.logq[edge]
         noise = self._noise(number)
         seeds = mix(np.arange(len(edge) + 1, dtype=np.uint64) ^ noise)
         share = np.cumsum(np.exp(phi - phi.max()))
-        best = min(int(np.searchsorted(share, _uniform(seeds[-1:])[0] * share[-1])), len(edge) - 1)
+        best = min(int(np.searchsorted(share, _uniform_one(int(seeds[-1])) * share[-1])), len(edge) - 1)
         values = _truncated(phi, value, seeds[:-1])
         values[best] = value
         wanted = self.k - len(self.out) + 1
@@ -478,20 +506,20 @@ def sample_texts(texts: list[str | None], keys: list[int], vocabulary: Vocabular
     """For every text its samples, best first."""
     for i, j in _groups(texts):
         batch = Batch([t or "" for t in texts[i:j]], vocabulary)
-        for text, (found, threshold) in zip(texts[i:j], batch.sample(keys[i:j], k)):
-            if text is None:
-                yield []
-                continue
-            yield [
+        sampled = batch.sample(keys[i:j], k)
+        ids = iter(batch.ids([edges for found, _ in sampled for _, _, edges in found]))
+        for text, (found, threshold) in zip(texts[i:j], sampled):
+            rows = [
                 {
                     "rank": rank,
                     "log_prob": log_prob,
                     "perturbed": value,
                     "log_inclusion": log_inclusion(log_prob, threshold),
-                    "ids": batch.ids(edges),
+                    "ids": next(ids),
                 }
-                for rank, (value, log_prob, edges) in enumerate(found, 1)
+                for rank, (value, log_prob, _) in enumerate(found, 1)
             ]
+            yield rows if text is not None else []
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, k: int, checked: bool = False) -> DataFrame:
