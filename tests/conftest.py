@@ -18,6 +18,7 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="vaultwright-shared-"))
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="vaultwright-warehouse-"))
     )
     session = builder.getOrCreate()

@@ -3,12 +3,13 @@ import uuid
 from datetime import datetime
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tests.test_satellite import MAX, TEMPORAL, at, frame, random_records
 from vaultwright.operators import load_satellite, quality, validity_view
-from vaultwright.plans import load_chain, load_into
+from vaultwright.plans import load_chain, load_chain_into, load_into
 from vaultwright.sources import (
     CatalogTable,
     ParquetTable,
@@ -18,6 +19,7 @@ from vaultwright.sources import (
     empty_table,
     shared_folder,
     stage,
+    staged_for_now,
     target_schema,
 )
 from vaultwright.sources import history as history_module
@@ -41,7 +43,8 @@ def test_two_loads_into_a_parquet_table(spark, folder):
     assert target.read() is None
     first = load_into(target, pairs(spark, ["a", "b", "a"]), HUB, verify=True)
     second = load_into(target, pairs(spark, ["b", "c"]), HUB, verify=True)
-    assert (first.metrics, second.metrics) == ({"inserted": 2}, {"inserted": 1})
+    assert first.metrics == {"inserted": 2, "updated": 0, "rows": 3}
+    assert second.metrics == {"inserted": 1, "updated": 0, "rows": 2}
     ids = {r.k: r.id for r in target.read().collect()}
     assert sorted(ids.values()) == [1, 2, 3]
     assert {(r.k, r.id) for r in first.output.collect()} == {(k, ids[k]) for k in "ab"}
@@ -178,14 +181,100 @@ def test_satellite_store_goes_on_after_a_crash(spark, folder, monkeypatch):
         with pytest.raises(RuntimeError, match="lost"):
             store.apply(load_satellite(batch, store.read(), TEMPORAL), "two")
     monkeypatch.undo()
+    with pytest.raises(RuntimeError, match="half applied"):
+        store.read()
+    assert store.recover() == "two" and store.recover() is None
     for _ in range(2):
         counts = store.apply(load_satellite(batch, store.read(), TEMPORAL), "two")
         assert counts == {"inserted": 1, "closed": 1}
         assert contents(store.read()) == expected
-    with pytest.raises(ValueError, match="number of buckets"):
-        SatelliteStore(spark, f"{folder}/sat", TEMPORAL, buckets=5).apply(
-            load_satellite(batch, store.read(), TEMPORAL), "three"
-        )
+    with pytest.raises(ValueError, match="another buckets"):
+        SatelliteStore(spark, f"{folder}/sat", TEMPORAL, buckets=5).read()
+
+
+def test_a_later_load_cannot_be_wiped_out(spark, folder, monkeypatch):
+    """Load two is staged and crashes; three and a retry of two follow: all records are there."""
+    store = SatelliteStore(spark, f"{folder}/sat", TEMPORAL, buckets=1)
+    load_into(store, frame(spark, [(1, 1, "A")]), TEMPORAL, load_id="one")
+    two, three = frame(spark, [(2, 2, "B")]), frame(spark, [(3, 3, "C")])
+    stale = load_satellite(three, store.read(with_state=True), TEMPORAL)
+    version = store.version()
+
+    def crash(self, *args):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(history_module.SatelliteStore, "_finish", crash)
+    with pytest.raises(RuntimeError, match="lost"):
+        load_into(store, two, TEMPORAL, load_id="two")
+    monkeypatch.undo()
+    with pytest.raises(RuntimeError, match="half applied"):
+        store.apply(stale, "three", version)
+    load_into(store, three, TEMPORAL, load_id="three")
+    assert load_into(store, two, TEMPORAL, load_id="two").metrics == {"inserted": 1, "updated": 0}
+    assert contents(store.read()) == {(1, at(1), "A", MAX), (2, at(2), "B", MAX), (3, at(3), "C", MAX)}
+    with pytest.raises(RuntimeError, match="has changed"):
+        store.apply(stale, "four", version)
+
+
+def test_open_records_do_not_depend_on_flag_or_time_zone(spark, folder):
+    spec = SatSpec(table="s", fk="fk", from_date="at", attributes="value", to_date_col="until")
+    store = SatelliteStore(spark, f"{folder}/sat", spec, buckets=1)
+    zoned = lambda rows: frame(spark, rows).withColumn("at", F.col("at").cast("timestamp"))
+    load_into(store, zoned([(1, 1, "A")]), spec)
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        assert load_into(store, zoned([(1, 10**8, "B")]), spec).metrics == {"inserted": 1, "updated": 1}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    layout = spark.read.parquet(f"{folder}/sat").groupBy("_state").count().collect()
+    assert {r["_state"]: r["count"] for r in layout} == {"open": 1, "closed": 1}
+    other = SatSpec(
+        table="s", fk="fk", from_date="at", attributes="value", to_date_col="until", max_flag="31-12-9999"
+    )
+    with pytest.raises(ValueError, match="max flag"):
+        load_into(SatelliteStore(spark, f"{folder}/sat", other, buckets=1), zoned([(1, 3, "C")]), other)
+
+
+def test_many_small_loads_of_shuffled_parents(spark, folder):
+    """No stored row of another parent is sorted, whatever the number of parents."""
+    stored = frame(spark, [(fk, n, f"v{n % 3}") for fk in range(200) for n in range(1, 4)])
+    batch = frame(spark, [(fk, 9, "new") for fk in range(5)])
+    plain = SatSpec(table="s", fk="fk", from_date="at", attributes="value")
+    table = load_satellite(stored, None, plain).inserts
+    for options in ({}, {"lookback": "from_date"}):
+        load = load_satellite(batch, table, plain, broadcast_bytes=0, hot_rows=None, **options)
+        assert load.inserts.count() == 5
+        plan = load.inserts._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.index("LeftSemi") > plan.index("Window")  # below, so before, the windows
+
+
+def test_sequences_do_not_repeat(spark, folder):
+    spec = HubSpec(table="h", tech_key="id", keys="k", key_method=SEQUENCE)
+    target = ParquetTable(spark, f"{folder}/hub")
+    load_into(target, pairs(spark, ["a", "b"]), spec)
+    with pytest.raises(ValueError, match="sequence_start"):
+        load_into(target, pairs(spark, ["c"]), spec)
+    load_into(target, pairs(spark, ["c"]), spec, sequence_start=3)
+    assert {r.id for r in target.read().collect()} == {1, 2, 3}
+
+
+def test_sort_orders_are_refused(spark):
+    for order in (F.col("n").desc(), [F.col("k"), F.col("n").asc_nulls_last()]):
+        with pytest.raises(ValueError, match="smallest first"):
+            load_chain(pairs(spark, ["a"]), [HUB], {}, order_by=order)
+
+
+def test_names_in_other_case(spark):
+    spec = HubSpec(table="h", tech_key="id", keys={"K": "key"})
+    assert load_chain(pairs(spark, ["a", "b"]), [spec], {}).loads["h"].inserts.count() == 2
+
+
+def test_staged_for_now(spark):
+    with staged_for_now(spark):
+        folder = stage(spark.range(3), "short").inputFiles()[0]
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(folder)
 
 
 def test_targets_must_fit_the_specification(spark, folder):
@@ -221,6 +310,37 @@ def test_chain_reads_keys_of_earlier_steps(spark):
         load_chain(df, [specs[0], specs[0]], {})
 
 
+def test_chain_stages_once_and_takes_options(spark, monkeypatch):
+    df = spark.createDataFrame([("c1", "o1"), ("c1", "o2"), ("", "o3")], "customer string, order string")
+    specs = [
+        HubSpec(table="hc", tech_key="customer_id", keys="customer", key_method=SEQUENCE),
+        HubSpec(table="ho", tech_key="order_id", keys="order"),
+        LinkSpec(table="l", tech_key="link_id", keys=["customer_id", "order_id"]),
+    ]
+    staged = []
+    monkeypatch.setattr("vaultwright.plans.chain.stage", lambda rows, name: staged.append(name) or stage(rows, name))
+    load_chain(df.filter("customer <> ''"), specs, {}).output.count()
+    assert len(staged) == 1
+    chain = load_chain(df, specs, {}, options={"hc": {"on_invalid": "reject", "sequence_start": 50}})
+    assert {r.customer_id for r in chain.output.collect()} == {50}
+    assert chain.output.count() == 2 and chain.loads["hc"].rejects.count() == 1
+
+
+def test_chain_that_writes(spark, folder):
+    df = spark.createDataFrame([("c1", "o1"), ("c1", "o2")], "customer string, order string")
+    specs = [
+        HubSpec(table="hc", tech_key="customer_id", keys="customer", key_method=SEQUENCE),
+        HubSpec(table="ho", tech_key="order_id", keys="order"),
+        LinkSpec(table="l", tech_key="link_id", keys=["customer_id", "order_id"]),
+    ]
+    targets = {s.table: ParquetTable(spark, f"{folder}/{s.table}") for s in specs}
+    options = {"hc": {"sequence": Sequence(spark, f"{folder}/sequence")}}
+    for n, inserted in ((1, [1, 2, 2]), (2, [0, 0, 0])):
+        chain = load_chain_into(df, specs, targets, options=options)
+        assert [m["inserted"] for m in chain.metrics.values()] == inserted
+        assert chain.output.count() == 2
+
+
 def test_stage_uses_the_shared_folder(spark):
     staged = stage(spark.range(5), "numbers")
     assert staged.count() == 5

@@ -1,5 +1,6 @@
 from vaultwright.functions.values import (
     audit_columns,
+    check_order,
     column,
     comparable,
     empty_to_null,
@@ -11,6 +12,7 @@ from vaultwright.functions.values import (
 
 __all__ = [
     "audit_columns",
+    "check_order",
     "column",
     "comparable",
     "empty_to_null",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column
@@ -18,6 +20,17 @@ def column(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def check_order(order_by: Sequence[str | Column] | str | Column | None) -> None:
+    """The first row is the smallest: sort orders cannot be part of that comparison."""
+    given = [order_by] if isinstance(order_by, (str, Column)) else order_by or []
+    for key in given:
+        if isinstance(key, Column) and re.search(r" (ASC|DESC) NULLS (FIRST|LAST)'>$", repr(key)):
+            raise ValueError(
+                f"order_by takes values, smallest first, not the sort order {key!r}; "
+                "negate numbers, or dates as numbers, to turn the order round"
+            )
+
+
 def to_column_type(value: Column, source: T.DataType, target: T.DataType) -> Column:
     """Bring a stream value to its column type; binary input is decoded once."""
     if source == target:

@@ -16,7 +16,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vaultwright.functions import audit_columns, column, is_blank, to_column_type, valid_or_fail
+from vaultwright.functions import (
+    audit_columns,
+    check_order,
+    column,
+    is_blank,
+    to_column_type,
+    valid_or_fail,
+)
 from vaultwright.operators.numbering import add_tech_keys
 from vaultwright.operators.skew import (
     BROADCAST_BYTES,
@@ -25,7 +32,7 @@ from vaultwright.operators.skew import (
     join_lookup,
     rows_per_key,
 )
-from vaultwright.spec import HubSpec, KeyedSpec, LinkSpec
+from vaultwright.spec import SEQUENCE, HubSpec, KeyedSpec, LinkSpec, type_of
 
 _FIRST = "__first"
 _TECH_KEY = "__tech_key"
@@ -39,12 +46,14 @@ class KeyedLoad:
     ``output``   the input rows with the technical key appended
     ``rejects``  the input rows with an invalid key (None unless asked for)
     ``stats``    sizes that decide how keys are joined, worked out when first needed
+    ``known``    the stored keys that the input asks for (None without a table)
     """
 
     inserts: DataFrame
     rejects: DataFrame | None
+    known: DataFrame | None
     _stats: Callable[[], KeyStats] = field(repr=False)
-    _output: Callable[[KeyStats], DataFrame] = field(repr=False)
+    _attach: Callable[[DataFrame | None, KeyStats], DataFrame] = field(repr=False)
 
     @cached_property
     def stats(self) -> KeyStats:
@@ -52,7 +61,11 @@ class KeyedLoad:
 
     @cached_property
     def output(self) -> DataFrame:
-        return self._output(self.stats)
+        return self._attach(None, self.stats)
+
+    def attach(self, df: DataFrame) -> DataFrame:
+        """Another DataFrame with the same key fields, with the technical key appended."""
+        return self._attach(df, self.stats)
 
 
 @dataclass(frozen=True)
@@ -74,8 +87,7 @@ def _prepare(df: DataFrame, table: DataFrame | None, spec: KeyedSpec, on_invalid
     spec.check_stream(df)
     spec.check_table(table)
 
-    schema = df.schema
-    blank = {f: is_blank(column(f), schema[f].dataType) for f in spec.keys}
+    blank = {f: is_blank(column(f), type_of(df, f)) for f in spec.keys}
     any_blank = None
     for test in blank.values():
         any_blank = test if any_blank is None else any_blank | test
@@ -89,7 +101,7 @@ def _prepare(df: DataFrame, table: DataFrame | None, spec: KeyedSpec, on_invalid
     # Binary input mapped to another type leaves the load decoded.
     decoded = {}
     for stream_field, col in spec.mapping():
-        source = schema[stream_field].dataType
+        source = type_of(df, stream_field)
         target = spec.column_type(df, table, stream_field, col)
         if isinstance(source, T.BinaryType) and not isinstance(target, T.BinaryType):
             decoded[stream_field] = to_column_type(column(stream_field), source, target)
@@ -97,7 +109,7 @@ def _prepare(df: DataFrame, table: DataFrame | None, spec: KeyedSpec, on_invalid
     key_parts = []
     for i, (stream_field, col) in enumerate(spec.keys.items()):
         target = spec.column_type(df, table, stream_field, col)
-        part = to_column_type(column(stream_field), schema[stream_field].dataType, target)
+        part = to_column_type(column(stream_field), type_of(df, stream_field), target)
         if on_invalid == "error":
             message = f"{spec.table}: key field {stream_field} is NULL or empty"
             part = valid_or_fail(part, blank[stream_field], message)
@@ -152,11 +164,17 @@ def load_keyed(
     Of several rows with the same unseen key the first in ``order_by`` gives the
     other attributes, ties and the default are decided by the attributes
     themselves, ascending.  A stored key never changes.
+
+    A sequence does not look at the table, so a load into one needs to be told where the
+    numbers go on: ``sequence_start``, as ``Sequence.reserve`` returns it.
     """
+    check_order(order_by)
+    if spec.key_method == SEQUENCE and table is not None and sequence_start is None:
+        raise ValueError(f"{spec.table}: a sequence needs sequence_start when the table has rows already")
     given = _prepare(df, table, spec, on_invalid)
     rows, keys = given.rows, given.keys
     others = {
-        c: to_column_type(column(f), rows.schema[f].dataType, spec.column_type(df, table, f, c))
+        c: to_column_type(column(f), type_of(rows, f), spec.column_type(df, table, f, c))
         for f, c in spec.others.items()
     }
 
@@ -177,7 +195,11 @@ def load_keyed(
         order = _order_columns(order_by, [])
         ranked = [o.alias(f"o{i}") for i, o in enumerate(order)]
         ranked += [v.alias(f"v{i}") for i, v in enumerate(others.values())]
-        first = rows.groupBy(*keys).agg(F.min(F.struct(*ranked)).alias(_FIRST))
+        fresh = rows
+        if known is not None and stats().fits(broadcast_bytes):
+            # Few keys: rows of stored ones are left out where they are read.
+            fresh = rows.join(F.broadcast(known.select(*keys)), keys, "left_anti")
+        first = fresh.groupBy(*keys).agg(F.min(F.struct(*ranked)).alias(_FIRST))
         new = numbered.join(first, keys)
 
     stored_form = [column(k).alias(c) for k, c in zip(keys, spec.keys.values())]
@@ -187,11 +209,12 @@ def load_keyed(
 
     lookup = numbered if known is None else known.unionByName(numbered)
 
-    def output(sizes: KeyStats) -> DataFrame:
-        joined = join_lookup(rows, lookup, keys, wanted, sizes, hot_rows, broadcast_bytes)
-        return _with_key(joined, given, spec)
+    def attach(other: DataFrame | None, sizes: KeyStats) -> DataFrame:
+        to = given if other is None else _prepare(other, table, spec, on_invalid)
+        joined = join_lookup(to.rows, lookup, keys, wanted, sizes, hot_rows, broadcast_bytes)
+        return _with_key(joined, to, spec)
 
-    return KeyedLoad(inserts, given.rejects, stats, output)
+    return KeyedLoad(inserts, given.rejects, known, stats, attach)
 
 
 def _with_key(joined: DataFrame, given: _Input, spec: KeyedSpec) -> DataFrame:

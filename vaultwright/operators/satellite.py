@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from vaultwright.functions import (
     audit_columns,
+    check_order,
     column,
     comparable,
     empty_to_null,
@@ -53,6 +54,8 @@ HAS_PREV, REPEATS, REPEATED, NEXT = "__has_prev", "__repeats", "__repeated", "__
 FIRST_CHANGE, FIRST_STORED = "__first_change", "__first_stored"
 
 IS_CLOSING, WAS_OPEN = "is_closing", "was_open"
+# Column of a satellite store that tells open from closed records.
+STATE = "_state"
 
 
 @dataclass(frozen=True)
@@ -119,13 +122,14 @@ def load_satellite(
         raise ValueError(f"{spec.table}: has no to-date to look back with")
     spec.check_stream(df)
     spec.check_table(table)
+    check_order(order_by)
     batch, rejects, names = _batch(df, table, spec, order_by, on_invalid)
 
     counts = rows_per_key(batch, [FK])
-    parents = None
+    parents = few = None
     if table is not None:
-        stats = KeyStats.of(counts, [FK])
-        parents = F.broadcast(counts.select(FK)) if stats.fits(broadcast_bytes) else None
+        few = KeyStats.of(counts, [FK]).fits(broadcast_bytes)
+        parents = F.broadcast(counts.select(FK)) if few else counts.select(FK)
 
     if not spec.is_temporal or not (spec.idempotent or spec.uses_to_date):
         identity = [FK, MS] if spec.is_temporal else [FK]
@@ -137,7 +141,7 @@ def load_satellite(
     stored = _of_parents(_stored(table, spec, names), parents)
     if stored is not None:
         if lookback == "from_date":
-            stored = _since(batch, stored, parents is not None)
+            stored = _since(batch, stored, few, slice_millis)
         counts = rows_per_key(batch.select(FK).unionAll(stored.select(FK)), [FK])
     if hot_rows is not None:
         stats = KeyStats.of(counts, [FK])
@@ -237,7 +241,10 @@ def _stored(table, spec, names) -> DataFrame | None:
     for col, name in names.attributes.items():
         select.append(empty_to_null(column(col), table.schema[col].dataType).alias(name))
     if spec.uses_to_date:
-        select.append((column(spec.to_date_col) == F.lit(spec.max_date)).alias(OPEN))
+        # A store says itself which records are open; the date depends on flag and time zone.
+        by_date = column(spec.to_date_col) == F.lit(spec.max_date)
+        is_open = column(STATE) == F.lit("open") if STATE in table.columns else by_date
+        select.append(is_open.alias(OPEN))
     return table.select(*select)
 
 
@@ -277,27 +284,35 @@ def _unseen(batch, stored_keys, keys, names) -> DataFrame:
 
 
 def _of_parents(stored, parents) -> DataFrame | None:
-    """Stored records of the parents in the batch, when those are few.
+    """Stored records of the parents in the batch.
 
-    Their broadcast filters the table while it is scanned.  With more of them the
-    table meets the batch in the shuffle that follows: records of other parents
-    have no effect, and a join of its own would shuffle the table twice.
+    The broadcast of few parents filters the table while it is scanned.  More of
+    them meet the table in a shuffle of its columns that are compared; the rows of
+    other parents go no further: neither into the sort nor into the count of hot
+    parents.
     """
     if stored is None or parents is None:
         return stored
     return stored.join(parents, FK, "left_semi")
 
 
-def _since(batch, stored, few_parents) -> DataFrame:
-    """Stored records from the last one before the first new record onward."""
+def _since(batch, stored, few_parents, slice_millis) -> DataFrame:
+    """Stored records from the time slice of the last one before the first new record onward.
+
+    The slice is found on one row per parent and slice, which is aggregated before
+    the shuffle, so a hot parent is no more than its slices.
+    """
+    at = F.floor(F.col(MS) / F.lit(slice_millis)).alias(SLICE)
     starts = batch.groupBy(FK).agg(F.min(MS).alias("__start"))
-    dated = stored.join(F.broadcast(starts) if few_parents else starts, FK)
-    bounds = dated.groupBy(FK).agg(
-        F.max(F.when(F.col(MS) < F.col("__start"), F.col(MS))).alias("__bound")
+    slices = stored.groupBy(FK, at).agg(F.min(MS).alias("__first"))
+    bounds = (
+        slices.join(F.broadcast(starts) if few_parents else starts, FK)
+        .filter(F.col("__first") < F.col("__start"))
+        .groupBy(FK)
+        .agg((F.max(SLICE) * F.lit(slice_millis)).alias("__bound"))
     )
-    in_range = F.col("__bound").isNull() | (F.col(MS) >= F.col("__bound"))
-    stored = stored.join(F.broadcast(bounds) if few_parents else bounds, FK)
-    return stored.filter(in_range).drop("__bound")
+    stored = stored.join(F.broadcast(bounds) if few_parents else bounds, FK, "left")
+    return stored.filter(F.col("__bound").isNull() | (F.col(MS) >= F.col("__bound"))).drop("__bound")
 
 
 def _timelines(rows, spec, names) -> DataFrame:
@@ -420,7 +435,8 @@ def _payload(spec, rows, names) -> Column:
     """What makes two records the same: all attributes, nothing else."""
     types = {f.name: f.dataType for f in rows.schema.fields}
     parts = [comparable(F.col(n), types[n]).alias(n) for n in names.attributes.values()]
-    return F.struct(*parts)
+    # Without attributes all records of a parent are alike.
+    return F.struct(*(parts or [F.lit(0).alias("none")]))
 
 
 def _kept(spec) -> Column:

@@ -45,10 +45,12 @@ def rows_per_key(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 @dataclass(frozen=True)
 class KeyStats:
-    """Size of a set of distinct keys as broadcast, and rows of the largest key."""
+    """Size of a set of distinct keys as broadcast, rows of the largest key, and both numbers."""
 
     key_bytes: int
     largest: int
+    keys: int = 0
+    rows: int = 0
 
     @classmethod
     def of(cls, counts: DataFrame, keys: list[str]) -> KeyStats:
@@ -58,8 +60,10 @@ class KeyStats:
                 width = width + F.lit(16)
             else:
                 width = width + F.octet_length(column(key).cast("string"))
-        row = counts.agg(F.sum(width.cast("bigint")), F.max(ROWS)).first()
-        return cls(row[0] or 0, row[1] or 0)
+        row = counts.agg(
+            F.sum(width.cast("bigint")), F.max(ROWS), F.count(F.lit(1)), F.sum(ROWS)
+        ).first()
+        return cls(*[value or 0 for value in row])
 
     def fits(self, broadcast_bytes: int) -> bool:
         return self.key_bytes <= broadcast_bytes

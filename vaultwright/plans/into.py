@@ -7,9 +7,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from vaultwright.functions import column
 from vaultwright.operators import attach_keys, load_keyed, load_satellite
 from vaultwright.operators.quality import duplicate_keys, unresolved_keys
-from vaultwright.sources import SatelliteStore, Sequence
+from vaultwright.sources import SatelliteStore, Sequence, stage
 from vaultwright.spec import SEQUENCE, KeyedSpec, SatSpec, TableSpec
 
 
@@ -34,8 +35,10 @@ def load_into(
     """Load ``df`` into ``target`` and return the input with keys appended.
 
     ``target`` is a ``ParquetTable``, ``CatalogTable`` or ``SatelliteStore``.
-    The keys of the output are looked up in the written table.  ``verify``
-    checks after a hub or link load that every key is stored exactly once.
+    New rows are staged, and a hub or link load checks before it appends them that
+    every key of the input is either stored or new.  The keys of the output are looked up in
+    the written table.  ``verify`` also checks afterwards that the whole table holds
+    every key once.
     """
     if isinstance(spec, SatSpec):
         return _satellite_into(target, df, spec, load_id, options)
@@ -49,28 +52,44 @@ def _append(target, rows: DataFrame) -> int:
 
 
 def _satellite_into(target, df, spec, load_id, options) -> Loaded:
-    if isinstance(target, SatelliteStore):
+    if not isinstance(target, SatelliteStore):
+        if spec.uses_to_date:
+            raise ValueError(f"{spec.table}: stored to-dates need a SatelliteStore")
+        load = load_satellite(df, target.read(), spec, **options)
+        return Loaded(load.output, {"inserted": _append(target, load.inserts), "updated": 0})
+    target.recover()
+    done = target.applied(load_id) if load_id else None
+    load = None
+    if done is None:
         # The store keeps every to-date complete, so old records can be skipped.
         options = {"lookback": "to_date", **options}
-    load = load_satellite(df, target.read(), spec, **options)
-    if isinstance(target, SatelliteStore):
-        counts = target.apply(load, load_id)
-        return Loaded(load.output, {"inserted": counts["inserted"], "updated": counts["closed"]})
-    if spec.uses_to_date:
-        raise ValueError(f"{spec.table}: stored to-dates need a SatelliteStore")
-    return Loaded(load.output, {"inserted": _append(target, load.inserts), "updated": 0})
+        version = target.version()
+        load = load_satellite(df, target.read(with_state=True), spec, **options)
+        done = target.apply(load, load_id, version)
+    return Loaded(df if load is None else load.output, {"inserted": done["inserted"], "updated": done["closed"]})
 
 
 def _keyed_into(target, df, spec: KeyedSpec, sequence, verify, options) -> Loaded:
     table = target.read()
-    if spec.key_method == SEQUENCE and sequence is not None:
+    numbered_later = spec.key_method == SEQUENCE and sequence is not None
+    if numbered_later:
         if sequence.increment != spec.sequence_increment:
             raise ValueError(f"{spec.table}: the sequence has another increment")
-        # The range is reserved before the insert: a failed load leaves a gap.
-        new = load_keyed(df, table, spec, **options).inserts.count()
-        options = {**options, "sequence_start": sequence.reserve(new)}
+        options = {**options, "sequence_start": 0}
     load = load_keyed(df, table, spec, **options)
-    inserted = _append(target, load.inserts)
+    # Worked out once: counted and checked before anything is appended.
+    inserts = stage(load.inserts, "inserts")
+    inserted = inserts.count()
+    known = 0 if load.known is None else load.known.count()
+    if known + inserted != load.stats.keys:
+        raise RuntimeError(
+            f"{spec.table}: {load.stats.keys} keys in the input, {known} of them stored, {inserted} new"
+        )
+    if numbered_later:
+        # The range is reserved before the insert: a failed load leaves a gap.
+        first = sequence.reserve(inserted)
+        inserts = inserts.withColumn(spec.tech_key, column(spec.tech_key) + F.lit(first))
+    target.append(inserts)
     lookup_options = {
         k: v for k, v in options.items() if k in ("on_invalid", "hot_rows", "broadcast_bytes")
     }
@@ -78,7 +97,8 @@ def _keyed_into(target, df, spec: KeyedSpec, sequence, verify, options) -> Loade
     if verify:
         _verify(df, written, spec, options)
     output = attach_keys(df, written, spec, stats=load.stats, **lookup_options)
-    return Loaded(output, {"inserted": inserted})
+    # Every key is stored once, so each valid row comes out once.
+    return Loaded(output, {"inserted": inserted, "updated": 0, "rows": load.stats.rows})
 
 
 def _verify(df, written, spec, options):

@@ -196,6 +196,57 @@ def sat_lookback(spark, sf_dir):
     return load.inserts
 
 
+@query(f"WITH {SQL_INCREMENTAL} {SELECT_DATED}")
+def sat_parents_shuffled(spark, sf_dir):
+    """As with a parent set too large to broadcast: the stored records are semi-joined in a shuffle."""
+    spec = order_status(to_date_col="valid_to")
+    stored, batch = _loaded_earlier(spark, sf_dir, spec)
+    return load_satellite(
+        batch, stored, spec, order_by=FIRST, lookback="from_date", broadcast_bytes=0
+    ).inserts
+
+
+@query(
+    f"""WITH {sql_timeline(sql_status('o_custkey % 10 = 3 AND ' + LATER), STORED_EARLIER)} {SELECT_INSERTS}"""
+)
+def sat_few_parents_shuffled(spark, sf_dir):
+    """A batch with a tenth of the customers."""
+    stored, batch = _loaded_earlier(spark, sf_dir, order_status())
+    few = batch.filter("o_custkey % 10 = 3")
+    return load_satellite(few, stored, order_status(), order_by=FIRST, broadcast_bytes=0).inserts
+
+
+@query(f"WITH {SQL_INCREMENTAL} {SELECT_INSERTS}")
+def sat_to_date_not_used(spark, sf_dir):
+    """The to-date column named as not used."""
+    spec = order_status(to_date_col="n.a.")
+    stored, batch = _loaded_earlier(spark, sf_dir, spec)
+    return load_satellite(batch, stored, spec, order_by=FIRST).inserts
+
+
+@query(
+    """SELECT o_custkey AS customer, o_orderdate AS valid_from,
+              coalesce(lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate),
+                       TIMESTAMP '9999-12-31 00:00:00') AS valid_to
+       FROM (SELECT DISTINCT o_custkey, o_orderdate FROM orders)"""
+)
+def sat_without_attributes(spark, sf_dir):
+    """An effectivity satellite: only customers and dates; another max flag; two loads into a store."""
+    spec = SatSpec(
+        table="sat_active",
+        fk={"o_custkey": "customer"},
+        from_date={"o_orderdate": "valid_from"},
+        idempotent=False,
+        to_date_col="valid_to",
+        max_flag="31-12-9999",
+    )
+    orders = read(spark, sf_dir, "orders")
+    store = SatelliteStore(spark, new_folder(spark, "sat_active"), spec, buckets=8)
+    for part in (earlier(orders, "o_orderdate"), later(orders, "o_orderdate")):
+        load_into(store, part, spec)
+    return store.read()
+
+
 @query(f"WITH {SQL_INCREMENTAL} {SELECT_DATED}")
 def sat_lookback_todate(spark, sf_dir):
     spec = order_status(to_date_col="valid_to")

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from vaultwright.operators import load_hub, load_link
+from vaultwright.plans.into import load_into
 from vaultwright.plans.registry import (
     earlier,
     later,
@@ -17,7 +18,8 @@ from vaultwright.plans.registry import (
     sql_later,
     sql_rank,
 )
-from vaultwright.sources import stage
+from vaultwright.sources import ParquetTable, Sequence, stage
+from vaultwright.staging import new_folder
 from vaultwright.spec import AUTO_INCREMENT, SEQUENCE, HubSpec, LinkSpec
 
 STAMP = datetime(2024, 1, 1)
@@ -286,6 +288,53 @@ def key_sequence(spark, sf_dir):
     return load_hub(read(spark, sf_dir, "lineitem"), None, spec).inserts
 
 
+SQL_SEQUENCE = f"""
+    old AS (SELECT DISTINCT l_partkey AS k FROM lineitem WHERE {sql_earlier('l_shipdate')}),
+    new AS (SELECT DISTINCT l_partkey AS k FROM lineitem
+            WHERE {sql_later('l_shipdate')} AND l_partkey NOT IN (SELECT k FROM old)),
+    numbered AS (SELECT k, 1000 + 5 * ({sql_rank('k')} - 1) AS id FROM old
+                 UNION ALL
+                 SELECT k, 1000 + 5 * ((SELECT count(*) FROM old) + {sql_rank('k')} - 1) FROM new)"""
+
+
+@query(f"WITH {SQL_SEQUENCE} SELECT k AS partkey, id AS part_id FROM numbered")
+def key_sequence_incremental(spark, sf_dir):
+    """Two loads that take their numbers from one sequence."""
+    spec = HubSpec(
+        table="hub_part",
+        tech_key="part_id",
+        keys={"l_partkey": "partkey"},
+        key_method=SEQUENCE,
+        sequence_increment=5,
+    )
+    sequence = Sequence(spark, new_folder(spark, "sequence"), start=1000, increment=5)
+    target = ParquetTable(spark, new_folder(spark, "hub_part"))
+    lines = read(spark, sf_dir, "lineitem")
+    for batch in (earlier(lines, "l_shipdate"), later(lines, "l_shipdate")):
+        load_into(target, batch, spec, sequence=sequence)
+    return target.read()
+
+
+@query(
+    f"""WITH old AS (SELECT DISTINCT l_orderkey AS k FROM lineitem WHERE {sql_earlier('l_shipdate')}),
+        first AS (SELECT l_orderkey AS k, min((l_partkey, l_suppkey)) AS v FROM lineitem
+                  WHERE {sql_later('l_shipdate')} AND l_orderkey NOT IN (SELECT k FROM old) GROUP BY l_orderkey)
+        SELECT k AS orderkey, v[1] AS partkey, v[2] AS suppkey,
+               (SELECT count(*) FROM old) + {sql_rank('k')} AS order_id FROM first"""
+)
+def hub_other_attributes_incremental(spark, sf_dir):
+    """Other attributes of keys that a first load did not have."""
+    spec = HubSpec(
+        table="hub_order",
+        tech_key="order_id",
+        keys={"l_orderkey": "orderkey"},
+        others={"l_partkey": "partkey", "l_suppkey": "suppkey"},
+    )
+    lines = read(spark, sf_dir, "lineitem")
+    stored = stage(load_hub(earlier(lines, "l_shipdate"), None, spec).inserts, "hub_order")
+    return load_hub(later(lines, "l_shipdate"), stored, spec).inserts
+
+
 @query(
     f"""SELECT p_partkey AS partkey,
                (row_number() OVER (PARTITION BY digest ORDER BY p_partkey) - 1) * 65536

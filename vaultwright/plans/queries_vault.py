@@ -23,7 +23,7 @@ from vaultwright.plans.queries_keys import (
     blanked_orders,
 )
 from vaultwright.plans.registry import earlier, later, query, read, sql_earlier, sql_later, sql_rank
-from vaultwright.sources import ParquetTable, stage
+from vaultwright.sources import ParquetTable, SatelliteStore, stage
 from vaultwright.staging import new_folder
 from vaultwright.spec import HubSpec, LinkSpec, SatSpec
 from vaultwright.streaming import load_stream
@@ -135,6 +135,25 @@ def write_hub_output(spark, sf_dir):
     return _loaded_hub(spark, sf_dir)[1]
 
 
+@query(
+    f"""WITH {SQL_LOADED_HUB}
+        SELECT (SELECT count(*) FROM new) AS inserted, 0 AS updated,
+               (SELECT count(*) FROM orders WHERE {sql_later('o_orderdate')}) AS rows_in,
+               (SELECT count(*) FROM orders JOIN hub ON custkey = o_custkey
+                WHERE {sql_later('o_orderdate')}) AS rows_out"""
+)
+def load_metrics(spark, sf_dir):
+    """What the second load of the hub reports, and the rows that came out of it."""
+    target = ParquetTable(spark, new_folder(spark, "hub_customer"))
+    orders = read(spark, sf_dir, "orders")
+    load_into(target, earlier(orders, "o_orderdate"), CUSTOMER_HUB)
+    second = load_into(target, later(orders, "o_orderdate"), CUSTOMER_HUB)
+    counted = {c: F.lit(second.metrics[m]).cast("bigint") for c, m in
+               (("inserted", "inserted"), ("updated", "updated"), ("rows_in", "rows"))}
+    rows_out = second.output.agg(F.count(F.lit(1)).alias("rows_out"))
+    return rows_out.select(*[value.alias(c) for c, value in counted.items()], "rows_out")
+
+
 # -- quality -------------------------------------------------------------------
 
 
@@ -222,6 +241,46 @@ def stream_hub(spark, sf_dir):
     return _stream_into(spark, sf_dir, "hub_user", USER_HUB)
 
 
+def _stream_in_batches(spark, sf_dir, target, spec, parts, **options):
+    """Load ``parts`` (conditions on the events) as one micro-batch each, in that order."""
+    events = read(spark, sf_dir, "events")
+    files = new_folder(spark, "events")
+    for part in parts:
+        events.filter(part).coalesce(1).write.mode("append").parquet(files)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(files)
+    checkpoint = new_folder(spark, "progress")
+    load_stream(stream, target, spec, checkpoint=checkpoint, **options).awaitTermination()
+    return target.read()
+
+
+# The users of even events come first; those of odd events follow.
+EVEN, ODD = "event_id % 2 = 0 AND user_id % 3 > 0", "NOT (event_id % 2 = 0 AND user_id % 3 > 0)"
+
+
+@query(
+    f"""WITH old AS (SELECT DISTINCT user_id AS k FROM events WHERE {EVEN}),
+        new AS (SELECT DISTINCT user_id AS k FROM events WHERE user_id NOT IN (SELECT k FROM old))
+        SELECT k AS "user", {sql_rank('k')} AS user_key FROM old
+        UNION ALL SELECT k, (SELECT count(*) FROM old) + {sql_rank('k')} FROM new"""
+)
+def stream_hub_batches(spark, sf_dir):
+    target = ParquetTable(spark, new_folder(spark, "hub_user"))
+    return _stream_in_batches(spark, sf_dir, target, USER_HUB, [EVEN, ODD])
+
+
+@query(
+    f"""SELECT user_id AS "user", ts AS valid_from, event_type AS event,
+               coalesce(lead(ts) OVER (PARTITION BY user_id ORDER BY ts), {MAX_SQL}) AS valid_to
+        FROM events"""
+)
+def stream_sat_late(spark, sf_dir):
+    """Three micro-batches into a store; the last holds records between the stored ones."""
+    spec = user_events(idempotent=False, to_date_col="valid_to")
+    store = SatelliteStore(spark, new_folder(spark, "sat_user"), spec, buckets=4)
+    parts = [f"event_id % 3 = {n}" for n in (0, 2, 1)]
+    return _stream_in_batches(spark, sf_dir, store, spec, parts, order_by="event_id")
+
+
 @query(
     f"""WITH {sql_timeline(SQL_EVENTS, SQL_EVENTS + ' WHERE false', idempotent=False)}
         SELECT fk AS "user", d AS valid_from, v AS event FROM t WHERE NOT p"""

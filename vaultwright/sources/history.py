@@ -14,8 +14,11 @@ never open again, so a partition that is rewritten never becomes empty.
 
 A load is applied in three steps, each of which can be repeated: stage the
 changes, stage the new content of all touched partitions, overwrite exactly
-those partitions.  A ledger inside the table says how far each load got, so a
-retry goes on where it stopped and a load that was applied is not applied again.
+those partitions.  A ledger inside the table says how far each load got.  Loads
+are applied one after the other: while one is staged but not applied, reading and
+applying fail until ``recover`` has finished it, which is safe, as nothing was
+applied since it was staged.  A load that was applied is not applied again, and a
+load that was worked out from an older state of the table is refused.
 """
 
 from __future__ import annotations
@@ -27,11 +30,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultwright.functions import column
-from vaultwright.operators.satellite import IS_CLOSING, WAS_OPEN, SatLoad
+from vaultwright.operators.satellite import IS_CLOSING, STATE, WAS_OPEN, SatLoad
 from vaultwright.staging import new_folder, read_parquet
 from vaultwright.spec import SatSpec
 
-STATE, BUCKET, LOAD = "_state", "_bucket", "_load"
+BUCKET, LOAD, MOVED = "_bucket", "_load", "_moved"
 PARTITION = [STATE, BUCKET, LOAD]
 CURRENT = "current"
 
@@ -55,9 +58,13 @@ class SatelliteStore:
     def _read(self) -> DataFrame | None:
         return read_parquet(self.spark, self.path)
 
-    def read(self) -> DataFrame | None:
+    def read(self, with_state: bool = False) -> DataFrame | None:
+        """The table; ``with_state`` adds the column that tells open from closed records, as loads need it."""
+        self._must_be_whole()
         table = self._read()
-        return None if table is None else table.drop(*PARTITION)
+        if table is None:
+            return None
+        return table.drop(BUCKET, LOAD) if with_state else table.drop(*PARTITION)
 
     def _log(self, load_id, step, folder, inserted, closed):
         entry = {
@@ -65,47 +72,99 @@ class SatelliteStore:
             "step": F.lit(step),
             "folder": F.lit(folder),
             "buckets": F.lit(self.buckets),
+            "max_flag": F.lit(self.spec.max_flag),
             "inserted": F.lit(inserted).cast("bigint"),
             "closed": F.lit(closed).cast("bigint"),
         }
         row = self.spark.range(1).select(*[value.alias(name) for name, value in entry.items()])
         row.coalesce(1).write.mode("append").parquet(self._ledger_path)
 
-    def _progress(self, load_id: str) -> dict[str, tuple]:
-        """Steps already done for this load; a few rows by construction."""
+    def _ledger(self) -> DataFrame | None:
         ledger = read_parquet(self.spark, self._ledger_path)
         if ledger is None:
-            return {}
-        if ledger.filter(F.col("buckets") != F.lit(self.buckets)).limit(1).count():
-            raise ValueError(f"{self.path} was written with another number of buckets")
-        return {r.step: r for r in ledger.filter(F.col("load") == F.lit(load_id)).collect()}
+            return None
+        for name, value in (("buckets", self.buckets), ("max_flag", self.spec.max_flag)):
+            if name in ledger.columns and not ledger.filter(F.col(name) != F.lit(value)).isEmpty():
+                raise ValueError(f"{self.path} was written with another {name.replace('_', ' ')}")
+        return ledger
+
+    def version(self) -> int:
+        """Number of loads applied so far."""
+        ledger = self._ledger()
+        return 0 if ledger is None else ledger.filter("step = 'applied'").count()
+
+    def _pending(self):
+        """The load that is staged but not applied, if any: one at most, as ``apply`` sees to."""
+        ledger = self._ledger()
+        if ledger is None:
+            return None
+        steps = ledger.groupBy("load").agg(
+            F.count_if(F.col("step") == "applied").alias("done"),
+            *[F.first(c).alias(c) for c in ("folder", "inserted", "closed")],
+        )
+        return steps.filter("done = 0").first()
+
+    def _must_be_whole(self):
+        pending = self._pending()
+        if pending is not None:
+            raise RuntimeError(f"{self.path}: load {pending.load} is half applied; call recover() first")
+
+    def recover(self) -> str | None:
+        """Finish a load that was staged but not applied; its name, or None."""
+        pending = self._pending()
+        if pending is None:
+            return None
+        self._finish(pending.load, pending.folder, pending.inserted, pending.closed)
+        return pending.load
+
+    def applied(self, load_id: str) -> dict[str, int] | None:
+        """The counts of a load that was applied before."""
+        ledger = self._ledger()
+        if ledger is None:
+            return None
+        row = ledger.filter((F.col("load") == F.lit(load_id)) & (F.col("step") == "applied")).first()
+        return None if row is None else {"inserted": row.inserted, "closed": row.closed}
 
-    def apply(self, load: SatLoad, load_id: str | None = None) -> dict[str, int]:
-        """Write the inserts and closings of a load; return their numbers."""
-        load_id = load_id or uuid.uuid4().hex
-        done = self._progress(load_id)
-        if "applied" in done:
-            return {"inserted": done["applied"].inserted, "closed": done["applied"].closed}
+    def apply(
+        self, load: SatLoad, load_id: str | None = None, version: int | None = None
+    ) -> dict[str, int]:
+        """Write the inserts and closings of a load; return their numbers.
 
-        if "staged" in done:
-            entry = done["staged"]
-            folder, inserted, closed = entry.folder, entry.inserted, entry.closed
+        ``version`` is that of the table the load was worked out from.
+        """
+        load_id = load_id or uuid.uuid4().hex
+        pending = self._pending()
+        if pending is not None and pending.load == load_id:
+            self.recover()
         else:
-            folder = new_folder(self.spark, "satellite")
-            load.changes.write.partitionBy(IS_CLOSING).parquet(f"{folder}/changes")
-            changes = self.spark.read.schema(load.changes.schema).parquet(f"{folder}/changes")
-            inserted, closed, late = changes.agg(
-                F.count_if(~F.col(IS_CLOSING)),
-                F.count_if(F.col(IS_CLOSING)),
-                F.count_if(F.col(IS_CLOSING) & ~F.col(WAS_OPEN)),
-            ).first()
-            if inserted:
-                content = self._content(changes, load_id, closed > 0, late > 0)
-                content.write.parquet(f"{folder}/content")
-            self._log(load_id, "staged", folder, inserted, closed)
+            self._must_be_whole()
+        done = self.applied(load_id)
+        if done is not None:
+            return done
+        if version is not None and version != self.version():
+            raise RuntimeError(f"{self.path}: the table has changed since load {load_id} was worked out")
+
+        folder = new_folder(self.spark, "satellite")
+        load.changes.write.partitionBy(IS_CLOSING).parquet(f"{folder}/changes")
+        changes = self.spark.read.schema(load.changes.schema).parquet(f"{folder}/changes")
+        inserted, closed, late = changes.agg(
+            F.count_if(~F.col(IS_CLOSING)),
+            F.count_if(F.col(IS_CLOSING)),
+            F.count_if(F.col(IS_CLOSING) & ~F.col(WAS_OPEN)),
+        ).first()
+        if inserted:
+            content = self._content(changes, load_id, closed > 0, late > 0)
+            content.write.parquet(f"{folder}/content")
+            moved = self.spark.read.parquet(f"{folder}/content").filter(F.col(MOVED)).count()
+            if moved != closed:
+                raise RuntimeError(f"{self.path}: load {load_id} ends {closed} records, {moved} of them are stored")
+        self._log(load_id, "staged", folder, inserted, closed)
+        self._finish(load_id, folder, inserted, closed)
+        return {"inserted": inserted, "closed": closed}
 
+    def _finish(self, load_id, folder, inserted, closed):
         if inserted:
-            content = self.spark.read.parquet(f"{folder}/content")
+            content = self.spark.read.parquet(f"{folder}/content").drop(MOVED)
             (
                 content.hint("rebalance", *PARTITION)
                 .write.mode("overwrite")
@@ -114,7 +173,6 @@ class SatelliteStore:
                 .parquet(self.path)
             )
         self._log(load_id, "applied", folder, inserted, closed)
-        return {"inserted": inserted, "closed": closed}
 
     def _bucket(self):
         fk = column(self.spec.fk_col)
@@ -134,11 +192,12 @@ class SatelliteStore:
             F.when(is_open, F.lit("open")).otherwise(F.lit("closed")).alias(STATE),
             self._bucket(),
             F.when(is_open, F.lit(CURRENT)).otherwise(closed_by_load).alias(LOAD),
+            F.lit(False).alias(MOVED),
         )
         stored = self._read()
         if stored is None:
             return content
-        stored = stored.select(*content.columns)
+        stored = stored.withColumn(MOVED, F.lit(False)).select(*content.columns)
 
         closings = changes.filter(F.col(IS_CLOSING))
         ends = closings.select(
@@ -158,6 +217,7 @@ class SatelliteStore:
                     spec.to_date_col: F.coalesce("__end", until),
                     STATE: F.when(closes, F.lit("closed")).otherwise(F.col(STATE)),
                     LOAD: F.when(closes, closed_by_load).otherwise(F.col(LOAD)),
+                    MOVED: closes,
                 }
             )
         content = content.unionByName(current.select(*content.columns))
@@ -174,7 +234,9 @@ class SatelliteStore:
             rewritten = (
                 past.join(partitions, [BUCKET, LOAD], "left_semi")
                 .join(late.drop(BUCKET), key, "left")
-                .withColumn(spec.to_date_col, F.coalesce("__end", until))
+                .withColumns(
+                    {spec.to_date_col: F.coalesce("__end", until), MOVED: F.col("__end").isNotNull()}
+                )
             )
             content = content.unionByName(rewritten.select(*content.columns))
         return content

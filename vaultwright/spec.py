@@ -10,6 +10,7 @@ before any Spark job starts.
 from __future__ import annotations
 
 import re
+import warnings
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime
@@ -61,6 +62,21 @@ def as_type(type_: T.DataType | str) -> T.DataType:
     return type_ if isinstance(type_, T.DataType) else T.DataType.fromDDL(type_)
 
 
+def _absent(names: list[str], df: DataFrame) -> list[str]:
+    """Names that ``df`` does not have, with or without regard to case as Spark is set."""
+    if df.sparkSession.conf.get("spark.sql.caseSensitive") == "true":
+        return [n for n in names if n not in df.columns]
+    known = {c.lower() for c in df.columns}
+    return [n for n in names if n.lower() not in known]
+
+
+def type_of(df: DataFrame, name: str) -> T.DataType:
+    """Type of a column, found as Spark finds it."""
+    if name in df.columns:
+        return df.schema[name].dataType
+    return next(f.dataType for f in df.schema.fields if f.name.lower() == name.lower())
+
+
 @dataclass(frozen=True, kw_only=True)
 class TableSpec:
     """What hubs, links and satellites have in common."""
@@ -107,7 +123,7 @@ class TableSpec:
                 raise ValueError(f"audit column {audit!r} of {self.table} is also mapped")
 
     def check_stream(self, df: DataFrame):
-        missing = [f for f, _ in self.mapping() if f not in df.columns]
+        missing = _absent([f for f, _ in self.mapping()], df)
         if missing:
             raise ValueError(f"{self.table}: fields not found in the input: {missing}")
 
@@ -118,17 +134,17 @@ class TableSpec:
     def check_table(self, table: DataFrame | None):
         if table is None:
             return
-        missing = [c for c in self.table_columns() if c not in table.columns]
+        missing = _absent(self.table_columns(), table)
         if missing:
             raise ValueError(f"{self.table}: columns not found in the target table: {missing}")
 
     def column_type(self, df: DataFrame, table: DataFrame | None, stream_field: str, column: str):
         """Type a mapped column has in the target table."""
-        if table is not None and column in table.columns:
-            return table.schema[column].dataType
+        if table is not None and not _absent([column], table):
+            return type_of(table, column)
         if column in self.types:
             return self.types[column]
-        return df.schema[stream_field].dataType
+        return type_of(df, stream_field)
 
 
 @dataclass(frozen=True, kw_only=True)
@@ -224,7 +240,7 @@ class SatSpec(TableSpec):
         if len(self.from_date) > 1:
             raise ValueError(f"{self.table}: at most one from-date, got {list(self.from_date)}")
         if not self.attributes:
-            raise ValueError(f"{self.table}: needs at least one attribute")
+            warnings.warn(f"{self.table}: has no attributes, so records differ by date only", stacklevel=3)
         if self.first_run not in ("latest", "earliest"):
             raise ValueError(f"{self.table}: first_run is 'latest' or 'earliest'")
         groups = [self.fk, self.from_date, self.attributes, self.meta]
@@ -285,11 +301,11 @@ class SatSpec(TableSpec):
             self._check_types(table, self.fk_col, self.from_col, "target table")
 
     def _check_types(self, df, fk, from_, where):
-        fk_type = df.schema[fk].dataType
+        fk_type = type_of(df, fk)
         if not isinstance(fk_type, INTEGRAL):
             raise ValueError(f"{self.table}: foreign key {fk!r} of the {where} is {fk_type}, not integral")
         if from_ is not None:
-            from_type = df.schema[from_].dataType
+            from_type = type_of(df, from_)
             if not isinstance(from_type, (T.DateType, T.TimestampType, T.TimestampNTZType)):
                 raise ValueError(
                     f"{self.table}: from-date {from_!r} of the {where} is {from_type}, not a date or timestamp"

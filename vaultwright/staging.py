@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -38,6 +40,24 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+_kept_track: list[list[str]] = []
+
+
+@contextmanager
+def staged_for_now(spark: SparkSession) -> Iterator[None]:
+    """Remove at the end what was staged meanwhile; nothing may read it afterwards."""
+    folders: list[str] = []
+    _kept_track.append(folders)
+    try:
+        yield
+    finally:
+        _kept_track.remove(folders)
+        jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+        for folder in folders:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -45,5 +65,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     columns they need.
     """
     path = new_folder(df.sparkSession, name)
+    for folders in _kept_track:
+        folders.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from vaultwright.plans import load_into
 from vaultwright.spec import TableSpec
+from vaultwright.staging import stage, staged_for_now
 
 
 def load_stream(
@@ -31,7 +32,7 @@ def load_stream(
     """Start loading ``stream`` into ``target``.
 
     ``then`` receives each micro-batch with its keys appended, so that further
-    loads can follow on the same batch.  The size of a micro-batch is set with
+    loads can follow on the same batch; it must not keep them for later.  The size of a micro-batch is set with
     the options of the source, such as ``maxFilesPerTrigger``.
     """
     started = Event()
@@ -41,14 +42,11 @@ def load_stream(
         # The id of a query survives restarts, so a repeated batch has the same name.
         started.wait()
         load_id = f"{running[0].id}-{batch_id}"
-        # Read several times by the load; blocks that are lost are read again.
-        batch = batch.persist()
-        try:
-            loaded = load_into(target, batch, spec, load_id=load_id, **options)
+        # Read several times by the load, so written once to the shared folder.
+        with staged_for_now(batch.sparkSession):
+            loaded = load_into(target, stage(batch, "micro-batch"), spec, load_id=load_id, **options)
             if then is not None:
                 then(loaded.output, batch_id)
-        finally:
-            batch.unpersist()
 
     query = (
         stream.writeStream.foreachBatch(load_batch)
