@@ -140,20 +140,35 @@ def test_satellite_store_against_the_view(spark, folder):
     assert layout.filter("(_state = 'open') <> (until = timestamp_ntz'4000-01-01')").count() == 0
 
 
-def test_satellite_store_in_time_order_leaves_closed_files_alone(spark, folder):
-    store = SatelliteStore(spark, f"{folder}/sat", TEMPORAL, buckets=2)
-    for n in range(3):
-        batch = frame(spark, [(fk, 10 * n + 1, f"v{n}") for fk in range(20)])
-        store.apply(load_satellite(batch, store.read(), TEMPORAL), f"load {n}")
-    files = {
-        r.load: r.files
-        for r in spark.read.parquet(f"{folder}/sat")
-        .groupBy(F.col("_load").alias("load"))
-        .agg(F.collect_set("_state").alias("files"))
-        .collect()
-    }
-    assert files == {"current": ["open"], "L-load 1": ["closed"], "L-load 2": ["closed"]}
-    assert store.read().count() == 60
+DAY = 24 * 3600 * 1000
+
+
+def layout(spark, folder):
+    """Files by (state, bucket, range)."""
+    files = spark.read.parquet(f"{folder}/sat").select("_state", "_bucket", "_range", F.input_file_name().alias("file"))
+    found = {}
+    for r in files.distinct().collect():
+        found.setdefault((r["_state"], r["_bucket"], r["_range"]), set()).add(r["file"])
+    return found
+
+
+def test_small_loads_keep_the_number_of_partitions(spark, folder):
+    """Twelve loads over twelve days, then a late record that rewrites one range only."""
+    store = SatelliteStore(spark, f"{folder}/sat", TEMPORAL, buckets=2, closed_range="week")
+    for n in range(12):
+        load_into(store, frame(spark, [(fk, n * DAY, f"v{n}") for fk in range(4)]), TEMPORAL)
+    before = layout(spark, folder)
+    ranges = {r for _, _, r in before}
+    assert len(ranges) <= 4 and len(before) <= 2 * len(ranges)
+    assert load_into(store, frame(spark, [(1, DAY + 5, "late")]), TEMPORAL).metrics == {"inserted": 1, "updated": 1}
+    after = layout(spark, folder)
+    changed = {p for p in after if after[p] != before.get(p)}
+    closed = {p for p in changed if p[0] == "closed"}
+    assert after.keys() == before.keys() and len(closed) == 1 and len(changed) <= 2
+    table = store.read()
+    assert contents(table) == contents(validity_view(table.drop("until"), TEMPORAL)) and table.count() == 49
+    with pytest.raises(ValueError, match="closed range"):
+        SatelliteStore(spark, f"{folder}/sat", TEMPORAL, buckets=2).read()
 
 
 def test_satellite_store_goes_on_after_a_crash(spark, folder, monkeypatch):

@@ -91,7 +91,10 @@ def join_lookup(
         return rows.join(F.broadcast(lookup), keys)
     if not stats.has_hot(hot_rows):
         return rows.join(lookup, keys)
-    # Rows of hot keys stay where they are, the others are shuffled.
+    # Rows of hot keys stay where they are, the others are shuffled.  Long keys are checked again:
+    # the number of hot keys is bounded, their bytes are not.
+    if not KeyStats.of(counts.filter(F.col(ROWS) > F.lit(hot_rows)), keys).fits(broadcast_bytes):
+        return rows.join(lookup, keys)
     hot = F.broadcast(hot_keys(counts, keys, hot_rows))
     hot_lookup = F.broadcast(lookup.join(hot, keys, "left_semi"))
     stay = rows.join(hot_lookup, keys)

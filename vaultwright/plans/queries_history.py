@@ -10,7 +10,7 @@ from vaultwright.operators import load_satellite, validity_view
 from vaultwright.plans.into import load_into
 from vaultwright.plans.queries_keys import SQL_BLANKED, blanked_orders
 from vaultwright.plans.registry import earlier, later, query, read, sql_earlier, sql_later
-from vaultwright.sources import SatelliteStore, stage
+from vaultwright.sources import ParquetTable, SatelliteStore, stage
 from vaultwright.staging import new_folder
 from vaultwright.spec import SatSpec
 
@@ -438,18 +438,16 @@ def sat_millisecond_identity(spark, sf_dir):
     return load_satellite(events, None, spec, order_by="event_id").inserts
 
 
-@query("SELECT count(*) AS first_load, 0 AS replayed FROM (" + f"WITH {SQL_INCREMENTAL} {SELECT_INSERTS})")
+@query(f"WITH {SQL_INCREMENTAL} {SELECT_INSERTS} UNION ALL SELECT fk, d, v FROM stored")
 def sat_replay(spark, sf_dir):
-    """The same batch a second time inserts nothing."""
-    stored, batch = _loaded_earlier(spark, sf_dir, order_status())
-    once = load_satellite(batch, stored, order_status(), order_by=FIRST).inserts
-    after = stage(stored.unionByName(once), "sat")
-    again = load_satellite(batch, after, order_status(), order_by=FIRST).inserts
-    rows = once.select(F.lit(0).alias("load")).unionAll(again.select(F.lit(1).alias("load")))
-    return rows.agg(
-        F.count_if(F.col("load") == 0).alias("first_load"),
-        F.count_if(F.col("load") == 1).cast("int").alias("replayed"),
-    )
+    """The table after the same batch was loaded twice: the second time inserts nothing."""
+    spec = order_status()
+    target = ParquetTable(spark, new_folder(spark, "sat"))
+    stored, batch = _loaded_earlier(spark, sf_dir, spec)
+    target.append(stored)
+    for _ in range(2):
+        load_into(target, batch, spec, order_by=FIRST)
+    return target.read()
 
 
 BLANKED_SAT = SatSpec(
@@ -465,5 +463,6 @@ def sat_rejects(spark, sf_dir):
 
 @query("SELECT * FROM orders")
 def sat_output(spark, sf_dir):
-    """A satellite load passes its input through."""
-    return load_satellite(_orders(spark, sf_dir), None, order_status(), order_by=FIRST).output
+    """A satellite load passes its input through, also when it has been written."""
+    target = ParquetTable(spark, new_folder(spark, "sat"))
+    return load_into(target, _orders(spark, sf_dir), order_status(), order_by=FIRST).output

@@ -5,12 +5,15 @@ layout keeps that small.  A table is partitioned by
 
 * ``_state``   ``open`` for the current record of each parent, else ``closed``
 * ``_bucket``  hash of the parent key
-* ``_load``    the load that closed the record, ``current`` for open ones
+* ``_range``   the time range (month, unless chosen otherwise) of the to-date a record was
+               closed with, ``current`` for open ones
 
 A load in time order rewrites the open records of the buckets it touches, at
-most one per parent, and adds closed partitions of its own.  Only records that
-arrive late, between two stored ones, rewrite closed partitions.  Closed records
-never open again, so a partition that is rewritten never becomes empty.
+most one per parent, and the closed ones of the range it closes records in.  Records
+that arrive late, between two stored ones, rewrite the partitions of those whose
+to-date moves.  That date only moves back and the record stays where it is, so a range is
+the latest that its to-dates can be, and no partition ever becomes empty.  There
+are no more partitions than buckets and ranges, whatever the number of loads.
 
 A load is applied in three steps, each of which can be repeated: stage the
 changes, stage the new content of all touched partitions, overwrite exactly
@@ -26,7 +29,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultwright.functions import column
@@ -34,8 +37,8 @@ from vaultwright.operators.satellite import IS_CLOSING, STATE, WAS_OPEN, SatLoad
 from vaultwright.staging import new_folder, read_parquet
 from vaultwright.spec import SatSpec
 
-BUCKET, LOAD, MOVED = "_bucket", "_load", "_moved"
-PARTITION = [STATE, BUCKET, LOAD]
+BUCKET, RANGE, MOVED = "_bucket", "_range", "_moved"
+PARTITION = [STATE, BUCKET, RANGE]
 CURRENT = "current"
 
 
@@ -45,8 +48,11 @@ class SatelliteStore:
     path: str
     spec: SatSpec
     buckets: int = 256
+    closed_range: str = "month"
 
     def __post_init__(self):
+        if self.closed_range not in ("day", "week", "month", "quarter", "year"):
+            raise ValueError("closed_range is 'day', 'week', 'month', 'quarter' or 'year'")
         if not self.spec.uses_to_date:
             raise ValueError(f"{self.spec.table}: has no to-date, an append-only table will do")
 
@@ -64,7 +70,7 @@ class SatelliteStore:
         table = self._read()
         if table is None:
             return None
-        return table.drop(BUCKET, LOAD) if with_state else table.drop(*PARTITION)
+        return table.drop(BUCKET, RANGE) if with_state else table.drop(*PARTITION)
 
     def _log(self, load_id, step, folder, inserted, closed):
         entry = {
@@ -73,6 +79,7 @@ class SatelliteStore:
             "folder": F.lit(folder),
             "buckets": F.lit(self.buckets),
             "max_flag": F.lit(self.spec.max_flag),
+            "closed_range": F.lit(self.closed_range),
             "inserted": F.lit(inserted).cast("bigint"),
             "closed": F.lit(closed).cast("bigint"),
         }
@@ -83,7 +90,11 @@ class SatelliteStore:
         ledger = read_parquet(self.spark, self._ledger_path)
         if ledger is None:
             return None
-        for name, value in (("buckets", self.buckets), ("max_flag", self.spec.max_flag)):
+        for name, value in (
+            ("buckets", self.buckets),
+            ("max_flag", self.spec.max_flag),
+            ("closed_range", self.closed_range),
+        ):
             if name in ledger.columns and not ledger.filter(F.col(name) != F.lit(value)).isEmpty():
                 raise ValueError(f"{self.path} was written with another {name.replace('_', ' ')}")
         return ledger
@@ -153,7 +164,7 @@ class SatelliteStore:
             F.count_if(F.col(IS_CLOSING) & ~F.col(WAS_OPEN)),
         ).first()
         if inserted:
-            content = self._content(changes, load_id, closed > 0, late > 0)
+            content = self._content(changes, closed > 0, late > 0)
             content.write.parquet(f"{folder}/content")
             moved = self.spark.read.parquet(f"{folder}/content").filter(F.col(MOVED)).count()
             if moved != closed:
@@ -178,12 +189,15 @@ class SatelliteStore:
         fk = column(self.spec.fk_col)
         return F.pmod(F.xxhash64(fk), F.lit(self.buckets)).cast("int").alias(BUCKET)
 
-    def _content(self, changes, load_id, any_closed, any_late) -> DataFrame:
+    def _range(self, date: Column) -> Column:
+        """Start of a date's range as a string that sorts by time."""
+        return F.concat(F.lit("T-"), F.date_format(F.date_trunc(self.closed_range, date), "yyyyMMdd"))
+
+    def _content(self, changes, any_closed, any_late) -> DataFrame:
         """The rows that the touched partitions hold after the load."""
         spec = self.spec
         key = [spec.fk_col, spec.from_col]
         until = column(spec.to_date_col)
-        closed_by_load = F.lit(f"L-{load_id}")
 
         inserts = changes.filter(~F.col(IS_CLOSING)).drop(IS_CLOSING, WAS_OPEN)
         is_open = until == F.lit(spec.max_date)
@@ -191,7 +205,7 @@ class SatelliteStore:
             *inserts.columns,
             F.when(is_open, F.lit("open")).otherwise(F.lit("closed")).alias(STATE),
             self._bucket(),
-            F.when(is_open, F.lit(CURRENT)).otherwise(closed_by_load).alias(LOAD),
+            F.when(is_open, F.lit(CURRENT)).otherwise(self._range(until)).alias(RANGE),
             F.lit(False).alias(MOVED),
         )
         stored = self._read()
@@ -216,27 +230,29 @@ class SatelliteStore:
                 {
                     spec.to_date_col: F.coalesce("__end", until),
                     STATE: F.when(closes, F.lit("closed")).otherwise(F.col(STATE)),
-                    LOAD: F.when(closes, closed_by_load).otherwise(F.col(LOAD)),
+                    RANGE: F.when(closes, self._range(F.col("__end"))).otherwise(F.col(RANGE)),
                     MOVED: closes,
                 }
             )
-        content = content.unionByName(current.select(*content.columns))
 
+        # Closed partitions that get new rows, and those with a record whose to-date moves: no more
+        # rows than the table has partitions, and broadcast by Spark only if they are few.
+        new_closed = content.filter(F.col(STATE) == F.lit("closed")).select(BUCKET, RANGE)
+        closed_now = ends.filter(F.col(WAS_OPEN)).select(BUCKET, self._range(F.col("__end")).alias(RANGE))
+        partitions = new_closed.unionAll(closed_now)
+        past = stored.filter(F.col(STATE) == F.lit("closed"))
         if any_late:
             late = ends.filter(~F.col(WAS_OPEN)).drop(WAS_OPEN)
-            past = stored.filter(F.col(STATE) == F.lit("closed"))
-            # No more rows than the table has partitions.
-            partitions = F.broadcast(
-                past.join(late.drop("__end"), [BUCKET, *key], "left_semi")
-                .select(BUCKET, LOAD)
-                .distinct()
-            )
-            rewritten = (
-                past.join(partitions, [BUCKET, LOAD], "left_semi")
-                .join(late.drop(BUCKET), key, "left")
-                .withColumns(
-                    {spec.to_date_col: F.coalesce("__end", until), MOVED: F.col("__end").isNotNull()}
-                )
+            # A record is stored in no earlier range than its from-date's, whatever the time zones of
+            # the loads.
+            first = F.min(column(spec.from_col)).cast("timestamp") - F.expr("INTERVAL 36 HOURS")
+            earliest = late.agg(self._range(first)).scalar()
+            found = past.filter(F.col(RANGE) >= earliest).join(late.drop("__end"), [BUCKET, *key], "left_semi")
+            partitions = partitions.unionAll(found.select(BUCKET, RANGE))
+        rewritten = past.join(partitions.distinct(), [BUCKET, RANGE], "left_semi")
+        if any_late:
+            rewritten = rewritten.join(late.drop(BUCKET), key, "left").withColumns(
+                {spec.to_date_col: F.coalesce("__end", until), MOVED: F.col("__end").isNotNull()}
             )
-            content = content.unionByName(rewritten.select(*content.columns))
-        return content
+        content = content.unionByName(current.select(*content.columns))
+        return content.unionByName(rewritten.select(*content.columns))
