@@ -16,6 +16,7 @@ from vaultwright.llm import (
     prob_minhash,
     quality_rules,
     quotation_linking,
+    sql,
     template_decontamination,
     toxicity,
     warc,
@@ -36,11 +37,11 @@ def text_query(sql: str | None = None):
     return register
 
 
-@text_query()
+@text_query(sql.quality_rules())
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, sf_dir, "documents"))
     counts = [F.col(c).cast("long").alias(c) for c in quality_rules.BASE]
-    return judged.select("doc_id", *counts, "base_failed", "kept", "failed")
+    return judged.select("doc_id", *counts, "base_failed", "kept", F.array_join("failed", ",").alias("failed"))
 
 
 @text_query(
@@ -73,10 +74,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
 
 
-@text_query()
+@text_query(sql.near_duplicates())
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = prob_minhash.document_classes(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "class_id", "class_size", "n_links")
+    return found.select("doc_id", "class_id", "class_size")
 
 
 @text_query()
@@ -98,7 +99,7 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.select("doc_id", "item_id", "n_windows", "item_windows", "n_slots", "n_agreeing")
 
 
-@text_query()
+@text_query(sql.quotation_linking())
 def op8_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotation_linking.link(table(spark, sf_dir, "conversations"))
 
