@@ -31,7 +31,8 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from math import log
+from functools import lru_cache
+from math import exp, expm1, log, log1p
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +41,8 @@ from pyspark.sql import functions as F
 
 from vaultwright.llm.common import SpanHashes, hash_words, mix, mix_one
 
-UNIT_BYTES = 1 << 20  # of text whose distinct units share one lattice
+UNIT_BYTES = 1 << 20  # of text that is sampled at a time
+CACHED_UNITS = 60_000  # some 100 MB
 SPACE = "▁".encode()
 
 
@@ -74,13 +76,28 @@ class Vocabulary:
         joined = np.frombuffer(b"".join(words), np.uint8)
         ends = np.cumsum([len(w) for w in words])
         hashes = hash_words(joined, ends - [len(w) for w in words], ends)
+        # Beginnings of pieces as well, with the id -1, to give up places where no longer piece can follow.
+        known = set(words)
+        shorter = [w for w in {w[:n] for w in words for n in self.lengths if n < len(w)} if w not in known]
+        begun = np.frombuffer(b"".join(shorter), np.uint8)
+        begun_ends = np.cumsum([len(w) for w in shorter])
+        begun_hashes = hash_words(begun, begun_ends - [len(w) for w in shorter], begun_ends) if shorter else hashes[:0]
+        self.slots, self.slot_ids = self._table(
+            np.concatenate([hashes, begun_hashes]), np.concatenate([ids, np.full(len(shorter), -1)])
+        )
+
+    @staticmethod
+    def _table(hashes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Open addressing; some 80,000 entries, -2 for free slots."""
         size = 1 << 18
-        self.slots, self.slot_ids = np.zeros(size, np.uint64), np.full(size, -1, np.int32)
-        for h, i in zip(hashes.tolist(), ids.tolist()):  # open addressing; some 32,000 entries
+        slots, slot_ids = [0] * size, [-2] * size
+        for h, i in zip(hashes.tolist(), ids.tolist()):
             at = h & (size - 1)
-            while self.slot_ids[at] >= 0:
+            while slot_ids[at] != -2:
                 at = (at + 1) & (size - 1)
-            self.slots[at], self.slot_ids[at] = h, i
+            slots[at], slot_ids[at] = h, i
+        slots, slot_ids = np.array(slots, np.uint64), np.array(slot_ids, np.int32)
+        return slots, slot_ids
 
     def __reduce__(self):
         return Vocabulary, (self.pieces, self.ranks, self.byte_ids, self.temperature)
@@ -106,15 +123,15 @@ class Vocabulary:
         return Vocabulary(pieces, np.maximum(0, np.arange(n) - first).astype(float), byte_ids, temperature)
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
-        """Ids of pieces by hash, -1 for none."""
+        """Ids of pieces by hash, -1 for what only begins one, -2 for the rest."""
         mask = np.uint64(len(self.slots) - 1)
-        out = np.full(len(hashes), -1, np.int32)
+        out = np.full(len(hashes), -2, np.int32)
         at, left = (hashes & mask).astype(np.int64), np.arange(len(hashes))
         while len(left):
             ids = self.slot_ids[at]
-            hit = (ids >= 0) & (self.slots[at] == hashes[left])
+            hit = (ids != -2) & (self.slots[at] == hashes[left])
             out[left[hit]] = ids[hit]
-            more = (ids >= 0) & ~hit
+            more = (ids != -2) & ~hit
             left, at = left[more], (at[more] + 1) & int(mask)
         return out
 
@@ -132,7 +149,23 @@ class Lattice:
     piece: np.ndarray  # id, or -1 for one character as bytes
     logq: np.ndarray  # ln of the conditional probability
     upto: np.ndarray  # cumulated probabilities within a node
-    mass: np.ndarray  # backward sums, per node
+
+    def and_(self, other: "Lattice") -> "Lattice":
+        """Both, the other one's units, nodes and edges after these."""
+        nodes, edges = len(self.buffer), len(self.target)
+        join = lambda a, b, by: np.concatenate([a, b + by])
+        return Lattice(
+            np.concatenate([self.buffer, other.buffer]),
+            join(self.starts, other.starts, nodes),
+            join(self.ends, other.ends, nodes),
+            # The node behind the last byte has no edges; the other's first node takes its place.
+            np.concatenate([self.first[:nodes], other.first + edges]),
+            join(self.source, other.source, nodes),
+            join(self.target, other.target, nodes),
+            np.concatenate([self.piece, other.piece]),
+            np.concatenate([self.logq, other.logq]),
+            np.concatenate([self.upto, other.upto]),
+        )
 
 
 def build(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray, vocabulary: Vocabulary, literal: np.ndarray) -> Lattice:
@@ -153,6 +186,7 @@ def build(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray, vocabulary:
         edge_from.append(positions[hit])
         edge_to.append(positions[hit] + length)
         edge_piece.append(found[hit])
+        positions = positions[found >= -1]
     heads = np.flatnonzero(head)
     size = np.diff(np.append(heads, n))  # bytes of the characters
     single = np.zeros(n, bool)
@@ -208,7 +242,7 @@ def build(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray, vocabulary:
         k += 1
     last = first[1:][degree > 0] - 1
     upto[last] = np.inf  # the last edge takes what rounding leaves
-    return Lattice(buffer, starts, ends, first, f, t, p, logq, upto, mass)
+    return Lattice(buffer, starts, ends, first, f, t, p, logq, upto)
 
 
 def _uniform(seed: np.ndarray) -> np.ndarray:
@@ -236,11 +270,43 @@ def escape(text: str) -> tuple[bytes, list[int]]:
     return b"".join(out), literal
 
 
+class Lattices:
+    """The lattices of the units met so far, up to ``CACHED_UNITS`` before it starts anew."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.vocabulary, self.lattice = vocabulary, None
+        self.known, self.unit = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def units(self, buffer, starts, ends, hashes, literal) -> np.ndarray:
+        """Numbers of the spans' units, adding those that are new."""
+        if len(self.known) > CACHED_UNITS:
+            self.__init__(self.vocabulary)
+        distinct, at, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        place = np.searchsorted(self.known, distinct)
+        place[place == len(self.known)] = 0
+        new = self.known[place] != distinct if len(self.known) else np.ones(len(distinct), bool)
+        numbers = np.empty(len(distinct), np.int64)
+        numbers[~new] = self.unit[place[~new]]
+        if new.any():
+            at = at[new]
+            lengths = ends[at] - starts[at]
+            unit_ends = np.cumsum(lengths)
+            unit_starts = unit_ends - lengths
+            index = np.arange(unit_ends[-1]) - np.repeat(unit_starts, lengths) + np.repeat(starts[at], lengths)
+            more = build(buffer[index], unit_starts, unit_ends, self.vocabulary, literal[index])
+            numbers[new] = len(self.known) + np.arange(len(at))
+            self.lattice = more if self.lattice is None else self.lattice.and_(more)
+            known = np.concatenate([self.known, distinct[new]])
+            order = np.argsort(known, kind="stable")
+            self.known, self.unit = known[order], np.concatenate([self.unit, numbers[new]])[order]
+        return numbers[inverse]
+
+
 class Batch:
-    """Several texts with the lattice of their distinct units."""
+    """Several texts with the lattice of their units."""
 
-    def __init__(self, texts: list[str], vocabulary: Vocabulary):
-        self.vocabulary = vocabulary
+    def __init__(self, texts: list[str], lattices: Lattices):
+        self.vocabulary = lattices.vocabulary
         parts, literals, size = [], [], 0
         edges = [0]
         for text in texts:
@@ -261,13 +327,10 @@ class Batch:
         hashes = hash_words(buffer, starts, ends)
         if literals:  # a unit with a literal U+2581 is another one
             marked = np.searchsorted(starts, literals, side="right") - 1
-            hashes[marked] = mix(hashes[marked] ^ np.array(literals, np.uint64))
-        _, at, self.units = np.unique(hashes, return_index=True, return_inverse=True)
-        lengths = ends[at] - starts[at]
-        unit_ends = np.cumsum(lengths)
-        unit_starts = unit_ends - lengths
-        index = np.arange(unit_ends[-1]) - np.repeat(unit_starts, lengths) + np.repeat(starts[at], lengths)
-        self.lattice = build(buffer[index], unit_starts, unit_ends, vocabulary, literal[index])
+            places = np.array(literals) - starts[marked]
+            np.bitwise_xor.at(hashes, marked, mix(places))
+        self.units = lattices.units(buffer, starts, ends, hashes, literal)
+        self.lattice = lattices.lattice
 
     @staticmethod
     def _unit_starts(buffer: np.ndarray, edges: np.ndarray, literal: np.ndarray) -> np.ndarray:
@@ -298,7 +361,7 @@ class Batch:
         active, at = active[open_], at[open_]
         while len(active):
             step += np.uint64(1)
-            u = _uniform(seeds[active] + step)
+            u = _uniform(seeds[active] + step) if len(active) < len(seeds) else _uniform(seeds + step)
             edge = lat.first[at]
             wrong = np.flatnonzero(u > lat.upto[edge])
             while len(wrong):
@@ -411,19 +474,23 @@ class _Search:
         minus, number, (prefix, done, _, before) = self.now
         total = np.zeros(len(path) + 1)
         np.cumsum(self.lattice.logq[path], out=total[1:])
-        self.out.append((-minus, float(before + total[-1]), np.concatenate([prefix, path])))
+        self.out.append((-minus, float(before + total[-1]), np.concatenate([prefix, path]) if len(prefix) else path))
         cuts = _cuts(len(path))
-        at = before + total[cuts]
-        with np.errstate(divide="ignore", over="ignore", invalid="ignore"):
-            mass = at[:-1] + np.log(-np.expm1(np.minimum(at[1:] - at[:-1], 0.0)))
-            seed = mix(np.arange(len(mass), dtype=np.uint64) ^ self._noise(number) ^ np.uint64(1 << 40))
-            values = _truncated(mass, -minus, seed)
-        values[~np.isfinite(mass)] = -np.inf
         known = (path, total, before, counts, prefix, done)
+        found, noise = [], int(self._noise(number)) ^ 1 << 40
+        here = before + float(total[0])
+        for c, stop in enumerate(cuts[1:]):  # a dozen of numbers: plain ones are faster than arrays
+            there = before + float(total[stop])
+            lost = -expm1(min(there - here, 0.0))
+            if lost > 0:
+                mass = here + log(lost)
+                g = log(-log(_uniform_one(noise ^ c))) - mass
+                low, high = min(g, minus), max(g, minus)
+                found.append((high + log1p(exp(low - high)), c))
+            here = there
         wanted = self.k - len(self.out) + 1  # further samples and the threshold
-        for c in np.argsort(-values, kind="stable")[:wanted].tolist():
-            if values[c] > -np.inf:
-                self._push(float(values[c]), (known, int(cuts[c]), int(cuts[c + 1])) + (None, None))
+        for value, c in heapq.nsmallest(wanted, found):
+            self._push(-value, (known, cuts[c], cuts[c + 1], None, None))
 
     def _split(self, value: float, number: int, known: tuple, start: int, stop: int, *_: None) -> None:
         """Open the branches of a stretch, one of which holds its largest value."""
@@ -457,12 +524,13 @@ class _Search:
             self._push(float(values[c]), (whole, unit, node, float(phi[c])))
 
 
-def _cuts(n: int) -> np.ndarray:
+@lru_cache(maxsize=4096)
+def _cuts(n: int) -> list[int]:
     """Ends of stretches that double in length: 0, 8, 16, 32, ... n."""
     cuts = [0]
     while cuts[-1] < n:
         cuts.append(min(n, max(8, 2 * cuts[-1])))
-    return np.array(cuts)
+    return cuts
 
 
 def _truncated(phi: np.ndarray, value: float, seed: np.ndarray) -> np.ndarray:
@@ -504,8 +572,9 @@ def _groups(texts: list[str | None]) -> Iterator[tuple[int, int]]:
 
 def sample_texts(texts: list[str | None], keys: list[int], vocabulary: Vocabulary, k: int) -> Iterator[list[dict]]:
     """For every text its samples, best first."""
+    lattices = Lattices(vocabulary)
     for i, j in _groups(texts):
-        batch = Batch([t or "" for t in texts[i:j]], vocabulary)
+        batch = Batch([t or "" for t in texts[i:j]], lattices)
         sampled = batch.sample(keys[i:j], k)
         ids = iter(batch.ids([edges for found, _ in sampled for _, _, edges in found]))
         for text, (found, threshold) in zip(texts[i:j], sampled):
