@@ -7,7 +7,9 @@ differ by two replaced words agree in at least two of them.  Lines with an equal
 candidates (see ``linking`` for how pairs of large groups are avoided) and are verified by edit
 similarity, 1 - distance / longer length.  Lines below ``short`` characters have three blocks, as six
 would be too small to tell lines apart; those between ``long`` and ``short`` have both, so that
-similar lines always share a kind.  Blocks of less weight than ``least_block`` are not used.
+similar lines always share a kind.  Blocks of less weight than ``least_block`` are not used, so that
+equal ones are no chance.  Two lines with more than ``differing_blocks`` differing blocks are more than
+two replaced words apart and are not compared further.
 
 Connected lines are a group; of each group the first occurrence (by doc_id, text, line
 number) stays.  Lines with fewer than ``least_words`` words are always kept.
@@ -27,7 +29,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vaultwright.llm.common import hash_words, mix, stage, word_spans
@@ -42,9 +44,11 @@ _PLAIN = bytes(b if b >= 128 or b == 10 or chr(b).isalnum() else 32 for b in ran
 class Settings:
     similarity: float = 0.9
     least_words: int = 5
-    long: int = 120
-    short: int = 160
-    least_block: int = 10
+    long: int = 220
+    short: int = 280
+    least_block: int = 20
+    least_block_short: int = 14
+    differing_blocks: int = 4
     seeds: int = 2
 
 
@@ -86,13 +90,13 @@ def block_hashes(lines: list[str], blocks: int, least: int) -> np.ndarray:
 def keys_of(lines: list[str], settings: Settings) -> list[list[int]]:
     """The block keys of normalised lines."""
     keys: list[list[int]] = [[] for _ in lines]
-    for blocks, chosen in (
-        (6, [i for i, n in enumerate(lines) if len(n) >= settings.long]),
-        (3, [i for i, n in enumerate(lines) if len(n) < settings.short]),
+    for blocks, least, chosen in (
+        (6, settings.least_block, [i for i, n in enumerate(lines) if len(n) >= settings.long]),
+        (3, settings.least_block_short, [i for i, n in enumerate(lines) if len(n) < settings.short]),
     ):
         for start in range(0, len(chosen), 4096):  # 128 bytes per word at a time
             part = chosen[start : start + 4096]
-            found = block_hashes([lines[i] for i in part], blocks, settings.least_block).view(np.int64)
+            found = block_hashes([lines[i] for i in part], blocks, least).view(np.int64)
             for i, row in zip(part, found.tolist()):
                 keys[i] += [k for k in row if k]
     return keys
@@ -201,7 +205,12 @@ def repeated_lines(docs: DataFrame, settings: Settings = Settings()) -> DataFram
         of = lambda n: texts.select(F.col("node").alias(n), F.col("clean").alias(f"c{n}"))
         return similar(settings.similarity)(pairs.join(of("a"), "a").join(of("b"), "b"))
 
-    labels, _ = classes(members, verify, settings.seeds)
+    def plausible(a: Column, b: Column) -> Column:
+        equal = F.size(F.array_intersect(a, b))
+        return F.greatest(F.size(a), F.size(b)) - equal <= settings.differing_blocks
+
+    facts = distinct.select("node", F.col("keys").alias("fact"))
+    labels, _ = classes(members, verify, settings.seeds, facts=facts, plausible=plausible)
     rooted = distinct.select("node", "first", "n").join(labels, "node", "left")
     rooted = rooted.select("node", "first", "n", F.coalesce("root", "node").alias("root"))
     firsts = rooted.groupBy("root").agg(F.min("first").alias("kept"), F.sum("n").alias("lines")).filter("lines > 1")

@@ -14,11 +14,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vaultwright.llm.common import stage
 
+Plausible = Callable[[Column, Column], Column]
+
 MAX_ROUNDS = 200
 SMALL_KEY = 32
 BLOCK = 384
@@ -79,12 +81,28 @@ def open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
     return stage(rooted.join(open_keys.select("key", "n"), "key").select("key", "node", "root", "n"), "open-keys")
 
 
-def across(rows: DataFrame, tested: DataFrame) -> DataFrame:
-    """The untested pairs of nodes that share a key but not a class."""
-    one = rows.select("key", F.col("node").alias("a"), F.col("root").alias("root_a"))
-    two = rows.select("key", F.col("node").alias("b"), F.col("root").alias("root_b"))
-    pairs = one.join(two, "key").filter("a < b AND root_a <> root_b").select("a", "b").distinct()
-    return pairs.join(tested, ["a", "b"], "left_anti")
+def across(rows: DataFrame, tested: DataFrame, facts: DataFrame | None, plausible: Plausible | None) -> DataFrame:
+    """The untested pairs of nodes that share a key but not a class, and are plausible by the nodes' facts."""
+    if facts is not None:
+        rows = rows.join(facts, "node")
+    one = rows.select("key", F.col("node").alias("a"), F.col("root").alias("root_a"), *_facts(rows, "a"))
+    two = rows.select(F.col("key").alias("_key"), F.col("node").alias("b"), F.col("root").alias("root_b"), *_facts(rows, "b"))
+    meet = (F.col("key") == F.col("_key")) & (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b"))
+    if facts is not None:
+        meet = meet & plausible(F.col("fact_a"), F.col("fact_b"))
+    return one.join(two, meet).select("a", "b").distinct().join(tested, ["a", "b"], "left_anti")
+
+
+def _facts(rows: DataFrame, side: str) -> list[Column]:
+    return [F.col("fact").alias(f"fact_{side}")] if "fact" in rows.columns else []
+
+
+def _only_plausible(pairs: DataFrame, facts: DataFrame | None, plausible: Plausible | None) -> DataFrame:
+    if facts is None:
+        return pairs
+    of = lambda n: facts.select(F.col("node").alias(n), F.col("fact").alias(f"fact_{n}"))
+    both = pairs.join(of("a"), "a").join(of("b"), "b")
+    return stage(both.filter(plausible(F.col("fact_a"), F.col("fact_b"))).select("a", "b"), "pairs")
 
 
 def _close(first: tuple, second: tuple, threshold: float) -> Iterator[tuple[int, int]]:
@@ -164,19 +182,22 @@ def classes(
     seeds: int = 4,
     elements: Callable[[DataFrame], DataFrame] | None = None,
     threshold: float = 1.0,
+    facts: DataFrame | None = None,
+    plausible: Plausible | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(node, root) of all linked nodes, and the verified links (a, b) that were needed to find them.
 
     ``verify`` takes pairs (a, b) and returns those that are similar enough.  ``elements`` gives the
     sets of nodes for ``across_blocks``, which looks for Jaccard similarities of ``threshold``;
-    without it large keys join their pairs as small ones do.
+    without it large keys join their pairs as small ones do.  ``facts`` (node, fact) and
+    ``plausible``, a condition on the facts of two nodes, leave out pairs before they are verified.
     """
     tested = stage(star_pairs(members, seeds), "pairs")
-    links = stage(verify(tested).select("a", "b"), "verified")
+    links = stage(verify(_only_plausible(tested, facts, plausible)).select("a", "b"), "verified")
     labels = components(links)
     rows = open_members(members, labels)
     small = rows if elements is None else rows.filter(F.col("n") <= SMALL_KEY)
-    rest = across(small, tested)
+    rest = across(small, tested, facts, plausible)
     if elements is not None:
         large = stage(rows.filter(F.col("n") > SMALL_KEY), "large-keys")
         if not large.isEmpty():
