@@ -49,8 +49,9 @@ def brute(rows, settings):
         return c
 
     for a, b in itertools.combinations(kinds, 2):
-        allowed = int(max(len(a), len(b)) * (1 - settings.similarity) + 1e-9)
-        if abs(len(a) - len(b)) <= allowed and len(set(a.split()) ^ set(b.split())) < 12 and distance(a, b) <= allowed:
+        x, y = a.split(), b.split()
+        allowed = int(max(len(x), len(y)) * (1 - settings.similarity) + 1e-9)
+        if abs(len(x) - len(y)) <= allowed and len(set(x) ^ set(y)) < 24 and distance(x, y) <= allowed:
             root[find(a)] = find(b)
     seen, gone = set(), set()
     for k, n, c in places:

@@ -5,7 +5,7 @@ Its words fall into blocks by their hash, and each block is the 32-bit SimHash o
 weighted by their bytes beyond three, as short words say little.  Replacing a word touches two blocks at most, so with six blocks two lines that
 differ by two replaced words agree in at least two of them.  Lines with an equal block are
 candidates (see ``linking`` for how pairs of large groups are avoided) and are verified by edit
-similarity, 1 - distance / longer length.  Lines below ``short`` characters have three blocks, as six
+similarity, over words: 1 - distance / words of the longer.  Lines below ``short`` characters have three blocks, as six
 would be too small to tell lines apart; those between ``long`` and ``short`` have both, so that
 similar lines always share a kind.  Blocks of less weight than ``least_block`` are not used, so that
 equal ones are no chance.  Two lines with more than ``differing_blocks`` differing blocks are more than
@@ -23,6 +23,7 @@ columns stay as they are.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -42,7 +43,7 @@ _PLAIN = bytes(b if b >= 128 or b == 10 or chr(b).isalnum() else 32 for b in ran
 
 @dataclass(frozen=True)
 class Settings:
-    similarity: float = 0.9
+    similarity: float = 0.85
     least_words: int = 5
     long: int = 220
     short: int = 280
@@ -112,6 +113,11 @@ def _split(text: str | None, least_words: int) -> list[tuple[int, str]]:
     return out
 
 
+def _codes(clean: str) -> str:
+    """One character per word, one of 20,000, so that edit distances count words."""
+    return "".join(chr(0x4E00 + zlib.crc32(w.encode("utf-8", "replace")) % 20_000) for w in clean.split(" "))
+
+
 def _digest(text: str) -> bytes:
     return hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=16).digest()
 
@@ -154,7 +160,7 @@ def lines(docs: DataFrame, settings: Settings) -> DataFrame:
 
 
 def line_texts(docs: DataFrame, wanted: DataFrame, settings: Settings) -> DataFrame:
-    """(node, clean) of the lines at the wanted places (node, doc_id, doc)."""
+    """(node, codes) of the lines at the wanted places (node, doc_id, doc)."""
     places = wanted.select("doc").distinct()
     few = wanted.count() <= BROADCAST_KEYS
     hint = F.broadcast if few else (lambda df: df)
@@ -166,11 +172,12 @@ def line_texts(docs: DataFrame, wanted: DataFrame, settings: Settings) -> DataFr
             for text in batch.column("text").to_pylist():
                 clean = list({c for _, c in _split(text, settings.least_words)})
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([_digest(c) for c in clean], pa.binary()), pa.array(clean, pa.string())],
-                    names=["node", "clean"],
+                    [pa.array([_digest(c) for c in clean], pa.binary())]
+                    + [pa.array([_codes(c) for c in clean], pa.string())],
+                    names=["node", "codes"],
                 )
 
-    found = rows.mapInArrow(cut, "node binary, clean string")
+    found = rows.mapInArrow(cut, "node binary, codes string")
     return found.join(hint(wanted.select("node").distinct()), "node", "left_semi").dropDuplicates(["node"])
 
 
@@ -202,7 +209,7 @@ def repeated_lines(docs: DataFrame, settings: Settings = Settings()) -> DataFram
             distinct.select("node", "first.doc_id", "first.doc").join(nodes, "node", "left_semi"), "line-places"
         )
         texts = stage(line_texts(docs, wanted, settings), "line-texts")
-        of = lambda n: texts.select(F.col("node").alias(n), F.col("clean").alias(f"c{n}"))
+        of = lambda n: texts.select(F.col("node").alias(n), F.col("codes").alias(f"c{n}"))
         return similar(settings.similarity)(pairs.join(of("a"), "a").join(of("b"), "b"))
 
     def plausible(a: Column, b: Column) -> Column:
