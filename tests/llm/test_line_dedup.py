@@ -105,3 +105,39 @@ def test_keys_do_not_depend_on_the_batch():
     together = d.keys_of(lines, d.Settings())
     assert together == [d.keys_of([line], d.Settings())[0] for line in lines]
     assert collected is not None
+
+
+def edited(line, edits, seed):
+    """Words replaced, dropped and added, evenly spread as well as at random, at most ``edits`` in all."""
+    rng, words = random.Random(seed), line.split(" ")
+    step = len(words) / (edits + 1)
+    places = [int((i + 1) * step) for i in range(edits)] if seed % 2 else rng.sample(range(len(words)), edits)
+    for i in sorted(places, reverse=True):
+        words[i : i + 1] = rng.choice([["other"], [], [words[i], "more"]] if seed % 3 else [["other"]])
+    return " ".join(words)
+
+
+@pytest.mark.parametrize("words", [7, 8, 9, 10, 13, 14, 15, 20, 27, 40, 60, 90, 150, 300])
+def test_all_changes_of_the_threshold_meet(words):
+    settings, missed = d.Settings(), []
+    for seed in range(60):
+        line = d.normalise(" ".join(prose(seed, words).split()))
+        changed = edited(line, int(words * (1 - settings.similarity) + 1e-9), seed)
+        longer = max(words, len(changed.split()))
+        assert distance(line.split(), changed.split()) <= int(longer * (1 - settings.similarity) + 1e-9)
+        a, b = d.keys_of([line, changed], settings)
+        if line != changed and not set(a) & set(b):
+            missed.append(seed)
+    assert missed == []
+
+
+def test_short_and_strongly_edited_lines_equal_all_pairs(documents):
+    settings, rows = d.Settings(), []
+    for i, words in enumerate([6, 7, 8, 9, 10, 12, 13, 14, 15, 19, 20, 26, 27, 40, 60, 90] * 2):
+        line = d.normalise(" ".join(prose(i, words).split()))
+        for k in range(4):
+            rows.append((10 * i + k, edited(line, int(words * (1 - settings.similarity) + 1e-9) if k else 0, 100 * i + k)))
+    gone = brute(rows, settings)
+    expected = sorted((i, [n for j, x, n in gone if (j, x) == (i, t)]) for i, t in rows)
+    assert sorted((r["doc_id"], r["removed"]) for r in d.report(documents(rows)).collect()) == expected
+    assert len(gone) > 80

@@ -1,15 +1,16 @@
-"""Fuzzy duplicates among lines, by SimHash blocks that must agree by the pigeonhole principle.
+"""Fuzzy duplicates among lines, by runs of words that similar lines must share.
 
 A line is normalised (lower case, ASCII punctuation becomes space, white space one space).
-Its words fall into blocks by their hash, and each block is the 32-bit SimHash of its words,
-weighted by their bytes beyond three, as short words say little.  Replacing a word touches two blocks at most, so with six blocks two lines that
-differ by two replaced words agree in at least two of them.  Lines with an equal block are
-candidates (see ``linking`` for how pairs of large groups are avoided) and are verified by edit
-similarity, over words: 1 - distance / words of the longer.  Lines below ``short`` characters have three blocks, as six
-would be too small to tell lines apart; those between ``long`` and ``short`` have both, so that
-similar lines always share a kind.  Blocks of less weight than ``least_block`` are not used, so that
-equal ones are no chance.  Two lines with more than ``differing_blocks`` differing blocks are more than
-two replaced words apart and are not compared further.
+Lines are similar by edit distance over words: 1 - distance / words of the longer.  k edits leave
+a longer line of n words with at most k + 1 untouched runs, one of which has
+(n - k) / (k + 1) words or more.  A line's keys are minimizers: of every so many neighbouring
+windows of words the one with the smallest hash, so many that a run of that length holds all of
+them.  So two lines within the threshold always share a key, whatever the edits are and wherever they
+stand.  Shorter runs choose a superset of what longer ones choose, so lines of different lengths meet.
+
+Lines with an equal key are candidates (see ``linking`` for how pairs of large groups are avoided).
+An edit changes two bits at most of a bitmap of the words; candidates whose bitmaps or lengths differ by
+more than the allowed edits are not verified.  Lines too short for an edit match when equal.
 
 Connected lines are a group; of each group the first occurrence (by doc_id, text, line
 number) stays.  Lines with fewer than ``least_words`` words are always kept.
@@ -26,6 +27,7 @@ import hashlib
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -37,6 +39,8 @@ from vaultwright.llm.common import hash_words, mix, stage, word_spans
 from vaultwright.llm.linking import classes
 
 BROADCAST_KEYS = 500_000  # of 24 bytes
+LONGEST = 256  # words of a line, beyond which the length of shared runs no longer matters
+BITS = 256  # of a line's bitmap of words
 # Bytes of UTF-8: everything in ASCII but letters, digits and the line feed becomes a space.
 _PLAIN = bytes(b if b >= 128 or b == 10 or chr(b).isalnum() else 32 for b in range(256))
 
@@ -45,11 +49,6 @@ _PLAIN = bytes(b if b >= 128 or b == 10 or chr(b).isalnum() else 32 for b in ran
 class Settings:
     similarity: float = 0.85
     least_words: int = 5
-    long: int = 220
-    short: int = 280
-    least_block: int = 20
-    least_block_short: int = 14
-    differing_blocks: int = 4
     seeds: int = 2
 
 
@@ -61,46 +60,63 @@ def normalise(line: str) -> str:
     return " ".join(_plain(line).split())
 
 
-def block_hashes(lines: list[str], blocks: int, least: int) -> np.ndarray:
-    """SimHash of each block of each line as a key (lines x blocks), zero for blocks not used."""
+def allowed_edits(words: int, similarity: float) -> int:
+    return int(words * (1 - similarity) + 1e-9)
+
+
+@lru_cache
+def runs(similarity: float) -> tuple[int, np.ndarray]:
+    """Words per window, and by the number of a line's words how many neighbouring windows choose one (0: equal lines only).
+
+    Numbers beyond the table are treated like its last one: the run grows with the edits.
+    """
+    edits = [allowed_edits(n, similarity) for n in range(2 * LONGEST)]
+    run = [-(-(n - k) // (k + 1)) for n, k in enumerate(edits)]
+    shared = np.zeros(LONGEST, np.int64)
+    for words in range(1, LONGEST):
+        # The longer line of a pair may have this many words.
+        longer = [n for n in range(words, 2 * LONGEST) if n - edits[n] <= words and edits[n]]
+        shared[words] = min((run[n] for n in longer), default=0)
+    window = max(1, int(min(shared[shared > 0], default=1)))
+    return window, np.where(shared > 0, shared - window + 1, 0)
+
+
+def minimizers(lines: list[str], similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Offsets of each line's keys, the keys, and per line the number of words and ``BITS`` bits of them (as longs)."""
+    window, choices = runs(similarity)
     buffer = np.frombuffer("\n".join(lines).encode("utf-8", "replace"), np.uint8)
     edges = np.concatenate([[0], np.flatnonzero(buffer == 10) + 1, [len(buffer) + 1]])
     starts, ends = word_spans(buffer)
     words = hash_words(buffer, starts, ends)
-    line = np.searchsorted(edges, starts, side="right") - 1
-    weight = np.clip(ends - starts - 3, 0, 21).astype(np.int32)
-    block = (mix(words) >> np.uint64(33)) % np.uint64(blocks)
-    block[weight == 0] = blocks  # in none
-    out = np.zeros((len(lines), blocks), np.uint64)
-    for b in range(blocks):
-        mine = np.flatnonzero(block == b)
-        if not len(mine):
-            continue
-        of, heavy = line[mine], weight[mine]
-        first = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
-        bits = np.unpackbits(words[mine].astype(np.uint32).view(np.uint8).reshape(-1, 4), axis=1) * heavy[:, None]
-        total = np.add.reduceat(heavy, first)
-        sums = 2 * np.add.reduceat(bits, first, axis=0) > total[:, None]
-        simhash = np.packbits(sums, axis=1).view(np.uint32).ravel().astype(np.uint64)
-        used = total >= least
-        key = mix(simhash ^ mix(np.array([b + 16 * blocks], np.uint64)))
-        out[of[first[used]], b] = key[used]
-    return out
+    first = np.searchsorted(starts, edges)
+    count = np.diff(first)
+    line = np.repeat(np.arange(len(lines)), count)
+    bits = np.zeros((len(lines), BITS), bool)
+    bits[line, (mix(words) >> np.uint64(40)).astype(np.int64) % BITS] = True
+    facts = np.column_stack([count, np.packbits(bits, axis=1).view(np.int64)]) if lines else np.zeros((0, 1 + BITS // 64), np.int64)
+    gram, n = np.zeros(len(words), np.uint64), len(words)
+    for k in range(window):
+        after = np.zeros(n, np.uint64)
+        after[: n - k] = words[k:]
+        gram = mix(gram ^ after)
+    left = first[1:][line] - np.arange(n)  # words from here to the line's end
+    of = choices[np.minimum(count, LONGEST - 1)][line]
+    chosen = np.zeros(n, bool)
+    for w in np.unique(of[of > 0]).tolist():
+        least = gram.copy()
+        for k in range(1, w):
+            np.minimum(least[: n - k], gram[k:], out=least[: n - k])
+        whole = (of == w) & (left >= window + w - 1)
+        for k in range(w):
+            chosen[k:] |= whole[: n - k] & (gram[k:] == least[: n - k])
+    at = np.flatnonzero(chosen)
+    return np.searchsorted(line[at], np.arange(len(lines) + 1)).astype(np.int32), gram[at].view(np.int64), facts
 
 
 def keys_of(lines: list[str], settings: Settings) -> list[list[int]]:
-    """The block keys of normalised lines."""
-    keys: list[list[int]] = [[] for _ in lines]
-    for blocks, least, chosen in (
-        (6, settings.least_block, [i for i, n in enumerate(lines) if len(n) >= settings.long]),
-        (3, settings.least_block_short, [i for i, n in enumerate(lines) if len(n) < settings.short]),
-    ):
-        for start in range(0, len(chosen), 4096):  # 128 bytes per word at a time
-            part = chosen[start : start + 4096]
-            found = block_hashes([lines[i] for i in part], blocks, least).view(np.int64)
-            for i, row in zip(part, found.tolist()):
-                keys[i] += [k for k in row if k]
-    return keys
+    """The keys of normalised lines."""
+    offsets, keys, _ = minimizers(lines, settings.similarity)
+    return [keys[i:j].tolist() for i, j in zip(offsets[:-1], offsets[1:])]
 
 
 def _split(text: str | None, least_words: int) -> list[tuple[int, str]]:
@@ -127,7 +143,7 @@ def _text_key():
 
 
 def lines(docs: DataFrame, settings: Settings) -> DataFrame:
-    """One row per distinct text of a doc_id and line that takes part: doc_id, doc, line, node, keys."""
+    """One row per distinct text of a doc_id and line that takes part: doc_id, doc, line, node, keys, fact."""
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), _text_key().alias("doc"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,20 +159,23 @@ def lines(docs: DataFrame, settings: Settings) -> DataFrame:
                 owner = pa.array(np.repeat(np.arange(start, stop), [len(f) for f in found]))
                 flat = [line for f in found for line in f]
                 clean = [c for _, c in flat]
+                offsets, keys, facts = minimizers(clean, settings.similarity)
+                places = np.arange(0, facts.size + 1, facts.shape[1], dtype=np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").take(owner),
                         batch.column("doc").take(owner),
                         pa.array([n for n, _ in flat], pa.int32()),
                         pa.array([_digest(c) for c in clean], pa.binary()),
-                        pa.array(keys_of(clean, settings), pa.list_(pa.int64())),
+                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys)),
+                        pa.ListArray.from_arrays(pa.array(places), pa.array(facts.ravel())),
                     ],
-                    names=["doc_id", "doc", "line", "node", "keys"],
+                    names=["doc_id", "doc", "line", "node", "keys", "fact"],
                 )
                 start = stop
 
     kind = dict(docs.dtypes)["doc_id"]
-    return rows.mapInArrow(cut, f"doc_id {kind}, doc binary, line int, node binary, keys array<long>")
+    return rows.mapInArrow(cut, f"doc_id {kind}, doc binary, line int, node binary, keys array<long>, fact array<long>")
 
 
 def line_texts(docs: DataFrame, wanted: DataFrame, settings: Settings) -> DataFrame:
@@ -198,10 +217,15 @@ def repeated_lines(docs: DataFrame, settings: Settings = Settings()) -> DataFram
     found = stage(lines(docs, settings), "lines")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "doc", "line")
     distinct = stage(
-        found.groupBy("node").agg(F.min(place).alias("first"), F.count("*").alias("n"), F.first("keys").alias("keys")),
+        found.groupBy("node").agg(
+            F.min(place).alias("first"), F.count("*").alias("n"), F.first("keys").alias("keys"), F.first("fact").alias("fact")
+        ),
         "line-kinds",
     )
-    members = distinct.select("node", F.explode("keys").alias("key"))
+    # Most keys are in one line only; the others are kept, with one exchange for both sides.
+    keyed = distinct.select("node", F.explode(F.array_distinct("keys")).alias("key")).repartition("key")
+    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+    members = stage(keyed.join(shared, "key").select("node", "key"), "line-keys")
 
     def verify(pairs: DataFrame) -> DataFrame:
         nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
@@ -213,10 +237,11 @@ def repeated_lines(docs: DataFrame, settings: Settings = Settings()) -> DataFram
         return similar(settings.similarity)(pairs.join(of("a"), "a").join(of("b"), "b"))
 
     def plausible(a: Column, b: Column) -> Column:
-        equal = F.size(F.array_intersect(a, b))
-        return F.greatest(F.size(a), F.size(b)) - equal <= settings.differing_blocks
+        allowed = F.floor(F.greatest(a[0], b[0]) * F.lit(1 - settings.similarity) + F.lit(1e-9))
+        differing = sum((F.bit_count(a[k].bitwiseXOR(b[k])) for k in range(1, 1 + BITS // 64)), F.lit(0))
+        return (F.abs(a[0] - b[0]) <= allowed) & (differing <= 2 * allowed)
 
-    facts = distinct.select("node", F.col("keys").alias("fact"))
+    facts = distinct.filter("size(keys) > 0").select("node", "fact")
     labels, _ = classes(members, verify, settings.seeds, facts=facts, plausible=plausible)
     rooted = distinct.select("node", "first", "n").join(labels, "node", "left")
     rooted = rooted.select("node", "first", "n", F.coalesce("root", "node").alias("root"))
