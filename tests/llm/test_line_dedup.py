@@ -141,3 +141,10 @@ def test_short_and_strongly_edited_lines_equal_all_pairs(documents):
     expected = sorted((i, [n for j, x, n in gone if (j, x) == (i, t)]) for i, t in rows)
     assert sorted((r["doc_id"], r["removed"]) for r in d.report(documents(rows)).collect()) == expected
     assert len(gone) > 80
+
+
+def test_equal_short_lines_and_scripts_without_spaces(documents):
+    own = [" ".join(prose(3000 + i, 30).split()) for i in range(4)]
+    rows = [(i, f"{own[i]}\nRead more\n保留所有权利。\n\nAll rights reserved.{'!' * i}\nOnly {'abcd'[i]}") for i in range(4)]
+    found = {r["doc_id"]: r["removed"] for r in d.report(documents(rows)).collect()}
+    assert found == {0: [], 1: [1, 2, 4], 2: [1, 2, 4], 3: [1, 2, 4]}

@@ -13,7 +13,7 @@ An edit changes two bits at most of a bitmap of the words; candidates whose bitm
 more than the allowed edits are not verified.  Lines too short for an edit match when equal.
 
 Connected lines are a group; of each group the first occurrence (by doc_id, text, line
-number) stays.  Lines with fewer than ``least_words`` words are always kept.
+number) stays.  Lines with fewer than ``least_words`` words, by default those without a word, are always kept.
 
 Defined cases: null and empty texts have no lines to remove; a text whose every line with a
 word is removed is dropped by ``dedup``; rows with equal doc_id and text count as one text
@@ -48,7 +48,7 @@ _PLAIN = bytes(b if b >= 128 or b == 10 or chr(b).isalnum() else 32 for b in ran
 @dataclass(frozen=True)
 class Settings:
     similarity: float = 0.85
-    least_words: int = 5
+    least_words: int = 1
     seeds: int = 2
 
 
