@@ -91,3 +91,17 @@ def test_query_equals_word_windows(spark):
                 hits[item].add(k)
         pairs |= {(r["doc_id"], item) for item, ks in hits.items() if len(ks) >= 0.3 * total[item]}
     assert pairs and set(collected(TEXT_QUERIES["op7_benchmark_decontamination"](spark, sf_dir), "doc_id", "item_id")) == pairs
+
+
+def test_verbatim_copies_are_found(spark, documents):
+    sums = "12 plus 7 is 19 and 19 minus 4 is 15 then 15 times 3 is 45"
+    places = "Paris, Rome, Berlin, Madrid, Oslo, Wien, Bern, Prag, Kiev, Riga"
+    short = "What is the capital of France?"
+    numbers = "1 2 3 4 5 6 7 8 9 10 11 12"
+    filler = " ".join(prose(5, 40).split())
+    copies = [sums, places, short, numbers, QUESTION]
+    rows = [(i, f"{filler}\n{c}\n{filler}") for i, c in enumerate(copies)]
+    rows += [(10 + i, f"{filler}. {c.upper()} {filler}") for i, c in enumerate(copies)]
+    rows += [(20 + i, f"{filler} ({c.lower()}) {filler}") for i, c in enumerate(copies)] + [(30, filler)]
+    pairs = found(spark, documents, rows, list(enumerate(copies)))
+    assert pairs == sorted(((base + i, i) for base in (0, 10, 20) for i in range(5)), key=repr)

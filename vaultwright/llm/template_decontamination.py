@@ -9,10 +9,15 @@ document of the same type throughout, and the other way round.  So a question wi
 other numbers or names is caught, a text that merely has its shape is not.  An item counts as found
 in a document when its consistent windows are at least ``coverage`` of its windows.
 
-Windows need ``least_literal`` tokens that are no placeholders.  Names are capitalised words
-that do not begin a sentence.
-
-Defined cases: null and empty texts and items shorter than ``least_literal`` tokens match nothing;
+Windows of templates need ``least_literal`` tokens that are no placeholders.  Names are capitalised
+words that do not begin a sentence.  Beside them the words themselves, lower-case runs of letters
+and digits, are compared in the same windows without such a minimum, so that verbatim copies are found
+whatever they consist of, however they are capitalised and whatever stands before them.  An item
+counts as found if either way finds it; the counts are those of the way that covers more of it (if both do
+the same, of the templates).
+
+Defined cases: null and empty texts and items shorter than ``least_literal`` tokens match nothing (items of
+``least_literal`` words, though fewer tokens, are compared as words);
 equal windows inside an item count once per position; rows of equal doc_id and text are one
 text; null item ids are no items; an empty table on either side finds nothing; other
 columns are ignored.
@@ -20,6 +25,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -61,17 +67,22 @@ def templates(marked_text: Column) -> Column:
     return F.split(F.regexp_replace(marked_text, rf"([{NAME}-{UNIT}])[^ ]+", "$1"), " ")
 
 
+def plain(text: Column) -> Column:
+    """The lower-case words of a text: runs of letters, marks and digits."""
+    return F.split(F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{M}\p{N}]+", " ")), " ")
+
+
 def _text_key() -> Column:
     return F.unhex(F.md5(F.col("text").cast("string").cast("binary")))
 
 
 def items(benchmark: DataFrame) -> DataFrame:
-    """(item_id, marked_tokens, tokens) of the items."""
+    """(item_id, marked_tokens, tokens, words) of the items."""
     text = marked(F.col("text").cast("string"))
     return (
         benchmark.filter("item_id IS NOT NULL AND text IS NOT NULL")
-        .select("item_id", text.alias("marked"))
-        .select("item_id", F.split("marked", " ").alias("marked_tokens"), templates(F.col("marked")).alias("tokens"))
+        .select("item_id", text.alias("marked"), plain(F.col("text").cast("string")).alias("words"))
+        .select("item_id", F.split("marked", " ").alias("marked_tokens"), templates(F.col("marked")).alias("tokens"), "words")
     )
 
 
@@ -89,17 +100,23 @@ def item_windows(item_rows: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
+def word_windows(item_rows: DataFrame, settings: Settings) -> DataFrame:
+    """(item_id, item_pos, window, length), one row per window of words."""
+    words = item_rows.select("item_id", F.col("words").alias("tokens"))
+    return item_windows(words, settings)
+
+
 def _hash_at(length: int):
     return lambda at: F.xxhash64(F.slice("tokens", at, F.lit(length)))
 
 
-def matches(docs: DataFrame, wanted: DataFrame, lengths: list[int]) -> DataFrame:
+def matches(docs: DataFrame, wanted: DataFrame, lengths: list[int], tokens_of: Callable[[Column], Column]) -> DataFrame:
     """(doc, pos, item_id, item_pos, length): windows of documents that equal windows of items."""
     few = wanted.count() <= SMALL_ROWS
     wanted = F.broadcast(wanted) if few else wanted
     found = None
     for length in lengths:  # one pass per length; more than one only if items are shorter than the window
-        tokens = docs.select(_text_key().alias("doc"), templates(marked(F.col("text").cast("string"))).alias("tokens"))
+        tokens = docs.select(_text_key().alias("doc"), tokens_of(F.col("text").cast("string")).alias("tokens"))
         # A shorter text has one window, which equals none; posexplode_outer, as a filter on the
         # size of the array would have the optimiser compute all hashes twice.
         hashed = tokens.select(
@@ -152,28 +169,20 @@ def slot_conflicts(docs: DataFrame, item_rows: DataFrame, found: DataFrame) -> D
     return forward.join(backward, here).select(*here, "slots", F.least("forward", "backward").alias("agreeing"))
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Pairs of a document and an item found in it.
-
-    doc_id, doc (digest of the text), item_id, n_windows, item_windows, n_slots, n_agreeing.
-    """
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).filter("text IS NOT NULL")
-    item_rows = stage(items(benchmark), "items")
-    wanted = stage(item_windows(item_rows, settings), "item-windows")
+def _found(docs: DataFrame, wanted: DataFrame, settings: Settings, tokens_of: Callable[[Column], Column], name: str) -> DataFrame:
     lengths = sorted(r[0] for r in wanted.select("length").distinct().collect())  # at most ``window`` numbers
-    found = stage(matches(texts, wanted, lengths or [settings.window]).distinct(), "item-matches")
-    slots = slot_conflicts(texts, item_rows, found)
-    diagonals = found.select("doc", "item_id", "item_pos", (F.col("pos") - F.col("item_pos")).alias("diagonal"))
-    consistent = diagonals.join(slots, ["doc", "item_id", "diagonal"], "left").filter(
-        F.col("slots").isNull() | (F.col("agreeing") >= F.col("slots") * settings.slot_agreement)
-    )
+    return stage(matches(docs, wanted, lengths or [settings.window], tokens_of).distinct(), name)
+
+
+def _covered(found: DataFrame, wanted: DataFrame, settings: Settings) -> DataFrame:
+    """(doc, item_id, n_windows, n_slots, n_agreeing, item_windows) of the items covered by ``found``."""
     total = wanted.groupBy("item_id").agg(F.count("*").alias("item_windows"))
-    per_diagonal = consistent.groupBy("doc", "item_id", "diagonal").agg(
+    per_diagonal = found.groupBy("doc", "item_id", "diagonal").agg(
         F.collect_set("item_pos").alias("covered"),
         F.coalesce(F.max("slots"), F.lit(0)).alias("slots"),
         F.coalesce(F.max("agreeing"), F.lit(0)).alias("agreeing"),
     )
-    texts_found = (
+    return (
         per_diagonal.groupBy("doc", "item_id")
         .agg(
             F.size(F.array_distinct(F.flatten(F.collect_list("covered")))).cast("long").alias("n_windows"),
@@ -182,7 +191,34 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, settings: Settings = Set
         )
         .join(total, "item_id")
         .filter(F.col("n_windows") >= F.col("item_windows") * settings.coverage)
+        .select("doc", "item_id", "n_windows", "n_slots", "n_agreeing", "item_windows")
+    )
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """Pairs of a document and an item found in it.
+
+    doc_id, doc (digest of the text), item_id, n_windows, item_windows, n_slots, n_agreeing.
+    """
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).filter("text IS NOT NULL")
+    item_rows = stage(items(benchmark), "items")
+    wanted = stage(item_windows(item_rows, settings), "item-windows")
+    found = _found(texts, wanted, settings, lambda text: templates(marked(text)), "item-matches")
+    slots = slot_conflicts(texts, item_rows, found)
+    diagonals = found.select("doc", "item_id", "item_pos", (F.col("pos") - F.col("item_pos")).alias("diagonal"))
+    consistent = diagonals.join(slots, ["doc", "item_id", "diagonal"], "left").filter(
+        F.col("slots").isNull() | (F.col("agreeing") >= F.col("slots") * settings.slot_agreement)
+    )
+    verbatim = stage(word_windows(item_rows, settings), "item-words")
+    copies = _found(texts, verbatim, settings, plain, "item-copies").select(
+        "doc", "item_id", "item_pos", (F.col("pos") - F.col("item_pos")).alias("diagonal"),
+        F.lit(0).cast("long").alias("slots"), F.lit(0).cast("long").alias("agreeing"),
+    )
+    either = _covered(consistent, wanted, settings).withColumn("by_template", F.lit(1)).union(
+        _covered(copies, verbatim, settings).withColumn("by_template", F.lit(0))
     )
+    better = F.struct(F.col("n_windows") / F.col("item_windows"), "by_template", "n_windows", "item_windows", "n_slots", "n_agreeing")
+    texts_found = either.groupBy("doc", "item_id").agg(F.max(better).alias("best")).select("doc", "item_id", "best.*")
     ids = texts.select("doc_id", _text_key().alias("doc")).distinct()
     return ids.join(texts_found, "doc").select(
         "doc_id", "doc", "item_id", "n_windows", "item_windows", "n_slots", "n_agreeing"
