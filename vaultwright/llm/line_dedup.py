@@ -81,19 +81,29 @@ def runs(similarity: float) -> tuple[int, np.ndarray]:
     return window, np.where(shared > 0, shared - window + 1, 0)
 
 
-def minimizers(lines: list[str], similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Offsets of each line's keys, the keys, and per line the number of words and ``BITS`` bits of them (as longs)."""
-    window, choices = runs(similarity)
+def _words(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The hash and the line of each word, and the places of the lines' first words."""
     buffer = np.frombuffer("\n".join(lines).encode("utf-8", "replace"), np.uint8)
     edges = np.concatenate([[0], np.flatnonzero(buffer == 10) + 1, [len(buffer) + 1]])
     starts, ends = word_spans(buffer)
     words = hash_words(buffer, starts, ends)
     first = np.searchsorted(starts, edges)
-    count = np.diff(first)
-    line = np.repeat(np.arange(len(lines)), count)
+    return words, np.repeat(np.arange(len(lines)), np.diff(first)), first
+
+
+def word_bits(lines: list[str]) -> np.ndarray:
+    """Per line the number of its words and a bitmap of them, as longs."""
+    words, line, first = _words(lines)
     bits = np.zeros((len(lines), BITS), bool)
     bits[line, (mix(words) >> np.uint64(40)).astype(np.int64) % BITS] = True
-    facts = np.column_stack([count, np.packbits(bits, axis=1).view(np.int64)]) if lines else np.zeros((0, 1 + BITS // 64), np.int64)
+    return np.column_stack([np.diff(first), np.packbits(bits, axis=1).view(np.int64).reshape(len(lines), BITS // 64)])
+
+
+def minimizers(lines: list[str], similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets of each line's keys, and the keys."""
+    window, choices = runs(similarity)
+    words, line, first = _words(lines)
+    count = np.diff(first)
     gram, n = np.zeros(len(words), np.uint64), len(words)
     for k in range(window):
         after = np.zeros(n, np.uint64)
@@ -110,12 +120,12 @@ def minimizers(lines: list[str], similarity: float) -> tuple[np.ndarray, np.ndar
         for k in range(w):
             chosen[k:] |= whole[: n - k] & (gram[k:] == least[: n - k])
     at = np.flatnonzero(chosen)
-    return np.searchsorted(line[at], np.arange(len(lines) + 1)).astype(np.int32), gram[at].view(np.int64), facts
+    return np.searchsorted(line[at], np.arange(len(lines) + 1)).astype(np.int32), gram[at].view(np.int64)
 
 
 def keys_of(lines: list[str], settings: Settings) -> list[list[int]]:
     """The keys of normalised lines."""
-    offsets, keys, _ = minimizers(lines, settings.similarity)
+    offsets, keys = minimizers(lines, settings.similarity)
     return [keys[i:j].tolist() for i, j in zip(offsets[:-1], offsets[1:])]
 
 
@@ -142,24 +152,31 @@ def _text_key():
     return F.unhex(F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")))
 
 
+def _pieces(texts: list[str | None]) -> Iterator[tuple[int, int]]:
+    """Neighbouring texts of about 4 MB."""
+    start = 0
+    while start < len(texts):
+        stop, size = start, 0
+        while stop < len(texts) and size < 4 << 20:
+            size += len(texts[stop] or "")
+            stop += 1
+        yield start, stop
+        start = stop
+
+
 def lines(docs: DataFrame, settings: Settings) -> DataFrame:
-    """One row per distinct text of a doc_id and line that takes part: doc_id, doc, line, node, keys, fact."""
+    """One row per distinct text of a doc_id and line that takes part: doc_id, doc, line, node, fact."""
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), _text_key().alias("doc"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            start = 0
-            while start < len(texts):  # about 4 MB of text at a time
-                stop, size = start, 0
-                while stop < len(texts) and size < 4 << 20:
-                    size += len(texts[stop] or "")
-                    stop += 1
+            for start, stop in _pieces(texts):
                 found = [_split(t, settings.least_words) for t in texts[start:stop]]
                 owner = pa.array(np.repeat(np.arange(start, stop), [len(f) for f in found]))
                 flat = [line for f in found for line in f]
                 clean = [c for _, c in flat]
-                offsets, keys, facts = minimizers(clean, settings.similarity)
+                facts = word_bits(clean)
                 places = np.arange(0, facts.size + 1, facts.shape[1], dtype=np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -167,15 +184,31 @@ def lines(docs: DataFrame, settings: Settings) -> DataFrame:
                         batch.column("doc").take(owner),
                         pa.array([n for n, _ in flat], pa.int32()),
                         pa.array([_digest(c) for c in clean], pa.binary()),
-                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys)),
                         pa.ListArray.from_arrays(pa.array(places), pa.array(facts.ravel())),
                     ],
-                    names=["doc_id", "doc", "line", "node", "keys", "fact"],
+                    names=["doc_id", "doc", "line", "node", "fact"],
                 )
-                start = stop
 
     kind = dict(docs.dtypes)["doc_id"]
-    return rows.mapInArrow(cut, f"doc_id {kind}, doc binary, line int, node binary, keys array<long>, fact array<long>")
+    return rows.mapInArrow(cut, f"doc_id {kind}, doc binary, line int, node binary, fact array<long>")
+
+
+def line_keys(docs: DataFrame, settings: Settings) -> DataFrame:
+    """(ref, key): the keys of lines; ref is the first eight bytes of the line's node."""
+    rows = docs.select(F.col("text").cast("string").alias("text"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            for start, stop in _pieces(texts):
+                clean = list({c for t in texts[start:stop] for _, c in _split(t, settings.least_words)})
+                offsets, keys = minimizers(clean, settings.similarity)
+                refs = np.frombuffer(b"".join(_digest(c)[:8] for c in clean), ">i8").astype(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(refs, np.diff(offsets))), pa.array(keys)], names=["ref", "key"]
+                )
+
+    return rows.mapInArrow(cut, "ref long, key long")
 
 
 def line_texts(docs: DataFrame, wanted: DataFrame, settings: Settings) -> DataFrame:
@@ -217,15 +250,15 @@ def repeated_lines(docs: DataFrame, settings: Settings = Settings()) -> DataFram
     found = stage(lines(docs, settings), "lines")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "doc", "line")
     distinct = stage(
-        found.groupBy("node").agg(
-            F.min(place).alias("first"), F.count("*").alias("n"), F.first("keys").alias("keys"), F.first("fact").alias("fact")
-        ),
+        found.groupBy("node").agg(F.min(place).alias("first"), F.count("*").alias("n"), F.first("fact").alias("fact")),
         "line-kinds",
     )
     # Most keys are in one line only; the others are kept, with one exchange for both sides.
-    keyed = distinct.select("node", F.explode(F.array_distinct("keys")).alias("key")).repartition("key")
-    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
-    members = stage(keyed.join(shared, "key").select("node", "key"), "line-keys")
+    keyed = line_keys(docs, settings).repartition("key")
+    shared = keyed.groupBy("key").agg(F.min("ref").alias("lo"), F.max("ref").alias("hi")).filter("lo <> hi").select("key")
+    kept = stage(keyed.join(shared, "key").select("ref", "key").distinct(), "line-keys")
+    ref = F.conv(F.hex(F.substring("node", 1, 8)), 16, -10).cast("long")
+    members = stage(kept.join(distinct.select(ref.alias("ref"), "node"), "ref").select("node", "key"), "line-members")
 
     def verify(pairs: DataFrame) -> DataFrame:
         nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
@@ -241,7 +274,7 @@ def repeated_lines(docs: DataFrame, settings: Settings = Settings()) -> DataFram
         differing = sum((F.bit_count(a[k].bitwiseXOR(b[k])) for k in range(1, 1 + BITS // 64)), F.lit(0))
         return (F.abs(a[0] - b[0]) <= allowed) & (differing <= 2 * allowed)
 
-    facts = distinct.filter("size(keys) > 0").select("node", "fact")
+    facts = distinct.select("node", "fact")
     labels, _ = classes(members, verify, settings.seeds, facts=facts, plausible=plausible)
     rooted = distinct.select("node", "first", "n").join(labels, "node", "left")
     rooted = rooted.select("node", "first", "n", F.coalesce("root", "node").alias("root"))
