@@ -148,3 +148,8 @@ def test_equal_short_lines_and_scripts_without_spaces(documents):
     rows = [(i, f"{own[i]}\nRead more\n保留所有权利。\n\nAll rights reserved.{'!' * i}\nOnly {'abcd'[i]}") for i in range(4)]
     found = {r["doc_id"]: r["removed"] for r in d.report(documents(rows)).collect()}
     assert found == {0: [], 1: [1, 2, 4], 2: [1, 2, 4], 3: [1, 2, 4]}
+
+
+def test_no_lines_at_all(documents):
+    assert d.word_bits([]).shape == (0, 1 + d.BITS // 64) and d.keys_of([], d.Settings()) == []
+    assert [r["n_removed"] for r in d.report(documents([(1, None), (2, "\n")])).collect()] == [0, 0]

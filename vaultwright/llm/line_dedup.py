@@ -96,7 +96,7 @@ def word_bits(lines: list[str]) -> np.ndarray:
     words, line, first = _words(lines)
     bits = np.zeros((len(lines), BITS), bool)
     bits[line, (mix(words) >> np.uint64(40)).astype(np.int64) % BITS] = True
-    return np.column_stack([np.diff(first), np.packbits(bits, axis=1).view(np.int64).reshape(len(lines), BITS // 64)])
+    return np.column_stack([np.diff(first)[: len(lines)], np.packbits(bits, axis=1).view(np.int64).reshape(len(lines), BITS // 64)])
 
 
 def minimizers(lines: list[str], similarity: float) -> tuple[np.ndarray, np.ndarray]:
