@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from vaultwright.llm import (
+    bpe,
+    collocations,
     context_mixing,
     html_text,
     line_dedup,
@@ -20,6 +22,7 @@ from vaultwright.llm import (
     template_decontamination,
     toxicity,
     warc,
+    whitening,
 )
 from vaultwright.llm.common import table
 
@@ -109,6 +112,30 @@ def op1_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context_mixing.score(table(spark, sf_dir, "documents"))
 
 
+@text_query()
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = bpe.Vocabulary.load(bpe.default_vocabulary())
+    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary)
+    decoded = bpe.decode(encoded, vocabulary)
+    return decoded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2(bpe.packed("ids"), 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+@text_query()
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return whitening.whiten(vectors, whitening.fit(vectors))
+
+
+@text_query(sql.collocations())
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
 @text_query(corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)

@@ -155,3 +155,36 @@ def quotation_linking() -> str:
              regexp_replace(coalesce(t, ''), '^[\x00-\x20]+|[\x00-\x20]+$', '', 'g') END AS text
     FROM conversations c JOIN tree USING (conv_id, turn) JOIN positions USING (conv_id, turn)
     LEFT JOIN origins USING (conv_id, turn) LEFT JOIN own USING (conv_id, turn)"""
+
+
+def collocations() -> str:
+    """All phrases of up to four words, counted."""
+    return r"""
+    WITH p AS (SELECT coalesce(lang, 'und') AS lang,
+                      unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                             'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+               FROM documents),
+    w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+    places AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w),
+    sizes AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM w GROUP BY lang),
+    grams AS (SELECT lang, ws[i:i + k] AS g FROM places, range(4) AS steps(k) WHERE i + k <= len(ws)),
+    f AS (SELECT lang, g, CAST(count(*) AS BIGINT) AS f FROM grams GROUP BY ALL HAVING count(*) >= 30),
+    cand AS (SELECT * FROM f WHERE len(g) > 1),
+    inner_parts AS (
+      SELECT lang, g[1:len(g) - 1] AS g, f FROM cand WHERE len(g) > 2 UNION ALL
+      SELECT lang, g[2:] AS g, f FROM cand WHERE len(g) > 2 UNION ALL
+      SELECT lang, g[1:2] AS g, f FROM cand WHERE len(g) = 4 UNION ALL
+      SELECT lang, g[2:3] AS g, f FROM cand WHERE len(g) = 4 UNION ALL
+      SELECT lang, g[3:] AS g, f FROM cand WHERE len(g) = 4),
+    longer AS (SELECT lang, g, max(f) AS f FROM inner_parts GROUP BY ALL),
+    cuts AS (SELECT lang, g, f AS a, unnest(range(1, len(g))) AS k FROM cand),
+    scored AS (SELECT cuts.lang, cuts.g, a, k, x.f AS l, y.f AS r, CAST(CAST(2000000 AS HUGEINT) * a // (x.f + y.f) AS BIGINT) AS score
+               FROM cuts JOIN f x ON x.lang = cuts.lang AND x.g = cuts.g[1:k]
+               JOIN f y ON y.lang = cuts.lang AND y.g = cuts.g[k + 1:]),
+    best AS (SELECT lang, g, a, min((score, k, l, r)) AS cut FROM scored GROUP BY ALL),
+    kept AS (SELECT best.lang, array_to_string(best.g, ' ') AS phrase, a, cut[3] AS l, cut[4] AS r, cut[1] AS score
+             FROM best LEFT JOIN longer ON longer.lang = best.lang AND longer.g = best.g
+             WHERE longer.f IS NULL OR CAST(100 AS HUGEINT) * longer.f < CAST(80 AS HUGEINT) * a)
+    SELECT kept.lang, rank, phrase, a, l, r, n, score
+    FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept) kept
+    JOIN sizes ON sizes.lang = kept.lang WHERE rank <= 2000"""
