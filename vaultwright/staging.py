@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -40,18 +41,22 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-_kept_track: list[list[str]] = []
+# The folders to remove, for the thread and block that staged them.
+_for_now: ContextVar[list[str] | None] = ContextVar("staged_for_now", default=None)
 
 
 @contextmanager
 def staged_for_now(spark: SparkSession) -> Iterator[None]:
-    """Remove at the end what was staged meanwhile; nothing may read it afterwards."""
+    """Remove at the end what this thread staged meanwhile; nothing may read it afterwards.
+
+    Blocks in other threads, such as other streams, and blocks inside this one keep to their own.
+    """
     folders: list[str] = []
-    _kept_track.append(folders)
+    before = _for_now.set(folders)
     try:
         yield
     finally:
-        _kept_track.remove(folders)
+        _for_now.reset(before)
         jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
         for folder in folders:
             path = jvm.org.apache.hadoop.fs.Path(folder)
@@ -65,7 +70,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     columns they need.
     """
     path = new_folder(df.sparkSession, name)
-    for folders in _kept_track:
+    folders = _for_now.get()
+    if folders is not None:
         folders.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
