@@ -305,10 +305,11 @@ def test_wrong_types_and_specs(spark):
     for bad in (
         {"fk": ["a", "b"]},
         {"from_date": ["a", "b"]},
-        {"attributes": []},
         {"first_run": "x"},
         {"to_date_col": "until", "max_flag": "4000-01-01"},
         {"attributes": ["value", "at"]},
     ):
         with pytest.raises(ValueError):
             SatSpec(**{"table": "s", "fk": "fk", "from_date": "at", "attributes": ["value"], **bad})
+    with pytest.warns(UserWarning, match="no attributes"):
+        assert SatSpec(table="s", fk="fk", from_date="at", attributes=[]).attributes == {}

@@ -1,6 +1,8 @@
 import random
 import uuid
 from datetime import datetime
+from pathlib import Path
+from threading import Event, Thread
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -22,7 +24,7 @@ from vaultwright.sources import (
     staged_for_now,
     target_schema,
 )
-from vaultwright.sources import history as history_module
+from vaultwright.sources.files import Folder
 from vaultwright.spec import SEQUENCE, HubSpec, LinkSpec, SatSpec
 from vaultwright.streaming import load_stream
 
@@ -123,112 +125,115 @@ def contents(table):
 
 
 def test_satellite_store_against_the_view(spark, folder):
-    """Batches in any time order: stored to-dates stay equal to computed ones."""
+    """Batches in any time order, compacted at times: stored to-dates stay equal to computed ones."""
     rng = random.Random(23)
     store = SatelliteStore(spark, f"{folder}/sat", TEMPORAL, buckets=3)
-    total = 0
-    for n in range(4):
+    total = closed = 0
+    for n in range(6):
         batch = frame(spark, random_records(rng, 40, 4, 25))
-        load = load_satellite(batch, store.read(), TEMPORAL, order_by="pos")
-        counts = store.apply(load, f"load {n}")
+        counts = load_into(store, batch, TEMPORAL, load_id=f"load {n}", order_by="pos").metrics
         total += counts["inserted"]
+        closed += counts["updated"]
         table = store.read()
         assert contents(table) == contents(validity_view(table.drop("until"), TEMPORAL))
-    assert table.count() == total
-    assert counts["closed"] > 0
-    layout = spark.read.parquet(f"{folder}/sat")
-    assert layout.filter("(_state = 'open') <> (until = timestamp_ntz'4000-01-01')").count() == 0
+        if n in (1, 2, 4):
+            before = contents(table)
+            assert store.compact() == (1 if n == 2 else 2)
+            assert contents(store.read()) == before and store.version() == n + 1
+    assert store.read().count() == total and closed > 0
+    state = store.read(with_state=True)
+    assert state.filter("(_state = 'open') <> (until = timestamp_ntz'4000-01-01')").count() == 0
+    assert state.filter("_ends < until").count() == 0
 
 
 DAY = 24 * 3600 * 1000
 
 
-def layout(spark, folder):
-    """Files by (state, bucket, range)."""
-    files = spark.read.parquet(f"{folder}/sat").select("_state", "_bucket", "_range", F.input_file_name().alias("file"))
-    found = {}
-    for r in files.distinct().collect():
-        found.setdefault((r["_state"], r["_bucket"], r["_range"]), set()).add(r["file"])
-    return found
+def files(folder):
+    root = Path(folder.removeprefix("file:")) / "sat"
+    return {str(p.relative_to(root)): p.stat().st_mtime_ns for p in root.rglob("*.parquet")}
 
 
-def test_small_loads_keep_the_number_of_partitions(spark, folder):
-    """Loads on six days, then a late record that rewrites one range only."""
-    store = SatelliteStore(spark, f"{folder}/sat", TEMPORAL, buckets=2, closed_range="week")
+def rows_of(spark, folder, part):
+    return spark.read.parquet(f"{folder}/sat/{part}").count()
+
+
+def test_a_load_writes_only_its_own_rows(spark, folder):
+    """Loads on six days, then a late record: no file changes, one directory with two rows is new."""
+    store = SatelliteStore(spark, f"{folder}/sat", TEMPORAL, buckets=2)
     for n in range(0, 12, 2):
         load_into(store, frame(spark, [(fk, n * DAY, f"v{n}") for fk in range(4)]), TEMPORAL)
-    before = layout(spark, folder)
-    ranges = {r for _, _, r in before}
-    assert len(ranges) <= 4 and len(before) <= 2 * len(ranges)
-    assert load_into(store, frame(spark, [(1, 3 * DAY, "late")]), TEMPORAL).metrics == {"inserted": 1, "updated": 1}
-    after = layout(spark, folder)
-    changed = {p for p in after if after[p] != before.get(p)}
-    closed = {p for p in changed if p[0] == "closed"}
-    assert after.keys() == before.keys() and len(closed) == 1 and len(changed) <= 2
+    before = files(folder)
+    assert load_into(store, frame(spark, [(1, 3 * DAY, "late")]), TEMPORAL, load_id="late").metrics == {
+        "inserted": 1, "updated": 1
+    }
+    after = files(folder)
+    assert before.items() <= after.items()
+    assert {p.split("/")[1] for p in after.keys() - before.keys()} == {"0000000007-1-1-late"}
+    assert rows_of(spark, folder, "loads/0000000007-1-1-late") == 2
     table = store.read()
     assert contents(table) == contents(validity_view(table.drop("until"), TEMPORAL)) and table.count() == 25
-    with pytest.raises(ValueError, match="closed range"):
-        SatelliteStore(spark, f"{folder}/sat", TEMPORAL, buckets=2).read()
+    assert store.compact() == 7 and store.compact() == 0
+    assert contents(store.read()) == contents(table)
+    assert rows_of(spark, folder, "base/7") == 25
+    assert len([p for p in files(folder) if p.startswith("base/")]) <= 2
+
+
+def test_late_scans_skip_what_ended_before(spark, folder):
+    """The bound of a load reaches the scan, also where closings are merged above it."""
+    store = SatelliteStore(spark, f"{folder}/sat", TEMPORAL, buckets=1)
+    for n in (1, 5, 9):
+        load_into(store, frame(spark, [(1, n * DAY, f"v{n}"), (2, n * DAY, "same")]), TEMPORAL)
+    batch = frame(spark, [(1, 7 * DAY, "late")])
+    load = load_satellite(batch, store.read(with_state=True), TEMPORAL, lookback="to_date")
+    plan = load.changes._jdf.queryExecution().executedPlan().toString()
+    assert any("Filter" in line and "until" in line and "Join" not in line for line in plan.splitlines())
+    assert {r["at"] for r in load.inserts.collect()} == {at(7 * DAY)}
+    assert [(r["at"], r["until"]) for r in load.closings.collect()] == [(at(5 * DAY), at(7 * DAY))]
 
 
 def test_satellite_store_goes_on_after_a_crash(spark, folder, monkeypatch):
+    """Nothing of a load is there before its last step, and everything after it."""
     store = SatelliteStore(spark, f"{folder}/sat", TEMPORAL, buckets=2)
     store.apply(load_satellite(frame(spark, [(1, 1, "A"), (2, 1, "A")]), None, TEMPORAL), "one")
     batch = frame(spark, [(1, 5, "B"), (2, 5, "A")])
 
-    log = SatelliteStore._log
-
-    def crash_before(step):
-        def logging(self, load_id, step_, *args):
-            if step_ == step:
-                raise RuntimeError("lost")
-            log(self, load_id, step_, *args)
-
-        return logging
+    def crash(self, *args):
+        raise RuntimeError("lost")
 
+    monkeypatch.setattr(Folder, "move", crash)
+    with pytest.raises(RuntimeError, match="lost"):
+        load_into(store, batch, TEMPORAL, load_id="two")
+    monkeypatch.undo()
+    assert contents(store.read()) == {(1, at(1), "A", MAX), (2, at(1), "A", MAX)} and store.version() == 1
     expected = {
         (1, at(1), "A", at(5)),
         (1, at(5), "B", MAX),
         (2, at(1), "A", MAX),
     }
-    for step in ("staged", "applied"):
-        monkeypatch.setattr(history_module.SatelliteStore, "_log", crash_before(step))
-        with pytest.raises(RuntimeError, match="lost"):
-            store.apply(load_satellite(batch, store.read(), TEMPORAL), "two")
-    monkeypatch.undo()
-    with pytest.raises(RuntimeError, match="half applied"):
-        store.read()
-    assert store.recover() == "two" and store.recover() is None
     for _ in range(2):
-        counts = store.apply(load_satellite(batch, store.read(), TEMPORAL), "two")
-        assert counts == {"inserted": 1, "closed": 1}
+        assert load_into(store, batch, TEMPORAL, load_id="two").metrics == {"inserted": 1, "updated": 1}
         assert contents(store.read()) == expected
-    with pytest.raises(ValueError, match="another buckets"):
-        SatelliteStore(spark, f"{folder}/sat", TEMPORAL, buckets=5).read()
+    monkeypatch.setattr(Folder, "move", crash)
+    with pytest.raises(RuntimeError, match="lost"):
+        store.compact()
+    monkeypatch.undo()
+    assert contents(store.read()) == expected and store.compact() == 2
+    # Known by name also when it is folded.
+    assert load_into(store, batch, TEMPORAL, load_id="two").metrics == {"inserted": 1, "updated": 1}
+    assert contents(store.read()) == expected and store.version() == 2
 
 
-def test_a_later_load_cannot_be_wiped_out(spark, folder, monkeypatch):
-    """Load two is staged and crashes; three and a retry of two follow: all records are there."""
+def test_a_load_from_an_older_state_is_refused(spark, folder):
     store = SatelliteStore(spark, f"{folder}/sat", TEMPORAL, buckets=1)
     load_into(store, frame(spark, [(1, 1, "A")]), TEMPORAL, load_id="one")
-    two, three = frame(spark, [(2, 2, "B")]), frame(spark, [(3, 3, "C")])
-    stale = load_satellite(three, store.read(with_state=True), TEMPORAL)
+    stale = load_satellite(frame(spark, [(3, 3, "C")]), store.read(with_state=True), TEMPORAL)
     version = store.version()
-
-    def crash(self, *args):
-        raise RuntimeError("lost")
-
-    monkeypatch.setattr(history_module.SatelliteStore, "_finish", crash)
-    with pytest.raises(RuntimeError, match="lost"):
-        load_into(store, two, TEMPORAL, load_id="two")
-    monkeypatch.undo()
-    with pytest.raises(RuntimeError, match="half applied"):
-        store.apply(stale, "three", version)
-    load_into(store, three, TEMPORAL, load_id="three")
-    assert load_into(store, two, TEMPORAL, load_id="two").metrics == {"inserted": 1, "updated": 0}
-    assert contents(store.read()) == {(1, at(1), "A", MAX), (2, at(2), "B", MAX), (3, at(3), "C", MAX)}
+    load_into(store, frame(spark, [(2, 2, "B")]), TEMPORAL, load_id="a/b - c")
     with pytest.raises(RuntimeError, match="has changed"):
-        store.apply(stale, "four", version)
+        store.apply(stale, "three", version)
+    assert store.applied("a/b - c") == {"inserted": 1, "closed": 0} and store.applied("three") is None
+    assert contents(store.read()) == {(1, at(1), "A", MAX), (2, at(2), "B", MAX)}
 
 
 def test_open_records_do_not_depend_on_flag_or_time_zone(spark, folder):
@@ -242,8 +247,8 @@ def test_open_records_do_not_depend_on_flag_or_time_zone(spark, folder):
         assert load_into(store, zoned([(1, 10**8, "B")]), spec).metrics == {"inserted": 1, "updated": 1}
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
-    layout = spark.read.parquet(f"{folder}/sat").groupBy("_state").count().collect()
-    assert {r["_state"]: r["count"] for r in layout} == {"open": 1, "closed": 1}
+    states = store.read(with_state=True).groupBy("_state").count().collect()
+    assert {r["_state"]: r["count"] for r in states} == {"open": 1, "closed": 1}
     other = SatSpec(
         table="s", fk="fk", from_date="at", attributes="value", to_date_col="until", max_flag="31-12-9999"
     )
@@ -292,6 +297,53 @@ def test_staged_for_now(spark):
         spark.read.parquet(folder)
 
 
+def test_staged_for_now_keeps_to_its_thread(spark):
+    """What others stage stays, whatever ends meanwhile; so does what an inner block leaves to the outer one."""
+    inside, go_on = Event(), Event()
+
+    def other():
+        with staged_for_now(spark):
+            inside.set()
+            go_on.wait(60)
+
+    thread = Thread(target=other)
+    thread.start()
+    inside.wait(60)
+    kept = stage(spark.range(3), "kept")
+    with staged_for_now(spark):
+        outer = stage(spark.range(4), "outer")
+        with staged_for_now(spark):
+            inner = stage(spark.range(5), "inner").inputFiles()[0]
+        assert outer.count() == 4
+        with pytest.raises(AnalysisException):
+            spark.read.parquet(inner)
+        go_on.set()
+        thread.join()
+        assert outer.count() == 4
+    assert kept.count() == 3
+
+
+def test_two_streams_beside_a_batch_load(spark, folder):
+    """Micro-batches of two streams and a batch chain stage at the same time; none removes what another reads."""
+    streams, targets = [], []
+    for name in ("x", "y"):
+        source = f"{folder}/in_{name}"
+        for n in range(3):
+            frame(spark, [(fk, n * 10 + 1, f"{name}{n}") for fk in range(5)]).write.mode("append").parquet(source)
+        read = spark.readStream.schema(frame(spark, []).schema).option("maxFilesPerTrigger", 1).parquet(source)
+        target = SatelliteStore(spark, f"{folder}/{name}", TEMPORAL, buckets=1)
+        targets.append(target)
+        streams.append(load_stream(read, target, TEMPORAL, checkpoint=f"{folder}/progress_{name}"))
+    staged = stage(frame(spark, [(fk, 1, "b") for fk in range(50)]), "batch")
+    while any(s.isActive for s in streams):
+        assert staged.count() == 50
+        load_into(ParquetTable(spark, f"{folder}/batch_{uuid.uuid4().hex}"), pairs(spark, ["a", "b"]), HUB)
+    for query, target in zip(streams, targets):
+        query.awaitTermination()
+        assert target.read().count() == 15
+    assert staged.count() == 50
+
+
 def test_targets_must_fit_the_specification(spark, folder):
     plain = SatSpec(table="s", fk="fk", from_date="at", attributes=["value"])
     with pytest.raises(ValueError, match="no to-date"):

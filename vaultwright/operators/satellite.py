@@ -54,8 +54,9 @@ HAS_PREV, REPEATS, REPEATED, NEXT = "__has_prev", "__repeats", "__repeated", "__
 FIRST_CHANGE, FIRST_STORED = "__first_change", "__first_stored"
 
 IS_CLOSING, WAS_OPEN = "is_closing", "was_open"
-# Column of a satellite store that tells open from closed records.
-STATE = "_state"
+# Columns of a satellite store: open or closed, and the to-date that a record was stored with, which
+# is no earlier than the one that counts now.
+STATE, ENDS = "_state", "_ends"
 
 
 @dataclass(frozen=True)
@@ -137,7 +138,10 @@ def load_satellite(
         return SatLoad(df, _table_form(inserts, df, table, spec, names, load_ts), None, rejects)
 
     if table is not None and lookback == "to_date":
-        table = table.filter(column(spec.to_date_col) >= batch.agg(F.min(FROM)).scalar())
+        first = batch.agg(F.min(FROM)).scalar()
+        if ENDS in table.columns:
+            table = table.filter(F.col(ENDS) >= first)  # tested while scanning
+        table = table.filter(column(spec.to_date_col) >= first)
     stored = _of_parents(_stored(table, spec, names), parents)
     if stored is not None:
         if lookback == "from_date":

@@ -57,7 +57,6 @@ def _satellite_into(target, df, spec, load_id, options) -> Loaded:
             raise ValueError(f"{spec.table}: stored to-dates need a SatelliteStore")
         load = load_satellite(df, target.read(), spec, **options)
         return Loaded(load.output, {"inserted": _append(target, load.inserts), "updated": 0})
-    target.recover()
     done = target.applied(load_id) if load_id else None
     load = None
     if done is None:

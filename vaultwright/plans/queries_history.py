@@ -358,18 +358,57 @@ def sat_todate_virtual(spark, sf_dir):
     return validity_view(stored.unionByName(added), order_status(to_date_col="valid_to"))
 
 
-@query(f"WITH {SQL_OUT_OF_ORDER} {SELECT_TABLE}")
-def sat_todate_materialized(spark, sf_dir):
-    """Two loads written to a table that stores to-dates."""
+def _two_loads(spark, sf_dir) -> SatelliteStore:
+    """Orders of even years, then those of odd years, which come late and close stored records."""
     spec = order_status(to_date_col="valid_to")
     store = SatelliteStore(spark, new_folder(spark, "sat_order_status"), spec, buckets=8)
     orders = _orders(spark, sf_dir)
     even = F.year("o_orderdate") % 2 == 0
     for load_id, batch in (("even", orders.filter(even)), ("odd", orders.filter(~even))):
         load_into(store, batch, spec, load_id=load_id, order_by=FIRST)
+    return store
+
+
+@query(f"WITH {SQL_OUT_OF_ORDER} {SELECT_TABLE}")
+def sat_todate_materialized(spark, sf_dir):
+    """Two loads into a table that stores to-dates, the late closings merged while reading."""
+    return _two_loads(spark, sf_dir).read()
+
+
+@query(f"WITH {SQL_OUT_OF_ORDER} {SELECT_TABLE}")
+def sat_todate_compacted(spark, sf_dir):
+    """The same table after its closings were folded in."""
+    store = _two_loads(spark, sf_dir)
+    store.compact()
     return store.read()
 
 
+@query(
+    f"""WITH {SQL_OUT_OF_ORDER},
+        added AS (SELECT fk, d FROM t WHERE NOT p),
+        whole AS (SELECT fk, d, true AS old FROM stored UNION ALL SELECT fk, d, false FROM added),
+        steps AS (SELECT old, lead(old) OVER (PARTITION BY fk ORDER BY d) AS next_old FROM whole)
+        SELECT 'even' AS load_id, (SELECT count(*) FROM stored) AS inserted, CAST(0 AS BIGINT) AS updated,
+               (SELECT count(*) FROM stored) AS rows_written
+        UNION ALL
+        SELECT 'odd', (SELECT count(*) FROM added), (SELECT count(*) FROM steps WHERE old AND NOT next_old),
+               (SELECT count(*) FROM added) + (SELECT count(*) FROM steps WHERE old AND NOT next_old)"""
+)
+def sat_todate_load_sizes(spark, sf_dir):
+    """What each load counted and what it wrote: a late load writes its records and closings, no more."""
+    store = _two_loads(spark, sf_dir)
+    written = None
+    for load in store.loads():
+        counted = spark.read.parquet(load.path).agg(
+            F.lit(load.load_id).alias("load_id"),
+            F.lit(load.inserted).cast("long").alias("inserted"),
+            F.lit(load.closed).cast("long").alias("updated"),
+            F.count("*").alias("rows_written"),
+        )
+        written = counted if written is None else written.unionAll(counted)
+    return written
+
+
 @query(f"WITH {sql_timeline(sql_status(), EMPTY)} {SELECT_DATED}")
 def sat_first_run_latest(spark, sf_dir):
     spec = order_status(to_date_col="valid_to")

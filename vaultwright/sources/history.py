@@ -1,45 +1,63 @@
-"""Satellites with stored to-dates.
-
-Parquet cannot update rows, so moving a to-date means rewriting files.  The
-layout keeps that small.  A table is partitioned by
-
-* ``_state``   ``open`` for the current record of each parent, else ``closed``
-* ``_bucket``  hash of the parent key
-* ``_range``   the time range (month, unless chosen otherwise) of the to-date a record was
-               closed with, ``current`` for open ones
-
-A load in time order rewrites the open records of the buckets it touches, at
-most one per parent, and the closed ones of the range it closes records in.  Records
-that arrive late, between two stored ones, rewrite the partitions of those whose
-to-date moves.  That date only moves back and the record stays where it is, so a range is
-the latest that its to-dates can be, and no partition ever becomes empty.  There
-are no more partitions than buckets and ranges, whatever the number of loads.
-
-A load is applied in three steps, each of which can be repeated: stage the
-changes, stage the new content of all touched partitions, overwrite exactly
-those partitions.  A ledger inside the table says how far each load got.  Loads
-are applied one after the other: while one is staged but not applied, reading and
-applying fail until ``recover`` has finished it, which is safe, as nothing was
-applied since it was staged.  A load that was applied is not applied again, and a
-load that was worked out from an older state of the table is refused.
+"""Satellites with stored to-dates, merged while reading.
+
+Parquet cannot update rows, so a load never touches what is stored.  It appends one
+directory with two kinds of rows: new records, and *closings*, which name a stored
+record by parent and from-date and give it a new to-date.  A to-date only ever moves
+back, so the one that counts is the smallest of a record's own and those of its closings,
+in whatever order they came: readers need no versions, only a minimum per record.
+
+    loads/<version>-<inserted>-<closed>-<load id>   rows of one load
+    base/<version>                                  all loads up to that version, merged
+    folded/<version>                                which loads those were, and their counts
+    properties.json                                 schema and max flag
+
+A load is written aside and then moved into place by one rename, so it is there as a whole or not
+at all; a file system with atomic rename of directories is needed.  The counts in the name
+say, without reading anything, how many closings readers have to merge: none is no join, few are
+broadcast, many are shuffled.  ``compact`` folds all loads into a new base with one query.  What
+a base replaces is deleted by the compaction after it, so that readers can finish.
+
+The rows a load writes are its own, late ones included, and the number of directories follows
+the number of loads since the last compaction, whatever time span the records cover.  In the base, the files of a
+bucket are sorted by to-date, so scans that look back to a date skip the row groups that ended before.
+
+A load that was applied is not applied again, and one that was worked out from an older state of
+the table is refused.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from dataclasses import dataclass
+from functools import cached_property
+from urllib.parse import quote, unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vaultwright.functions import column
-from vaultwright.operators.satellite import IS_CLOSING, STATE, WAS_OPEN, SatLoad
-from vaultwright.staging import new_folder, read_parquet
+from vaultwright.operators.satellite import ENDS, IS_CLOSING, STATE, WAS_OPEN, SatLoad
+from vaultwright.operators.skew import BROADCAST_BYTES, ENTRY_BYTES
+from vaultwright.sources.files import Folder
 from vaultwright.spec import SatSpec
 
-BUCKET, RANGE, MOVED = "_bucket", "_range", "_moved"
-PARTITION = [STATE, BUCKET, RANGE]
-CURRENT = "current"
+OPEN, CLOSED = "open", "closed"
+# A closing in a broadcast: parent, from-date and to-date.
+CLOSING_BYTES = ENTRY_BYTES + 3 * 16
+_END = "__end"
+
+
+@dataclass(frozen=True)
+class AppliedLoad:
+    """A load in the table, with its counts; ``path`` is None once it is folded into the base."""
+
+    version: int
+    load_id: str
+    inserted: int
+    closed: int
+    path: str | None = None
 
 
 @dataclass(frozen=True)
@@ -48,211 +66,150 @@ class SatelliteStore:
     path: str
     spec: SatSpec
     buckets: int = 256
-    closed_range: str = "month"
 
     def __post_init__(self):
-        if self.closed_range not in ("day", "week", "month", "quarter", "year"):
-            raise ValueError("closed_range is 'day', 'week', 'month', 'quarter' or 'year'")
         if not self.spec.uses_to_date:
             raise ValueError(f"{self.spec.table}: has no to-date, an append-only table will do")
 
-    # The ledger's name starts with '_', so reading the table skips it.
-    @property
-    def _ledger_path(self) -> str:
-        return f"{self.path.rstrip('/')}/_ledger"
+    @cached_property
+    def _folder(self) -> Folder:
+        return Folder(self.spark, self.path)
 
-    def _read(self) -> DataFrame | None:
-        return read_parquet(self.spark, self.path)
+    # -- what is there -------------------------------------------------------
 
-    def read(self, with_state: bool = False) -> DataFrame | None:
-        """The table; ``with_state`` adds the column that tells open from closed records, as loads need it."""
-        self._must_be_whole()
-        table = self._read()
-        if table is None:
-            return None
-        return table.drop(BUCKET, RANGE) if with_state else table.drop(*PARTITION)
-
-    def _log(self, load_id, step, folder, inserted, closed):
-        entry = {
-            "load": F.lit(load_id),
-            "step": F.lit(step),
-            "folder": F.lit(folder),
-            "buckets": F.lit(self.buckets),
-            "max_flag": F.lit(self.spec.max_flag),
-            "closed_range": F.lit(self.closed_range),
-            "inserted": F.lit(inserted).cast("bigint"),
-            "closed": F.lit(closed).cast("bigint"),
-        }
-        row = self.spark.range(1).select(*[value.alias(name) for name, value in entry.items()])
-        row.coalesce(1).write.mode("append").parquet(self._ledger_path)
-
-    def _ledger(self) -> DataFrame | None:
-        ledger = read_parquet(self.spark, self._ledger_path)
-        if ledger is None:
-            return None
-        for name, value in (
-            ("buckets", self.buckets),
-            ("max_flag", self.spec.max_flag),
-            ("closed_range", self.closed_range),
-        ):
-            if name in ledger.columns and not ledger.filter(F.col(name) != F.lit(value)).isEmpty():
-                raise ValueError(f"{self.path} was written with another {name.replace('_', ' ')}")
-        return ledger
+    def _base(self) -> int:
+        """Version of the base, 0 without one."""
+        return max((int(name) for name in self._folder.names("base")), default=0)
+
+    def loads(self) -> list[AppliedLoad]:
+        """The loads that are not part of the base, in the order in which they were applied."""
+        base, found = self._base(), []
+        for name in self._folder.names("loads"):
+            version, inserted, closed, load_id = name.split("-", 3)
+            if int(version) > base:
+                path = self._folder.path("loads", name)
+                found.append(AppliedLoad(int(version), unquote(load_id), int(inserted), int(closed), path))
+        return sorted(found, key=lambda load: load.version)
 
     def version(self) -> int:
         """Number of loads applied so far."""
-        ledger = self._ledger()
-        return 0 if ledger is None else ledger.filter("step = 'applied'").count()
-
-    def _pending(self):
-        """The load that is staged but not applied, if any: one at most, as ``apply`` sees to."""
-        ledger = self._ledger()
-        if ledger is None:
+        loads = self.loads()
+        return loads[-1].version if loads else self._base()
+
+    def _find(self, load_id: str) -> AppliedLoad | None:
+        for load in self.loads():
+            if load.load_id == load_id:
+                return load
+        if not self._base():
             return None
-        steps = ledger.groupBy("load").agg(
-            F.count_if(F.col("step") == "applied").alias("done"),
-            *[F.first(c).alias(c) for c in ("folder", "inserted", "closed")],
-        )
-        return steps.filter("done = 0").first()
+        folded = self.spark.read.parquet(*[self._folder.path("folded", n) for n in self._folder.names("folded")])
+        row = folded.filter(F.col("load_id") == F.lit(load_id)).first()
+        return None if row is None else AppliedLoad(row.version, load_id, row.inserted, row.closed)
 
-    def _must_be_whole(self):
-        pending = self._pending()
-        if pending is not None:
-            raise RuntimeError(f"{self.path}: load {pending.load} is half applied; call recover() first")
+    def applied(self, load_id: str) -> dict[str, int] | None:
+        """The counts of a load that was applied before."""
+        load = self._find(load_id)
+        return None if load is None else {"inserted": load.inserted, "closed": load.closed}
 
-    def recover(self) -> str | None:
-        """Finish a load that was staged but not applied; its name, or None."""
-        pending = self._pending()
-        if pending is None:
+    def _properties(self) -> dict | None:
+        text = self._folder.read_text("properties.json")
+        if text is None:
             return None
-        self._finish(pending.load, pending.folder, pending.inserted, pending.closed)
-        return pending.load
+        found = json.loads(text)
+        if found["max_flag"] != self.spec.max_flag:
+            raise ValueError(f"{self.path} was written with another max flag")
+        return found
 
-    def applied(self, load_id: str) -> dict[str, int] | None:
-        """The counts of a load that was applied before."""
-        ledger = self._ledger()
-        if ledger is None:
+    # -- reading -------------------------------------------------------------
+
+    def read(self, with_state: bool = False) -> DataFrame | None:
+        """The table with its to-dates as they are now; None when nothing was loaded yet.
+
+        ``with_state`` adds what loads need: which records are open, and the to-date that a record was
+        stored with, which is no earlier than the one that counts and can be tested while scanning.
+        """
+        properties = self._properties()
+        if properties is None:
             return None
-        row = ledger.filter((F.col("load") == F.lit(load_id)) & (F.col("step") == "applied")).first()
-        return None if row is None else {"inserted": row.inserted, "closed": row.closed}
+        merged = self._merged(T.StructType.fromJson(properties["schema"]))
+        return merged if with_state else merged.drop(STATE, ENDS)
+
+    def _merged(self, schema: T.StructType) -> DataFrame:
+        base, loads = self._base(), self.loads()
+        stored = T.StructType([*schema.fields, T.StructField(STATE, T.StringType())])
+        appended = T.StructType([*stored.fields, T.StructField(IS_CLOSING, T.BooleanType())])
+        rows = self.spark.read.schema(appended).parquet(*[load.path for load in loads])
+        records = rows.filter(~F.col(IS_CLOSING)).drop(IS_CLOSING)
+        if base:
+            records = self.spark.read.schema(stored).parquet(self._folder.path("base", str(base))).unionByName(records)
+        ends = column(self.spec.to_date_col)
+        records = records.withColumn(ENDS, ends)
+        n_closings = sum(load.closed for load in loads)
+        if not n_closings:
+            return records
+        key = [self.spec.fk_col, self.spec.from_col]
+        closings = rows.filter(F.col(IS_CLOSING)).groupBy(*[column(c) for c in key]).agg(F.min(ends).alias(_END))
+        few = n_closings * CLOSING_BYTES <= BROADCAST_BYTES
+        closed = F.col(_END).isNotNull()
+        joined = records.join(F.broadcast(closings) if few else closings, key, "left")
+        return joined.select(
+            *[F.least(ends, _END).alias(c) if c == self.spec.to_date_col else column(c) for c in schema.names],
+            F.when(closed, F.lit(CLOSED)).otherwise(F.col(STATE)).alias(STATE),
+            ENDS,
+        )
 
-    def apply(
-        self, load: SatLoad, load_id: str | None = None, version: int | None = None
-    ) -> dict[str, int]:
-        """Write the inserts and closings of a load; return their numbers.
+    # -- writing -------------------------------------------------------------
+
+    def apply(self, load: SatLoad, load_id: str | None = None, version: int | None = None) -> dict[str, int]:
+        """Append the inserts and closings of a load; return their numbers.
 
         ``version`` is that of the table the load was worked out from.
         """
         load_id = load_id or uuid.uuid4().hex
-        pending = self._pending()
-        if pending is not None and pending.load == load_id:
-            self.recover()
-        else:
-            self._must_be_whole()
         done = self.applied(load_id)
         if done is not None:
             return done
-        if version is not None and version != self.version():
+        current = self.version()
+        if version is not None and version != current:
             raise RuntimeError(f"{self.path}: the table has changed since load {load_id} was worked out")
-
-        folder = new_folder(self.spark, "satellite")
-        load.changes.write.partitionBy(IS_CLOSING).parquet(f"{folder}/changes")
-        changes = self.spark.read.schema(load.changes.schema).parquet(f"{folder}/changes")
-        inserted, closed, late = changes.agg(
-            F.count_if(~F.col(IS_CLOSING)),
-            F.count_if(F.col(IS_CLOSING)),
-            F.count_if(F.col(IS_CLOSING) & ~F.col(WAS_OPEN)),
-        ).first()
-        if inserted:
-            content = self._content(changes, closed > 0, late > 0)
-            content.write.parquet(f"{folder}/content")
-            moved = self.spark.read.parquet(f"{folder}/content").filter(F.col(MOVED)).count()
-            if moved != closed:
-                raise RuntimeError(f"{self.path}: load {load_id} ends {closed} records, {moved} of them are stored")
-        self._log(load_id, "staged", folder, inserted, closed)
-        self._finish(load_id, folder, inserted, closed)
-        return {"inserted": inserted, "closed": closed}
-
-    def _finish(self, load_id, folder, inserted, closed):
-        if inserted:
-            content = self.spark.read.parquet(f"{folder}/content").drop(MOVED)
-            (
-                content.hint("rebalance", *PARTITION)
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy(*PARTITION)
-                .parquet(self.path)
-            )
-        self._log(load_id, "applied", folder, inserted, closed)
-
-    def _bucket(self):
-        fk = column(self.spec.fk_col)
-        return F.pmod(F.xxhash64(fk), F.lit(self.buckets)).cast("int").alias(BUCKET)
-
-    def _range(self, date: Column) -> Column:
-        """Start of a date's range as a string that sorts by time."""
-        return F.concat(F.lit("T-"), F.date_format(F.date_trunc(self.closed_range, date), "yyyyMMdd"))
-
-    def _content(self, changes, any_closed, any_late) -> DataFrame:
-        """The rows that the touched partitions hold after the load."""
-        spec = self.spec
-        key = [spec.fk_col, spec.from_col]
-        until = column(spec.to_date_col)
-
-        inserts = changes.filter(~F.col(IS_CLOSING)).drop(IS_CLOSING, WAS_OPEN)
-        is_open = until == F.lit(spec.max_date)
-        content = inserts.select(
-            *inserts.columns,
-            F.when(is_open, F.lit("open")).otherwise(F.lit("closed")).alias(STATE),
-            self._bucket(),
-            F.when(is_open, F.lit(CURRENT)).otherwise(self._range(until)).alias(RANGE),
-            F.lit(False).alias(MOVED),
-        )
-        stored = self._read()
-        if stored is None:
-            return content
-        stored = stored.withColumn(MOVED, F.lit(False)).select(*content.columns)
-
-        closings = changes.filter(F.col(IS_CLOSING))
-        ends = closings.select(
-            *[column(c) for c in key], until.alias("__end"), self._bucket(), F.col(WAS_OPEN)
+        table = [f for f in load.changes.schema.fields if f.name not in (IS_CLOSING, WAS_OPEN)]
+        if self._properties() is None:
+            properties = {"max_flag": self.spec.max_flag, "schema": T.StructType(table).jsonValue()}
+            self._folder.write_text("properties.json", json.dumps(properties))
+        is_open = ~F.col(IS_CLOSING) & (column(self.spec.to_date_col) == F.lit(self.spec.max_date))
+        state = F.when(is_open, F.lit(OPEN)).otherwise(F.lit(CLOSED)).alias(STATE)
+        aside = self._folder.path("_aside", uuid.uuid4().hex)
+        load.changes.select(*[column(f.name) for f in table], state, IS_CLOSING).write.parquet(aside)
+        inserted, closed = (
+            self.spark.read.schema(f"{IS_CLOSING} boolean")
+            .parquet(aside)
+            .agg(F.count_if(~F.col(IS_CLOSING)), F.count_if(F.col(IS_CLOSING)))
+            .first()
         )
+        name = f"{current + 1:010d}-{inserted}-{closed}-{quote(load_id, safe='')}"
+        self._folder.move(aside, self._folder.path("loads", name))
+        return {"inserted": inserted, "closed": closed}
 
-        # A set of bucket numbers: no more rows than buckets.
-        new_open = content.filter(F.col(STATE) == F.lit("open")).select(BUCKET)
-        old_open = ends.filter(F.col(WAS_OPEN)).select(BUCKET)
-        touched = F.broadcast(new_open.unionAll(old_open).distinct())
-        current = stored.filter(F.col(STATE) == F.lit("open")).join(touched, BUCKET, "left_semi")
-        if any_closed:
-            moved = ends.filter(F.col(WAS_OPEN)).select(*key, "__end")
-            closes = F.col("__end").isNotNull()
-            current = current.join(moved, key, "left").withColumns(
-                {
-                    spec.to_date_col: F.coalesce("__end", until),
-                    STATE: F.when(closes, F.lit("closed")).otherwise(F.col(STATE)),
-                    RANGE: F.when(closes, self._range(F.col("__end"))).otherwise(F.col(RANGE)),
-                    MOVED: closes,
-                }
-            )
-
-        # Closed partitions that get new rows, and those with a record whose to-date moves: no more
-        # rows than the table has partitions, and broadcast by Spark only if they are few.
-        new_closed = content.filter(F.col(STATE) == F.lit("closed")).select(BUCKET, RANGE)
-        closed_now = ends.filter(F.col(WAS_OPEN)).select(BUCKET, self._range(F.col("__end")).alias(RANGE))
-        partitions = new_closed.unionAll(closed_now)
-        past = stored.filter(F.col(STATE) == F.lit("closed"))
-        if any_late:
-            late = ends.filter(~F.col(WAS_OPEN)).drop(WAS_OPEN)
-            # A record is stored in no earlier range than its from-date's, whatever the time zones of
-            # the loads.
-            first = F.min(column(spec.from_col)).cast("timestamp") - F.expr("INTERVAL 36 HOURS")
-            earliest = late.agg(self._range(first)).scalar()
-            found = past.filter(F.col(RANGE) >= earliest).join(late.drop("__end"), [BUCKET, *key], "left_semi")
-            partitions = partitions.unionAll(found.select(BUCKET, RANGE))
-        rewritten = past.join(partitions.distinct(), [BUCKET, RANGE], "left_semi")
-        if any_late:
-            rewritten = rewritten.join(late.drop(BUCKET), key, "left").withColumns(
-                {spec.to_date_col: F.coalesce("__end", until), MOVED: F.col("__end").isNotNull()}
-            )
-        content = content.unionByName(current.select(*content.columns))
-        return content.unionByName(rewritten.select(*content.columns))
+    def compact(self) -> int:
+        """Fold all loads into a new base; return how many there were."""
+        loads, old = self.loads(), self._base()
+        if not loads:
+            return 0
+        schema = T.StructType.fromJson(self._properties()["schema"])
+        version = str(loads[-1].version)
+        facts = [(load.version, load.load_id, load.inserted, load.closed) for load in loads]
+        told = self.spark.createDataFrame(facts, "version long, load_id string, inserted long, closed long")
+        told.coalesce(1).write.mode("overwrite").parquet(self._folder.path("folded", version))
+        aside = self._folder.path("_aside", uuid.uuid4().hex)
+        fk, ends = column(self.spec.fk_col), column(self.spec.to_date_col)
+        merged = self._merged(schema).drop(ENDS)
+        merged.repartition(self.buckets, fk).sortWithinPartitions(ends, fk).write.parquet(aside)
+        self._folder.move(aside, self._folder.path("base", version))
+        # Readers of the old base and of these loads may still be at work; earlier ones are not.
+        for name in self._folder.names("base"):
+            if int(name) < old:
+                self._folder.delete("base", name)
+        for name in self._folder.names("loads"):
+            if int(name.split("-", 1)[0]) <= old:
+                self._folder.delete("loads", name)
+        return len(loads)
