@@ -2,9 +2,9 @@
 
 A text is cut at punctuation into pieces and those into words.  A prefix of one to three words owns a
 stripe: how often each next word follows it, and how often nothing worth counting does (the rest).
-Tasks build stripes in memory, hand them on when they hold ``entries_at_once`` entries, and stripes of one prefix are
-merged elementwise after a shuffle: they arrive sorted by prefix and are added up one prefix at a
-time.  From merged stripes follow
+Tasks build stripes in memory, as sorted numbers, and hand them on at ``entries_at_once`` entries.  Stripes of
+one prefix are merged elementwise after a shuffle: they arrive sorted by prefix and are added up
+one prefix at a time.  From merged stripes follow
 
 * extensions: phrase = prefix + next word, with its count;
 * prefix totals: the sum of a stripe with its rest is the count of the prefix itself;
@@ -20,78 +20,73 @@ next word, so no task holds the stripe of a hot prefix alone.
 
 Defined cases: a null text is empty, a null language is ``und``; an empty table and texts without words give an
 empty result; equal texts count as often as they occur; ties in score go to the larger count, then to the smaller phrase
-in bytes; other columns are ignored; long texts are cut at pieces, a piece of any length is read once.
+in bytes; other columns are ignored; a text of any length is read whole.
 """
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Callable, Iterator
+from collections import Counter, defaultdict
+from collections.abc import Iterator
 from math import ceil, log2
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vaultwright.llm.common import stage
 
-# Upper case to lower case, tab to space, and the ends of pieces to line feeds.
 _BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"
-_PLAIN = bytes.maketrans(
-    bytes(range(65, 91)) + b"\t" + _BREAKS, bytes(range(97, 123)) + b" " + b"\n" * len(_BREAKS)
-)
+BREAK = b"\xff"  # stands for the end of a piece; no byte of UTF-8
+# Upper case to lower case, tab to space, ends of pieces to BREAK.
+_PLAIN = bytes.maketrans(bytes(range(65, 91)) + b"\t" + _BREAKS, bytes(range(97, 123)) + b" " + BREAK * len(_BREAKS))
 STRIPE = "lang string, prefix string, part int, rest long, nexts array<string>, counts array<long>"
 HOT_SHARE = 1000
-BITS_PER_ENTRY = 16
+BITS_PER_ENTRY = 64
 RANKING_PARTS = 64
+WORDS_AT_ONCE = 1 << 20
+# Odd factors of the checksums of a phrase's words.
+_FACTORS = (0x2545F, 0x1B873, 0x6A09F)
+_ID_BITS = 31
 
 
-def pieces(text: str | None) -> Iterator[list[bytes]]:
-    """The words of each piece that has any, in bytes."""
-    for piece in (text or "").encode().translate(_PLAIN).split(b"\n"):
-        # Only spaces are left of the characters at which split() cuts bytes.
-        words = piece.split()
-        if words:
-            yield words
+def tokens(text: str) -> list[bytes]:
+    """The words of a text, and BREAK between pieces."""
+    # Only spaces are left of the bytes at which split() cuts.
+    return text.encode().translate(_PLAIN).replace(BREAK, b" " + BREAK + b" ").split()
 
 
 class Bitmap:
-    """Keys that may be frequent, by hash."""
+    """Phrases that may be frequent, by their language and the checksums of their words."""
 
     def __init__(self, bits: bytes, size: int):
-        self._bits, self._mask = bits, size - 1
+        self._bits, self._mask = np.frombuffer(bits, np.uint8), size - 1
 
-    def __contains__(self, key: bytes) -> bool:
-        place = crc32(key) & self._mask
+    def has(self, lang: int, checksum: int) -> bool:
+        """For one word, with the checksum of its language."""
+        place = lang + checksum * _FACTORS[0] & self._mask
         return self._bits[place >> 3] >> (place & 7) & 1 == 1
 
-
-class Memo(dict):
-    """What to put in place of a word: itself if it may be frequent in the language, else nothing."""
-
-    def __init__(self, lang: bytes, bitmap: Bitmap, most: int = 200_000):
-        self._lang, self._bitmap, self._most = lang + b"\t", bitmap, most
-
-    def __missing__(self, word: bytes) -> bytes:
-        kept = word if self._lang + word in self._bitmap else b""
-        if len(self) >= self._most:
-            self.clear()
-        self[word] = kept
-        return kept
-
-
-def _key(lang: Column, phrase: Column) -> Column:
-    return F.concat_ws("\t", lang, phrase)
+    def hits(self, lang: bytes, *checksums: np.ndarray) -> np.ndarray:
+        place = np.full(len(checksums[0]), crc32(lang), np.int64)
+        for checksum, factor in zip(checksums, _FACTORS):
+            place += checksum * factor
+        place &= self._mask
+        return (self._bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
 
 
 def bitmap_of(frequent: DataFrame, most_bits: int) -> Bitmap:
-    """A bitmap of (lang, phrase), built in Spark; at most 2^most_bits bits reach the driver."""
+    """A bitmap of (lang, phrase) with up to two words, built in Spark; at most 2^most_bits bits reach the driver."""
     entries = frequent.count()
     bits = min(max(ceil(log2(max(1, entries * BITS_PER_ENTRY))), 15), most_bits)
-    place = F.crc32(_key(F.col("lang"), F.col("phrase")).cast("binary")).bitwiseAND((1 << bits) - 1)
-    placed = frequent.select(place.alias("place"))
+    checksum = lambda c: F.crc32(c.cast("binary"))
+    words = F.split("phrase", " ")
+    place = checksum(F.col("lang"))
+    for i, factor in enumerate(_FACTORS):
+        place = place + F.coalesce(checksum(F.get(words, F.lit(i))) * factor, F.lit(0))
+    placed = frequent.select(place.bitwiseAND(F.lit((1 << bits) - 1)).alias("place"))
     chunk = 1 << 15  # bits of one bitmap of Spark
     found = placed.groupBy(F.floor(F.col("place") / chunk).alias("chunk")).agg(
         F.bitmap_construct_agg(F.col("place") % chunk).alias("bitmap")
@@ -102,67 +97,166 @@ def bitmap_of(frequent: DataFrame, most_bits: int) -> Bitmap:
     return Bitmap(bytes(whole), 1 << bits)
 
 
-def _stripes_of(counted: Counter, hot: frozenset, hot_parts: int) -> Iterator[tuple]:
-    """Stripes of (lang, prefix, next word) counts; no next word adds to the rest."""
-    stripes: dict[tuple, list] = {}
-    for (lang, prefix, following), count in counted.items():
-        part = crc32(following) % hot_parts if (lang, prefix.split(b" ", 1)[0]) in hot else 0
-        stripe = stripes.get((lang, prefix, part))
-        if stripe is None:
-            stripe = stripes[lang, prefix, part] = [0, [], []]
-        if following:
-            stripe[1].append(following)
-            stripe[2].append(count)
+class Words(dict):
+    """Numbers of the words of a language that may be frequent, from 1; 0 for all else."""
+
+    def __init__(self, lang: bytes, known: Bitmap, most_others: int = 200_000):
+        self._lang, self._known, self._spare = crc32(lang), known, most_others
+        self.names, self.checksums = [b""], [0]
+        self[BREAK] = 0
+
+    def __missing__(self, word: bytes) -> int:
+        checksum = crc32(word)
+        if self._known.has(self._lang, checksum):
+            self[word] = number = len(self.names)
+            self.names.append(word)
+            self.checksums.append(checksum)
+            return number
+        if self._spare:  # remembered as long as there is room
+            self._spare -= 1
+            self[word] = 0
+        return 0
+
+
+class Stripes:
+    """Counts of (prefix, next word) of a language, kept as sorted numbers: (first two words, third and next)."""
+
+    def __init__(self, lang: bytes, known: Bitmap, pairs: Bitmap | None, hot: frozenset, hot_parts: int):
+        self._lang, self._pairs, self._hot, self._hot_parts = lang, pairs, hot, hot_parts
+        self.words = Words(lang, known)
+        self._stream: list[int] = []
+        self._counts: dict[int, list[tuple]] = defaultdict(list)
+        self.entries = 0
+
+    def add(self, text: str) -> None:
+        words = self.words
+        self._stream += [words[word] for word in tokens(text)]
+        self._stream.append(0)
+        if len(self._stream) >= WORDS_AT_ONCE:
+            self.count()
+
+    def count(self) -> None:
+        """Turn the words that wait into counts."""
+        ids = np.array([*self._stream, 0, 0, 0], np.int64)
+        self._stream = []
+        one, two, three, four = ids[:-3], ids[1:-2], ids[2:-1], ids[3:]
+        if self._pairs is None:
+            self._put(1, one[one > 0], two[one > 0])
         else:
-            stripe[0] += count
-    for (lang, prefix, part), (rest, nexts, counts) in stripes.items():
-        yield lang, prefix, part, rest, nexts, counts
-
-
-def _packed(stripes: list[tuple]) -> pa.RecordBatch:
-    langs, prefixes, parts, rests, nexts, counts = zip(*stripes)
-    offsets = pa.array(np.concatenate([[0], np.cumsum([len(c) for c in counts])]).astype(np.int32))
-    words = pa.array([w for some in nexts for w in some], pa.binary()).cast(pa.string())
-    numbers = pa.array([c for some in counts for c in some], pa.int64())
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(langs, pa.binary()).cast(pa.string()),
-            pa.array(prefixes, pa.binary()).cast(pa.string()),
-            pa.array(parts, pa.int32()),
-            pa.array(rests, pa.int64()),
-            pa.ListArray.from_arrays(offsets, words),
-            pa.ListArray.from_arrays(offsets, numbers),
-        ],
-        ["lang", "prefix", "part", "rest", "nexts", "counts"],
-    )
+            checksums = np.array(self.words.checksums, np.int64)[ids]
+            often = np.zeros(len(ids), bool)
+            often[:-1] = (ids[:-1] > 0) & (ids[1:] > 0)
+            at = np.flatnonzero(often)
+            often[at] = self._pairs.hits(self._lang, checksums[at], checksums[at + 1])
+            pair, following, after = often[:-3], often[1:-2], often[2:-1]
+            self._put(2, (one << _ID_BITS | two)[pair], np.where(following, three, 0)[pair])
+            both = pair & following
+            third = three << _ID_BITS | np.where(after, four, 0)
+            self._put(3, (one << _ID_BITS | two)[both], third[both])
+        self.entries = sum(len(c[2]) for kept in self._counts.values() for c in kept)
+
+    def _put(self, length: int, prefix: np.ndarray, rest: np.ndarray) -> None:
+        kept = self._counts[length]
+        kept.append((prefix, rest, np.ones(len(prefix), np.int64)))
+        # Merged when what is new outgrows what is there, so that merging stays cheap.
+        if len(kept) == 1 or sum(len(c[2]) for c in kept[1:]) >= len(kept[0][2]):
+            prefix, rest, counts = (np.concatenate(c) for c in zip(*kept))
+            order = np.lexsort((rest, prefix))
+            prefix, rest, counts = prefix[order], rest[order], counts[order]
+            first = np.ones(len(prefix), bool)
+            first[1:] = (prefix[1:] != prefix[:-1]) | (rest[1:] != rest[:-1])
+            starts = np.flatnonzero(first)
+            sums = np.add.reduceat(counts, starts) if len(starts) else counts
+            self._counts[length] = [(prefix[starts], rest[starts], sums)]
+
+    def given(self) -> Iterator[pa.RecordBatch]:
+        """All stripes, as rows; nothing is left afterwards."""
+        if self._stream:
+            self.count()
+        names = pa.array(self.words.names, pa.binary()).cast(pa.string())
+        low = (1 << _ID_BITS) - 1
+        parts_of = np.array(self.words.checksums, np.int64) % self._hot_parts
+        hot = np.array([name in self._hot for name in self.words.names])
+        for length, kept in self._counts.items():
+            prefix, rest, counts = (np.concatenate(c) for c in zip(*kept))
+            following = rest & low
+            columns = {1: [prefix], 2: [prefix >> _ID_BITS, prefix & low]}
+            ids = columns.get(length) or [*columns[2], rest >> _ID_BITS]
+            part = np.where(hot[ids[0]], parts_of[following], 0)
+            order = np.lexsort((following, part, *reversed(ids)))
+            ids, part, following, counts = [i[order] for i in ids], part[order], following[order], counts[order]
+            first = np.ones(len(part), bool)
+            first[1:] = np.any([c[1:] != c[:-1] for c in (*ids, part)], axis=0)
+            starts = np.flatnonzero(first)
+            entry = following > 0
+            # The same entry may wait in two arrays that are not merged yet; the merge adds them up.
+            rests = np.add.reduceat(np.where(entry, 0, counts), starts) if len(starts) else starts
+            offsets = np.concatenate([np.cumsum(entry) - entry, [entry.sum()]])[[*starts, len(part)]]
+            nexts, numbers = names.take(pa.array(following[entry])), pa.array(counts[entry])
+            texts = [names.take(pa.array(i[starts])) for i in ids]
+            prefixes = texts[0] if length == 1 else pc.binary_join_element_wise(*texts, " ")
+            langs = pa.array([self._lang.decode()] * len(starts), pa.string())
+            whole = pa.RecordBatch.from_arrays(
+                [
+                    langs,
+                    prefixes,
+                    pa.array(part[starts].astype(np.int32)),
+                    pa.array(rests.astype(np.int64)),
+                    pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), nexts),
+                    pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), numbers),
+                ],
+                ["lang", "prefix", "part", "rest", "nexts", "counts"],
+            )
+            for i in range(0, whole.num_rows, 50_000):
+                yield whole.slice(i, 50_000)
+
+
+def count_words(docs: DataFrame, entries_at_once: int, parts: int) -> DataFrame:
+    """Each task's stripes of the empty prefix, whose entries are the words, dealt to parts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counters: dict[str, Counter] = defaultdict(Counter)
+
+        def given(lang: str, counter: Counter) -> pa.RecordBatch:
+            counter.pop(BREAK, None)
+            stripes: list[tuple[list, list]] = [([], []) for _ in range(parts)]
+            for word, count in counter.items():
+                nexts, counts = stripes[crc32(word) % parts]
+                nexts.append(word.decode())
+                counts.append(count)
+            counter.clear()
+            return _merged([(lang, "", i, 0, *stripe) for i, stripe in enumerate(stripes)], "rest")
 
+        for batch in batches:
+            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
+                counter = counters[lang]
+                counter.update(tokens(text.as_py() or ""))
+                if len(counter) >= entries_at_once:
+                    yield given(lang, counter)
+        for lang, counter in counters.items():
+            yield given(lang, counter)
 
-Counting = Callable[[Counter, bytes, list[bytes]], None]
+    return docs.mapInArrow(run, STRIPE)
 
 
 def build_stripes(
-    docs: DataFrame, counting: Callable[[], Counting], hot: frozenset, hot_parts: int, entries_at_once: int
+    docs: DataFrame, known: Bitmap, pairs: Bitmap | None, hot: dict, hot_parts: int, entries_at_once: int
 ) -> DataFrame:
-    """Stripes of each task.  ``counting`` makes the function that counts a piece as (lang, prefix, next word)."""
+    """Each task's stripes of prefixes of one word, or given ``pairs`` that may be frequent, of two and three words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count, counted = counting(), Counter()
-
-        def given() -> Iterator[pa.RecordBatch]:
-            stripes = list(_stripes_of(counted, hot, hot_parts))
-            counted.clear()
-            for i in range(0, len(stripes), 50_000):
-                yield _packed(stripes[i : i + 50_000])
-
+        by_lang: dict[str, Stripes] = {}
         for batch in batches:
-            for lang, text in zip(batch.column("lang"), batch.column("text")):
-                name = lang.as_py().encode()
-                for words in pieces(text.as_py()):
-                    count(counted, name, words)
-                    if len(counted) >= entries_at_once:
-                        yield from given()
-        if counted:
-            yield from given()
+            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
+                stripes = by_lang.get(lang)
+                if stripes is None:
+                    name = lang.encode()
+                    stripes = by_lang[lang] = Stripes(name, known, pairs, hot.get(name, frozenset()), hot_parts)
+                stripes.add(text.as_py() or "")
+                if stripes.entries >= entries_at_once or len(stripes.words.names) >= entries_at_once:
+                    yield from by_lang.pop(lang).given()
+        for stripes in by_lang.values():
+            yield from stripes.given()
 
     return docs.mapInArrow(run, STRIPE)
 
@@ -181,7 +275,7 @@ def merge_stripes(stripes: DataFrame, least: int) -> DataFrame:
         for batch in batches:
             langs, prefixes, parts, rests = (batch.column(i).to_pylist() for i in range(4))
             nexts, counts = batch.column("nexts"), batch.column("counts")
-            ends = np.cumsum(pa.compute.list_value_length(nexts).to_numpy()).tolist()
+            ends = np.cumsum(pc.list_value_length(nexts).to_numpy()).tolist()
             words, numbers = nexts.flatten().to_numpy(zero_copy_only=False).tolist(), counts.flatten().to_pylist()
             start = 0
             for *this, rest, end in zip(langs, prefixes, parts, rests, ends):
@@ -206,10 +300,10 @@ def merge_stripes(stripes: DataFrame, least: int) -> DataFrame:
     return dealt.mapInArrow(run, STRIPE.replace("rest", "total"))
 
 
-def _merged(done: list[tuple]) -> pa.RecordBatch:
+def _merged(done: list[tuple], number: str = "total") -> pa.RecordBatch:
     columns = [[r[i] for r in done] for i in range(6)]
     kinds = [pa.string(), pa.string(), pa.int32(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64())]
-    names = ["lang", "prefix", "part", "total", "nexts", "counts"]
+    names = ["lang", "prefix", "part", number, "nexts", "counts"]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
 
@@ -220,95 +314,35 @@ def _extensions(merged: DataFrame) -> DataFrame:
     )
 
 
-def _words(least: int, words: Bitmap | None) -> Callable[[], Counting]:
-    """The first pass: the stripe of the empty prefix, whose entries are the words."""
-
-    def make() -> Counting:
-        def count(counted: Counter, lang: bytes, piece: list[bytes]) -> None:
-            counted.update([(lang, b"", word) for word in piece])
-
-        return count
-
-    return make
-
-
-def _pairs(known: Bitmap) -> Callable[[], Counting]:
-    """Prefixes of one word."""
-
-    def make() -> Counting:
-        memos: dict[bytes, Memo] = {}
-
-        def count(counted: Counter, lang: bytes, piece: list[bytes]) -> None:
-            memo = memos.get(lang)
-            if memo is None:
-                memo = memos[lang] = Memo(lang, known)
-            kept = [memo[word] for word in piece]
-            kept.append(b"")
-            counted.update([(lang, a, b) for a, b in zip(kept, kept[1:]) if a])
-
-        return count
-
-    return make
-
-
-def _longer(known: Bitmap) -> Callable[[], Counting]:
-    """Prefixes of two and three words all of whose pairs may be frequent."""
-
-    def make() -> Counting:
-        def count(counted: Counter, lang: bytes, piece: list[bytes]) -> None:
-            tab = lang + b"\t"
-            frequent = [tab + a + b" " + b in known for a, b in zip(piece, piece[1:])]
-            frequent += [False, False, False]
-            piece = [*piece, b"", b""]
-            for i in range(len(piece) - 3):
-                if frequent[i]:
-                    a, b, c = piece[i : i + 3]
-                    if frequent[i + 1]:
-                        pair = a + b" " + b
-                        counted[lang, pair, c] += 1
-                        counted[lang, pair + b" " + c, piece[i + 3] if frequent[i + 2] else b""] += 1
-                    else:
-                        counted[lang, a + b" " + b, b""] += 1
-
-        return count
-
-    return make
-
-
 def stripes(
     docs: DataFrame,
     least: int = 30,
     text: str = "text",
     lang: str = "lang",
     hot_parts: int = 64,
-    entries_at_once: int = 250_000,
+    entries_at_once: int = 2_000_000,
     most_bits: int = 28,
 ) -> tuple[DataFrame, DataFrame]:
     """Merged stripes of prefixes of one to three words, and per language the number of words n."""
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).alias("text"))
 
-    def built(counting, hot, parts, name):
-        return stage(merge_stripes(build_stripes(rows, counting, hot, parts, entries_at_once), least), name)
+    def built(parts: DataFrame, name: str) -> DataFrame:
+        return stage(merge_stripes(parts, least), f"collocations-{name}")
 
-    # The empty prefix is hot in every language, so its stripes are always dealt out.
-    first = built(_words(least, None), _Every(), hot_parts, "collocations-words")
+    first = built(count_words(rows, entries_at_once // 8, hot_parts), "words")
     sizes = first.groupBy("lang").agg(F.sum("total").alias("n"))
     words = _extensions(first).select("lang", F.ltrim("phrase").alias("phrase"), "f")
     total = sizes.agg(F.sum("n")).first()[0] or 0
-    most = words.filter(F.col("f") * HOT_SHARE > total).select("lang", "phrase").collect()  # below HOT_SHARE rows
-    hot = frozenset((r.lang.encode(), r.phrase.encode()) for r in most)
-    one = built(_pairs(bitmap_of(words, most_bits)), hot, hot_parts, "collocations-pairs")
-    more = built(_longer(bitmap_of(_extensions(one), most_bits)), hot, hot_parts, "collocations-longer")
+    hot: dict[bytes, frozenset] = defaultdict(frozenset)
+    for r in words.filter(F.col("f") * HOT_SHARE > total).collect():  # below HOT_SHARE rows
+        hot[r.lang.encode()] |= {r.phrase.encode()}
+    known = bitmap_of(words, most_bits)
+    one = built(build_stripes(rows, known, None, hot, hot_parts, entries_at_once), "pairs")
+    pairs = bitmap_of(_extensions(one), most_bits)
+    more = built(build_stripes(rows, known, pairs, hot, hot_parts, entries_at_once), "longer")
     return one.unionByName(more), sizes
 
 
-class _Every(frozenset):
-    """All prefixes."""
-
-    def __contains__(self, key) -> bool:
-        return True
-
-
 def mine(
     docs: DataFrame,
     least: int = 30,
