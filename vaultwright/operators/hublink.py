@@ -30,7 +30,9 @@ from vaultwright.operators.skew import (
     HOT_ROWS,
     KeyStats,
     join_lookup,
+    maybe_wanted,
     rows_per_key,
+    to_buckets,
 )
 from vaultwright.spec import SEQUENCE, HubSpec, KeyedSpec, LinkSpec, type_of
 
@@ -120,18 +122,23 @@ def _prepare(df: DataFrame, table: DataFrame | None, spec: KeyedSpec, on_invalid
     return _Input(rows.select(*out, *key_parts), rejects, df.columns, keys)
 
 
-def _lookup(table, spec, wanted, keys, broadcastable) -> DataFrame:
+def _lookup(table, spec, wanted, keys, stats, broadcast_bytes, stored_buckets=None) -> DataFrame:
     """Stored keys that the input asks for, one row each.
 
     When the wanted keys are few they are broadcast and filter the table while
-    it is scanned.  A key stored twice (a defect, see ``duplicate_keys``) yields
+    it is scanned.  More of them go to the buckets of a bucketed table; before any other table is
+    shuffled, a bitmap of their hashes filters it.  A key stored twice (a defect, see ``duplicate_keys``) yields
     its smallest technical key, so it cannot multiply rows.
     """
     parts = [column(c).alias(k) for k, c in zip(keys, spec.keys.values())]
     stored = table.select(*parts, column(spec.tech_key).cast("bigint").alias(_TECH_KEY))
     wanted = wanted.select(*keys)
+    if stats.fits(broadcast_bytes):
+        wanted = F.broadcast(wanted)
+    elif not stored_buckets:
+        stored = maybe_wanted(stored, wanted, keys, stats.keys)
     return (
-        stored.join(F.broadcast(wanted) if broadcastable else wanted, keys, "left_semi")
+        stored.join(wanted, keys, "left_semi")
         .groupBy(*keys)
         .agg(F.min(_TECH_KEY).alias(_TECH_KEY))
     )
@@ -156,6 +163,7 @@ def load_keyed(
     load_ts: datetime | None = None,
     on_invalid: str = "error",
     sequence_start: int | None = None,
+    stored_buckets: int | None = None,
     hot_rows: int | None = HOT_ROWS,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> KeyedLoad:
@@ -167,6 +175,9 @@ def load_keyed(
 
     A sequence does not look at the table, so a load into one needs to be told where the
     numbers go on: ``sequence_start``, as ``Sequence.reserve`` returns it.
+
+    ``stored_buckets`` says that ``table`` is bucketed by its key columns, in this order: keys too many for
+    a broadcast are then shuffled to the buckets, and the stored rows stay where they are.
     """
     check_order(order_by)
     if spec.key_method == SEQUENCE and table is not None and sequence_start is None:
@@ -179,12 +190,14 @@ def load_keyed(
     }
 
     # Partial aggregation makes this one row per key and task before the shuffle.
-    wanted = rows_per_key(rows, keys)
-    stats = cache(lambda: KeyStats.of(wanted, keys))
+    counts = wanted = rows_per_key(rows, keys)
+    stats = cache(lambda: KeyStats.of(counts, keys))
     if table is None:
         known, unseen = None, wanted
     else:
-        known = _lookup(table, spec, wanted, keys, stats().fits(broadcast_bytes))
+        if stored_buckets and not stats().fits(broadcast_bytes):
+            wanted = to_buckets(wanted, keys, stored_buckets)
+        known = _lookup(table, spec, wanted, keys, stats(), broadcast_bytes, stored_buckets)
         # Not an anti join: with the technical key in every use, all of them read
         # one and the same shuffle of the stored keys.
         unseen = wanted.join(known, keys, "left").filter(F.col(_TECH_KEY).isNull())
@@ -230,6 +243,7 @@ def attach_keys(
     on_invalid: str = "error",
     hot_rows: int | None = HOT_ROWS,
     broadcast_bytes: int = BROADCAST_BYTES,
+    stored_buckets: int | None = None,
     stats: KeyStats | None = None,
 ) -> DataFrame:
     """Look up stored keys only: the input rows whose key is in the table, with it.
@@ -242,7 +256,9 @@ def attach_keys(
     rows, keys = given.rows, given.keys
     wanted = rows_per_key(rows, keys)
     stats = stats or KeyStats.of(wanted, keys)
-    known = _lookup(table, spec, wanted, keys, stats.fits(broadcast_bytes))
+    if stored_buckets and not stats.fits(broadcast_bytes):
+        wanted = to_buckets(wanted, keys, stored_buckets)
+    known = _lookup(table, spec, wanted, keys, stats, broadcast_bytes, stored_buckets)
     joined = join_lookup(rows, known, keys, wanted, stats, hot_rows, broadcast_bytes)
     return _with_key(joined, given, spec)
 

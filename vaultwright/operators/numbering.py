@@ -6,6 +6,10 @@ unique, so the buckets are even whatever the data looks like.  Inside a bucket
 rows are numbered in key order, and each bucket starts where the ones before it
 end.  The number of a key follows from the set of new keys alone: a task that
 runs twice, or a plan that is evaluated twice, gives the same numbers.
+
+Numbers in the order of the business keys (``key_order=BY_KEY``) come the same way from key ranges instead
+of digests.  The ranges are cut where a sample says, so they are about even; they are written
+once with their number, and counts of ranges, not the sample, decide the numbers.
 """
 
 from __future__ import annotations
@@ -14,7 +18,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vaultwright.functions import column
-from vaultwright.spec import AUTO_INCREMENT, SEQUENCE, KeyedSpec
+from vaultwright.spec import AUTO_INCREMENT, BY_KEY, SEQUENCE, KeyedSpec
+from vaultwright.staging import stage
 
 BUCKET_DIGITS = 4
 BUCKETS = 16**BUCKET_DIGITS
@@ -54,7 +59,12 @@ def add_tech_keys(
       no offsets and so reads the new keys once
     """
     in_bucket = Window.partitionBy(_BUCKET).orderBy(*[column(k) for k in keys])
-    bucketed = rows.withColumn(_BUCKET, key_bucket(keys))
+    in_key_order = spec.key_order == BY_KEY
+    if in_key_order:
+        ranges = rows.repartitionByRange(*[column(k) for k in keys])
+        bucketed = stage(ranges.withColumn(_BUCKET, F.spark_partition_id()), "ranges")
+    else:
+        bucketed = rows.withColumn(_BUCKET, key_bucket(keys))
     ranked = bucketed.withColumn(_RANK, F.row_number().over(in_bucket).cast("bigint"))
 
     if spec.key_method == AUTO_INCREMENT:
@@ -67,13 +77,13 @@ def add_tech_keys(
         )
         return ranked.withColumn(name, number).drop(_BUCKET, _RANK)
 
-    if table is None:
+    if table is None or in_key_order:
         sizes = bucketed.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("__n"))
     else:
         # New keys come out of a join: with the last rank as size both uses read
         # the same shuffle, and the join runs once.
         sizes = ranked.groupBy(_BUCKET).agg(F.max(_RANK).alias("__n"))
-    # At most BUCKETS rows, so one task and a broadcast are safe at any scale.
+    # At most BUCKETS rows, or shuffle partitions, so one task and a broadcast are safe at any scale.
     before = Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(_BUCKET, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias(_OFFSET))
     position = F.col(_OFFSET) + F.col(_RANK)

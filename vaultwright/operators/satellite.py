@@ -37,7 +37,9 @@ from vaultwright.operators.skew import (
     HOT_ROWS,
     KeyStats,
     hot_keys,
+    maybe_wanted,
     rows_per_key,
+    to_buckets,
 )
 from vaultwright.staging import stage
 from vaultwright.spec import SatSpec
@@ -101,6 +103,7 @@ def load_satellite(
     load_ts: datetime | None = None,
     on_invalid: str = "error",
     lookback: str | None = None,
+    stored_buckets: int | None = None,
     hot_rows: int | None = HOT_ROWS,
     broadcast_bytes: int = BROADCAST_BYTES,
     slice_millis: int = SLICE_MILLIS,
@@ -116,6 +119,9 @@ def load_satellite(
     result: ``"from_date"`` looks up, per parent, the last record before its
     first new one; ``"to_date"`` skips, while scanning, records that ended before
     the first new one of the batch, and trusts that stored to-dates are complete.
+
+    ``stored_buckets`` says that ``table`` is bucketed by its foreign key: a batch with too many parents
+    for a broadcast is then shuffled to the buckets, and the stored rows stay where they are.
     """
     if lookback not in (None, "from_date", "to_date"):
         raise ValueError("lookback is None, 'from_date' or 'to_date'")
@@ -129,12 +135,24 @@ def load_satellite(
     counts = rows_per_key(batch, [FK])
     parents = few = None
     if table is not None:
-        few = KeyStats.of(counts, [FK]).fits(broadcast_bytes)
+        of_batch = KeyStats.of(counts, [FK])
+        few = of_batch.fits(broadcast_bytes)
         parents = F.broadcast(counts.select(FK)) if few else counts.select(FK)
+    in_place = bool(stored_buckets) and few is False
+    if in_place:
+        parents = to_buckets(parents, [FK], stored_buckets)
+
+    def of_parents(stored):
+        if stored is None:
+            return None
+        if not few and not in_place:
+            stored = maybe_wanted(stored, parents, [FK], of_batch.keys)
+        return _of_parents(stored, parents)
+
 
     if not spec.is_temporal or not (spec.idempotent or spec.uses_to_date):
         identity = [FK, MS] if spec.is_temporal else [FK]
-        inserts = _unseen(batch, _of_parents(_stored_keys(table, spec), parents), identity, names)
+        inserts = _unseen(batch, of_parents(_stored_keys(table, spec)), identity, names)
         return SatLoad(df, _table_form(inserts, df, table, spec, names, load_ts), None, rejects)
 
     if table is not None and lookback == "to_date":
@@ -142,7 +160,7 @@ def load_satellite(
         if ENDS in table.columns:
             table = table.filter(F.col(ENDS) >= first)  # tested while scanning
         table = table.filter(column(spec.to_date_col) >= first)
-    stored = _of_parents(_stored(table, spec, names), parents)
+    stored = of_parents(_stored(table, spec, names))
     if stored is not None:
         if lookback == "from_date":
             stored = _since(batch, stored, few, slice_millis)
@@ -150,14 +168,16 @@ def load_satellite(
     if hot_rows is not None:
         stats = KeyStats.of(counts, [FK])
 
-    rows = _union(stored, batch, names)
     if hot_rows is not None and stats.has_hot(hot_rows):
+        rows = _union(stored, batch, names)
         hot = F.broadcast(stage(hot_keys(counts, [FK], hot_rows), "hot"))
         kept = _timelines(rows.join(hot, FK, "left_anti"), spec, names).unionByName(
             _sliced_timelines(rows.join(hot, FK, "left_semi"), spec, names, slice_millis)
         )
     else:
-        kept = _timelines(rows, spec, names)
+        # The union of two sides that are dealt alike is so as well.
+        rows = _union(stored, to_buckets(batch, [FK], stored_buckets) if in_place else batch, names)
+        kept = _timelines(rows, spec, names, in_place)
 
     if not spec.uses_to_date:
         new = kept.filter(~F.col(STORED))
@@ -287,16 +307,15 @@ def _unseen(batch, stored_keys, keys, names) -> DataFrame:
 # -- timelines ---------------------------------------------------------------
 
 
-def _of_parents(stored, parents) -> DataFrame | None:
+def _of_parents(stored, parents) -> DataFrame:
     """Stored records of the parents in the batch.
 
-    The broadcast of few parents filters the table while it is scanned.  More of
-    them meet the table in a shuffle of its columns that are compared; the rows of
+    The broadcast of few parents filters the table while it is scanned; more of
+    them go to the buckets of a bucketed table.  Otherwise a bitmap of their hashes has filtered the
+    table, and what passed meets them in a shuffle of the columns that are compared; the rows of
     other parents go no further: neither into the sort nor into the count of hot
     parents.
     """
-    if stored is None or parents is None:
-        return stored
     return stored.join(parents, FK, "left_semi")
 
 
@@ -319,13 +338,14 @@ def _since(batch, stored, few_parents, slice_millis) -> DataFrame:
     return stored.filter(F.col("__bound").isNull() | (F.col(MS) >= F.col("__bound"))).drop("__bound")
 
 
-def _timelines(rows, spec, names) -> DataFrame:
-    """Parents that fit a task: one shuffle and one sort, all windows on them."""
+def _timelines(rows, spec, names, in_place=False) -> DataFrame:
+    """Parents that fit a task: one shuffle (none if all their rows are in place) and one sort, all windows on them."""
     # Stored records win over new ones, then the first new one wins.
     ranked = Window.partitionBy(FK).orderBy(
         MS, F.col(STORED).desc(), *[F.col(c) for c in names.tie_break]
     )
-    rows = rows.repartition(FK).withColumn("__same", F.lag(MS).over(ranked).eqNullSafe(F.col(MS)))
+    rows = rows if in_place else rows.repartition(FK)
+    rows = rows.withColumn("__same", F.lag(MS).over(ranked).eqNullSafe(F.col(MS)))
     rows = rows.filter(~F.col("__same")).drop("__same")
 
     timeline = Window.partitionBy(FK).orderBy(MS)

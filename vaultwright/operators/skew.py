@@ -77,6 +77,61 @@ def hot_keys(counts: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
     return counts.filter(F.col(ROWS) > F.lit(hot_rows)).select(*keys)
 
 
+def to_buckets(rows: DataFrame, keys: list[str], buckets: int) -> DataFrame:
+    """Deal rows as a table bucketed by ``keys`` is, so that a join with it moves no stored row."""
+    return rows.repartition(buckets, *[column(k) for k in keys])
+
+
+# Bits of one bitmap of Spark's bitmap functions, and of one word that is tested.
+BITMAP_BITS, WORD_BITS = 1 << 15, 64
+# A bitmap worth its while has this many bits per key: some 12 % of other keys pass at 8, 6 % at 16.
+BITS_PER_KEY = (8, 16)
+_PLACE, _BITMAP, _NUMBER = "__place", "__bitmap", "__number"
+
+
+def key_bitmap(wanted: DataFrame, keys: list[str], bits: int) -> DataFrame:
+    """Hashes of the wanted keys as one row per 32,768 bits: its number, and the bits as 64-bit words."""
+    place = F.pmod(F.xxhash64(*[column(k) for k in keys]), F.lit(bits))
+    chunks = (
+        wanted.select(place.alias(_PLACE))
+        .groupBy(F.floor(F.col(_PLACE) / BITMAP_BITS).cast("int").alias(_NUMBER))
+        .agg(F.bitmap_construct_agg(F.col(_PLACE) % BITMAP_BITS).alias(_BITMAP))
+    )
+
+    def word(i):
+        # Bits are numbered within bytes, so bytes in reverse order make a word with bit n in place n.
+        eight = F.reverse(F.sequence(F.lit(1), F.lit(8)))
+        digits = F.array_join(F.transform(eight, lambda b: F.hex(F.substring(F.col(_BITMAP), i * 8 + b, 1))), "")
+        return F.conv(digits, 16, -10).cast("bigint")
+
+    words = F.transform(F.sequence(F.lit(0), F.lit(BITMAP_BITS // WORD_BITS - 1)), word)
+    return chunks.select(_NUMBER, words.alias(_BITMAP))
+
+
+def maybe_wanted(
+    stored: DataFrame, wanted: DataFrame, keys: list[str], n_wanted: int, bitmap_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Stored rows whose key may be wanted, by a bitmap of hashes in a broadcast of ``bitmap_bytes`` at most.
+
+    All rows of wanted keys pass and a few others, which the join that follows removes.
+    What it saves is their shuffle.  With so many wanted keys that most others would pass, all rows do.
+    """
+    least, best = BITS_PER_KEY
+    bits = max(BITMAP_BITS, 1 << (n_wanted * best).bit_length())
+    bits = min(bits, 1 << (bitmap_bytes * 8).bit_length() - 1)
+    if bits < n_wanted * least:
+        return stored
+    place = F.pmod(F.xxhash64(*[column(k) for k in keys]), F.lit(bits))
+    number = F.floor(place / BITMAP_BITS).cast("int")
+    within = (place % BITMAP_BITS).cast("int")
+    bitmap = F.broadcast(key_bitmap(wanted, keys, bits))
+    columns = [column(c) for c in stored.columns]
+    placed = stored.withColumns({_NUMBER: number, _PLACE: within})
+    word = F.get(_BITMAP, F.floor(F.col(_PLACE) / WORD_BITS).cast("int"))
+    hit = F.getbit(word, F.col(_PLACE) % WORD_BITS) == 1
+    return placed.join(bitmap, _NUMBER).filter(hit).select(*columns)
+
+
 def join_lookup(
     rows: DataFrame,
     lookup: DataFrame,

@@ -89,15 +89,18 @@ def load_chain_into(
     targets: Mapping[str, Any],
     *,
     options: Mapping[str, Mapping[str, Any]] | None = None,
+    load_id: str | None = None,
 ) -> ChainLoad:
     """Run the loads in the order given and write each into its target; see ``load_into``.
 
-    ``options`` holds options by table name, such as ``sequence``, ``load_id`` or ``on_invalid``.
+    ``options`` holds options by table name, such as ``sequence``, ``load_id`` or ``on_invalid``; ``load_id``
+    names the load of every table.  A chain that stopped between two tables can be run again.
     """
     _check(specs)
     loads: dict[str, Loaded] = {}
     for spec in specs:
-        loaded = load_into(targets[spec.table], df, spec, **(options or {}).get(spec.table, {}))
+        own = {"load_id": load_id, **(options or {}).get(spec.table, {})}
+        loaded = load_into(targets[spec.table], df, spec, **own)
         last = spec is specs[-1]
         df = stage(loaded.output, "chain") if isinstance(spec, KeyedSpec) and not last else loaded.output
         loads[spec.table] = loaded

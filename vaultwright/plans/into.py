@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from vaultwright.functions import column
 from vaultwright.operators import attach_keys, load_keyed, load_satellite
 from vaultwright.operators.quality import duplicate_keys, unresolved_keys
-from vaultwright.sources import SatelliteStore, Sequence, stage
+from vaultwright.sources import CatalogTable, SatelliteStore, Sequence, stage
 from vaultwright.spec import SEQUENCE, KeyedSpec, SatSpec, TableSpec
 
 
@@ -45,6 +45,10 @@ def load_into(
     return _keyed_into(target, df, spec, sequence, verify, options)
 
 
+def _buckets(target, spec) -> dict[str, int | None]:
+    return {"stored_buckets": target.key_buckets(spec) if isinstance(target, CatalogTable) else None}
+
+
 def _append(target, rows: DataFrame) -> int:
     counted = Observation()
     target.append(rows.observe(counted, F.count(F.lit(1)).alias("inserted")))
@@ -55,7 +59,7 @@ def _satellite_into(target, df, spec, load_id, options) -> Loaded:
     if not isinstance(target, SatelliteStore):
         if spec.uses_to_date:
             raise ValueError(f"{spec.table}: stored to-dates need a SatelliteStore")
-        load = load_satellite(df, target.read(), spec, **options)
+        load = load_satellite(df, target.read(), spec, **_buckets(target, spec), **options)
         return Loaded(load.output, {"inserted": _append(target, load.inserts), "updated": 0})
     done = target.applied(load_id) if load_id else None
     load = None
@@ -75,7 +79,8 @@ def _keyed_into(target, df, spec: KeyedSpec, sequence, verify, options) -> Loade
         if sequence.increment != spec.sequence_increment:
             raise ValueError(f"{spec.table}: the sequence has another increment")
         options = {**options, "sequence_start": 0}
-    load = load_keyed(df, table, spec, **options)
+    buckets = _buckets(target, spec)
+    load = load_keyed(df, table, spec, **buckets, **options)
     # Worked out once: counted and checked before anything is appended.
     inserts = stage(load.inserts, "inserts")
     inserted = inserts.count()
@@ -95,7 +100,7 @@ def _keyed_into(target, df, spec: KeyedSpec, sequence, verify, options) -> Loade
     written = target.read()
     if verify:
         _verify(df, written, spec, options)
-    output = attach_keys(df, written, spec, stats=load.stats, **lookup_options)
+    output = attach_keys(df, written, spec, stats=load.stats, **buckets, **lookup_options)
     # Every key is stored once, so each valid row comes out once.
     return Loaded(output, {"inserted": inserted, "updated": 0, "rows": load.stats.rows})
 

@@ -10,7 +10,7 @@ from vaultwright.operators import load_satellite, validity_view
 from vaultwright.plans.into import load_into
 from vaultwright.plans.queries_keys import SQL_BLANKED, blanked_orders
 from vaultwright.plans.registry import earlier, later, query, read, sql_earlier, sql_later
-from vaultwright.sources import ParquetTable, SatelliteStore, stage
+from vaultwright.sources import CatalogTable, ParquetTable, SatelliteStore, stage
 from vaultwright.staging import new_folder
 from vaultwright.spec import SatSpec
 
@@ -216,6 +216,18 @@ def sat_few_parents_shuffled(spark, sf_dir):
     return load_satellite(few, stored, order_status(), order_by=FIRST, broadcast_bytes=0).inserts
 
 
+@query(f"WITH {SQL_INCREMENTAL} {SELECT_INSERTS} UNION ALL SELECT fk, d, v FROM stored")
+def sat_colocated(spark, sf_dir):
+    """A satellite bucketed by its foreign key: only the batch, taken as too large to broadcast, is shuffled."""
+    folder = new_folder(spark, "sat_order_status")
+    name = f"sat_order_status_{folder.rsplit('-', 1)[1]}"
+    target = CatalogTable(spark, name, ("customer",), buckets=8, path=folder)
+    orders = _orders(spark, sf_dir)
+    for batch in (earlier(orders, "o_orderdate"), later(orders, "o_orderdate")):
+        load_into(target, batch, order_status(), order_by=FIRST, broadcast_bytes=0)
+    return target.read()
+
+
 @query(f"WITH {SQL_INCREMENTAL} {SELECT_INSERTS}")
 def sat_to_date_not_used(spark, sf_dir):
     """The to-date column named as not used."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -18,9 +19,9 @@ from vaultwright.plans.registry import (
     sql_later,
     sql_rank,
 )
-from vaultwright.sources import ParquetTable, Sequence, stage
+from vaultwright.sources import CatalogTable, ParquetTable, Sequence, stage
 from vaultwright.staging import new_folder
-from vaultwright.spec import AUTO_INCREMENT, SEQUENCE, HubSpec, LinkSpec
+from vaultwright.spec import AUTO_INCREMENT, BY_KEY, SEQUENCE, HubSpec, LinkSpec
 
 STAMP = datetime(2024, 1, 1)
 
@@ -97,6 +98,32 @@ def hub_output_keys(spark, sf_dir):
     return load_hub(batch, hub, CUSTOMER_HUB).output
 
 
+@query(
+    f"""WITH {SQL_ORDER_CUSTOMERS}, hub AS (SELECT * FROM old UNION ALL SELECT * FROM new)
+        SELECT orders.*, hub.id AS customer_id FROM orders JOIN hub ON k = o_custkey
+        WHERE NOT (o_orderstatus = 'F' AND {sql_earlier('o_orderdate')})"""
+)
+def hub_colocated(spark, sf_dir):
+    """Two loads into a hub bucketed by its key: the batch, taken as too large to broadcast, goes to the buckets."""
+    folder = new_folder(spark, "hub_customer")
+    name = f"hub_customer_{folder.rsplit('-', 1)[1]}"
+    target = CatalogTable(spark, name, ("custkey",), buckets=8, path=folder)
+    loaded, batch = _split_orders(spark, sf_dir)
+    load_into(target, loaded, CUSTOMER_HUB)
+    return load_into(target, batch, CUSTOMER_HUB, broadcast_bytes=0).output
+
+
+@query(
+    f"""WITH {SQL_ORDER_CUSTOMERS}, hub AS (SELECT * FROM old UNION ALL SELECT * FROM new)
+        SELECT orders.*, hub.id AS customer_id FROM orders JOIN hub ON k = o_custkey
+        WHERE NOT (o_orderstatus = 'F' AND {sql_earlier('o_orderdate')})"""
+)
+def hub_bitmap_lookup(spark, sf_dir):
+    """Keys taken as too many to broadcast: their hashed bitmap filters the hub before it is shuffled."""
+    hub, batch = _customer_hub(spark, sf_dir)
+    return load_hub(batch, hub, CUSTOMER_HUB, broadcast_bytes=0).output
+
+
 @query(
     f"""SELECT lineitem.*, supplier_id FROM lineitem JOIN (
           SELECT l_suppkey AS k, {sql_rank('l_suppkey')} AS supplier_id
@@ -352,6 +379,26 @@ def key_auto_increment(spark, sf_dir):
     return load_hub(read(spark, sf_dir, "part"), None, spec).inserts
 
 
+SQL_LINES_IN_ORDER = f"""
+    old AS (SELECT k, l, row_number() OVER (ORDER BY k, l) AS id FROM (
+              SELECT DISTINCT l_orderkey AS k, l_linenumber AS l FROM lineitem WHERE {sql_earlier('l_shipdate')})),
+    new AS (SELECT k, l, (SELECT max(id) FROM old) + row_number() OVER (ORDER BY k, l) AS id FROM (
+              SELECT DISTINCT l_orderkey AS k, l_linenumber AS l FROM lineitem
+              WHERE {sql_later('l_shipdate')} AND (l_orderkey, l_linenumber) NOT IN (SELECT k, l FROM old)))"""
+
+
+@query(
+    f"""WITH {SQL_LINES_IN_ORDER}
+        SELECT k AS orderkey, l AS line, id AS line_id FROM old UNION ALL SELECT k, l, id FROM new"""
+)
+def key_business_order(spark, sf_dir):
+    """Two loads whose new keys are numbered in the order of the business keys."""
+    spec = replace(LINE_HUB, key_order=BY_KEY)
+    lines = read(spark, sf_dir, "lineitem")
+    first = stage(load_hub(earlier(lines, "l_shipdate"), None, spec).inserts, "hub_line")
+    return first.unionByName(load_hub(later(lines, "l_shipdate"), first, spec).inserts)
+
+
 # -- links -------------------------------------------------------------------
 
 

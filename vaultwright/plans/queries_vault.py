@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from vaultwright.operators import load_hub, quality
@@ -26,7 +28,7 @@ from vaultwright.plans.registry import earlier, later, query, read, sql_earlier,
 from vaultwright.sources import ParquetTable, SatelliteStore, stage
 from vaultwright.staging import new_folder
 from vaultwright.spec import HubSpec, LinkSpec, SatSpec
-from vaultwright.streaming import load_stream
+from vaultwright.streaming import load_chain_stream, load_stream
 
 ORDER_HUB = HubSpec(table="hub_order", tech_key="order_id", keys={"o_orderkey": "orderkey"})
 CUSTOMER_ORDER = LinkSpec(
@@ -241,13 +243,22 @@ def stream_hub(spark, sf_dir):
     return _stream_into(spark, sf_dir, "hub_user", USER_HUB)
 
 
+def _in_batches(spark, table, parts):
+    """A stream of ``parts`` (conditions on the rows), one micro-batch each, in that order."""
+    files = new_folder(spark, "stream")
+    # Each part is written and read by several tasks; a trigger takes up all files of a part.
+    least = min(table.agg(*[F.count_if(F.expr(part)) for part in parts]).first())
+    n_files = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), least))
+    for n, part in enumerate(parts, 1):
+        table.filter(part).repartition(n_files).write.mode("append").parquet(files)
+        written = len(spark.read.schema(table.schema).parquet(files).inputFiles())
+        if written != n * n_files:
+            raise RuntimeError(f"{written} files, {n * n_files} are expected")
+    return spark.readStream.schema(table.schema).option("maxFilesPerTrigger", n_files).parquet(files)
+
+
 def _stream_in_batches(spark, sf_dir, target, spec, parts, **options):
-    """Load ``parts`` (conditions on the events) as one micro-batch each, in that order."""
-    events = read(spark, sf_dir, "events")
-    files = new_folder(spark, "events")
-    for part in parts:
-        events.filter(part).coalesce(1).write.mode("append").parquet(files)
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(files)
+    stream = _in_batches(spark, read(spark, sf_dir, "events"), parts)
     checkpoint = new_folder(spark, "progress")
     load_stream(stream, target, spec, checkpoint=checkpoint, **options).awaitTermination()
     return target.read()
@@ -288,3 +299,39 @@ def stream_sat_late(spark, sf_dir):
 def stream_sat(spark, sf_dir):
     spec = user_events(idempotent=False)
     return _stream_into(spark, sf_dir, "sat_user", spec, order_by="event_id")
+
+
+STREAM_PARTS = [f"o_orderkey % 3 = {n}" for n in range(3)]
+STATUS_AS_IS = replace(CUSTOMER_STATUS, idempotent=False)
+
+
+@query(
+    f"""WITH first AS (SELECT o_custkey AS c, o_orderdate AS d, arg_min(o_orderstatus, (o_orderkey % 3, o_orderkey)) AS status
+                      FROM orders GROUP BY ALL),
+        dated AS (SELECT *, coalesce(lead(d) OVER (PARTITION BY c ORDER BY d), {MAX_SQL}) AS valid_to FROM first)
+        SELECT o_custkey AS custkey, o_orderkey AS orderkey, o_orderdate AS valid_from, o_orderstatus AS status,
+               o_totalprice AS total, dated.status AS customer_status, valid_to
+        FROM orders JOIN dated ON c = o_custkey AND d = o_orderdate"""
+)
+def stream_chain(spark, sf_dir):
+    """Two hubs, a link and two satellites fed by one stream of three micro-batches, put together again."""
+    orders = read(spark, sf_dir, "orders")
+    specs = [CUSTOMER_HUB, ORDER_HUB, CUSTOMER_ORDER, ORDER_DETAILS, STATUS_AS_IS]
+    targets = {spec.table: ParquetTable(spark, new_folder(spark, spec.table)) for spec in specs[:-1]}
+    store = SatelliteStore(spark, new_folder(spark, STATUS_AS_IS.table), STATUS_AS_IS, buckets=8)
+    load_chain_stream(
+        _in_batches(spark, orders, STREAM_PARTS),
+        specs,
+        {**targets, STATUS_AS_IS.table: store},
+        checkpoint=new_folder(spark, "progress"),
+        options={STATUS_AS_IS.table: {"order_by": FIRST}},
+    ).awaitTermination()
+    customers, order_keys, links, details = (targets[spec.table].read() for spec in specs[:-1])
+    status = store.read().withColumnsRenamed({"customer": "customer_id", "status": "customer_status"})
+    return (
+        details.join(links, F.col("customer_order") == F.col("customer_order_id"))
+        .join(customers, "customer_id")
+        .join(order_keys, "order_id")
+        .join(status.drop("priority"), ["customer_id", "valid_from"])
+        .select("custkey", "orderkey", "valid_from", "status", "total", "customer_status", "valid_to")
+    )

@@ -26,6 +26,10 @@ SEQUENCE = "sequence"
 AUTO_INCREMENT = "autoinc"
 KEY_METHODS = (TABLE_MAX, SEQUENCE, AUTO_INCREMENT)
 
+# In which order new keys are numbered: by (digest, key), which is cheapest, or by the key alone.
+BY_DIGEST, BY_KEY = "digest", "key"
+KEY_ORDERS = (BY_DIGEST, BY_KEY)
+
 # Default end of validity, its format, and "no to-date column".
 MAX_FLAG = "01-01-4000"
 MAX_FLAG_FORMAT = "%d-%m-%Y"
@@ -156,6 +160,7 @@ class KeyedSpec(TableSpec):
     others: Fields = ()
     key_field: str | None = None
     key_method: str = TABLE_MAX
+    key_order: str = BY_DIGEST
     sequence_start: int = 1
     sequence_increment: int = 1
 
@@ -169,6 +174,10 @@ class KeyedSpec(TableSpec):
             raise ValueError(
                 f"{self.table}: unknown key method {self.key_method!r}, use one of {KEY_METHODS}"
             )
+        if self.key_order not in KEY_ORDERS:
+            raise ValueError(f"{self.table}: unknown key order {self.key_order!r}, use one of {KEY_ORDERS}")
+        if self.key_order == BY_KEY and self.key_method == AUTO_INCREMENT:
+            raise ValueError(f"{self.table}: auto increment numbers keys by digest")
         if self.sequence_increment == 0:
             raise ValueError(f"{self.table}: sequence_increment must not be 0")
         self._freeze(

@@ -1,3 +1,3 @@
-from vaultwright.streaming.sinks import load_stream
+from vaultwright.streaming.sinks import load_chain_stream, load_stream
 
-__all__ = ["load_stream"]
+__all__ = ["load_chain_stream", "load_stream"]
