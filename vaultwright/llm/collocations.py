@@ -11,9 +11,9 @@ one prefix at a time.  From merged stripes follow
 * subsumption maxima: the largest entry of a stripe is the most frequent extension to the right; grouped by
   the phrase without its first word, entries give the most frequent extension to the left.
 
-A phrase is a candidate with ``least`` occurrences, and then all its parts are.  So a word enters stripes only
-if it may be that frequent, and longer prefixes only if their pairs of words may be.  Both
-tests are bitmaps of hashed words and pairs, built by Spark from the counts of the pass before.  Their size
+A phrase is a candidate with ``least`` occurrences, and then all its parts are.  So stripes are built length by
+length: a prefix enters only if it may be that frequent, and a next word only if the phrase that it
+ends may be.  The tests are bitmaps of hashed phrases, built by Spark from the counts of the pass before.  Their size
 follows the number of entries up to ``2^most_bits`` bits; a false hit costs shuffle volume and never a result.  Stripes of a prefix
 that starts with more than a thousandth of all words (so at most a thousand) are dealt to ``hot_parts`` parts by
 next word, so no task holds the stripe of a hot prefix alone.
@@ -78,7 +78,7 @@ class Bitmap:
 
 
 def bitmap_of(frequent: DataFrame, most_bits: int) -> Bitmap:
-    """A bitmap of (lang, phrase) with up to two words, built in Spark; at most 2^most_bits bits reach the driver."""
+    """A bitmap of (lang, phrase) with up to three words, built in Spark; at most 2^most_bits bits reach the driver."""
     entries = frequent.count()
     bits = min(max(ceil(log2(max(1, entries * BITS_PER_ENTRY))), 15), most_bits)
     checksum = lambda c: F.crc32(c.cast("binary"))
@@ -118,97 +118,119 @@ class Words(dict):
         return 0
 
 
+def unique_rows(columns: list[np.ndarray], counts: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray]:
+    """The different rows of some columns of small numbers, sorted, and how often (or with what sum) each occurs."""
+    n_rows = len(columns[0])
+    if not n_rows:
+        return columns, np.zeros(0, np.int64)
+    bits = [int(c.max()).bit_length() for c in columns]
+    if sum(bits) <= 63:  # a row fits a number, and numbers sort much faster
+        key = columns[0].astype(np.int64)
+        for column, width in zip(columns[1:], bits[1:]):
+            key = key << width | column
+        if counts is None:
+            key.sort()
+        else:
+            order = np.argsort(key, kind="stable")
+            key, counts = key[order], counts[order]
+        starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        key = key[starts]
+        found = []
+        for width in reversed(bits):
+            found.append((key & ((1 << width) - 1)).astype(np.int32))
+            key = key >> width
+        found.reverse()
+    else:
+        order = np.lexsort(columns[::-1])
+        columns = [c[order] for c in columns]
+        starts = np.flatnonzero(np.concatenate([[True], np.any([c[1:] != c[:-1] for c in columns], axis=0)]))
+        found, counts = [c[starts] for c in columns], None if counts is None else counts[order]
+    if counts is None:
+        return found, np.diff(np.append(starts, n_rows))
+    return found, np.add.reduceat(counts, starts)
+
+
 class Stripes:
-    """Counts of (prefix, next word) of a language, kept as sorted numbers: (first two words, third and next)."""
+    """Counts of (prefix, next word) of a language for prefixes of one length, as rows of word numbers."""
 
-    def __init__(self, lang: bytes, known: Bitmap, pairs: Bitmap | None, hot: frozenset, hot_parts: int):
-        self._lang, self._pairs, self._hot, self._hot_parts = lang, pairs, hot, hot_parts
+    def __init__(self, lang: bytes, length: int, known: Bitmap, phrases: Bitmap | None, hot: frozenset, hot_parts: int):
+        self._lang, self._length, self._phrases, self._hot, self._hot_parts = lang, length, phrases, hot, hot_parts
         self.words = Words(lang, known)
         self._stream: list[int] = []
-        self._counts: dict[int, list[tuple]] = defaultdict(list)
-        self.entries = 0
+        self._rows: list[list[np.ndarray]] = []  # not counted yet
+        self._counted: tuple[list[np.ndarray], np.ndarray] | None = None
+        self._waiting = 0
+
+    @property
+    def entries(self) -> int:
+        return 0 if self._counted is None else len(self._counted[1])
 
     def add(self, text: str) -> None:
         words = self.words
         self._stream += [words[word] for word in tokens(text)]
         self._stream.append(0)
         if len(self._stream) >= WORDS_AT_ONCE:
-            self.count()
+            self._take()
 
-    def count(self) -> None:
-        """Turn the words that wait into counts."""
-        ids = np.array([*self._stream, 0, 0, 0], np.int64)
+    def _take(self) -> None:
+        """Turn the words that wait into rows: prefixes that may be frequent, and the word after if that phrase may be, too."""
+        n = self._length
+        ids = np.array([*self._stream, *[0] * (n + 1)], np.int32)
         self._stream = []
-        one, two, three, four = ids[:-3], ids[1:-2], ids[2:-1], ids[3:]
-        if self._pairs is None:
-            self._put(1, one[one > 0], two[one > 0])
-        else:
-            checksums = np.array(self.words.checksums, np.int64)[ids]
-            often = np.zeros(len(ids), bool)
-            often[:-1] = (ids[:-1] > 0) & (ids[1:] > 0)
+        often = ids > 0
+        for i in range(1, n):
+            often[:-i] &= ids[i:] > 0
+        if self._phrases is not None:
             at = np.flatnonzero(often)
-            often[at] = self._pairs.hits(self._lang, checksums[at], checksums[at + 1])
-            pair, following, after = often[:-3], often[1:-2], often[2:-1]
-            self._put(2, (one << _ID_BITS | two)[pair], np.where(following, three, 0)[pair])
-            both = pair & following
-            third = three << _ID_BITS | np.where(after, four, 0)
-            self._put(3, (one << _ID_BITS | two)[both], third[both])
-        self.entries = sum(len(c[2]) for kept in self._counts.values() for c in kept)
-
-    def _put(self, length: int, prefix: np.ndarray, rest: np.ndarray) -> None:
-        kept = self._counts[length]
-        kept.append((prefix, rest, np.ones(len(prefix), np.int64)))
-        # Merged when what is new outgrows what is there, so that merging stays cheap.
-        if len(kept) == 1 or sum(len(c[2]) for c in kept[1:]) >= len(kept[0][2]):
-            prefix, rest, counts = (np.concatenate(c) for c in zip(*kept))
-            order = np.lexsort((rest, prefix))
-            prefix, rest, counts = prefix[order], rest[order], counts[order]
-            first = np.ones(len(prefix), bool)
-            first[1:] = (prefix[1:] != prefix[:-1]) | (rest[1:] != rest[:-1])
-            starts = np.flatnonzero(first)
-            sums = np.add.reduceat(counts, starts) if len(starts) else counts
-            self._counts[length] = [(prefix[starts], rest[starts], sums)]
+            checksums = np.array(self.words.checksums, np.int64)
+            often[at] = self._phrases.hits(self._lang, *[checksums[ids[at + i]] for i in range(n)])
+        at = np.flatnonzero(often)
+        self._rows.append([*[ids[at + i] for i in range(n)], np.where(often[at + 1], ids[at + n], 0).astype(np.int32)])
+        self._waiting += len(at)
+        if self._waiting >= 4 * WORDS_AT_ONCE:
+            self._count()
+
+    def _count(self) -> None:
+        found = unique_rows([np.concatenate(c) for c in zip(*self._rows)])
+        self._rows, self._waiting = [], 0
+        if self._counted is not None:
+            both = [np.concatenate(c) for c in zip(self._counted[0], found[0])]
+            found = unique_rows(both, np.concatenate([self._counted[1], found[1]]))
+        self._counted = found
 
     def given(self) -> Iterator[pa.RecordBatch]:
-        """All stripes, as rows; nothing is left afterwards."""
+        """All stripes as rows; nothing may be added afterwards."""
         if self._stream:
-            self.count()
+            self._take()
+        if self._rows:
+            self._count()
+        if not self.entries:
+            return
         names = pa.array(self.words.names, pa.binary()).cast(pa.string())
-        low = (1 << _ID_BITS) - 1
-        parts_of = np.array(self.words.checksums, np.int64) % self._hot_parts
+        (*ids, following), counts = self._counted
         hot = np.array([name in self._hot for name in self.words.names])
-        for length, kept in self._counts.items():
-            prefix, rest, counts = (np.concatenate(c) for c in zip(*kept))
-            following = rest & low
-            columns = {1: [prefix], 2: [prefix >> _ID_BITS, prefix & low]}
-            ids = columns.get(length) or [*columns[2], rest >> _ID_BITS]
-            part = np.where(hot[ids[0]], parts_of[following], 0)
+        parts = np.array(self.words.checksums, np.int64) % self._hot_parts
+        part = np.where(hot[ids[0]] & (following > 0), parts[following], 0)
+        if hot.any():
             order = np.lexsort((following, part, *reversed(ids)))
             ids, part, following, counts = [i[order] for i in ids], part[order], following[order], counts[order]
-            first = np.ones(len(part), bool)
-            first[1:] = np.any([c[1:] != c[:-1] for c in (*ids, part)], axis=0)
-            starts = np.flatnonzero(first)
-            entry = following > 0
-            # The same entry may wait in two arrays that are not merged yet; the merge adds them up.
-            rests = np.add.reduceat(np.where(entry, 0, counts), starts) if len(starts) else starts
-            offsets = np.concatenate([np.cumsum(entry) - entry, [entry.sum()]])[[*starts, len(part)]]
-            nexts, numbers = names.take(pa.array(following[entry])), pa.array(counts[entry])
-            texts = [names.take(pa.array(i[starts])) for i in ids]
-            prefixes = texts[0] if length == 1 else pc.binary_join_element_wise(*texts, " ")
-            langs = pa.array([self._lang.decode()] * len(starts), pa.string())
-            whole = pa.RecordBatch.from_arrays(
-                [
-                    langs,
-                    prefixes,
-                    pa.array(part[starts].astype(np.int32)),
-                    pa.array(rests.astype(np.int64)),
-                    pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), nexts),
-                    pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), numbers),
-                ],
-                ["lang", "prefix", "part", "rest", "nexts", "counts"],
-            )
-            for i in range(0, whole.num_rows, 50_000):
-                yield whole.slice(i, 50_000)
+        starts = np.flatnonzero(np.concatenate([[True], np.any([c[1:] != c[:-1] for c in (*ids, part)], axis=0)]))
+        entry = following > 0
+        offsets = np.concatenate([np.cumsum(entry) - entry, [entry.sum()]])[[*starts, len(part)]].astype(np.int32)
+        texts = [names.take(pa.array(i[starts])) for i in ids]
+        whole = pa.RecordBatch.from_arrays(
+            [
+                pa.array([self._lang.decode()] * len(starts), pa.string()),
+                texts[0] if len(texts) == 1 else pc.binary_join_element_wise(*texts, " "),
+                pa.array(part[starts].astype(np.int32)),
+                pa.array(np.add.reduceat(np.where(entry, 0, counts), starts)),
+                pa.ListArray.from_arrays(pa.array(offsets), names.take(pa.array(following[entry]))),
+                pa.ListArray.from_arrays(pa.array(offsets), pa.array(counts[entry])),
+            ],
+            ["lang", "prefix", "part", "rest", "nexts", "counts"],
+        )
+        for i in range(0, whole.num_rows, 50_000):
+            yield whole.slice(i, 50_000)
 
 
 def count_words(docs: DataFrame, entries_at_once: int, parts: int) -> DataFrame:
@@ -240,9 +262,9 @@ def count_words(docs: DataFrame, entries_at_once: int, parts: int) -> DataFrame:
 
 
 def build_stripes(
-    docs: DataFrame, known: Bitmap, pairs: Bitmap | None, hot: dict, hot_parts: int, entries_at_once: int
+    docs: DataFrame, length: int, known: Bitmap, phrases: Bitmap | None, hot: dict, hot_parts: int, entries_at_once: int
 ) -> DataFrame:
-    """Each task's stripes of prefixes of one word, or given ``pairs`` that may be frequent, of two and three words."""
+    """Each task's stripes of prefixes of ``length`` words, those of two and more being in ``phrases``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_lang: dict[str, Stripes] = {}
@@ -251,7 +273,8 @@ def build_stripes(
                 stripes = by_lang.get(lang)
                 if stripes is None:
                     name = lang.encode()
-                    stripes = by_lang[lang] = Stripes(name, known, pairs, hot.get(name, frozenset()), hot_parts)
+                    stripes = Stripes(name, length, known, phrases, hot.get(name, frozenset()), hot_parts)
+                    by_lang[lang] = stripes
                 stripes.add(text.as_py() or "")
                 if stripes.entries >= entries_at_once or len(stripes.words.names) >= entries_at_once:
                     yield from by_lang.pop(lang).given()
@@ -264,36 +287,49 @@ def build_stripes(
 def merge_stripes(stripes: DataFrame, least: int) -> DataFrame:
     """One stripe per (lang, prefix, part), with its total; entries below ``least`` count in the total only."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, total, sums = None, 0, {}
-        done: list[tuple] = []
-
-        def closed() -> tuple:
-            kept = [(w, c) for w, c in sums.items() if c >= least]
-            return *key, total + sum(sums.values()), [w for w, _ in kept], [c for _, c in kept]
+    def merged(rows: pa.Table, last: bool) -> tuple[pa.RecordBatch, pa.Table | None]:
+        """The finished stripes, and the one that may go on in the next batch."""
+        keys = [rows.column(i).combine_chunks() for i in range(3)]
+        differs = np.zeros(rows.num_rows, bool)
+        differs[0] = True
+        for key in keys:
+            differs[1:] |= pc.not_equal(key[1:], key[:-1]).to_numpy(zero_copy_only=False)
+        starts, run_of = np.flatnonzero(differs), np.cumsum(differs) - 1
+        nexts, counts = (rows.column(c).combine_chunks() for c in ("nexts", "counts"))
+        lengths = pc.list_value_length(nexts).to_numpy()
+        entries = pa.table({"run": np.repeat(run_of, lengths), "next": nexts.flatten(), "count": counts.flatten()})
+        sums = entries.group_by(["run", "next"], use_threads=False).aggregate([("count", "sum")])
+        run, count = sums.column("run").to_numpy(), sums.column("count_sum").to_numpy()
+        totals = np.add.reduceat(rows.column("rest").to_numpy(), starts)
+        n_done = len(starts) if last else len(starts) - 1
+
+        def batch(runs: np.ndarray, kept: np.ndarray, numbers: np.ndarray, name: str) -> pa.RecordBatch:
+            kept = kept[np.argsort(run[kept], kind="stable")]
+            ends = np.searchsorted(run[kept], runs, side="right")
+            offsets = pa.array(np.concatenate([[np.searchsorted(run[kept], runs[0])] if len(runs) else [0], ends]).astype(np.int32))
+            words = sums.column("next").combine_chunks().take(pa.array(kept))
+            lists = [pa.ListArray.from_arrays(offsets, words), pa.ListArray.from_arrays(offsets, pa.array(count[kept]))]
+            columns = [*[key.take(pa.array(starts[runs])) for key in keys], pa.array(numbers), *lists]
+            return pa.RecordBatch.from_arrays(columns, ["lang", "prefix", "part", name, "nexts", "counts"])
+
+        whole = totals.copy()
+        np.add.at(whole, run, count)
+        done = batch(np.arange(n_done), np.flatnonzero((count >= least) & (run < n_done)), whole[:n_done], "total")
+        if last:
+            return done, None
+        rest = batch(np.arange(n_done, n_done + 1), np.flatnonzero(run == n_done), totals[n_done:], "rest")
+        return done, pa.Table.from_batches([rest])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_stripe = None
         for batch in batches:
-            langs, prefixes, parts, rests = (batch.column(i).to_pylist() for i in range(4))
-            nexts, counts = batch.column("nexts"), batch.column("counts")
-            ends = np.cumsum(pc.list_value_length(nexts).to_numpy()).tolist()
-            words, numbers = nexts.flatten().to_numpy(zero_copy_only=False).tolist(), counts.flatten().to_pylist()
-            start = 0
-            for *this, rest, end in zip(langs, prefixes, parts, rests, ends):
-                if this != key:
-                    if key is not None:
-                        done.append(closed())
-                    key, total, sums = this, 0, {}
-                total += rest
-                for word, number in zip(words[start:end], numbers[start:end]):
-                    sums[word] = sums.get(word, 0) + number
-                start = end
-            if len(done) >= 20_000:
-                yield _merged(done)
-                done = []
-        if key is not None:
-            done.append(closed())
-        if done:
-            yield _merged(done)
+            if batch.num_rows:
+                rows = pa.Table.from_batches([batch])
+                done, open_stripe = merged(pa.concat_tables([open_stripe, rows]) if open_stripe else rows, False)
+                if done.num_rows:
+                    yield done
+        if open_stripe:
+            yield merged(open_stripe, True)[0]
 
     keys = ["lang", "prefix", "part"]
     dealt = stripes.repartition(*keys).sortWithinPartitions(*keys)
@@ -336,11 +372,14 @@ def stripes(
     hot: dict[bytes, frozenset] = defaultdict(frozenset)
     for r in words.filter(F.col("f") * HOT_SHARE > total).collect():  # below HOT_SHARE rows
         hot[r.lang.encode()] |= {r.phrase.encode()}
-    known = bitmap_of(words, most_bits)
-    one = built(build_stripes(rows, known, None, hot, hot_parts, entries_at_once), "pairs")
-    pairs = bitmap_of(_extensions(one), most_bits)
-    more = built(build_stripes(rows, known, pairs, hot, hot_parts, entries_at_once), "longer")
-    return one.unionByName(more), sizes
+    known = phrases = bitmap_of(words, most_bits)
+    found = None
+    for length in (1, 2, 3):
+        parts = build_stripes(rows, length, known, phrases if length > 1 else None, hot, hot_parts, entries_at_once)
+        merged = built(parts, f"{length}")
+        phrases = bitmap_of(_extensions(merged), most_bits) if length < 3 else None
+        found = merged if found is None else found.unionByName(merged)
+    return found, sizes
 
 
 def mine(
