@@ -29,16 +29,17 @@ def parse(text):
 
 
 def units(text):
-    """{(level, unit)}: lines and passages of at least twelve characters."""
+    """{(level, unit)}: lines, passages and their sentences."""
     found, run = set(), []
     for level, body in [*parse(text), (None, "")]:
         if run and run[0][0] != level:
-            found.add((run[0][0], clean(" ".join(b for _, b in run))))
+            passage = " ".join(b for _, b in run)
+            found |= {(run[0][0], clean(x)) for x in [passage, *re.findall(r"[^.!?]+[.!?]*", passage)]}
             run = []
         if level is not None:
             found.add((level, clean(body)))
             run.append((level, body))
-    return {(level, u) for level, u in found if len(u) >= 12}
+    return {(level, u) for level, u in found if u}
 
 
 def brute(rows):
@@ -128,3 +129,17 @@ def test_query_over_the_table(spark, data):
     assert collected(found, "conv_id", "turn", "position", "reply_to", "linked") == sorted(
         ((*k, *v) for k, v in expected.items()), key=repr
     )
+
+
+def test_short_quotes_and_sentences(spark):
+    """A word, a short line and one sentence of a long line, quoted, lead to the message that has them."""
+    rows = [
+        (1, 0, "a", "Yes, why?\nIt rained all day. We stayed in and read! Then it stopped."),
+        (1, 1, "b", "I agree."), (1, 2, "c", "No"), (1, 3, "d", "Nothing of that."),
+        (1, 4, "e", "> We stayed in and\n> read!\nMe too"), (1, 5, "f", "> i  agree.\nGood"), (1, 6, "g", "> No\nSure?"),
+        (1, 7, "h", ">> Yes, why?\n> Sure?\nYes"),
+    ]
+    found = {r["turn"]: (r["reply_to"], r["linked"]) for r in q.link(table(spark, rows)).collect()}
+    assert {t: found[t] for t in (4, 5, 6, 7)} == {4: (0, True), 5: (1, True), 6: (2, True), 7: (6, True)}
+    assert found[3] == (2, False)
+    assert {(1, t): v for t, v in found.items()} == {k: v[1:] for k, v in brute(rows).items()}

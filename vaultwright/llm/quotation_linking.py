@@ -1,8 +1,8 @@
 """Conversations without quotes, in reply order; DataFrame functions only.
 
 A line's quote level is the number of ``>`` in front of it; neighbouring lines of a level are a
-passage.  Quoted passages and their lines are normalised, hashed and joined with the
-unquoted passages and lines of earlier messages of the conversation; the latest earlier
+passage.  Quoted passages, their lines and their sentences, however short, are normalised, hashed and
+joined with the unquoted passages, lines and sentences of earlier messages of the conversation; the latest earlier
 message that has it is the origin.  A message replies to the origin of most of its level-one
 quotes (by characters; then the later one), else to the message before it.  Messages come
 out without quoted lines and the attribution lines before them, with their position in a
@@ -35,9 +35,13 @@ QUOTE = r"^((?:[ \t]*>)+)"
 ATTRIBUTION = r"(?:wrote|writes|schrieb|a écrit|escribió)[^\n]{0,80}:[ \t]*$"
 
 
+# A sentence ends with its marks.
+SENTENCE = r"[^.!?]+[.!?]*"
+
+
 @dataclass(frozen=True)
 class Settings:
-    least_chars: int = 12
+    least_chars: int = 1
 
 
 def _messages(conversations: DataFrame) -> DataFrame:
@@ -70,7 +74,7 @@ def levels(messages: DataFrame) -> DataFrame:
 
 
 def units(messages: DataFrame, settings: Settings) -> DataFrame:
-    """Distinct (conv_id, turn, mid, level, unit, chars): passages and lines, normalised and hashed."""
+    """Distinct (conv_id, turn, mid, level, unit, chars): passages, lines and sentences, normalised and hashed."""
     lines = levels(messages)
     own = Window.partitionBy("mid").orderBy("at")  # within one message
     run = F.sum(F.when(F.col("level") != F.col("last"), 1).otherwise(0)).over(own)
@@ -81,8 +85,9 @@ def units(messages: DataFrame, settings: Settings) -> DataFrame:
         .agg(F.sort_array(F.collect_list(F.struct("at", "body"))).alias("lines"))
         .select("conv_id", "turn", "mid", "level", F.array_join(F.col("lines.body"), " ").alias("body"))
     )
-    both = lines.select("conv_id", "turn", "mid", "level", "body").union(passages)
-    clean = both.withColumn("body", normalised(F.col("body"))).filter(F.length("body") >= settings.least_chars)
+    sentences = passages.withColumn("body", F.explode(F.regexp_extract_all("body", F.lit(SENTENCE), F.lit(0))))
+    every = lines.select("conv_id", "turn", "mid", "level", "body").union(passages).union(sentences)
+    clean = every.withColumn("body", normalised(F.col("body"))).filter(F.length("body") >= settings.least_chars)
     return clean.select(
         "conv_id", "turn", "mid", "level", F.unhex(F.md5(F.col("body").cast("binary"))).alias("unit"),
         F.length("body").alias("chars"),

@@ -125,14 +125,16 @@ def quotation_linking() -> str:
     runs AS (SELECT *, sum(changed) OVER (PARTITION BY conv_id, turn ORDER BY pos) AS run FROM (
                SELECT *, CASE WHEN level <> lag(level) OVER (PARTITION BY conv_id, turn ORDER BY pos)
                               THEN 1 ELSE 0 END AS changed FROM levels)),
-    raw AS (SELECT conv_id, turn, level, body FROM levels UNION ALL
-            SELECT conv_id, turn, level, string_agg(body, ' ' ORDER BY pos) FROM runs GROUP BY conv_id, turn, run, level),
+    passages AS (SELECT conv_id, turn, level, string_agg(body, ' ' ORDER BY pos) AS body FROM runs
+                 GROUP BY conv_id, turn, run, level),
+    raw AS (SELECT conv_id, turn, level, body FROM levels UNION ALL SELECT * FROM passages UNION ALL
+            SELECT conv_id, turn, level, unnest(regexp_extract_all(body, '[^.!?]+[.!?]*')) FROM passages),
     units AS (SELECT DISTINCT conv_id, turn, level, trim(regexp_replace(lower(body), '[\x00-\x20]+', ' ', 'g')) AS unit
               FROM raw),
     quoted AS (SELECT q.conv_id, q.turn, q.level, q.unit, max(o.turn) AS origin
                FROM units q LEFT JOIN units o ON o.conv_id = q.conv_id AND o.unit = q.unit AND o.level = 0
                     AND o.turn < q.turn
-               WHERE q.level > 0 AND length(q.unit) >= 12 GROUP BY ALL),
+               WHERE q.level > 0 AND length(q.unit) >= 1 GROUP BY ALL),
     votes AS (SELECT conv_id, turn, origin, sum(length(unit)) AS chars FROM quoted
               WHERE level = 1 AND origin IS NOT NULL GROUP BY ALL),
     best AS (SELECT conv_id, turn, max((chars, origin))[2] AS origin FROM votes GROUP BY ALL),
