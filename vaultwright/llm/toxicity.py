@@ -13,7 +13,7 @@ weight per channel.  Learning uses at most ``max_labelled`` labelled documents,
 the smallest hash of doc_id; every document is scored over its whole text.
 
 Defined cases: null or empty texts have empty channels and get the score of a text without
-any match; several labels of a document count as toxic if one does; null labels are not
+any match; several labels of a document count as toxic if one does; labels other than 0 and 1 are not
 used; with labels of one kind only, or none, every score is that share (0 if none); equal
 rows get equal scores; an empty table gives an empty result; other columns are ignored.
 """
@@ -189,7 +189,7 @@ def _entries(text: str, stems: tuple[int, ...]) -> set[str]:
 
 def learn(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model:
     labelled = (
-        labels.filter(F.col("toxic").isNotNull() & (fold("doc_id") != 0) & F.col("doc_id").isNotNull())
+        labels.filter(F.col("toxic").isin(0, 1) & (fold("doc_id") != 0) & F.col("doc_id").isNotNull())
         .groupBy(F.col("doc_id").alias("labelled_id"))
         .agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
         .orderBy(F.xxhash64("labelled_id"), "labelled_id")
