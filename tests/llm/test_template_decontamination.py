@@ -105,3 +105,18 @@ def test_verbatim_copies_are_found(spark, documents):
     rows += [(20 + i, f"{filler} ({c.lower()}) {filler}") for i, c in enumerate(copies)] + [(30, filler)]
     pairs = found(spark, documents, rows, list(enumerate(copies)))
     assert pairs == sorted(((base + i, i) for base in (0, 10, 20) for i in range(5)), key=repr)
+
+
+def test_short_items_are_whole_lines(spark, documents):
+    """Items below four words are found as a line of their own, not inside a sentence."""
+    items = [(1, "Where is Oslo?"), (2, "two plus two"), (3, "Yes!"), (4, "..."), (5, None), (6, "")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    rows = [
+        (1, "An intro\n  where IS oslo \nand more"), (2, "He asked where is Oslo, twice.\nyes and no"), (3, "Two plus two."),
+        (4, "yes"), (5, "...\n\n"), (6, None), (7, ""), (8, "Q: two plus two\nYes"), (4, "yes"),
+    ]
+    found = t.contaminated(documents(rows), benchmark)
+    assert sorted((r.doc_id, r.item_id, r.n_windows, r.item_windows) for r in found.collect()) == [
+        (1, 1, 1, 1), (3, 2, 1, 1), (4, 3, 1, 1), (8, 3, 1, 1),
+    ]
+    assert sorted(r.doc_id for r in t.decontaminate(documents(rows), benchmark).collect()) == [2, 5, 6, 7]

@@ -16,8 +16,10 @@ whatever they consist of, however they are capitalised and whatever stands befor
 counts as found if either way finds it; the counts are those of the way that covers more of it (if both do
 the same, of the templates).
 
-Defined cases: null and empty texts and items shorter than ``least_literal`` tokens match nothing (items of
-``least_literal`` words, though fewer tokens, are compared as words);
+Items of fewer than ``least_literal`` words would be found in ordinary prose; such an item counts as found where a
+whole line of a document has just its words.
+
+Defined cases: null and empty texts and items without a word match nothing;
 equal windows inside an item count once per position; rows of equal doc_id and text are one
 text; null item ids are no items; an empty table on either side finds nothing; other
 columns are ignored.
@@ -51,15 +53,25 @@ class Settings:
 
 
 def marked(text: Column) -> Column:
-    """Lower-case words one space apart, with a mark before each name, number and unit."""
-    t = F.concat(F.lit(" "), F.regexp_replace(text, r"[\x00-\x20]+", " "), F.lit(" "))
+    """Lower-case words one space apart, with a mark before each name, number and unit.
+
+    The patterns test a character before they look around it, and leave single spaces alone, as most
+    positions of a text are neither the begin nor the end of anything.
+    """
+    t = F.concat(F.lit(" "), F.regexp_replace(text, r"[\x00-\x20]{2,}|[\x00-\x1F]", " "), F.lit(" "))
     t = F.regexp_replace(t, rf"(?i)([0-9])({UNITS}|%)(?=[^\p{{L}}\p{{N}}])", "$1 $2")
-    t = F.regexp_replace(t, r"(?<= )([+-]?[$€£]?[0-9][0-9.,:/]*)(?=[^\p{L}\p{N}])", NUMBER + "$1")
+    t = F.regexp_replace(t, r"(?![a-zA-Z ])(?<= )([+-]?[$€£]?[0-9][0-9.,:/]*)(?=[^\p{L}\p{N}])", NUMBER + "$1")
     t = F.regexp_replace(t, rf"(?i)({NUMBER}[^ ]+ )({UNITS}|%)(?=[^\p{{L}}\p{{N}}])", "$1" + UNIT + "$2")
-    t = F.regexp_replace(t, r"(?<=[^.!?:; ][\"')]? [\"'(]?)(\p{Lu}\p{Ll}[\p{L}'-]*)", NAME + "$1")
+    t = F.regexp_replace(
+        t, r"(?![a-z ])(?=\p{Lu}\p{Ll})(?<=[^.!?:; ][\"')]? [\"'(]?)(\p{Lu}\p{Ll}[\p{L}'-]*)", NAME + "$1"
+    )
     # Punctuation at the edges of words, but not the per cent sign of a unit.
-    t = F.regexp_replace(t, rf"(?<= )[^\p{{L}}\p{{N}}{NAME}-{UNIT}]+|(?<!{UNIT})[^\p{{L}}\p{{N}} {NAME}-{UNIT}]+(?= )", "")
-    return F.trim(F.regexp_replace(F.lower(t), " +", " "))
+    t = F.regexp_replace(
+        t,
+        rf"(?![a-zA-Z0-9])(?:(?<= )[^\p{{L}}\p{{N}}{NAME}-{UNIT}]+|(?<!{UNIT})[^\p{{L}}\p{{N}} {NAME}-{UNIT}]+(?= ))",
+        "",
+    )
+    return F.trim(F.regexp_replace(F.lower(t), "  +", " "))
 
 
 def templates(marked_text: Column) -> Column:
@@ -69,7 +81,9 @@ def templates(marked_text: Column) -> Column:
 
 def plain(text: Column) -> Column:
     """The lower-case words of a text: runs of letters, marks and digits."""
-    return F.split(F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{M}\p{N}]+", " ")), " ")
+    # A space between two words of ASCII letters is one already.
+    between = r"(?![a-z0-9])(?! [a-z0-9])[^\p{L}\p{M}\p{N}]+"
+    return F.split(F.trim(F.regexp_replace(F.lower(text), between, " ")), " ")
 
 
 def _text_key() -> Column:
@@ -106,6 +120,20 @@ def word_windows(item_rows: DataFrame, settings: Settings) -> DataFrame:
     return item_windows(words, settings)
 
 
+def short_items(texts: DataFrame, item_rows: DataFrame, settings: Settings) -> DataFrame | None:
+    """(doc, item_id) of items too short for a window whose words are a whole line; None without such items."""
+    joined = F.array_join("words", " ")
+    short = item_rows.filter(F.size("words") < settings.least_literal).select("item_id", joined.alias("line"))
+    short = short.filter("line <> ''")
+    if short.isEmpty():
+        return None
+    lines = texts.select(_text_key().alias("doc"), F.explode(F.split("text", "\n")).alias("line"))
+    few_words = lines.filter(F.length(F.trim("line")) > 0).select("doc", plain(F.col("line")).alias("words"))
+    few_words = few_words.filter(F.size("words") < settings.least_literal).select("doc", joined.alias("line"))
+    wanted = F.broadcast(short) if short.count() <= SMALL_ROWS else short
+    return few_words.join(wanted, "line").select("doc", "item_id").distinct()
+
+
 def _hash_at(length: int):
     return lambda at: F.xxhash64(F.slice("tokens", at, F.lit(length)))
 
@@ -217,6 +245,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, settings: Settings = Set
     either = _covered(consistent, wanted, settings).withColumn("by_template", F.lit(1)).union(
         _covered(copies, verbatim, settings).withColumn("by_template", F.lit(0))
     )
+    short = short_items(texts, item_rows, settings)
+    if short is not None:
+        one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+        counts = [one.alias("n_windows"), none.alias("n_slots"), none.alias("n_agreeing"), one.alias("item_windows")]
+        either = either.union(short.select("doc", "item_id", *counts, F.lit(0).alias("by_template")))
     better = F.struct(F.col("n_windows") / F.col("item_windows"), "by_template", "n_windows", "item_windows", "n_slots", "n_agreeing")
     texts_found = either.groupBy("doc", "item_id").agg(F.max(better).alias("best")).select("doc", "item_id", "best.*")
     ids = texts.select("doc_id", _text_key().alias("doc")).distinct()
