@@ -69,7 +69,10 @@ class Vocabulary:
         self.byte_weight = -self.temperature * (np.log(len(self.pieces) + 10.0) + 2.0)
         is_byte = np.zeros(len(self.pieces), bool)
         is_byte[self.byte_ids] = True
-        self.shown = [p if b else p.replace(SPACE, b" ") for p, b in zip(self.pieces, is_byte)]
+        shown = [p if b else p.replace(SPACE, b" ") for p, b in zip(self.pieces, is_byte)]
+        self.shown = np.frombuffer(b"".join(shown), np.uint8)  # what pieces decode to, one after the other
+        self.shown_size = np.array([len(p) for p in shown], np.int64)
+        self.shown_start = np.cumsum(self.shown_size) - self.shown_size
         ids = np.array([i for i, p in enumerate(self.pieces) if p and not is_byte[i]])
         words = [self.pieces[i] for i in ids]
         self.lengths = sorted({len(w) for w in words})
@@ -171,11 +174,11 @@ class Lattice:
 def build(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray, vocabulary: Vocabulary, literal: np.ndarray) -> Lattice:
     """The lattices of adjoining units; ``literal`` marks characters that must be bytes."""
     n = len(buffer)
-    unit_end = np.repeat(ends, ends - starts)
+    unit_end = np.repeat(ends.astype(np.int32), ends - starts)
     head = (buffer & 0xC0) != 0x80  # first byte of a character
     edge_from, edge_to, edge_piece = [], [], []
-    positions = np.flatnonzero(head)
-    literals = np.append(0, np.cumsum(literal[:n]))
+    positions = np.flatnonzero(head).astype(np.int32)  # a batch and its units are far below 2^31 bytes
+    literals = np.append(0, np.cumsum(literal[:n], dtype=np.int32))
     hashes = SpanHashes(buffer)
     for length in vocabulary.lengths:
         positions = positions[positions + length <= unit_end[positions]]
@@ -187,10 +190,10 @@ def build(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray, vocabulary:
         edge_to.append(positions[hit] + length)
         edge_piece.append(found[hit])
         positions = positions[found >= -1]
-    heads = np.flatnonzero(head)
-    size = np.diff(np.append(heads, n))  # bytes of the characters
+    heads = np.flatnonzero(head).astype(np.int32)
+    size = np.diff(np.append(heads, np.int32(n)))  # bytes of the characters
     single = np.zeros(n, bool)
-    size_at = np.zeros(n, np.int64)
+    size_at = np.zeros(n, np.int32)
     size_at[heads] = size
     for f, t in zip(edge_from, edge_to):
         if len(f) and t[0] - f[0] <= 4:
@@ -200,12 +203,12 @@ def build(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray, vocabulary:
     edge_to.append(heads[as_bytes] + size[as_bytes])
     edge_piece.append(np.full(int(as_bytes.sum()), -1, np.int32))
     # Edges of a node side by side, shorter ones first: each length has at most one edge per node.
-    degree = np.zeros(n + 1, np.int64)
+    degree = np.zeros(n + 1, np.int32)
     for start in edge_from:
         degree[start] += 1
-    first = np.append(0, np.cumsum(degree))
+    first = np.append(np.int32(0), np.cumsum(degree, dtype=np.int32))
     free = first[:-1].copy()
-    f, t = np.empty(first[-1], np.int64), np.empty(first[-1], np.int64)
+    f, t = np.empty(first[-1], np.int32), np.empty(first[-1], np.int32)
     p = np.empty(first[-1], np.int32)
     for start, end, piece in zip(edge_from, edge_to, edge_piece):
         at = free[start]
@@ -545,8 +548,12 @@ def _truncated(phi: np.ndarray, value: float, seed: np.ndarray) -> np.ndarray:
 
 
 def decode(ids: np.ndarray, vocabulary: Vocabulary) -> str:
-    """The text of piece ids."""
-    return b"".join(map(vocabulary.shown.__getitem__, ids.tolist()))[1:].decode("utf-8", "replace")
+    """The text of piece ids: their strings side by side, without the space in front."""
+    size = vocabulary.shown_size[ids]
+    ends = np.cumsum(size)
+    at = np.repeat(vocabulary.shown_start[ids] - ends + size, size)
+    at += np.arange(len(at))
+    return vocabulary.shown[at].tobytes()[1:].decode("utf-8", "replace")
 
 
 SAMPLE = "rank int, n_pieces long, log_prob double, perturbed double, log_inclusion double, ids array<int>"
