@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tests import timeline_model
-from vaultwright.operators import load_satellite, validity_view
+from vaultwright.operators import idempotent_view, load_satellite, satellite, validity_view
 from vaultwright.spec import SatSpec
+from vaultwright.staging import stage
 
 EPOCH = datetime(2020, 1, 1)
 MAX = datetime(4000, 1, 1)
@@ -313,3 +314,63 @@ def test_wrong_types_and_specs(spark):
             SatSpec(**{"table": "s", "fk": "fk", "from_date": "at", "attributes": ["value"], **bad})
     with pytest.warns(UserWarning, match="no attributes"):
         assert SatSpec(table="s", fk="fk", from_date="at", attributes=[]).attributes == {}
+
+
+@pytest.mark.parametrize("fanout", [2, 3])
+def test_slices_meet_in_small_groups(spark, monkeypatch, fanout):
+    """Hot parents with many slices, far apart: the tree of summaries gives what one window gives."""
+    monkeypatch.setattr(satellite, "FANOUT", fanout)
+    rng = random.Random(fanout)
+    moments = sorted(rng.sample(range(1, 400), 45)) + [5000, 5001, 9000]
+    records = [(fk, ms, rng.choice("AB")) for fk in (1, 2) for ms in moments if rng.random() < 0.8]
+    stored = load_satellite(frame(spark, records[::3]), None, TEMPORAL).inserts
+    batch = frame(spark, records)
+    plain = load_satellite(batch, stored, TEMPORAL, hot_rows=None, with_dropped=True)
+    sliced = load_satellite(batch, stored, TEMPORAL, hot_rows=2, slice_millis=2, with_dropped=True)
+    rows = lambda df: sorted(map(repr, df.collect()))
+    assert rows(sliced.inserts) == rows(plain.inserts) != []
+    assert rows(sliced.closings) == rows(plain.closings) != []
+    assert rows(sliced.dropped) == rows(plain.dropped) != []
+    view = lambda **options: rows(validity_view(plain.inserts.drop("until"), TEMPORAL, **options))
+    assert view(hot_rows=2, slice_millis=1) == view(hot_rows=None)
+
+
+def test_no_window_holds_more_summaries_than_the_fanout(spark):
+    """The neighbours of 5,000 slices of one parent, found in windows of at most seven."""
+    value = F.struct(F.col("id").alias("v"))
+    ends = spark.range(0, 40_000, 8).select(
+        F.lit(1).cast("long").alias("__fk"), F.col("id").alias("__slice"), value.alias("__head"), value.alias("__tail")
+    )
+    found = {r["__slice"]: (r["__before"], r["__after"]) for r in satellite._neighbours(ends, 7).collect()}
+    assert len(found) == 5000
+    for at_, (before, after) in found.items():
+        assert (before.v if before else None) == (at_ - 8 if at_ else None)
+        assert (after.v if after else None) == (at_ + 8 if at_ < 39_992 else None)
+    plan = satellite._neighbours(ends, 7)._jdf.queryExecution().optimizedPlan().toString()
+    assert "windowspecdefinition(__fk" in plan and "__group" in plan
+
+
+def test_identities_that_were_handled_stay_out(spark):
+    df = frame(spark, [(1, 1, "A"), (1, 2, "A"), (1, 3, "B"), (2, 1, "A")])
+    load = load_satellite(df, None, TEMPORAL, with_dropped=True)
+    assert [(r.fk, r["at"]) for r in load.dropped.collect()] == [(1, at(1))]
+    again = load_satellite(df, None, TEMPORAL, handled=load.dropped)
+    assert {(r.fk, r["at"]) for r in again.inserts.collect()} == {(1, at(2)), (1, at(3)), (2, at(1))}
+    assert load_satellite(df, None, TEMPORAL).dropped is None
+
+
+def test_view_of_all_records_does_not_depend_on_batches(spark):
+    """Records in any order and cut anyhow, stored as they are, against one idempotent load of them all."""
+    rng = random.Random(31)
+    as_is = SatSpec(table="s", fk="fk", from_date="at", attributes="value", idempotent=False)
+    records = {(rng.randrange(5), rng.randrange(60)): rng.choice("AB") for _ in range(120)}
+    records = [(fk, n, value) for (fk, n), value in records.items()]
+    whole = load_satellite(frame(spark, records), None, TEMPORAL).inserts
+    expected = sorted(map(repr, whole.collect()))
+    for n in (1, 3, 7):
+        table = stage(load_satellite(frame(spark, []), None, as_is).inserts, "table")
+        for i in range(n):
+            batch = frame(spark, records[i::n])
+            table = stage(table.unionByName(load_satellite(batch, table, as_is).inserts), "table")
+        assert sorted(map(repr, idempotent_view(table, TEMPORAL).collect())) == expected
+        assert sorted(map(repr, idempotent_view(table, TEMPORAL, hot_rows=2, slice_millis=4).collect())) == expected

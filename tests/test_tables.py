@@ -1,5 +1,6 @@
 import random
 import uuid
+from dataclasses import replace
 from datetime import datetime
 from pathlib import Path
 from threading import Event, Thread
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 
 from tests.test_satellite import MAX, TEMPORAL, at, frame, random_records
 from vaultwright.operators import load_satellite, quality, validity_view
+from vaultwright.plans import into as into_module
 from vaultwright.plans import load_chain, load_chain_into, load_into
 from vaultwright.sources import (
     CatalogTable,
@@ -169,8 +171,8 @@ def test_a_load_writes_only_its_own_rows(spark, folder):
     }
     after = files(folder)
     assert before.items() <= after.items()
-    assert {p.split("/")[1] for p in after.keys() - before.keys()} == {"0000000007-1-1-late"}
-    assert rows_of(spark, folder, "loads/0000000007-1-1-late") == 2
+    assert {p.split("/")[1] for p in after.keys() - before.keys()} == {"0000000007-1-1-0-late"}
+    assert rows_of(spark, folder, "loads/0000000007-1-1-0-late") == 2
     table = store.read()
     assert contents(table) == contents(validity_view(table.drop("until"), TEMPORAL)) and table.count() == 25
     assert store.compact() == 7 and store.compact() == 0
@@ -256,6 +258,54 @@ def test_open_records_do_not_depend_on_flag_or_time_zone(spark, folder):
         load_into(SatelliteStore(spark, f"{folder}/sat", other, buckets=1), zoned([(1, 3, "C")]), other)
 
 
+def test_any_batch_may_come_again(spark, folder):
+    """A record dropped as a repetition stays dropped, also when another one has come in between."""
+    first, second = frame(spark, [(1, 1, "A"), (1, 5, "B"), (1, 9, "B")]), frame(spark, [(1, 7, "C")])
+    for remember in (False, True):
+        store = SatelliteStore(spark, f"{folder}/sat", TEMPORAL, buckets=1, remember_dropped=remember)
+        store = replace(store, path=f"{store.path}_{remember}")
+        for batch in (first, second):
+            load_into(store, batch, TEMPORAL)
+        before = contents(store.read())
+        assert before == {(1, at(1), "A", at(5)), (1, at(5), "B", at(7)), (1, at(7), "C", MAX)}
+        again = load_into(store, first, TEMPORAL).metrics["inserted"]
+        assert again == (0 if remember else 1) and (contents(store.read()) == before) == remember
+    assert [load.dropped for load in store.loads()] == [1, 0, 0]
+    assert store.compact() == 3 and contents(store.read()) == before
+    assert load_into(store, first, TEMPORAL).metrics["inserted"] == 0 and store.dropped().count() == 1
+
+
+def test_fingerprints_add_up_and_see_what_is_lost(spark):
+    df = spark.createDataFrame([(i % 7, f"v{i % 3}") for i in range(40)] + [(None, None)], "k int, v string")
+    whole = quality.fingerprint(df, ["k", "v"])
+    parts = [quality.fingerprint(df.filter(c), ["k", "v"]) for c in ("k < 3", "k >= 3", "k IS NULL")]
+    assert parts[0] + parts[1] + parts[2] == whole == quality.fingerprint(df.repartition(5), ["k", "v"])
+    # A pair of equal rows more or less, which exclusive or does not see; another row of the same number.
+    pair = df.filter("k = 1 AND v = 'v0'").limit(1)
+    twice = quality.fingerprint(df.unionAll(pair).unionAll(pair), ["k", "v"])
+    assert twice.xor == whole.xor and twice != whole
+    other = quality.fingerprint(df.filter("k IS NOT NULL").unionAll(pair), ["k", "v"])
+    assert other.n_rows == whole.n_rows and other != whole
+    assert quality.fingerprint(df.limit(0), ["k"]) == quality.Fingerprint(0, 0, 0)
+
+
+def test_lost_rows_are_noticed(spark, folder, monkeypatch):
+    """Rows that a lookup drops fail a load that is verified, and a chain before its next step."""
+    rows = pairs(spark, ["a", "b", "a", "c"])
+    whole = into_module.attach_keys
+    monkeypatch.setattr(into_module, "attach_keys", lambda *args, **options: whole(*args, **options).filter("n <> 2"))
+    with pytest.raises(RuntimeError, match="4 rows went in, 3 came out"):
+        load_into(ParquetTable(spark, f"{folder}/one"), rows, HUB, verify=True)
+    other = HubSpec(table="other", tech_key="other_id", keys="n")
+    targets = {name: ParquetTable(spark, f"{folder}/{name}") for name in ("hub", "other")}
+    with pytest.raises(RuntimeError, match="hub: 4 rows went in, 3 came out"):
+        load_chain_into(rows, [HUB, other], targets)
+    monkeypatch.undo()
+    blank = rows.unionAll(spark.createDataFrame([("", 9)], "k string, n int"))
+    loaded = load_into(ParquetTable(spark, f"{folder}/two"), blank, HUB, verify=True, on_invalid="reject")
+    assert loaded.output.count() == 4
+
+
 def test_many_small_loads_of_shuffled_parents(spark, folder):
     """No stored row of another parent is sorted, whatever the number of parents."""
     stored = frame(spark, [(fk, n, f"v{n % 3}") for fk in range(200) for n in range(1, 4)])

@@ -54,6 +54,7 @@ class KeyedLoad:
     inserts: DataFrame
     rejects: DataFrame | None
     known: DataFrame | None
+    _rows: DataFrame = field(repr=False)
     _stats: Callable[[], KeyStats] = field(repr=False)
     _attach: Callable[[DataFrame | None, KeyStats], DataFrame] = field(repr=False)
 
@@ -65,6 +66,10 @@ class KeyedLoad:
     def output(self) -> DataFrame:
         return self._attach(None, self.stats)
 
+    def valid(self, df: DataFrame) -> DataFrame:
+        """The rows of the input that take part: all of them unless invalid ones are rejected."""
+        return df if self.rejects is None else self._rows.select(*df.columns)
+
     def attach(self, df: DataFrame) -> DataFrame:
         """Another DataFrame with the same key fields, with the technical key appended."""
         return self._attach(df, self.stats)
@@ -227,7 +232,7 @@ def load_keyed(
         joined = join_lookup(to.rows, lookup, keys, wanted, sizes, hot_rows, broadcast_bytes)
         return _with_key(joined, to, spec)
 
-    return KeyedLoad(inserts, given.rejects, known, stats, attach)
+    return KeyedLoad(inserts, given.rejects, known, given.rows, stats, attach)
 
 
 def _with_key(joined: DataFrame, given: _Input, spec: KeyedSpec) -> DataFrame:

@@ -8,14 +8,15 @@ A parent with few records is one window partition, and everything after the one
 shuffle by parent happens in place.  A *hot* parent (more than ``hot_rows``
 records) is cut into time slices.  Identity is one record per millisecond, so a
 slice of 2^22 ms (about 70 minutes) holds at most four million records however
-hot the parent is.  What a slice must know of its neighbours is its own first
-and last record, exchanged through one summary row per slice.
+hot the parent is.  What a slice must know of its neighbours is their first
+and last record, exchanged through one summary row per slice; a tree over the
+summaries keeps them, too, out of one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
@@ -45,6 +46,8 @@ from vaultwright.staging import stage
 from vaultwright.spec import SatSpec
 
 SLICE_MILLIS = 2**22
+# Summaries of a parent's slices that meet in one window.
+FANOUT = 1024
 
 # Working columns: parent key, from-date and its milliseconds, stored flag, slice.
 FK, FROM, MS, STORED, SLICE = "__fk", "__from", "__ms", "__stored", "__slice"
@@ -52,6 +55,8 @@ FK, FROM, MS, STORED, SLICE = "__fk", "__from", "__ms", "__stored", "__slice"
 OPEN = "__open"
 # Neighbours: has a record before, repeats it, is repeated by the next one; the next one.
 HAS_PREV, REPEATS, REPEATED, NEXT = "__has_prev", "__repeats", "__repeated", "__next"
+# First and last record of a slice, the last one before it and the first one after it.
+HEAD, TAIL, BEFORE, AFTER = "__head", "__tail", "__before", "__after"
 # Per parent: where its first run of equal records ends, and its first stored record.
 FIRST_CHANGE, FIRST_STORED = "__first_change", "__first_stored"
 
@@ -72,6 +77,8 @@ class SatLoad:
     ``rejects``   input rows without foreign key or from-date (None unless asked for)
     ``changes``   inserts and closings in one DataFrame, told apart by the flags
                   ``is_closing`` and ``was_open``; one evaluation gives both
+    ``dropped``   identities of new records that repeat the one before them: fk, from-date
+                  (None unless asked for)
     """
 
     output: DataFrame
@@ -79,6 +86,7 @@ class SatLoad:
     closings: DataFrame | None = None
     rejects: DataFrame | None = None
     changes: DataFrame | None = None
+    dropped: DataFrame | None = None
 
 
 class _Names:
@@ -104,6 +112,8 @@ def load_satellite(
     on_invalid: str = "error",
     lookback: str | None = None,
     stored_buckets: int | None = None,
+    handled: DataFrame | None = None,
+    with_dropped: bool = False,
     hot_rows: int | None = HOT_ROWS,
     broadcast_bytes: int = BROADCAST_BYTES,
     slice_millis: int = SLICE_MILLIS,
@@ -122,6 +132,9 @@ def load_satellite(
 
     ``stored_buckets`` says that ``table`` is bucketed by its foreign key: a batch with too many parents
     for a broadcast is then shuffled to the buckets, and the stored rows stay where they are.
+
+    ``handled`` holds identities (columns of the table) that take no part any more, such as those which
+    earlier loads dropped; ``with_dropped`` returns those that this one drops.
     """
     if lookback not in (None, "from_date", "to_date"):
         raise ValueError("lookback is None, 'from_date' or 'to_date'")
@@ -131,6 +144,8 @@ def load_satellite(
     spec.check_table(table)
     check_order(order_by)
     batch, rejects, names = _batch(df, table, spec, order_by, on_invalid)
+    if handled is not None:
+        batch = batch.join(_stored_keys(handled, spec), [FK, MS], "left_anti")
 
     counts = rows_per_key(batch, [FK])
     parents = few = None
@@ -171,17 +186,20 @@ def load_satellite(
     if hot_rows is not None and stats.has_hot(hot_rows):
         rows = _union(stored, batch, names)
         hot = F.broadcast(stage(hot_keys(counts, [FK], hot_rows), "hot"))
-        kept = _timelines(rows.join(hot, FK, "left_anti"), spec, names).unionByName(
-            _sliced_timelines(rows.join(hot, FK, "left_semi"), spec, names, slice_millis)
-        )
+        kept, dropped = _timelines(rows.join(hot, FK, "left_anti"), spec, names, with_dropped)
+        sliced = _sliced_timelines(rows.join(hot, FK, "left_semi"), spec, names, slice_millis, with_dropped)
+        kept = kept.unionByName(sliced[0])
+        dropped = None if dropped is None else dropped.unionByName(sliced[1])
     else:
         # The union of two sides that are dealt alike is so as well.
         rows = _union(stored, to_buckets(batch, [FK], stored_buckets) if in_place else batch, names)
-        kept = _timelines(rows, spec, names, in_place)
+        kept, dropped = _timelines(rows, spec, names, with_dropped, in_place)
+    if dropped is not None:
+        dropped = dropped.select(F.col(FK).alias(spec.fk_col), F.col(FROM).alias(spec.from_col))
 
     if not spec.uses_to_date:
         new = kept.filter(~F.col(STORED))
-        return SatLoad(df, _table_form(new, df, table, spec, names, load_ts), None, rejects)
+        return SatLoad(df, _table_form(new, df, table, spec, names, load_ts), None, rejects, None, dropped)
 
     followed_by_new = ~F.coalesce(F.col(f"{NEXT}.stored"), F.lit(True))
     changed = kept.filter(~F.col(STORED) | followed_by_new)
@@ -191,7 +209,7 @@ def load_satellite(
     closings = changes.filter(F.col(IS_CLOSING)).select(
         *[column(c) for c in (spec.fk_col, spec.from_col, spec.to_date_col)]
     )
-    return SatLoad(df, inserts, closings, rejects, changes)
+    return SatLoad(df, inserts, closings, rejects, changes, dropped)
 
 
 # -- input and stored records ------------------------------------------------
@@ -338,7 +356,7 @@ def _since(batch, stored, few_parents, slice_millis) -> DataFrame:
     return stored.filter(F.col("__bound").isNull() | (F.col(MS) >= F.col("__bound"))).drop("__bound")
 
 
-def _timelines(rows, spec, names, in_place=False) -> DataFrame:
+def _timelines(rows, spec, names, with_dropped, in_place=False) -> tuple[DataFrame, DataFrame | None]:
     """Parents that fit a task: one shuffle (none if all their rows are in place) and one sort, all windows on them."""
     # Stored records win over new ones, then the first new one wins.
     ranked = Window.partitionBy(FK).orderBy(
@@ -349,6 +367,7 @@ def _timelines(rows, spec, names, in_place=False) -> DataFrame:
     rows = rows.filter(~F.col("__same")).drop("__same")
 
     timeline = Window.partitionBy(FK).orderBy(MS)
+    dropped = None
     if spec.idempotent:
         rows = rows.withColumn("__prev", F.lag(_payload(spec, rows, names)).over(timeline))
         rows = rows.withColumns(_repeats(F.col("__prev"), _payload(spec, rows, names)))
@@ -359,13 +378,21 @@ def _timelines(rows, spec, names, in_place=False) -> DataFrame:
                 FIRST_STORED: F.min(F.when(F.col(STORED), F.col(MS))).over(_whole(timeline)),
             }
         )
-        rows = rows.filter(_kept(spec))
+        rows, dropped = _split(rows, spec, with_dropped)
     if spec.uses_to_date:
         rows = _with_next(rows)
-    return rows.select(*_result_columns(spec, names))
+    return rows.select(*_result_columns(spec, names)), dropped
+
+
+def _split(rows, spec, with_dropped) -> tuple[DataFrame, DataFrame | None]:
+    """The records that stay; if asked for, also the others, from one evaluation that is written."""
+    if not with_dropped:
+        return rows.filter(_kept(spec)), None
+    marked = stage(rows.withColumn("__kept", _kept(spec)), "marked")
+    return marked.filter("__kept").drop("__kept"), marked.filter("NOT __kept").select(FK, FROM)
 
 
-def _sliced_timelines(rows, spec, names, slice_millis) -> DataFrame:
+def _sliced_timelines(rows, spec, names, slice_millis, with_dropped) -> tuple[DataFrame, DataFrame | None]:
     """Parents too large for a task, cut into time slices.
 
     The records are read more than once, so they are staged: first without
@@ -378,6 +405,7 @@ def _sliced_timelines(rows, spec, names, slice_millis) -> DataFrame:
     )
     rows = stage(rows.drop("__is_new"), "records")
 
+    dropped = None
     if spec.idempotent:
         in_slice = Window.partitionBy(FK, SLICE).orderBy(MS)
         rows = rows.withColumn("__v", _payload(spec, rows, names))
@@ -386,44 +414,66 @@ def _sliced_timelines(rows, spec, names, slice_millis) -> DataFrame:
         across = _slice_facts(rows)
         rows = rows.withColumn("__follow", F.lead(REPEATS).over(in_slice))
         rows = rows.join(across, [FK, SLICE])
-        prev = F.coalesce("__prev", "__before")
+        prev = F.coalesce("__prev", BEFORE)
         rows = rows.withColumns(
             {
                 **_repeats(prev, F.col("__v")),
                 REPEATED: F.coalesce("__follow", "__after_repeats", F.lit(False)),
             }
         )
-        rows = rows.filter(_kept(spec))
+        rows, dropped = _split(rows, spec, with_dropped)
     if spec.uses_to_date:
         kept = [FK, FROM, MS, STORED, OPEN, SLICE, *names.attributes.values()]
         rows = _with_next(stage(rows.select(*kept, *names.meta.values()), "kept"))
-    return rows.select(*_result_columns(spec, names))
+    return rows.select(*_result_columns(spec, names)), dropped
 
 
 def _slice_facts(rows) -> DataFrame:
     """One row per slice: what lies before and after it in its parent's timeline."""
     ends = rows.groupBy(FK, SLICE).agg(
-        F.min_by("__v", MS).alias("__head"),
-        F.max_by("__v", MS).alias("__tail"),
+        F.min_by("__v", MS).alias(HEAD),
+        F.max_by("__v", MS).alias(TAIL),
         F.min(MS).alias("__start"),
         F.min(F.when(_changes(), F.col(MS))).alias("__change"),
         F.min(F.when(F.col(STORED), F.col(MS))).alias("__stored_at"),
     )
-    slices = Window.partitionBy(FK).orderBy(SLICE)
-    ends = ends.withColumns(
-        {"__before": F.lag("__tail").over(slices), "__after": F.lead("__head").over(slices)}
-    )
-    changes_at_start = F.col("__before").isNotNull() & (F.col("__before") != F.col("__head"))
+    ends = stage(ends, "slices")
+    ends = ends.join(_neighbours(ends.select(FK, SLICE, HEAD, TAIL)), [FK, SLICE])
+    changes_at_start = F.col(BEFORE).isNotNull() & (F.col(BEFORE) != F.col(HEAD))
     change = F.least("__change", F.when(changes_at_start, F.col("__start")))
-    after_repeats = F.col("__after").isNotNull() & F.col("__after").eqNullSafe(F.col("__tail"))
-    return ends.select(
-        FK,
-        SLICE,
-        "__before",
-        after_repeats.alias("__after_repeats"),
-        F.min(change).over(_whole(slices)).alias(FIRST_CHANGE),
-        F.min("__stored_at").over(_whole(slices)).alias(FIRST_STORED),
+    after_repeats = F.col(AFTER).isNotNull() & F.col(AFTER).eqNullSafe(F.col(TAIL))
+    # One row per hot parent, of which there are few.
+    parents = ends.groupBy(FK).agg(F.min(change).alias(FIRST_CHANGE), F.min("__stored_at").alias(FIRST_STORED))
+    facts = ends.select(FK, SLICE, BEFORE, after_repeats.alias("__after_repeats"))
+    return facts.join(F.broadcast(parents), FK)
+
+
+def _neighbours(ends: DataFrame, fanout: int | None = None) -> DataFrame:
+    """The tail of the slice before each slice and the head of the one after it, NULL at the ends.
+
+    A scan over a tree: up to ``fanout`` slices of a parent make a group, groups make larger ones,
+    and only neighbours in the same group meet in a window.  The first and the last of a group look to
+    the neighbours of the group, one level up.  So no window holds more than ``fanout`` rows
+    of a parent, however many slices there are.  Heads and tails are never NULL.
+    """
+    fanout = fanout or FANOUT
+    span = ends.agg(F.max(SLICE) - F.min(SLICE)).first()[0] or 0
+    names = [F.col(SLICE), F.col(BEFORE), F.col(AFTER)]
+    if span < fanout:
+        return _in_window(ends, Window.partitionBy(FK).orderBy(SLICE)).select(FK, *names)
+    group = F.floor(F.col(SLICE) / F.lit(fanout))
+    inner = _in_window(ends.withColumn("__group", group), Window.partitionBy(FK, "__group").orderBy(SLICE))
+    groups = ends.groupBy(FK, group.alias(SLICE)).agg(
+        F.min_by(HEAD, SLICE).alias(HEAD), F.max_by(TAIL, SLICE).alias(TAIL)
     )
+    outer = _neighbours(stage(groups, "groups"), fanout)
+    outer = outer.withColumnsRenamed({SLICE: "__group", BEFORE: "__outer_before", AFTER: "__outer_after"})
+    around = {BEFORE: F.coalesce(BEFORE, "__outer_before"), AFTER: F.coalesce(AFTER, "__outer_after")}
+    return inner.join(outer, [FK, "__group"]).withColumns(around).select(FK, *names)
+
+
+def _in_window(ends, window) -> DataFrame:
+    return ends.withColumns({BEFORE: F.lag(TAIL).over(window), AFTER: F.lead(HEAD).over(window)})
 
 
 def _whole(window):
@@ -448,11 +498,10 @@ def _with_next(rows) -> DataFrame:
     if SLICE not in rows.columns:
         return rows.withColumn(NEXT, F.lead(value).over(Window.partitionBy(FK).orderBy(MS)))
     in_slice = Window.partitionBy(FK, SLICE).orderBy(MS)
-    slices = Window.partitionBy(FK).orderBy(SLICE)
-    heads = rows.groupBy(FK, SLICE).agg(F.min_by(value, MS).alias("__head"))
-    heads = heads.select(FK, SLICE, F.lead("__head").over(slices).alias("__across"))
-    dated = rows.withColumn(NEXT, F.lead(value).over(in_slice)).join(heads, [FK, SLICE])
-    return dated.withColumn(NEXT, F.coalesce(NEXT, "__across")).drop("__across", SLICE)
+    heads = rows.groupBy(FK, SLICE).agg(F.min_by(value, MS).alias(HEAD))
+    across = _neighbours(stage(heads.withColumn(TAIL, F.col(HEAD)), "heads")).drop(BEFORE)
+    dated = rows.withColumn(NEXT, F.lead(value).over(in_slice)).join(across, [FK, SLICE])
+    return dated.withColumn(NEXT, F.coalesce(NEXT, AFTER)).drop(AFTER, SLICE)
 
 
 def _payload(spec, rows, names) -> Column:
@@ -495,6 +544,29 @@ def _table_form(rows, df, table, spec, names, load_ts, flags=()) -> DataFrame:
     return rows.select(*select, *audit_columns(spec, load_ts), *flags)
 
 
+def idempotent_view(table: DataFrame, spec: SatSpec, **options) -> DataFrame:
+    """What one idempotent load of all records in ``table`` leaves, however they were cut into batches.
+
+    An idempotent load decides with what it knows: a record that repeats the one before is dropped for good, and the latest of a
+    leading run is the latest of its batch.  A satellite that is loaded as is (``idempotent=False``) keeps
+    every record, so its leading runs stay open; this view applies the rules of ``spec`` while
+    reading, to all of them at once.  ``options`` are those of ``load_satellite``.
+    """
+    names = {c: c for c in spec.attributes.values()}
+    as_stored = replace(
+        spec,
+        fk={spec.fk_col: spec.fk_col},
+        from_date={spec.from_col: spec.from_col},
+        attributes=names,
+        meta={c: c for c in spec.meta.values()},
+        load_dts_col=None,
+        rec_src_col=None,
+        rec_src=None,
+        idempotent=True,
+    )
+    return load_satellite(table, None, as_stored, **options).inserts
+
+
 def validity_view(
     table: DataFrame,
     spec: SatSpec,

@@ -101,7 +101,11 @@ def load_chain_into(
     for spec in specs:
         own = {"load_id": load_id, **(options or {}).get(spec.table, {})}
         loaded = load_into(targets[spec.table], df, spec, **own)
-        last = spec is specs[-1]
-        df = stage(loaded.output, "chain") if isinstance(spec, KeyedSpec) and not last else loaded.output
+        df = loaded.output
+        if isinstance(spec, KeyedSpec) and spec is not specs[-1]:
+            df = stage(df, "chain")
+            came_out = df.count()  # from the footers of the files
+            if came_out != loaded.metrics["rows"]:
+                raise RuntimeError(f"{spec.table}: {loaded.metrics['rows']} rows went in, {came_out} came out")
         loads[spec.table] = loaded
     return ChainLoad(df, loads, {name: loaded.metrics for name, loaded in loads.items()})

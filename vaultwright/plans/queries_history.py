@@ -395,6 +395,18 @@ def sat_todate_compacted(spark, sf_dir):
     return store.read()
 
 
+@query(f"WITH {SQL_OUT_OF_ORDER} {SELECT_TABLE}")
+def sat_replay_any(spark, sf_dir):
+    """Even years, odd years, then even years again under another name: records dropped the first time stay dropped."""
+    spec = order_status(to_date_col="valid_to")
+    store = SatelliteStore(spark, new_folder(spark, "sat_order_status"), spec, buckets=8, remember_dropped=True)
+    orders = _orders(spark, sf_dir)
+    even = F.year("o_orderdate") % 2 == 0
+    for batch in (orders.filter(even), orders.filter(~even), orders.filter(even)):
+        load_into(store, batch, spec, order_by=FIRST)
+    return store.read()
+
+
 @query(
     f"""WITH {SQL_OUT_OF_ORDER},
         added AS (SELECT fk, d FROM t WHERE NOT p),

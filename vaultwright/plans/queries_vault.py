@@ -6,7 +6,7 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from vaultwright.operators import load_hub, quality
+from vaultwright.operators import idempotent_view, load_hub, quality
 from vaultwright.plans.chain import load_chain
 from vaultwright.plans.into import load_into
 from vaultwright.plans.queries_history import (
@@ -156,6 +156,26 @@ def load_metrics(spark, sf_dir):
     return rows_out.select(*[value.alias(c) for c, value in counted.items()], "rows_out")
 
 
+@query(
+    f"""WITH {SQL_LOADED_HUB}
+        SELECT (SELECT count(*) FROM orders WHERE {sql_later('o_orderdate')}) AS rows_in,
+               (SELECT count(*) FROM orders JOIN hub ON custkey = o_custkey
+                WHERE {sql_later('o_orderdate')}) AS rows_out, true AS all_consumed,
+               (SELECT count(*) FROM new) AS inserted, (SELECT count(*) FROM hub) AS stored, true AS sketch_agrees"""
+)
+def load_fingerprints(spark, sf_dir):
+    """The second load of the hub by fingerprints: all rows came out, and the sketch of keys is near the rows stored."""
+    target = ParquetTable(spark, new_folder(spark, "hub_customer"))
+    orders = read(spark, sf_dir, "orders")
+    load_into(target, earlier(orders, "o_orderdate"), CUSTOMER_HUB)
+    batch, old = later(orders, "o_orderdate"), stage(target.read(), "before")
+    second = load_into(target, batch, CUSTOMER_HUB, verify=True)
+    inserts = target.read().join(old, "custkey", "left_anti")
+    report = quality.load_report(batch, second.output, inserts, target.read(), CUSTOMER_HUB)
+    agrees = F.abs(F.col("approx_keys") - F.col("stored")) <= 0.05 * F.col("stored") + 1
+    return report.withColumn("sketch_agrees", agrees).drop("approx_keys")
+
+
 # -- quality -------------------------------------------------------------------
 
 
@@ -292,6 +312,30 @@ def stream_sat_late(spark, sf_dir):
     return _stream_in_batches(spark, sf_dir, store, spec, parts, order_by="event_id")
 
 
+CUTS = (1, 3, 7)
+
+
+@query(
+    f"""WITH {sql_timeline(SQL_EVENTS, SQL_EVENTS + ' WHERE false')},
+        cuts(n_batches) AS (VALUES {', '.join(f'({n})' for n in CUTS)})
+        SELECT n_batches, fk AS "user", d AS valid_from, v AS event, coalesce(nd, {MAX_SQL}) AS valid_to
+        FROM t, cuts WHERE NOT p"""
+)
+def stream_sat_uncut(spark, sf_dir):
+    """The idempotent history of users, loaded as one, three and seven micro-batches: always the same."""
+    as_is, spec = user_events(idempotent=False), user_events(to_date_col="valid_to")
+    first, last = read(spark, sf_dir, "events").agg(F.min("event_id"), F.max("event_id")).first()
+    found = None
+    for n in CUTS:
+        bounds = [first + (last + 1 - first) * i // n for i in range(n + 1)]
+        parts = [f"event_id >= {a} AND event_id < {b}" for a, b in zip(bounds, bounds[1:])]
+        target = ParquetTable(spark, new_folder(spark, "sat_user"))
+        table = _stream_in_batches(spark, sf_dir, target, as_is, parts, order_by="event_id")
+        view = idempotent_view(table, spec).select(F.lit(n).alias("n_batches"), "*")
+        found = view if found is None else found.unionByName(view)
+    return found
+
+
 @query(
     f"""WITH {sql_timeline(SQL_EVENTS, SQL_EVENTS + ' WHERE false', idempotent=False)}
         SELECT fk AS "user", d AS valid_from, v AS event FROM t WHERE NOT p"""

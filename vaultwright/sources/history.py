@@ -6,10 +6,10 @@ record by parent and from-date and give it a new to-date.  A to-date only ever m
 back, so the one that counts is the smallest of a record's own and those of its closings,
 in whatever order they came: readers need no versions, only a minimum per record.
 
-    loads/<version>-<inserted>-<closed>-<load id>   rows of one load
-    base/<version>                                  all loads up to that version, merged
-    folded/<version>                                which loads those were, and their counts
-    properties.json                                 schema and max flag
+    loads/<version>-<inserted>-<closed>-<dropped>-<load id>   rows of one load
+    base/<version>                                            all loads up to that version, merged
+    folded/<version>                                          which loads those were, and their counts
+    properties.json                                           schema and max flag
 
 A load is written aside and then moved into place by one rename, so it is there as a whole or not
 at all; a file system with atomic rename of directories is needed.  The counts in the name
@@ -18,11 +18,14 @@ broadcast, many are shuffled.  ``compact`` folds all loads into a new base with
 a base replaces is deleted by the compaction after it, so that readers can finish.
 
 The rows a load writes are its own, late ones included, and the number of directories follows
-the number of loads since the last compaction, whatever time span the records cover.  In the base, the files of a
-bucket are sorted by to-date, so scans that look back to a date skip the row groups that ended before.
+the number of loads since the last compaction, whatever time span the records cover.  The files of a base (up to ``buckets``) are
+ranges of to-dates, so a scan that looks back to a date skips, by the statistics in their footers, all files
+that ended before; what a late load reads follows its first date.
 
 A load that was applied is not applied again, and one that was worked out from an older state of
-the table is refused.
+the table is refused.  Idempotent loads drop records that repeat the one before; with ``remember_dropped``
+their identities are kept as well, so that any batch, however old and under whatever name, inserts nothing when it comes
+again, though a record before one of them may have changed meanwhile.
 """
 
 from __future__ import annotations
@@ -43,7 +46,7 @@ from vaultwright.operators.skew import BROADCAST_BYTES, ENTRY_BYTES
 from vaultwright.sources.files import Folder
 from vaultwright.spec import SatSpec
 
-OPEN, CLOSED = "open", "closed"
+OPEN, CLOSED, DROPPED = "open", "closed", "dropped"
 # A closing in a broadcast: parent, from-date and to-date.
 CLOSING_BYTES = ENTRY_BYTES + 3 * 16
 _END = "__end"
@@ -57,6 +60,7 @@ class AppliedLoad:
     load_id: str
     inserted: int
     closed: int
+    dropped: int = 0
     path: str | None = None
 
 
@@ -66,6 +70,7 @@ class SatelliteStore:
     path: str
     spec: SatSpec
     buckets: int = 256
+    remember_dropped: bool = False
 
     def __post_init__(self):
         if not self.spec.uses_to_date:
@@ -85,10 +90,11 @@ class SatelliteStore:
         """The loads that are not part of the base, in the order in which they were applied."""
         base, found = self._base(), []
         for name in self._folder.names("loads"):
-            version, inserted, closed, load_id = name.split("-", 3)
-            if int(version) > base:
+            *counts, load_id = name.split("-", 4)
+            version, inserted, closed, dropped = map(int, counts)
+            if version > base:
                 path = self._folder.path("loads", name)
-                found.append(AppliedLoad(int(version), unquote(load_id), int(inserted), int(closed), path))
+                found.append(AppliedLoad(version, unquote(load_id), inserted, closed, dropped, path))
         return sorted(found, key=lambda load: load.version)
 
     def version(self) -> int:
@@ -131,12 +137,32 @@ class SatelliteStore:
         properties = self._properties()
         if properties is None:
             return None
-        merged = self._merged(T.StructType.fromJson(properties["schema"]))
+        merged = self._merged(T.StructType.fromJson(properties["schema"])).filter(F.col(STATE) != F.lit(DROPPED))
         return merged if with_state else merged.drop(STATE, ENDS)
 
+    def dropped(self) -> DataFrame | None:
+        """Parent and from-date of records that loads dropped as repetitions; None when nothing was loaded yet."""
+        properties = self._properties()
+        if properties is None:
+            return None
+        base = self._base()
+        paths = [load.path for load in self.loads() if load.dropped]
+        paths += [self._folder.path("base", str(base))] if base else []
+        rows = self.spark.read.schema(self._stored(T.StructType.fromJson(properties["schema"]))).parquet(*paths)
+        return rows.filter(F.col(STATE) == F.lit(DROPPED)).select(*[column(c) for c in self._identity])
+
+    @property
+    def _identity(self) -> list[str]:
+        return [self.spec.fk_col, self.spec.from_col]
+
+    @staticmethod
+    def _stored(schema: T.StructType) -> T.StructType:
+        return T.StructType([*schema.fields, T.StructField(STATE, T.StringType())])
+
     def _merged(self, schema: T.StructType) -> DataFrame:
+        """All records, dropped ones included."""
         base, loads = self._base(), self.loads()
-        stored = T.StructType([*schema.fields, T.StructField(STATE, T.StringType())])
+        stored = self._stored(schema)
         appended = T.StructType([*stored.fields, T.StructField(IS_CLOSING, T.BooleanType())])
         rows = self.spark.read.schema(appended).parquet(*[load.path for load in loads])
         records = rows.filter(~F.col(IS_CLOSING)).drop(IS_CLOSING)
@@ -147,7 +173,7 @@ class SatelliteStore:
         n_closings = sum(load.closed for load in loads)
         if not n_closings:
             return records
-        key = [self.spec.fk_col, self.spec.from_col]
+        key = self._identity
         closings = rows.filter(F.col(IS_CLOSING)).groupBy(*[column(c) for c in key]).agg(F.min(ends).alias(_END))
         few = n_closings * CLOSING_BYTES <= BROADCAST_BYTES
         closed = F.col(_END).isNotNull()
@@ -180,13 +206,16 @@ class SatelliteStore:
         state = F.when(is_open, F.lit(OPEN)).otherwise(F.lit(CLOSED)).alias(STATE)
         aside = self._folder.path("_aside", uuid.uuid4().hex)
         load.changes.select(*[column(f.name) for f in table], state, IS_CLOSING).write.parquet(aside)
-        inserted, closed = (
-            self.spark.read.schema(f"{IS_CLOSING} boolean")
-            .parquet(aside)
-            .agg(F.count_if(~F.col(IS_CLOSING)), F.count_if(F.col(IS_CLOSING)))
-            .first()
-        )
-        name = f"{current + 1:010d}-{inserted}-{closed}-{quote(load_id, safe='')}"
+        if self.remember_dropped and load.dropped is not None:
+            absent = [F.lit(None).cast(f.dataType).alias(f.name) for f in table if f.name not in self._identity]
+            kind = [F.lit(DROPPED).alias(STATE), F.lit(False).alias(IS_CLOSING)]
+            load.dropped.select(*[column(c) for c in self._identity], *absent, *kind).write.mode("append").parquet(aside)
+        dropped = F.col(STATE) == F.lit(DROPPED)
+        counts = self.spark.read.schema(f"{STATE} string, {IS_CLOSING} boolean").parquet(aside)
+        inserted, closed, forgone = counts.agg(
+            F.count_if(~F.col(IS_CLOSING) & ~dropped), F.count_if(F.col(IS_CLOSING)), F.count_if(dropped)
+        ).first()
+        name = f"{current + 1:010d}-{inserted}-{closed}-{forgone}-{quote(load_id, safe='')}"
         self._folder.move(aside, self._folder.path("loads", name))
         return {"inserted": inserted, "closed": closed}
 
@@ -203,7 +232,8 @@ class SatelliteStore:
         aside = self._folder.path("_aside", uuid.uuid4().hex)
         fk, ends = column(self.spec.fk_col), column(self.spec.to_date_col)
         merged = self._merged(schema).drop(ENDS)
-        merged.repartition(self.buckets, fk).sortWithinPartitions(ends, fk).write.parquet(aside)
+        # Open records all have the same to-date, so the parent cuts their ranges.
+        merged.repartitionByRange(self.buckets, ends, fk).sortWithinPartitions(ends, fk).write.parquet(aside)
         self._folder.move(aside, self._folder.path("base", version))
         # Readers of the old base and of these loads may still be at work; earlier ones are not.
         for name in self._folder.names("base"):
