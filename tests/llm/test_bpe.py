@@ -85,6 +85,9 @@ def test_rows(spark, documents):
         assert row.ids == LIBRARY.encode(text or "", add_special_tokens=False).ids
         assert row.n_tokens == len(row.ids) and row.text == (text or "")
     assert bpe.encode(docs.limit(0), VOCABULARY).count() == 0
+    short = bpe.decode(encoded, VOCABULARY, keep_ids=False)
+    assert short.columns == ["doc_id", "lang", "source", "n_chars", "text_2", "n_tokens", "text"]
+    assert {r.doc_id: r.text for r in short.collect()} == {i: r.text for i, r in found.items()}
     plain = bpe.encode(docs.filter("doc_id = 7"), VOCABULARY, added_as_text=True).first()
     assert 50256 not in plain.ids and found[7].ids.count(50256) == 1
     odd = spark.createDataFrame([(1, [15496, None, 999_999]), (2, None), (3, []), (4, [0xA1, 161])], "n int, ids array<int>")

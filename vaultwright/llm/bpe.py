@@ -243,10 +243,13 @@ def encode(
     return rows.mapInArrow(run, fields)
 
 
-def decode(encoded: DataFrame, vocabulary: Vocabulary, ids: str = "ids", text: str = "text") -> DataFrame:
-    """All columns, and the text of ``ids``."""
-    kept = _without(encoded, text.lower())
-    rows = encoded.select(*[F.col(f"`{c}`") for c in kept])
+def decode(
+    encoded: DataFrame, vocabulary: Vocabulary, ids: str = "ids", text: str = "text", keep_ids: bool = True
+) -> DataFrame:
+    """All columns, or all but ``ids``, and the text of ``ids``."""
+    kept = _without(encoded, text.lower(), *([] if keep_ids else [ids.lower()]))
+    rows = encoded.select(*[F.col(f"`{c}`") for c in kept], *([] if keep_ids else [F.col(f"`{ids}`")]))
+    fields = [f for f in rows.schema.fields if f.name in kept]
     tokens = vocabulary.tokens
 
     def string_of(numbers: np.ndarray) -> str:
@@ -273,7 +276,7 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, ids: str = "ids", text: s
                     [*[batch.column(c) for c in kept], pa.array(texts, pa.string())], [*kept, text]
                 )
 
-    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(text, T.StringType(), False)]))
+    return rows.mapInArrow(run, T.StructType([*fields, T.StructField(text, T.StringType(), False)]))
 
 
 def packed(ids: str = "ids"):
