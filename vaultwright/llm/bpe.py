@@ -21,6 +21,7 @@ the same names (in any case of letters).
 from __future__ import annotations
 
 import codecs
+import hashlib
 import json
 import unicodedata
 from collections.abc import Iterator
@@ -37,10 +38,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MEMO_WORDS = 300_000  # some 60 MB
+MEMO_WORDS = 150_000  # some 30 MB
 LONG_WORD = 64
 WORDS_AT_ONCE = 1 << 18
-IDS_AT_ONCE = 1 << 22
+IDS_AT_ONCE = 1 << 21
 
 # Fixed value: the pattern of the byte-level pre-tokenizer.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -279,14 +280,15 @@ def decode(
     return rows.mapInArrow(run, T.StructType([*fields, T.StructField(text, T.StringType(), False)]))
 
 
-def packed(ids: str = "ids"):
-    """The ids as one binary value, each a little-endian unsigned 32-bit integer."""
+def ids_digest(ids: str = "ids"):
+    """SHA-256, in hexadecimal, of the ids as little-endian unsigned 32-bit integers."""
 
-    @F.arrow_udf("binary")
-    def pack(column: pa.Array) -> pa.Array:
+    @F.arrow_udf("string")
+    def digest(column: pa.Array) -> pa.Array:
         lengths = pc.fill_null(pc.list_value_length(column), 0).to_numpy()
-        offsets = np.concatenate([[0], np.cumsum(lengths * 4)]).astype(np.int32)
-        data = column.flatten().to_numpy().astype("<u4", copy=False)
-        return pa.Array.from_buffers(pa.binary(), len(column), [None, pa.py_buffer(offsets), pa.py_buffer(data.tobytes())])
+        bounds = np.concatenate([[0], np.cumsum(lengths)])
+        flat = column.flatten().to_numpy().astype("<u4", copy=False)
+        digests = [hashlib.sha256(flat[a:b]).hexdigest() for a, b in zip(bounds[:-1], bounds[1:])]
+        return pa.array(digests, pa.string())
 
-    return pack(F.col(ids))
+    return digest(F.col(ids))

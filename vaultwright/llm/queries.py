@@ -116,7 +116,7 @@ def op1_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = bpe.Vocabulary.load(bpe.default_vocabulary())
     encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary)
-    digested = encoded.withColumn("ids_sha256", F.sha2(bpe.packed("ids"), 256))
+    digested = encoded.withColumn("ids_sha256", bpe.ids_digest("ids"))
     decoded = bpe.decode(digested, vocabulary, keep_ids=False)
     return decoded.withColumn("decoded_sha256", F.sha2(F.col("text").cast("binary"), 256)).drop("text")
 
