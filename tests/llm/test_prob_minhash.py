@@ -143,3 +143,41 @@ def test_large_keys_in_blocks(spark, documents, monkeypatch):
         rows += [(2 * i, one), (2 * i + 1, edited(one, 1 if i % 2 else 6, 1000 + i))]
     found = p.document_classes(documents(rows))
     assert collected(found, "doc_id", "class_id") == sorted(brute_classes(rows), key=repr)
+
+
+def repeating(own, seed):
+    """A passage that comes eight times, then words of one text only."""
+    return " ".join([prose(1, 100)] * 8 + [f"own{seed}x{i}" for i in range(own)])
+
+
+def test_large_keys_link_what_small_keys_link(documents, monkeypatch):
+    """Texts alike by their repeated shingles only: a key's size must not decide whether they are linked."""
+    rows = [(i, repeating(20 if i % 8 == 0 else 60 + 3 * i, i)) for i in range(48)]
+    sets = [weighted(t) for _, t in rows]
+    assert exact(sets[0], sets[8])[0] < 0.8 < exact(sets[0], sets[8])[1]
+    found = []
+    for small, block in ((1000, 384), (4, 8)):
+        monkeypatch.setattr(linking, "SMALL_KEY", small)
+        monkeypatch.setattr(linking, "BLOCK", block)
+        # Without stars, keys have to find all links.
+        monkeypatch.setattr(linking, "star_pairs", lambda members, seeds: members.limit(0).selectExpr("node AS a", "node AS b"))
+        found.append(collected(p.document_classes(documents(rows)), "doc_id", "class_id"))
+    assert found[0] == found[1]
+    assert {c for i, c in found[0] if i % 8 == 0} == {0}
+
+
+def test_upper_bound_of_similarity():
+    rng = np.random.default_rng(5)
+    texts = []
+    for i in range(24):
+        words = [f"w{k}" for k in rng.integers(0, 12 + 4 * (i % 5), 60)]
+        texts.append(" ".join(words * int(rng.integers(1, 5)) + [f"x{i}"]))
+    texts += [repeating(20, 1), repeating(20, 2), "a b", "a b", prose(3, 80), edited(prose(3, 80), 2, 1)]
+    owner, hashes, counts = p.shingles(texts, 2)
+    sets = [(hashes[owner == i], p.weights(counts[owner == i])) for i in range(len(texts))]
+    for i, one in enumerate(sets):  # as they come back from packing
+        for a, b in zip(one, linking._unpacked(*linking.packed(*one))):
+            assert a == pytest.approx(b)
+    upper = linking._upper(sets, sets)
+    for i, j in itertools.product(range(len(sets)), repeat=2):
+        assert upper[i, j] >= p.similarity(sets[i], sets[j]) - 1e-5

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from vaultwright.llm.common import stage
 
 Plausible = Callable[[Column, Column], Column]
+Alike = Callable[[tuple, tuple], float]
 
 MAX_ROUNDS = 200
 SMALL_KEY = 32
@@ -105,37 +106,81 @@ def _only_plausible(pairs: DataFrame, facts: DataFrame | None, plausible: Plausi
     return stage(both.filter(plausible(F.col("fact_a"), F.col("fact_b"))).select("a", "b"), "pairs")
 
 
-def _close(first: tuple, second: tuple, threshold: float) -> Iterator[tuple[int, int]]:
-    """Pairs of sets at least as similar as ``threshold``, one for each two classes.
+Weighted = tuple[np.ndarray, np.ndarray]  # hashes, sorted, and weights of at least 1
 
-    The sets are (size, elements, owner); elements in one set only cannot be shared and are left out.
+
+def _upper(first: list[Weighted], second: list[Weighted]) -> np.ndarray:
+    """For every two sets at least their plain and their probability Jaccard similarity.
+
+    Of weights a and b the latter is at most the sum of max(a, b) over common elements, over that of all: an
+    element u adds at least max(a_u, b_u) / max(a_x, b_x) to the sum of x.  Sums of min(a, b) are taken from
+    below, by whole steps, which is exact where one of the weights is 1.
     """
-    (n_a, e_a, o_a, root_a), (n_b, e_b, o_b, root_b) = first, second
-    kinds, number, times = np.unique(np.concatenate([e_a, e_b]), return_inverse=True, return_counts=True)
-    place = np.cumsum(times > 1) - 1
-    shared = np.zeros((len(n_a), len(n_b)), np.float32)
-    own_a, own_b = number[: len(e_a)], number[len(e_a) :]
-    columns = int((times > 1).sum())
-    for start in range(0, columns, 4096):  # of a table of 0 and 1, sets by elements
-        parts = []
-        for own, of, n in ((own_a, o_a, len(n_a)), (own_b, o_b, len(n_b))):
-            at = place[own]
-            here = (times[own] > 1) & (at >= start) & (at < start + 4096)
-            part = np.zeros((n, min(4096, columns - start)), np.float32)
-            part[of[here], at[here] - start] = 1
-            parts.append(part)
-        shared += parts[0] @ parts[1].T
-    similarity = shared / np.maximum(n_a[:, None] + n_b[None, :] - shared, 1)
-    i, j = np.nonzero((similarity >= threshold) & (root_a[:, None] != root_b[None, :]))
-    classes_ = np.stack([np.minimum(root_a[i], root_b[j]), np.maximum(root_a[i], root_b[j])], axis=1)
-    _, first_of = np.unique(classes_, axis=0, return_index=True)
-    return zip(i[first_of].tolist(), j[first_of].tolist())
-
-
-def across_blocks(rows: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (a, b) that link classes within large keys.
-
-    ``sets`` has (node, elements): the distinct elements of each node as 32-bit numbers in bytes.
+    sides = (first, second)
+    hashes = np.concatenate([h for side in sides for h, _ in side])
+    weight = np.concatenate([w for side in sides for _, w in side])
+    owner = [np.repeat(np.arange(len(side)), [len(h) for h, _ in side]) for side in sides]
+    kinds, number, times = np.unique(hashes, return_inverse=True, return_counts=True)
+    edge = len(owner[0])
+    heavy = np.zeros(len(kinds), bool)
+    heavy[number[weight > 1]] = True
+    shape = (len(first), len(second))
+    common, more, least = (np.zeros(shape) for _ in range(3))
+    for columns in (np.flatnonzero((times > 1) & heavy), np.flatnonzero((times > 1) & ~heavy)):
+        place = np.full(len(kinds), -1)
+        place[columns] = np.arange(len(columns))
+        for start in range(0, len(columns), 4096):  # of a table of sets by elements
+            width = min(4096, len(columns) - start)
+            tables = []
+            for of, part, n in zip(owner, (slice(None, edge), slice(edge, None)), shape):
+                at = place[number[part]] - start
+                here = (at >= 0) & (at < width)
+                table = np.zeros((n, width), np.float32)
+                table[of[here], at[here]] = weight[part][here]
+                tables.append(table)
+            a, b = tables
+            in_a, in_b = (a > 0).astype(np.float32), (b > 0).astype(np.float32)
+            common += in_a @ in_b.T
+            if heavy[columns[0]]:
+                more += np.maximum(a - 1, 0) @ in_b.T + in_a @ np.maximum(b - 1, 0).T
+                for step in range(2, int(min(a.max(), b.max())) + 1):
+                    least += (a >= step).astype(np.float32) @ (b >= step).astype(np.float32).T
+    n_a, n_b = (np.array([len(h) for h, _ in side], float) for side in sides)
+    w_a, w_b = (np.array([w.sum() for _, w in side], float) for side in sides)
+    plain = common / np.maximum(n_a[:, None] + n_b[None, :] - common, 1)
+    return np.maximum(plain, (common + more - least) / np.maximum(w_a[:, None] + w_b[None, :] - common - least, 1))
+
+
+def _close(
+    first: list[Weighted], second: list[Weighted], roots: tuple[np.ndarray, np.ndarray], alike: Alike, threshold: float, same: bool
+) -> Iterator[tuple[int, int]]:
+    """Pairs of sets at least as similar as ``threshold``, one for each two classes; ``same``: first is second."""
+    may_be = (_upper(first, second) >= threshold - 1e-4) & (roots[0][:, None] != roots[1][None, :])
+    found = set()
+    for i, j in np.argwhere(np.triu(may_be) if same else may_be).tolist():
+        two = frozenset((int(roots[0][i]), int(roots[1][j])))
+        if two not in found and alike(first[i], second[j]) >= threshold:
+            found.add(two)
+            yield i, j
+
+
+def packed(hashes: np.ndarray, weights: np.ndarray) -> tuple[bytes, bytes]:
+    """The elements and weights of a node for ``across_blocks``."""
+    heavy = weights > 1
+    return np.append(hashes[heavy], hashes[~heavy]).tobytes(), weights[heavy].astype(np.float32).tobytes()
+
+
+def _unpacked(elements: bytes, weights: bytes) -> Weighted:
+    hashes, heavy = np.frombuffer(elements, np.uint64), np.frombuffer(weights, np.float32)
+    order = np.argsort(hashes)
+    return hashes[order], np.append(heavy, np.ones(len(hashes) - len(heavy), np.float32))[order].astype(float)
+
+
+def across_blocks(rows: DataFrame, sets: DataFrame, alike: Alike, threshold: float) -> DataFrame:
+    """Pairs (a, b) that link classes within large keys: those that ``alike`` would find in a small one.
+
+    ``sets`` has (node, elements, weights): the distinct elements of each node as 64-bit numbers in bytes,
+    those with weights above 1 first, and these weights as 32-bit floats in bytes.
     Each block of a key meets every other one, and itself, in one place.
     """
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
@@ -154,16 +199,12 @@ def across_blocks(rows: DataFrame, sets: DataFrame, threshold: float) -> DataFra
     def compare(group: pa.Table) -> pa.Table:
         nodes, block = group.column("node").to_pylist(), group.column("block").to_numpy()
         roots = np.unique(np.array(group.column("root").to_pylist(), dtype=object), return_inverse=True)[1]
-        elements = [np.frombuffer(e, np.uint32) for e in group.column("elements").to_pylist()]
-
-        def part(at):
-            sizes = np.array([len(elements[k]) for k in at], np.int64)
-            all_of = np.concatenate([elements[k] for k in at]) if len(at) else np.zeros(0, np.uint32)
-            return sizes, all_of, np.repeat(np.arange(len(at)), sizes), roots[at]
-
-        low = np.flatnonzero(block == block.min())
-        high = np.flatnonzero(block == block.max())
-        pairs = [(nodes[low[i]], nodes[high[j]]) for i, j in _close(part(low), part(high), threshold)]
+        sets_ = [_unpacked(*row) for row in zip(group.column("elements").to_pylist(), group.column("weights").to_pylist())]
+        low, high = np.flatnonzero(block == block.min()), np.flatnonzero(block == block.max())
+        found = _close(
+            [sets_[k] for k in low], [sets_[k] for k in high], (roots[low], roots[high]), alike, threshold, block.min() == block.max()
+        )
+        pairs = [(nodes[low[i]], nodes[high[j]]) for i, j in found]
         pairs = [(min(p), max(p)) for p in pairs]
         types = group.schema.field("node").type
         return pa.table({"a": pa.array([a for a, _ in pairs], types), "b": pa.array([b for _, b in pairs], types)})
@@ -181,6 +222,7 @@ def classes(
     verify: Callable[[DataFrame], DataFrame],
     seeds: int = 4,
     elements: Callable[[DataFrame], DataFrame] | None = None,
+    alike: Alike | None = None,
     threshold: float = 1.0,
     facts: DataFrame | None = None,
     plausible: Plausible | None = None,
@@ -188,8 +230,8 @@ def classes(
     """(node, root) of all linked nodes, and the verified links (a, b) that were needed to find them.
 
     ``verify`` takes pairs (a, b) and returns those that are similar enough.  ``elements`` gives the
-    sets of nodes for ``across_blocks``, which looks for Jaccard similarities of ``threshold``;
-    without it large keys join their pairs as small ones do.  ``facts`` (node, fact) and
+    sets of nodes for ``across_blocks``, which looks for pairs that ``alike`` finds similar by ``threshold``,
+    as ``verify`` does; without it large keys join their pairs as small ones do.  ``facts`` (node, fact) and
     ``plausible``, a condition on the facts of two nodes, leave out pairs before they are verified.
     """
     tested = stage(star_pairs(members, seeds), "pairs")
@@ -202,7 +244,7 @@ def classes(
         large = stage(rows.filter(F.col("n") > SMALL_KEY), "large-keys")
         if not large.isEmpty():
             sets = stage(elements(large.select("node").distinct()), "elements")
-            rest = rest.union(across_blocks(large, sets, threshold)).distinct()
+            rest = rest.union(across_blocks(large, sets, alike, threshold)).distinct()
     rest = stage(rest, "pairs")
     if not rest.isEmpty():
         more = stage(verify(rest).select("a", "b"), "verified")

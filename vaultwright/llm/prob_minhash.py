@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vaultwright.llm.common import hash_words, mix, stage, word_spans
-from vaultwright.llm.linking import classes
+from vaultwright.llm.linking import classes, packed
 
 SMALL_NODES = 500_000  # of 16 bytes: broadcast up to this many
 PIECE_BYTES = 1 << 20  # of text that are turned into shingles at once
@@ -193,14 +193,24 @@ def shingle_table(docs: DataFrame, nodes: DataFrame, settings: Settings) -> Data
 
 
 def elements(docs: DataFrame, settings: Settings):
-    """Shingles of nodes as 32-bit numbers, to look for candidates in large bands."""
+    """Shingles of nodes and their weights, to look for links in large bands."""
 
     def of(nodes: DataFrame) -> DataFrame:
-        @F.pandas_udf("binary")
-        def packed(hashes):
-            return hashes.map(lambda h: np.unique((np.asarray(h).view(np.uint64) >> np.uint64(32)).astype(np.uint32)).tobytes())
+        def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                lists = [batch.column(c) for c in ("hashes", "weights")]
+                flat = [c.flatten().to_numpy(zero_copy_only=False) for c in lists]
+                ends = [c.offsets.to_numpy() - c.offsets[0].as_py() for c in lists]
+                rows = [
+                    packed(*(f[e[i] : e[i + 1]] for f, e in zip((flat[0].view(np.uint64), flat[1]), ends)))
+                    for i in range(batch.num_rows)
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("node"), *(pa.array([r[k] for r in rows], pa.binary()) for k in (0, 1))],
+                    names=["node", "elements", "weights"],
+                )
 
-        return shingle_table(docs, nodes, settings).select("node", packed("hashes").alias("elements"))
+        return shingle_table(docs, nodes, settings).mapInArrow(pack, "node binary, elements binary, weights binary")
 
     return of
 
@@ -253,6 +263,7 @@ def document_classes(docs: DataFrame, settings: Settings = Settings()) -> DataFr
         verifier(docs, settings),
         settings.seeds,
         elements(docs, settings),
+        similarity,
         settings.threshold,
     )
     degree = (
