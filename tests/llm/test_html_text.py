@@ -107,6 +107,18 @@ def test_shards_and_empty_table(spark):
     assert h.extract(pages(spark, [])).count() == 0
 
 
+def test_shards_count_like_the_whole_host(spark):
+    """A notice on few pages of a host, copies of one page, and articles: shards of any size give the same text."""
+    own = [(i, prose(i, 40)) for i in range(60)] + [(60 + i, prose(7, 40)) for i in range(30)]
+    rows = [(i, "http://one.org/", f"<div><p>{t}</p>{f'<p>{NOTICE}</p>' if i in (3, 41) else ''}</div>") for i, t in own]
+    rows += [(200 + i, "http://one.org/a", f"<article><p>{prose(300 + i, 40)}</p><p>{NOTICE} Sign up now.</p></article>") for i in range(9)]
+    rows += [(300 + i, "http://two.org/", f"<p>{prose(400 + i, 60)}</p><p>{NOTICE}</p>") for i in range(3)] + [(400, "http://two.org", None)]
+    whole = collected(h.extract(pages(spark, rows)), "page_id", "text", "n_removed")
+    assert {i for i, _, n in whole if n} == {3, 41, 300, 301, 302}
+    for size in (700, 3000, 9000):
+        assert collected(h.extract(pages(spark, rows), h.Repeats(shard_bytes=size)), "page_id", "text", "n_removed") == whole
+
+
 @pytest.mark.parametrize(
     "page",
     [

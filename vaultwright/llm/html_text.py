@@ -11,8 +11,10 @@
    runs stay.  Inside an ``article`` the share is higher, and a page that is covered for the
    most part is a copy, not boilerplate, and keeps its blocks.
 
-Hosts with more than ``shard_bytes`` of html are cut by page into shards of about that
-size.  As boilerplate is defined by a share of the pages, a shard shows it like the host.
+Hosts with more than ``shard_bytes`` of html are cut into shards of about that size, which
+changes nothing in the results: equal streams go into one shard, each shard sorts its own
+suffixes, the counts of equal substrings are added up over the shards of the host, and its
+pages are then held against the sums.
 
 Defined cases: null or empty html gives the empty text; a null or odd URL belongs to the
 empty host; repeated rows come out as often as they went in; an empty table gives an empty
@@ -21,6 +23,7 @@ result; other columns are ignored.  A cut-off page gives the text up to the cut.
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
 from collections.abc import Iterator
@@ -31,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultwright.llm.common import hash_words, stage, word_spans
+from vaultwright.llm.common import hash_words, mix, stage, word_spans
 
 LEFT_OUT = frozenset(
     "nav footer aside form script style noscript template iframe select button textarea svg canvas object "
@@ -201,6 +204,32 @@ def suffix_ranks(tokens: np.ndarray, depth: int) -> np.ndarray:
     return rank
 
 
+def suffix_groups(distinct: list[np.ndarray], least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Substrings of ``least`` tokens of different streams: the streams in a row, places, the substring at each, pages by substring."""
+    lengths = np.array([len(s) for s in distinct])
+    # A separator per page, different from each other and from all words, ends its suffixes.
+    joined = np.concatenate([np.append(s, np.uint64(2 * i + 1)) for i, s in enumerate(distinct)])
+    page = np.repeat(np.arange(len(distinct)), lengths + 1)
+    place = np.arange(len(joined)) - np.repeat(np.cumsum(lengths + 1) - lengths - 1, lengths + 1)
+    rank = suffix_ranks(joined, least)
+    whole = place + least <= lengths[page]  # the substring does not reach beyond its page
+    rank, page, at = rank[whole], page[whole], np.flatnonzero(whole)
+    suffixes = np.lexsort((page, rank))  # the suffix array, to that depth
+    r, p = rank[suffixes], page[suffixes]
+    new_rank = np.append(True, r[1:] != r[:-1]) if len(r) else np.zeros(0, bool)
+    new_page = new_rank | np.append(True, p[1:] != p[:-1]) if len(r) else new_rank
+    group = np.cumsum(new_rank) - 1
+    return joined, at[suffixes], group, np.bincount(group[new_page], minlength=group[-1] + 1 if len(group) else 0)
+
+
+def _reach(shared: np.ndarray, least: int) -> np.ndarray:
+    """For every token the largest number of the substrings that cover it."""
+    reach = shared.copy()
+    for k in range(1, least):
+        np.maximum(reach[k:], shared[:-k], out=reach[k:])
+    return reach
+
+
 def covered(streams: list[np.ndarray], least: int) -> tuple[list[np.ndarray], int]:
     """For every token the number of different streams that share a substring of ``least`` tokens over it."""
     order = {}
@@ -211,40 +240,60 @@ def covered(streams: list[np.ndarray], least: int) -> tuple[list[np.ndarray], in
     counts = [np.zeros(len(s), np.int32) for s in distinct]
     lengths = np.array([len(s) for s in distinct])
     if lengths.sum():
-        # A separator per page, different from each other and from all words, ends its suffixes.
-        joined = np.concatenate([np.append(s, np.uint64(2 * i + 1)) for i, s in enumerate(distinct)])
-        page = np.repeat(np.arange(len(distinct)), lengths + 1)
-        place = np.arange(len(joined)) - np.repeat(np.cumsum(lengths + 1) - lengths - 1, lengths + 1)
-        rank = suffix_ranks(joined, least)
-        whole = place + least <= lengths[page]  # the substring does not reach beyond its page
-        rank, page, at = rank[whole], page[whole], np.flatnonzero(whole)
-        suffixes = np.lexsort((page, rank))  # the suffix array, to that depth
-        r, p = rank[suffixes], page[suffixes]
-        new_rank = np.append(True, r[1:] != r[:-1]) if len(r) else np.zeros(0, bool)
-        new_page = new_rank | np.append(True, p[1:] != p[:-1]) if len(r) else new_rank
-        group = np.cumsum(new_rank) - 1
-        pages_of = np.bincount(group[new_page], minlength=group[-1] + 1 if len(group) else 0)
+        joined, at, group, pages_of = suffix_groups(distinct, least)
         shared = np.zeros(len(joined), np.int32)
-        shared[at[suffixes]] = pages_of[group]
+        shared[at] = pages_of[group]
         shared[shared < 2] = 0
-        reach = shared.copy()  # a token counts for every substring that covers it
-        for k in range(1, least):
-            np.maximum(reach[k:], shared[:-k], out=reach[k:])
+        reach = _reach(shared, least)
         starts = np.cumsum(lengths + 1) - lengths - 1
         counts = [reach[a : a + n] for a, n in zip(starts, lengths)]
     return [counts[i] for i in own], len(distinct)
 
 
-def without_boilerplate(pages: list[tuple[list[str], bool]], rules: Repeats) -> list[list[str]]:
-    """The blocks of each page of one host that stay."""
-    streams, edges = [], []
-    for texts, _ in pages:
-        buffer = np.frombuffer("\n".join(texts).encode("utf-8", "replace"), np.uint8)
-        starts, ends = word_spans(buffer)
-        lines = np.flatnonzero(buffer == 10)
-        streams.append(hash_words(buffer, starts, ends) & ~np.uint64(1))  # even: separators are odd
-        edges.append(np.searchsorted(starts, np.concatenate([[0], lines, [len(buffer)]])))
-    counts, n_pages = covered(streams, rules.least_tokens)
+def window_hashes(tokens: np.ndarray, starts: np.ndarray, least: int) -> np.ndarray:
+    """Hashes of the substrings of ``least`` tokens that begin there."""
+    found = np.zeros(len(starts), np.uint64)
+    for k in range(least):
+        found = mix(found ^ tokens[starts + k])
+    return found.view(np.int64)
+
+
+def covered_by(streams: list[np.ndarray], windows: np.ndarray, pages_of: np.ndarray, least: int) -> list[np.ndarray]:
+    """What ``covered`` counts, from the substrings that recur (hashes in order) and their numbers of streams."""
+    out = []
+    for s in streams:
+        shared = np.zeros(len(s), np.int64)
+        starts = np.arange(max(0, len(s) - least + 1))
+        if len(starts) and len(windows):
+            own = window_hashes(s, starts, least)
+            at = np.minimum(np.searchsorted(windows, own), len(windows) - 1)
+            shared[starts] = np.where(windows[at] == own, pages_of[at], 0)
+        out.append(_reach(shared, least))
+    return out
+
+
+def _tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of blocks, and where each block begins."""
+    buffer = np.frombuffer("\n".join(texts).encode("utf-8", "replace"), np.uint8)
+    starts, ends = word_spans(buffer)
+    lines = np.flatnonzero(buffer == 10)
+    hashes = hash_words(buffer, starts, ends) & ~np.uint64(1)  # even: separators are odd
+    return hashes, np.searchsorted(starts, np.concatenate([[0], lines, [len(buffer)]]))
+
+
+def without_boilerplate(
+    pages: list[tuple[list[str], bool]], rules: Repeats, known: tuple[np.ndarray, np.ndarray, int] | None = None
+) -> list[list[str]]:
+    """The blocks of each page of one host that stay.
+
+    ``known`` has what recurs on the whole host if these aren't all its pages: hashes, streams of each, different streams.
+    """
+    found = [_tokens(texts) for texts, _ in pages]
+    streams, edges = [s for s, _ in found], [e for _, e in found]
+    if known is None:
+        counts, n_pages = covered(streams, rules.least_tokens)
+    else:
+        counts, n_pages = covered_by(streams, known[0], known[1], rules.least_tokens), known[2]
     out = []
     for (texts, within), count, edge in zip(pages, counts, edges):
         share, least = (
@@ -258,6 +307,49 @@ def without_boilerplate(pages: list[tuple[list[str], bool]], rules: Repeats) ->
     return out
 
 
+def host_repeats(pages: DataFrame, rules: Repeats) -> DataFrame:
+    """(host, shard, window, n, n_pages) of hosts in shards: substrings on n of their different streams, for every shard.
+
+    ``pages`` has (host, text, within, shards).  Substrings too rare to be boilerplate are left out.
+    """
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            streams = [_tokens([t])[0].tobytes() for t in batch.column("text").to_pylist()]
+            names = [pa.array([hashlib.md5(s).digest() for s in streams], pa.binary())]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("host"), batch.column("shards"), pa.array(streams, pa.binary()), *names],
+                names=["host", "shards", "stream", "digest"],
+            )
+
+    streams = pages.select("host", "shards", "text").mapInArrow(digest, "host string, shards int, stream binary, digest binary")
+    streams = streams.groupBy("host", "digest").agg(F.first("shards").alias("shards"), F.first("stream").alias("stream"))
+    streams = streams.withColumn("shard", F.pmod(F.xxhash64("digest"), "shards").cast("int"))
+
+    def count(group: pa.Table) -> pa.Table:
+        distinct = [np.frombuffer(s, np.uint64) for s in group.column("stream").to_pylist()]
+        tokens, at, substring, n = suffix_groups(distinct, rules.least_tokens)
+        first = np.unique(substring, return_index=True)[1]
+        # One more row, without a substring, for the number of streams.
+        windows = window_hashes(tokens, at[first], rules.least_tokens)
+        host = pa.array([group.column("host")[0].as_py()], pa.string())
+        return pa.table(
+            {
+                "host": pa.DictionaryArray.from_arrays(pa.array(np.zeros(len(n) + 1, np.int32)), host).dictionary_decode(),
+                "window": pa.concat_arrays([pa.array(windows), pa.nulls(1, pa.int64())]),
+                "n": pa.array(np.append(n, len(distinct)), pa.int64()),
+            }
+        )
+
+    counted = streams.groupBy("host", "shard").applyInArrow(count, "host string, window long, n long")
+    counted = stage(counted.groupBy("host", "window").agg(F.sum("n").alias("n")).filter("window IS NULL OR n > 1"), "html-repeats")
+    whole = counted.filter("window IS NULL").select("host", F.col("n").alias("n_pages"))
+    share, least = min(rules.share, rules.share_in_article), min(rules.least_pages, rules.least_pages_in_article)
+    often = counted.filter("window IS NOT NULL").join(whole, "host").filter((F.col("n") >= least) & (F.col("n") >= share * F.col("n_pages")))
+    shards = pages.select("host", "shards").distinct().select("host", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"))
+    return often.join(shards, "host").select("host", "shard", "window", "n", "n_pages")
+
+
 def extract(pages: DataFrame, rules: Repeats = Repeats()) -> DataFrame:
     """page_id, url, host, text, n_chars and the blocks found and removed, one row per page."""
     rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
@@ -281,14 +373,10 @@ def extract(pages: DataFrame, rules: Repeats = Repeats()) -> DataFrame:
                 names=["page_id", "url", "host", "text", "within"],
             )
 
-    cut_up = rows.mapInArrow(cut, "page_id long, url string, host string, text string, within boolean")
-    shard = F.pmod(F.xxhash64("page_id", "url"), F.coalesce("shards", F.lit(1)).cast("long")).cast("int")
-    sharded = cut_up.join(large, F.col("host") == F.col("large_host"), "left").select(*cut_up.columns, shard.alias("shard"))
-
-    def clean(group: pa.Table) -> pa.Table:
+    def cleaned(group: pa.Table, known: tuple[np.ndarray, np.ndarray, int] | None) -> pa.Table:
         texts = group.column("text").to_pylist()
         found = [t.split("\n") if t else [] for t in texts]
-        stay = without_boilerplate(list(zip(found, group.column("within").to_pylist())), rules)
+        stay = without_boilerplate(list(zip(found, group.column("within").to_pylist())), rules, known)
         text = ["\n".join(s) for s in stay]
         return pa.table(
             {
@@ -302,7 +390,21 @@ def extract(pages: DataFrame, rules: Repeats = Repeats()) -> DataFrame:
             }
         )
 
-    return sharded.groupBy("host", "shard").applyInArrow(
-        clean,
-        "page_id long, url string, text string, n_chars long, host string, n_blocks long, n_removed long",
-    )
+    def against(group: pa.Table, repeats: pa.Table) -> pa.Table:
+        windows, n = repeats.column("window").to_numpy(), repeats.column("n").to_numpy()
+        order = np.argsort(windows)
+        n_pages = repeats.column("n_pages")[0].as_py() if len(order) else 0
+        return cleaned(group, (windows[order], n[order], n_pages))
+
+    before = "page_id long, url string, host string, text string, within boolean"
+    after = "page_id long, url string, text string, n_chars long, host string, n_blocks long, n_removed long"
+    of_large = F.col("host") == F.col("large_host")
+    whole = rows.join(large, of_large, "left_anti").mapInArrow(cut, before)
+    out = whole.groupBy("host").applyInArrow(lambda group: cleaned(group, None), after)
+    if large.isEmpty():
+        return out
+    parts = rows.join(large.select("large_host"), of_large, "left_semi").mapInArrow(cut, before)
+    parts = stage(parts.join(large, of_large).drop("large_host"), "html-large")
+    shard = F.pmod(F.xxhash64("page_id", "url"), F.col("shards")).cast("int").alias("shard")
+    dealt = parts.select("page_id", "url", "host", "text", "within", shard).groupBy("host", "shard")
+    return out.unionByName(dealt.cogroup(host_repeats(parts, rules).groupBy("host", "shard")).applyInArrow(against, after))
