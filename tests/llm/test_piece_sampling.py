@@ -1,6 +1,7 @@
 """Sampling against all segmentations of short texts, round trips, independence of batches."""
 
 import itertools
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -114,3 +115,16 @@ def test_same_samples_in_any_partition(documents, vocabulary):
 
 def test_empty_table(documents, vocabulary):
     assert s.encode(documents([]), vocabulary, 2).count() == 0
+
+
+def test_memory_of_a_batch():
+    """Many texts at once take no more memory than some of them: executors of the pipeline have little left for it."""
+    vocabulary = s.Vocabulary.load(s.default_model())
+    texts = [f"{prose(i, 400)} w{i}" for i in range(900)]
+    tracemalloc.start()
+    try:
+        n = sum(1 for _ in s.sample_texts(texts, list(range(len(texts))), vocabulary, 2))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert n == len(texts) and peak < 50e6

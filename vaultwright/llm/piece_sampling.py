@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from vaultwright.llm.common import SpanHashes, hash_words, mix, mix_one
 
-UNIT_BYTES = 1 << 20  # of text that is sampled at a time
+UNIT_BYTES = 1 << 19  # of text that is sampled at a time
 CACHED_UNITS = 60_000  # some 100 MB
 SPACE = "▁".encode()
 
