@@ -143,3 +143,34 @@ def test_near_copies_without_article_keep_their_text():
     shared = [f"Sentence {i} of the story says this and that about the same old thing again." for i in range(12)]
     pages = [([*shared, f"Only page {n} ends like so."], False) for n in range(2)]
     assert h.without_boilerplate(pages, h.Repeats()) == [texts for texts, _ in pages]
+
+
+def test_windows_are_counted_once_per_stream():
+    streams = [np.array(s, np.uint64) for s in ([2, 4, 6, 8, 2, 4, 6], [4, 6, 8], [], [2, 4], [6, 2, 4, 6])]
+    own = np.unique(np.concatenate([h.window_hashes(s, np.arange(len(s) - 2), 3) for s in streams if len(s) > 2]))
+    found = dict(zip(own.tolist(), h.window_counts(streams, own, 3).tolist()))
+    of = lambda *w: int(h.window_hashes(np.array(w, np.uint64), np.array([0]), 3)[0])
+    assert found[of(2, 4, 6)] == 2 and found[of(4, 6, 8)] == 2 and found[of(8, 2, 4)] == 1
+    assert h.window_counts(streams, own[:0], 3).tolist() == []
+
+
+def test_frequent_in_some_shard_only(spark):
+    """Notices on many pages, on just enough and on one too few of them, in shards that hold uneven parts of each."""
+    rows = []
+    for i in range(100):
+        notices = [f"<p>{prose(9000 + k, 16)}</p>" for k, n in enumerate((60, 20, 19)) if i < n]
+        rows.append((i, "http://one.org/", f"<div><p>{prose(i, 60)}</p>{''.join(notices)}</div>"))
+    rows += [(200 + i, "http://one.org/", rows[30][2]) for i in range(50)]
+    rules = dict(share=0.2, share_in_article=0.5)
+    whole = collected(h.extract(pages(spark, rows), h.Repeats(**rules)), "page_id", "text", "n_removed")
+    assert {i: n for i, _, n in whole if n} == {**{i: 2 for i in range(20)}, **{i: 1 for i in range(20, 60)}, **{200 + i: 1 for i in range(50)}}
+    for size in (9000, 30000):
+        assert collected(h.extract(pages(spark, rows), h.Repeats(**rules, shard_bytes=size)), "page_id", "text", "n_removed") == whole
+
+
+def test_texts_of_shards_travel_once(spark):
+    rows = [(i, "http://one.org/", f"<div><p>{prose(i, 200)}</p><p>{NOTICE}</p></div>") for i in range(300)]
+    found = h.extract(pages(spark, rows), h.Repeats(shard_bytes=100_000))
+    assert {r["n_removed"] for r in found.collect()} == {1}
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FlatMapCoGroupsInArrow") == 3 and plan.count("ReusedExchange") == 2

@@ -12,9 +12,9 @@
    most part is a copy, not boilerplate, and keeps its blocks.
 
 Hosts with more than ``shard_bytes`` of html are cut into shards of about that size, which
-changes nothing in the results: equal streams go into one shard, each shard sorts its own
-suffixes, the counts of equal substrings are added up over the shards of the host, and its
-pages are then held against the sums.
+changes nothing in the results: equal streams count in one shard, each shard sorts its own
+suffixes and names the substrings frequent there, these are counted over all shards of the
+host, and its pages are then held against the sums.
 
 Defined cases: null or empty html gives the empty text; a null or odd URL belongs to the
 empty host; repeated rows come out as often as they went in; an empty table gives an empty
@@ -307,47 +307,95 @@ def without_boilerplate(
     return out
 
 
+def window_counts(distinct: list[np.ndarray], windows: np.ndarray, least: int) -> np.ndarray:
+    """On how many of different streams each substring is; ``windows`` has their hashes in order."""
+    lengths = np.array([len(s) for s in distinct])
+    joined = np.concatenate(distinct)
+    page = np.repeat(np.arange(len(distinct)), lengths)
+    starts = np.flatnonzero(np.arange(len(joined)) + least <= np.cumsum(lengths)[page])
+    if not len(starts) or not len(windows):
+        return np.zeros(len(windows), np.int64)
+    own = window_hashes(joined, starts, least)
+    at = np.minimum(np.searchsorted(windows, own), len(windows) - 1)
+    hit = windows[at] == own
+    pairs = np.unique(at[hit] * len(distinct) + page[starts[hit]])
+    return np.bincount(pairs // len(distinct), minlength=len(windows))
+
+
+def _packed(texts: list[str]) -> list[pa.Array]:
+    """Texts compressed, and their sizes."""
+    data = [t.encode("utf-8", "replace") for t in texts]
+    packed = [pa.compress(d, codec="zstd", asbytes=True) if d else b"" for d in data]
+    return [pa.array(packed, pa.binary()), pa.array([len(d) for d in data], pa.int32())]
+
+
+def _unpacked(packed: list[bytes], sizes: list[int]) -> list[str]:
+    return [
+        pa.decompress(b, decompressed_size=n, codec="zstd", asbytes=True).decode() if n else "" for b, n in zip(packed, sizes)
+    ]
+
+
+def _streams(group: pa.Table, digests: list[bytes]) -> list[np.ndarray]:
+    """The streams with these digests, one of each."""
+    wanted, chosen = set(digests), []
+    for i, digest in enumerate(group.column("digest").to_pylist()):
+        if digest in wanted:
+            wanted.remove(digest)
+            chosen.append(i)
+    rows = group.select(["packed", "size"]).take(pa.array(chosen, pa.int64()))
+    return [_tokens([t])[0] for t in _unpacked(rows.column("packed").to_pylist(), rows.column("size").to_pylist())]
+
+
 def host_repeats(pages: DataFrame, rules: Repeats) -> DataFrame:
     """(host, shard, window, n, n_pages) of hosts in shards: substrings on n of their different streams, for every shard.
 
-    ``pages`` has (host, text, within, shards).  Substrings too rare to be boilerplate are left out.
+    ``pages`` has (host, shard, shards, packed, size, digest).  Substrings too rare to be boilerplate are left out: one that is
+    on n streams is on n / shards or more of those of some shard, so only such ones are counted over the whole host.
     """
+    # A stream counts in one of the shards that hold it.
+    own = stage(pages.groupBy("host", "digest").agg(F.min("shard").alias("shard")), "html-streams")
+    share, least = min(rules.share, rules.share_in_article), min(rules.least_pages, rules.least_pages_in_article)
+    hosts = own.groupBy("host").agg(F.count("*").alias("n_pages"))
+    hosts = hosts.join(pages.select("host", "shards").distinct(), "host")
+    hosts = hosts.withColumn("bar", F.greatest(F.lit(float(least)), F.col("n_pages") * share))
+    hosts = stage(hosts, "html-bars")  # hosts above shard_bytes only
+    own = own.join(F.broadcast(hosts), "host")
+    dealt = pages.groupBy("host", "shard")
+
+    def often_here(group: pa.Table, here: pa.Table) -> pa.Table:
+        windows = np.zeros(0, np.int64)
+        if here.num_rows:
+            tokens, at, substring, n = suffix_groups(_streams(group, here.column("digest").to_pylist()), rules.least_tokens)
+            first = np.unique(substring, return_index=True)[1]
+            enough = n * here.column("shards")[0].as_py() >= here.column("bar")[0].as_py() * (1 - 1e-9)
+            windows = window_hashes(tokens, at[first[enough]], rules.least_tokens)
+        return _of_host(group, windows)
+
+    def count(group: pa.Table, known: pa.Table) -> pa.Table:
+        windows = np.unique(known.column("window").drop_null().to_numpy())
+        streams = _streams(group, known.column("digest").drop_null().to_pylist()) if len(windows) else []
+        n = window_counts(streams, windows, rules.least_tokens) if streams else np.zeros(len(windows), np.int64)
+        return _of_host(group, windows[n > 0]).append_column("n", pa.array(n[n > 0], pa.int64()))
+
+    def every_shard(windows: DataFrame) -> DataFrame:
+        of = windows.join(F.broadcast(hosts), "host")
+        return of.withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
+
+    kind = "host string, shard int, digest binary, shards int, bar double"
+    # Cut from the plan of ``hosts`` by names of their own, as both sides of a cogroup come from one table.
+    here = own.select(*[F.col(c.split()[0]).alias(c.split()[0]) for c in kind.split(", ")])
+    often = dealt.cogroup(here.groupBy("host", "shard")).applyInArrow(often_here, "host string, window long").distinct()
+    known = here.select("host", "shard", "digest", F.lit(None).cast("long").alias("window")).union(
+        every_shard(often).select("host", "shard", F.lit(None).cast("binary").alias("digest"), "window")
+    )
+    counted = dealt.cogroup(known.groupBy("host", "shard")).applyInArrow(count, "host string, window long, n long")
+    counted = every_shard(counted.groupBy("host", "window").agg(F.sum("n").alias("n")))
+    return counted.filter(F.col("n") >= F.col("bar")).select("host", "shard", "window", "n", "n_pages")
 
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            streams = [_tokens([t])[0].tobytes() for t in batch.column("text").to_pylist()]
-            names = [pa.array([hashlib.md5(s).digest() for s in streams], pa.binary())]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("host"), batch.column("shards"), pa.array(streams, pa.binary()), *names],
-                names=["host", "shards", "stream", "digest"],
-            )
-
-    streams = pages.select("host", "shards", "text").mapInArrow(digest, "host string, shards int, stream binary, digest binary")
-    streams = streams.groupBy("host", "digest").agg(F.first("shards").alias("shards"), F.first("stream").alias("stream"))
-    streams = streams.withColumn("shard", F.pmod(F.xxhash64("digest"), "shards").cast("int"))
-
-    def count(group: pa.Table) -> pa.Table:
-        distinct = [np.frombuffer(s, np.uint64) for s in group.column("stream").to_pylist()]
-        tokens, at, substring, n = suffix_groups(distinct, rules.least_tokens)
-        first = np.unique(substring, return_index=True)[1]
-        # One more row, without a substring, for the number of streams.
-        windows = window_hashes(tokens, at[first], rules.least_tokens)
-        host = pa.array([group.column("host")[0].as_py()], pa.string())
-        return pa.table(
-            {
-                "host": pa.DictionaryArray.from_arrays(pa.array(np.zeros(len(n) + 1, np.int32)), host).dictionary_decode(),
-                "window": pa.concat_arrays([pa.array(windows), pa.nulls(1, pa.int64())]),
-                "n": pa.array(np.append(n, len(distinct)), pa.int64()),
-            }
-        )
 
-    counted = streams.groupBy("host", "shard").applyInArrow(count, "host string, window long, n long")
-    counted = stage(counted.groupBy("host", "window").agg(F.sum("n").alias("n")).filter("window IS NULL OR n > 1"), "html-repeats")
-    whole = counted.filter("window IS NULL").select("host", F.col("n").alias("n_pages"))
-    share, least = min(rules.share, rules.share_in_article), min(rules.least_pages, rules.least_pages_in_article)
-    often = counted.filter("window IS NOT NULL").join(whole, "host").filter((F.col("n") >= least) & (F.col("n") >= share * F.col("n_pages")))
-    shards = pages.select("host", "shards").distinct().select("host", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"))
-    return often.join(shards, "host").select("host", "shard", "window", "n", "n_pages")
+def _of_host(group: pa.Table, windows: np.ndarray) -> pa.Table:
+    host = group.column("host")[0].as_py() if group.num_rows else None
+    return pa.table({"host": pa.array([host] * len(windows), pa.string()), "window": pa.array(windows, pa.int64())})
 
 
 def extract(pages: DataFrame, rules: Repeats = Repeats()) -> DataFrame:
@@ -367,14 +415,16 @@ def extract(pages: DataFrame, rules: Repeats = Repeats()) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [candidates(blocks(h)) for h in batch.column("html").to_pylist()]
+            texts = ["\n".join(t) for t, _ in found]
+            digests = [hashlib.md5(t.replace("\n", " ").encode("utf-8", "replace")).digest() for t in texts]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("page_id"), batch.column("url"), batch.column("host")]
-                + [pa.array(["\n".join(t) for t, _ in found], pa.string()), pa.array([w for _, w in found], pa.bool_())],
-                names=["page_id", "url", "host", "text", "within"],
+                [batch.column("page_id"), batch.column("url"), batch.column("host"), *_packed(texts)]
+                + [pa.array([w for _, w in found], pa.bool_()), pa.array(digests, pa.binary())],
+                names=["page_id", "url", "host", "packed", "size", "within", "digest"],
             )
 
     def cleaned(group: pa.Table, known: tuple[np.ndarray, np.ndarray, int] | None) -> pa.Table:
-        texts = group.column("text").to_pylist()
+        texts = _unpacked(group.column("packed").to_pylist(), group.column("size").to_pylist())
         found = [t.split("\n") if t else [] for t in texts]
         stay = without_boilerplate(list(zip(found, group.column("within").to_pylist())), rules, known)
         text = ["\n".join(s) for s in stay]
@@ -396,15 +446,17 @@ def extract(pages: DataFrame, rules: Repeats = Repeats()) -> DataFrame:
         n_pages = repeats.column("n_pages")[0].as_py() if len(order) else 0
         return cleaned(group, (windows[order], n[order], n_pages))
 
-    before = "page_id long, url string, host string, text string, within boolean"
+    # Texts travel compressed; equal streams of words have equal digests.
+    before = "page_id long, url string, host string, packed binary, size int, within boolean, digest binary"
     after = "page_id long, url string, text string, n_chars long, host string, n_blocks long, n_removed long"
     of_large = F.col("host") == F.col("large_host")
-    whole = rows.join(large, of_large, "left_anti").mapInArrow(cut, before)
+    whole = rows.join(large, of_large, "left_anti").mapInArrow(cut, before).drop("digest")
     out = whole.groupBy("host").applyInArrow(lambda group: cleaned(group, None), after)
     if large.isEmpty():
         return out
     parts = rows.join(large.select("large_host"), of_large, "left_semi").mapInArrow(cut, before)
-    parts = stage(parts.join(large, of_large).drop("large_host"), "html-large")
-    shard = F.pmod(F.xxhash64("page_id", "url"), F.col("shards")).cast("int").alias("shard")
-    dealt = parts.select("page_id", "url", "host", "text", "within", shard).groupBy("host", "shard")
-    return out.unionByName(dealt.cogroup(host_repeats(parts, rules).groupBy("host", "shard")).applyInArrow(against, after))
+    parts = parts.join(F.broadcast(large), of_large).drop("large_host")
+    parts = stage(parts.withColumn("shard", F.pmod(F.xxhash64("page_id", "url"), F.col("shards")).cast("int")), "html-large")
+    # One plan, so that the three passes over the shards read one exchange.
+    repeats = host_repeats(parts, rules).groupBy("host", "shard")
+    return out.unionByName(parts.groupBy("host", "shard").cogroup(repeats).applyInArrow(against, after))
