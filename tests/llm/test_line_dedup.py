@@ -2,11 +2,15 @@
 
 import itertools
 import random
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.conftest import collected, prose
 from vaultwright.llm import line_dedup as d
+from vaultwright.llm import linking
+from vaultwright.staging import shared_folder
 
 
 def distance(a, b):
@@ -153,3 +157,29 @@ def test_equal_short_lines_and_scripts_without_spaces(documents):
 def test_no_lines_at_all(documents):
     assert d.word_bits([]).shape == (0, 1 + d.BITS // 64) and d.keys_of([], d.Settings()) == []
     assert [r["n_removed"] for r in d.report(documents([(1, None), (2, "\n")])).collect()] == [0, 0]
+
+
+def test_steps_leave_nothing_but_what_the_result_reads(spark, documents, monkeypatch):
+    freed, free = [], d.free_shuffles
+    monkeypatch.setattr(d, "free_shuffles", lambda session: (freed.append(1), free(session)))
+    folder = Path(shared_folder(spark), "vaultwright")
+    before = set(folder.glob("*"))
+    found = d.repeated_lines(documents(corpus()))
+    assert sorted(p.name.rsplit("-", 1)[0] for p in set(folder.glob("*")) - before) == ["line-groups", "lines"]
+    assert found.count() > 0 and len(freed) >= 3
+
+
+def test_pairs_across_classes_use_one_exchange(spark):
+    rows = spark.createDataFrame([(k % 40, f"n{k:03}", f"r{k % 3}", 10) for k in range(400)], "key long, node string, root string, n long")
+    facts = rows.select("node", F.array(F.col("key")).alias("fact"))
+    tested = spark.createDataFrame([("n000", "n040")], "a string, b string")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        pairs = linking.across(rows, tested, facts, lambda a, b: a[0] == b[0])
+        own = [(r["key"], r["node"], r["root"]) for r in rows.collect()]
+        brute = {(a, b) for k, a, x in own for j, b, y in own if k == j and a < b and x != y} - {("n000", "n040")}
+        assert {tuple(r) for r in pairs.collect()} == brute
+        assert "ReusedExchange" in pairs._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)

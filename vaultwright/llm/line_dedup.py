@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vaultwright.llm.common import hash_words, mix, stage, word_spans
+from vaultwright.llm.common import free_shuffles, hash_words, mix, stage, staged_for_now, word_spans
 from vaultwright.llm.linking import classes
 
 BROADCAST_KEYS = 500_000  # of 24 bytes
@@ -248,17 +248,41 @@ def similar(threshold: float):
 def repeated_lines(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Lines that are not the first of their group: doc_id, doc (digest of the text), line, node, root."""
     found = stage(lines(docs, settings), "lines")
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "doc", "line")
-    distinct = stage(
-        found.groupBy("node").agg(F.min(place).alias("first"), F.count("*").alias("n"), F.first("fact").alias("fact")),
-        "line-kinds",
+    with staged_for_now(docs.sparkSession):
+        repeated = stage(line_groups(docs, found, settings), "line-groups", outlive=True)
+    free_shuffles(docs.sparkSession)
+    here = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "doc", "line")
+    return (
+        found.select("doc_id", "doc", "line", "node")
+        .join(repeated, "node")
+        .filter(~here.eqNullSafe(F.col("kept")))
+        .select("doc_id", "doc", "line", "node", "root")
     )
+
+
+def line_members(docs: DataFrame, distinct: DataFrame, settings: Settings) -> DataFrame:
+    """(node, key): the keys of lines that some other line has as well."""
     # Most keys are in one line only; the others are kept, with one exchange for both sides.
     keyed = line_keys(docs, settings).repartition("key")
     shared = keyed.groupBy("key").agg(F.min("ref").alias("lo"), F.max("ref").alias("hi")).filter("lo <> hi").select("key")
     kept = stage(keyed.join(shared, "key").select("ref", "key").distinct(), "line-keys")
+    free_shuffles(docs.sparkSession)
     ref = F.conv(F.hex(F.substring("node", 1, 8)), 16, -10).cast("long")
-    members = stage(kept.join(distinct.select(ref.alias("ref"), "node"), "ref").select("node", "key"), "line-members")
+    return kept.join(distinct.select(ref.alias("ref"), "node"), "ref").select("node", "key")
+
+
+def line_groups(docs: DataFrame, found: DataFrame, settings: Settings) -> DataFrame:
+    """(node, root, kept) of the lines in groups of two or more; kept is the place of the first."""
+    spark = docs.sparkSession
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "doc", "line")
+    distinct = stage(
+        found.groupBy("node").agg(F.min(place).alias("first"), F.count("*").alias("n"), F.first("fact").alias("fact")),
+        "line-kinds",
+    )
+    free_shuffles(spark)
+    with staged_for_now(spark):
+        members = stage(line_members(docs, distinct, settings), "line-members", outlive=True)
+    free_shuffles(spark)
 
     def verify(pairs: DataFrame) -> DataFrame:
         nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
@@ -279,14 +303,7 @@ def repeated_lines(docs: DataFrame, settings: Settings = Settings()) -> DataFram
     rooted = distinct.select("node", "first", "n").join(labels, "node", "left")
     rooted = rooted.select("node", "first", "n", F.coalesce("root", "node").alias("root"))
     firsts = rooted.groupBy("root").agg(F.min("first").alias("kept"), F.sum("n").alias("lines")).filter("lines > 1")
-    repeated = stage(rooted.join(firsts, "root").select("node", "root", "kept"), "line-groups")
-    here = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "doc", "line")
-    return (
-        found.select("doc_id", "doc", "line", "node")
-        .join(repeated, "node")
-        .filter(~here.eqNullSafe(F.col("kept")))
-        .select("doc_id", "doc", "line", "node", "root")
-    )
+    return rooted.join(firsts, "root").select("node", "root", "kept")
 
 
 def removals(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:

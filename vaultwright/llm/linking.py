@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vaultwright.llm.common import stage
+from vaultwright.llm.common import free_shuffles, stage
 
 Plausible = Callable[[Column, Column], Column]
 Alike = Callable[[tuple, tuple], float]
@@ -86,9 +86,12 @@ def across(rows: DataFrame, tested: DataFrame, facts: DataFrame | None, plausibl
     """The untested pairs of nodes that share a key but not a class, and are plausible by the nodes' facts."""
     if facts is not None:
         rows = rows.join(facts, "node")
-    one = rows.select("key", F.col("node").alias("a"), F.col("root").alias("root_a"), *_facts(rows, "a"))
-    two = rows.select(F.col("key").alias("_key"), F.col("node").alias("b"), F.col("root").alias("root_b"), *_facts(rows, "b"))
-    meet = (F.col("key") == F.col("_key")) & (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b"))
+    # Both sides are made alike, so that one exchange serves them.
+    one, two = (
+        rows.select(F.col("key").alias(f"key_{n}"), F.col("node").alias(n), F.col("root").alias(f"root_{n}"), *_facts(rows, n))
+        for n in "ab"
+    )
+    meet = (F.col("key_a") == F.col("key_b")) & (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b"))
     if facts is not None:
         meet = meet & plausible(F.col("fact_a"), F.col("fact_b"))
     return one.join(two, meet).select("a", "b").distinct().join(tested, ["a", "b"], "left_anti")
@@ -234,10 +237,14 @@ def classes(
     as ``verify`` does; without it large keys join their pairs as small ones do.  ``facts`` (node, fact) and
     ``plausible``, a condition on the facts of two nodes, leave out pairs before they are verified.
     """
+    spark = members.sparkSession
     tested = stage(star_pairs(members, seeds), "pairs")
+    free_shuffles(spark)
     links = stage(verify(_only_plausible(tested, facts, plausible)).select("a", "b"), "verified")
+    free_shuffles(spark)
     labels = components(links)
     rows = open_members(members, labels)
+    free_shuffles(spark)
     small = rows if elements is None else rows.filter(F.col("n") <= SMALL_KEY)
     rest = across(small, tested, facts, plausible)
     if elements is not None:
@@ -246,6 +253,7 @@ def classes(
             sets = stage(elements(large.select("node").distinct()), "elements")
             rest = rest.union(across_blocks(large, sets, alike, threshold)).distinct()
     rest = stage(rest, "pairs")
+    free_shuffles(spark)
     if not rest.isEmpty():
         more = stage(verify(rest).select("a", "b"), "verified")
         if not more.isEmpty():
