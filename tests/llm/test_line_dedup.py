@@ -2,8 +2,10 @@
 
 import itertools
 import random
+import tracemalloc
 from pathlib import Path
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -183,3 +185,21 @@ def test_pairs_across_classes_use_one_exchange(spark):
         assert "ReusedExchange" in pairs._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_lines_are_hashed_in_parts():
+    settings = d.Settings()
+    rng = np.random.default_rng(5)
+    lines = [" ".join(f"w{n}" for n in rng.integers(0, 9999, 40)) for _ in range(20_000)]
+    parts = list(d._parts(lines))
+    assert [x for part in parts for x in part] == lines and len(parts) > 4
+    assert list(d._parts([])) == [[]]
+    d.minimizers(lines[:10], settings.similarity)
+    tracemalloc.start()
+    found = [d.minimizers(part, settings.similarity) for part in parts]
+    facts = [d.word_bits(part) for part in parts]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 80e6
+    assert np.concatenate([k for _, k in found]).tolist() == d.minimizers(lines, settings.similarity)[1].tolist()
+    assert (np.concatenate(facts) == d.word_bits(lines)).all()

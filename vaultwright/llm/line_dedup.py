@@ -41,6 +41,7 @@ from vaultwright.llm.linking import classes
 BROADCAST_KEYS = 500_000  # of 24 bytes
 LONGEST = 256  # words of a line, beyond which the length of shared runs no longer matters
 BITS = 256  # of a line's bitmap of words
+PART = 1 << 19  # characters of lines that are hashed at a time
 # Bytes of UTF-8: everything in ASCII but letters, digits and the line feed becomes a space.
 _PLAIN = bytes(b if b >= 128 or b == 10 or chr(b).isalnum() else 32 for b in range(256))
 
@@ -91,6 +92,18 @@ def _words(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return words, np.repeat(np.arange(len(lines)), np.diff(first)), first
 
 
+def _parts(lines: list[str]) -> Iterator[list[str]]:
+    """The lines in parts of about ``PART`` characters; arrays of hashes are many times larger than their text."""
+    start = size = 0
+    for i, line in enumerate(lines):
+        size += len(line)
+        if size >= PART:
+            yield lines[start : i + 1]
+            start, size = i + 1, 0
+    if start < len(lines) or not lines:
+        yield lines[start:]
+
+
 def word_bits(lines: list[str]) -> np.ndarray:
     """Per line the number of its words and a bitmap of them, as longs."""
     words, line, first = _words(lines)
@@ -176,7 +189,7 @@ def lines(docs: DataFrame, settings: Settings) -> DataFrame:
                 owner = pa.array(np.repeat(np.arange(start, stop), [len(f) for f in found]))
                 flat = [line for f in found for line in f]
                 clean = [c for _, c in flat]
-                facts = word_bits(clean)
+                facts = np.concatenate([word_bits(part) for part in _parts(clean)])
                 places = np.arange(0, facts.size + 1, facts.shape[1], dtype=np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -202,11 +215,12 @@ def line_keys(docs: DataFrame, settings: Settings) -> DataFrame:
             texts = batch.column("text").to_pylist()
             for start, stop in _pieces(texts):
                 clean = list({c for t in texts[start:stop] for _, c in _split(t, settings.least_words)})
-                offsets, keys = minimizers(clean, settings.similarity)
-                refs = np.frombuffer(b"".join(_digest(c)[:8] for c in clean), ">i8").astype(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(refs, np.diff(offsets))), pa.array(keys)], names=["ref", "key"]
-                )
+                for part in _parts(clean):
+                    offsets, keys = minimizers(part, settings.similarity)
+                    refs = np.frombuffer(b"".join(_digest(c)[:8] for c in part), ">i8").astype(np.int64)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.repeat(refs, np.diff(offsets))), pa.array(keys)], names=["ref", "key"]
+                    )
 
     return rows.mapInArrow(cut, "ref long, key long")
 
