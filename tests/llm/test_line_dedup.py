@@ -203,3 +203,97 @@ def test_lines_are_hashed_in_parts():
     assert peak < 80e6
     assert np.concatenate([k for _, k in found]).tolist() == d.minimizers(lines, settings.similarity)[1].tolist()
     assert (np.concatenate(facts) == d.word_bits(lines)).all()
+
+
+def alike(n, words, changes):
+    """Lines around one passage: some within the threshold, some only nearly."""
+    passage = d.normalise(" ".join(prose(77, words).split()))
+    return [replaced(passage, changes + k % 3, k) + " " + " ".join(f"own{k % 9}" for _ in range(k % 4)) for k in range(n)]
+
+
+def test_large_keys_meet_in_blocks(documents, monkeypatch):
+    monkeypatch.setattr(linking, "SMALL_KEY", 8)
+    monkeypatch.setattr(linking, "BLOCK", 16)
+    seen, across = [], linking.across
+
+    def watched(rows, *rest):
+        seen.append(rows.agg(F.max("n")).first()[0])
+        return across(rows, *rest)
+
+    monkeypatch.setattr(linking, "across", watched)
+    rows = [(k, line) for k, line in enumerate(alike(90, 40, 3) + alike(20, 9, 1))]
+    gone = brute(rows, d.Settings())
+    found = {(r["doc_id"], r["n_removed"]) for r in d.report(documents(rows)).collect()}
+    assert found == {(k, int(any(k == i for i, _, _ in gone))) for k, _ in rows} and 10 < len(gone) < 109
+    assert seen and max(n or 0 for n in seen) <= 8
+
+
+def test_close_lines_finds_what_links_classes():
+    lines = [line.split() for line in alike(60, 30, 2)]
+    codes = [np.frombuffer(d._codes(" ".join(line)).encode("utf-16-le"), np.uint16) for line in lines]
+    near = {(i, j) for i, j in itertools.combinations(range(60), 2) if distance(lines[i], lines[j]) <= d.allowed_edits(max(len(lines[i]), len(lines[j])), 0.85)}
+    pairs = list(itertools.combinations(range(60), 2))
+    assert d._distances([codes[i] for i, _ in pairs], [codes[j] for _, j in pairs]).tolist() == [distance(lines[i], lines[j]) for i, j in pairs]
+    packed, roots = [(c.tobytes(), b"") for c in codes], np.arange(60)
+    found = set(d.close_lines(0.85)(packed, packed, (roots, roots), True))
+
+    def parts(links):
+        root = list(range(60))
+        for i, j in links:
+            root = [root[i] if r == root[j] else r for r in root]
+        return {frozenset(k for k in range(60) if root[k] == r) for r in root}
+
+    assert found <= near and parts(found) == parts(near) and len(found) < len(near)
+
+
+def test_lines_of_one_node_get_another_salt(documents, monkeypatch):
+    digests, rows = d._digests, corpus()[:20]
+    expected = collected(d.report(documents(rows)))
+
+    def clashing(lines, salt):
+        out = digests(lines, salt).copy()
+        if salt == 0:
+            out[:, 0] %= 3
+        return out
+
+    monkeypatch.setattr(d, "_digests", clashing)
+    assert collected(d.report(documents(rows))) == expected and any(n for _, _, n, _ in expected)
+
+
+def test_briefs_rule_out_only_what_bitmaps_do(spark):
+    lines = alike(40, 40, 2) + [d.normalise(" ".join(prose(i, 20 + i).split())) for i in range(20)]
+    rows = spark.createDataFrame([(k, f) for k, f in enumerate(d.word_bits(lines).tolist())], "k int, fact array<long>")
+    one, two = (rows.select(F.col("k").alias(n), F.col("fact").alias(f"fact_{n}")) for n in "ab")
+    pairs = one.join(two, F.col("a") < F.col("b")).withColumn("likely", d.likely(0.85)(d.brief(F.col("fact_a")), d.brief(F.col("fact_b"))))
+    likely = {(r["a"], r["b"]): r["likely"] for r in pairs.collect()}
+    words = [line.split() for line in lines]
+    close = [(i, j) for i, j in likely if distance(words[i], words[j]) <= d.allowed_edits(max(len(words[i]), len(words[j])), 0.85)]
+    assert close and all(likely[p] for p in close) and not all(likely.values())
+
+
+def test_keys_of_the_same_lines_count_once(documents):
+    docs = documents([(i, line) for i, line in enumerate(alike(30, 40, 0))])
+    distinct = d.line_kinds(d.lines(docs, d.Settings()))
+    members = [tuple(r) for r in d.line_members(docs, distinct, d.Settings()).select("key", "node").collect()]
+    of = {}
+    for key, node in members:
+        of.setdefault(key, set()).add(node)
+    assert len(members) == len(set(members)) and len({frozenset(s) for s in of.values()}) == len(of)
+    keys = {}
+    for key, node in {tuple(r) for r in d.line_keys(docs, d.Settings()).select("key", "node").collect()}:
+        keys.setdefault(key, set()).add(node)
+    assert {frozenset(s) for s in of.values()} == {frozenset(s) for s in keys.values() if len(s) > 1}
+
+
+@pytest.mark.parametrize("packed", [False, True])
+def test_texts_of_many_lines_are_not_shuffled(documents, monkeypatch, packed):
+    docs = documents(corpus())
+    distinct = d.line_kinds(d.lines(docs, d.Settings())).select("node", "first.doc_id", "first.doc")
+    wanted = distinct.filter("node % 3 = 0")
+    few = collected(d.line_texts(docs, wanted, d.Settings(), packed=packed))
+    monkeypatch.setattr(d, "BROADCAST_KEYS", 0)
+    many = d.line_texts(docs, wanted, d.Settings(), packed=packed)
+    assert collected(many) == few and 0 < len(few) < distinct.count()
+    plan = many._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    at = next(i for i, line in enumerate(plan) if "MapInArrow" in line)
+    assert not any("Join" in line for line in plan[at : at + 4])

@@ -25,9 +25,10 @@ from __future__ import annotations
 
 import hashlib
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import lru_cache, reduce
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -36,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vaultwright.llm.common import free_shuffles, hash_words, mix, stage, staged_for_now, word_spans
-from vaultwright.llm.linking import classes
+from vaultwright.llm.linking import Close, Packed, classes
 
 BROADCAST_KEYS = 500_000  # of 24 bytes
 LONGEST = 256  # words of a line, beyond which the length of shared runs no longer matters
@@ -157,8 +158,11 @@ def _codes(clean: str) -> str:
     return "".join(chr(0x4E00 + zlib.crc32(w.encode("utf-8", "replace")) % 20_000) for w in clean.split(" "))
 
 
-def _digest(text: str) -> bytes:
-    return hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=16).digest()
+def _digests(lines: list[str], salt: int) -> np.ndarray:
+    """Two longs per line: its node, and what tells apart lines of one node."""
+    salted = salt.to_bytes(16, "big")
+    whole = b"".join(hashlib.blake2b(c.encode("utf-8", "replace"), digest_size=16, salt=salted).digest() for c in lines)
+    return np.frombuffer(whole, ">i8").astype(np.int64).reshape(len(lines), 2)
 
 
 def _text_key():
@@ -177,8 +181,11 @@ def _pieces(texts: list[str | None]) -> Iterator[tuple[int, int]]:
         start = stop
 
 
-def lines(docs: DataFrame, settings: Settings) -> DataFrame:
-    """One row per distinct text of a doc_id and line that takes part: doc_id, doc, line, node, fact."""
+def lines(docs: DataFrame, settings: Settings, salt: int = 0) -> DataFrame:
+    """One row per distinct text of a doc_id and line that takes part: doc_id, doc, line, node, other, fact.
+
+    Lines are equal if both node and other are; see ``line_kinds``.
+    """
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), _text_key().alias("doc"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,23 +198,25 @@ def lines(docs: DataFrame, settings: Settings) -> DataFrame:
                 clean = [c for _, c in flat]
                 facts = np.concatenate([word_bits(part) for part in _parts(clean)])
                 places = np.arange(0, facts.size + 1, facts.shape[1], dtype=np.int32)
+                digests = _digests(clean, salt)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").take(owner),
                         batch.column("doc").take(owner),
                         pa.array([n for n, _ in flat], pa.int32()),
-                        pa.array([_digest(c) for c in clean], pa.binary()),
+                        pa.array(digests[:, 0].copy()),
+                        pa.array(digests[:, 1].copy()),
                         pa.ListArray.from_arrays(pa.array(places), pa.array(facts.ravel())),
                     ],
-                    names=["doc_id", "doc", "line", "node", "fact"],
+                    names=["doc_id", "doc", "line", "node", "other", "fact"],
                 )
 
     kind = dict(docs.dtypes)["doc_id"]
-    return rows.mapInArrow(cut, f"doc_id {kind}, doc binary, line int, node binary, fact array<long>")
+    return rows.mapInArrow(cut, f"doc_id {kind}, doc binary, line int, node long, other long, fact array<long>")
 
 
-def line_keys(docs: DataFrame, settings: Settings) -> DataFrame:
-    """(ref, key): the keys of lines; ref is the first eight bytes of the line's node."""
+def line_keys(docs: DataFrame, settings: Settings, salt: int = 0) -> DataFrame:
+    """(node, key): the keys of lines."""
     rows = docs.select(F.col("text").cast("string").alias("text"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,33 +226,39 @@ def line_keys(docs: DataFrame, settings: Settings) -> DataFrame:
                 clean = list({c for t in texts[start:stop] for _, c in _split(t, settings.least_words)})
                 for part in _parts(clean):
                     offsets, keys = minimizers(part, settings.similarity)
-                    refs = np.frombuffer(b"".join(_digest(c)[:8] for c in part), ">i8").astype(np.int64)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.repeat(refs, np.diff(offsets))), pa.array(keys)], names=["ref", "key"]
-                    )
+                    owner = np.repeat(np.arange(len(part)), np.diff(offsets))
+                    order = np.lexsort((keys, owner))
+                    owner, keys = owner[order], keys[order]
+                    once = np.append(True, (np.diff(owner) != 0) | (np.diff(keys) != 0))[: len(keys)]
+                    nodes = _digests(part, salt)[:, 0][owner[once]]
+                    yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(keys[once])], names=["node", "key"])
+
+    return rows.mapInArrow(cut, "node long, key long")
 
-    return rows.mapInArrow(cut, "ref long, key long")
 
+def line_texts(docs: DataFrame, wanted: DataFrame, settings: Settings, salt: int = 0, packed: bool = False) -> DataFrame:
+    """(node, codes) of the lines at the wanted places (node, doc_id, doc); ``packed``: codes as bytes, two each.
 
-def line_texts(docs: DataFrame, wanted: DataFrame, settings: Settings) -> DataFrame:
-    """(node, codes) of the lines at the wanted places (node, doc_id, doc)."""
-    places = wanted.select("doc").distinct()
+    The places only spare the texts without a wanted line; where they are many, all texts are cut rather than shuffled.
+    """
     few = wanted.count() <= BROADCAST_KEYS
     hint = F.broadcast if few else (lambda df: df)
     rows = docs.select(F.col("text").cast("string").alias("text"), _text_key().alias("doc"))
-    rows = rows.join(hint(places), "doc", "left_semi").select("text")
+    if few:
+        rows = rows.join(hint(wanted.select("doc").distinct()), "doc", "left_semi")
+    rows = rows.select("text")
+    kind = pa.binary() if packed else pa.string()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for text in batch.column("text").to_pylist():
                 clean = list({c for _, c in _split(text, settings.least_words)})
+                codes = [_codes(c).encode("utf-16-le") if packed else _codes(c) for c in clean]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([_digest(c) for c in clean], pa.binary())]
-                    + [pa.array([_codes(c) for c in clean], pa.string())],
-                    names=["node", "codes"],
+                    [pa.array(_digests(clean, salt)[:, 0].copy()), pa.array(codes, kind)], names=["node", "codes"]
                 )
 
-    found = rows.mapInArrow(cut, "node binary, codes string")
+    found = rows.mapInArrow(cut, f"node long, codes {'binary' if packed else 'string'}")
     return found.join(hint(wanted.select("node").distinct()), "node", "left_semi").dropDuplicates(["node"])
 
 
@@ -259,12 +274,105 @@ def similar(threshold: float):
     )
 
 
+def _distances(first: list[np.ndarray], second: list[np.ndarray]) -> np.ndarray:
+    """Edit distances of pairs of sequences of codes, all at once."""
+    n, m = (np.array([len(x) for x in side]) for side in (first, second))
+    a, b = (np.full((len(side), max(size.max(), 1)), fill, np.int32) for side, size, fill in ((first, n, -1), (second, m, -2)))
+    for table, side in ((a, first), (b, second)):
+        for i, x in enumerate(side):
+            table[i, : len(x)] = x
+    steps = np.arange(b.shape[1] + 1, dtype=np.int32)
+    row = np.tile(steps, (len(a), 1))
+    out = m.copy()
+    for i in range(1, a.shape[1] + 1):
+        best = np.minimum(row[:, :-1] + (b != a[:, i - 1 : i]), row[:, 1:] + 1)
+        row = np.concatenate([np.full((len(a), 1), i, np.int32), best], axis=1)
+        row = np.minimum.accumulate(row - steps, axis=1) + steps
+        ends = np.flatnonzero(n == i)
+        out[ends] = row[ends, m[ends]]
+    return out
+
+
+def _numbered(codes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The sequence of each code, and the code with how often it stood in the sequence before."""
+    owner = np.repeat(np.arange(len(codes)), [len(c) for c in codes])
+    word = np.concatenate(codes).astype(np.int64)
+    order = np.lexsort((word, owner))
+    owner, word = owner[order], word[order]
+    at = np.arange(len(word))
+    fresh = np.append(True, (np.diff(owner) != 0) | (np.diff(word) != 0))[: len(word)]
+    return owner, word << 32 | at - np.maximum.accumulate(np.where(fresh, at, 0))
+
+
+def _common(first: list[np.ndarray], second: list[np.ndarray]) -> np.ndarray:
+    """The number of common words, repeated ones as often as both have them, for every two sequences."""
+    (of_a, a), (of_b, b) = _numbered(first), _numbered(second)
+    kinds = np.intersect1d(a, b)
+    out = np.zeros((len(first), len(second)), np.float32)
+    for start in range(0, len(kinds), 4096):
+        some = kinds[start : start + 4096]
+        tables = []
+        for of, words, n in ((of_a, a, len(first)), (of_b, b, len(second))):
+            at = np.minimum(np.searchsorted(some, words), len(some) - 1)
+            here = some[at] == words
+            table = np.zeros((n, len(some)), np.float32)
+            table[of[here], at[here]] = 1
+            tables.append(table)
+        out += tables[0] @ tables[1].T
+    return out
+
+
+def close_lines(similarity: float) -> Close:
+    """Pairs of lines within the threshold that link classes; elements are the 16-bit codes of their words.
+
+    k edits leave all but k words of the longer line in common.  A pair whose classes are already linked by pairs
+    before it is left out.
+    """
+
+    def close(first: list[Packed], second: list[Packed], roots: tuple[np.ndarray, np.ndarray], same: bool) -> Iterator[tuple[int, int]]:
+        one, two = ([np.frombuffer(codes, np.uint16) for codes, _ in side] for side in (first, second))
+        n_a, n_b = (np.array([len(x) for x in side]) for side in (one, two))
+        longer = np.maximum(n_a[:, None], n_b[None, :])
+        allowed = np.floor(longer * (1 - similarity) + 1e-9).astype(np.int64)
+        may_be = (np.abs(n_a[:, None] - n_b[None, :]) <= allowed) & (roots[0][:, None] != roots[1][None, :])
+        if may_be.any():
+            may_be &= longer - _common(one, two) <= allowed
+        pairs = np.argwhere(np.triu(may_be) if same else may_be)
+        pairs = pairs[np.argsort(longer[pairs[:, 0], pairs[:, 1]], kind="stable")]  # alike lengths are compared together
+        linked: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while x in linked:
+                x = linked[x]
+            return x
+
+        step = 64
+        for start in range(0, len(pairs), step):
+            left = [(i, j) for i, j in pairs[start : start + step].tolist() if root(roots[0][i]) != root(roots[1][j])]
+            if not left:
+                continue
+            found = _distances([one[i] for i, _ in left], [two[j] for _, j in left])
+            for (i, j), distance in zip(left, found.tolist()):
+                x, y = root(roots[0][i]), root(roots[1][j])
+                if distance <= allowed[i, j] and x != y:
+                    linked[x] = y
+                    yield i, j
+
+    return close
+
+
 def repeated_lines(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Lines that are not the first of their group: doc_id, doc (digest of the text), line, node, root."""
-    found = stage(lines(docs, settings), "lines")
-    with staged_for_now(docs.sparkSession):
-        repeated = stage(line_groups(docs, found, settings), "line-groups", outlive=True)
-    free_shuffles(docs.sparkSession)
+    spark = docs.sparkSession
+    for salt in count():
+        with staged_for_now(spark):
+            found = stage(lines(docs, settings, salt), "lines", outlive=True)
+            distinct = stage(line_kinds(found), "line-kinds")
+            free_shuffles(spark)
+            if distinct.filter("several").isEmpty():
+                repeated = stage(line_groups(docs, distinct, settings, salt), "line-groups", outlive=True)
+                break
+    free_shuffles(spark)
     here = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "doc", "line")
     return (
         found.select("doc_id", "doc", "line", "node")
@@ -274,36 +382,77 @@ def repeated_lines(docs: DataFrame, settings: Settings = Settings()) -> DataFram
     )
 
 
-def line_members(docs: DataFrame, distinct: DataFrame, settings: Settings) -> DataFrame:
-    """(node, key): the keys of lines that some other line has as well."""
+def line_kinds(found: DataFrame) -> DataFrame:
+    """Per node its first place, number of lines and fact; ``several``: different lines have it, so another salt is due.
+
+    A node has 64 bits: over 150 million different lines one salt in 1,600 is refused.
+    """
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "doc", "line")
+    return found.groupBy("node").agg(
+        F.min(place).alias("first"),
+        F.count("*").alias("n"),
+        F.first("fact").alias("fact"),
+        (F.min("other") != F.max("other")).alias("several"),
+    )
+
+
+def brief(fact: Column) -> Column:
+    """A line's words (up to 65,535) and its bitmap folded to 48 bits, in one long.
+
+    Folding by exclusive or, bits that differ are never more than those of the bitmaps.
+    """
+    bits = reduce(lambda x, y: x.bitwiseXOR(y), [fact[k] for k in range(1, 1 + BITS // 64)])
+    low = F.lit((1 << 48) - 1)
+    folded = bits.bitwiseAND(low).bitwiseXOR(F.shiftrightunsigned(bits, 48))
+    return F.shiftleft(F.least(fact[0], F.lit(65_535)), 48).bitwiseOR(folded)
+
+
+def likely(similarity: float) -> Callable[[Column, Column], Column]:
+    """Lines whose briefs don't rule out that they are within the threshold."""
+
+    def condition(a: Column, b: Column) -> Column:
+        n_a, n_b = F.shiftrightunsigned(a, 48), F.shiftrightunsigned(b, 48)
+        most = F.greatest(n_a, n_b)
+        allowed = F.floor(most * F.lit(1 - similarity) + F.lit(1e-9))
+        differing = F.bit_count(a.bitwiseXOR(b).bitwiseAND(F.lit((1 << 48) - 1)))
+        return (most == F.lit(65_535)) | ((F.abs(n_a - n_b) <= allowed) & (differing <= 2 * allowed))
+
+    return condition
+
+
+def line_members(docs: DataFrame, distinct: DataFrame, settings: Settings, salt: int = 0) -> DataFrame:
+    """(node, key, brief): the keys of lines that some other line has as well, one of those that have the same lines."""
     # Most keys are in one line only; the others are kept, with one exchange for both sides.
-    keyed = line_keys(docs, settings).repartition("key")
-    shared = keyed.groupBy("key").agg(F.min("ref").alias("lo"), F.max("ref").alias("hi")).filter("lo <> hi").select("key")
-    kept = stage(keyed.join(shared, "key").select("ref", "key").distinct(), "line-keys")
+    keyed = line_keys(docs, settings, salt).repartition("key")
+    shared = keyed.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi").select("key")
+    kept = stage(keyed.join(shared.hint("shuffle_hash"), "key").select("node", "key").distinct(), "line-keys")
+    free_shuffles(docs.sparkSession)
+    # 128 bits tell sets of nodes apart.
+    sets = kept.groupBy("key").agg(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("one"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("two")
+    )
+    keys = stage(sets.groupBy("n", "one", "two").agg(F.min("key").alias("key")).select("key"), "line-sets")
     free_shuffles(docs.sparkSession)
-    ref = F.conv(F.hex(F.substring("node", 1, 8)), 16, -10).cast("long")
-    return kept.join(distinct.select(ref.alias("ref"), "node"), "ref").select("node", "key")
+    of = distinct.select("node", brief(F.col("fact")).alias("brief"))
+    return kept.join(keys, "key").join(of, "node").select("node", "key", "brief")
 
 
-def line_groups(docs: DataFrame, found: DataFrame, settings: Settings) -> DataFrame:
+def line_groups(docs: DataFrame, distinct: DataFrame, settings: Settings, salt: int = 0) -> DataFrame:
     """(node, root, kept) of the lines in groups of two or more; kept is the place of the first."""
     spark = docs.sparkSession
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "doc", "line")
-    distinct = stage(
-        found.groupBy("node").agg(F.min(place).alias("first"), F.count("*").alias("n"), F.first("fact").alias("fact")),
-        "line-kinds",
-    )
-    free_shuffles(spark)
     with staged_for_now(spark):
-        members = stage(line_members(docs, distinct, settings), "line-members", outlive=True)
+        members = stage(line_members(docs, distinct, settings, salt), "line-members", outlive=True)
     free_shuffles(spark)
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    def texts_of(nodes: DataFrame, packed: bool = False) -> DataFrame:
         wanted = stage(
             distinct.select("node", "first.doc_id", "first.doc").join(nodes, "node", "left_semi"), "line-places"
         )
-        texts = stage(line_texts(docs, wanted, settings), "line-texts")
+        return line_texts(docs, wanted, settings, salt, packed)
+
+    def verify(pairs: DataFrame) -> DataFrame:
+        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        texts = stage(texts_of(nodes), "line-texts")
         of = lambda n: texts.select(F.col("node").alias(n), F.col("codes").alias(f"c{n}"))
         return similar(settings.similarity)(pairs.join(of("a"), "a").join(of("b"), "b"))
 
@@ -312,8 +461,20 @@ def line_groups(docs: DataFrame, found: DataFrame, settings: Settings) -> DataFr
         differing = sum((F.bit_count(a[k].bitwiseXOR(b[k])) for k in range(1, 1 + BITS // 64)), F.lit(0))
         return (F.abs(a[0] - b[0]) <= allowed) & (differing <= 2 * allowed)
 
+    def elements(nodes: DataFrame) -> DataFrame:
+        return texts_of(nodes, packed=True).select("node", F.col("codes").alias("elements"), F.lit(b"").alias("weights"))
+
     facts = distinct.select("node", "fact")
-    labels, _ = classes(members, verify, settings.seeds, facts=facts, plausible=plausible)
+    labels, _ = classes(
+        members,
+        verify,
+        settings.seeds,
+        elements,
+        facts=facts,
+        plausible=plausible,
+        likely=likely(settings.similarity),
+        close=close_lines(settings.similarity),
+    )
     rooted = distinct.select("node", "first", "n").join(labels, "node", "left")
     rooted = rooted.select("node", "first", "n", F.coalesce("root", "node").alias("root"))
     firsts = rooted.groupBy("root").agg(F.min("first").alias("kept"), F.sum("n").alias("lines")).filter("lines > 1")

@@ -21,6 +21,9 @@ from vaultwright.llm.common import free_shuffles, stage
 
 Plausible = Callable[[Column, Column], Column]
 Alike = Callable[[tuple, tuple], float]
+Packed = tuple[bytes, bytes]
+# Pairs of packed sets that link classes: of two blocks, the classes of their sets, and whether they are the same block.
+Close = Callable[[list[Packed], list[Packed], tuple[np.ndarray, np.ndarray], bool], Iterator[tuple[int, int]]]
 
 MAX_ROUNDS = 200
 SMALL_KEY = 32
@@ -67,7 +70,23 @@ def star_pairs(members: DataFrame, seeds: int) -> DataFrame:
         .filter("n > 1")
         .select("key", F.col("first.node").alias("chosen"))
     )
-    pairs = members.join(chosen, "key").filter("node <> chosen")
+    return _distinct_pairs(members.join(chosen, "key"))
+
+
+def likely_pairs(members: DataFrame, seeds: int, likely: Plausible) -> DataFrame:
+    """Those of ``star_pairs`` that are ``likely`` by the column brief of members, a long as their node is."""
+    order = F.xxhash64("node", F.pmod("key", F.lit(seeds)))
+    chosen = (
+        members.groupBy("key")
+        .agg(F.count("*").alias("n"), F.min_by("node", order).alias("chosen"), F.min_by("brief", order).alias("chosen_brief"))
+        .filter("n > 1")
+        .drop("n")
+    )
+    return _distinct_pairs(members.join(chosen.hint("shuffle_hash"), "key").filter(likely(F.col("brief"), F.col("chosen_brief"))))
+
+
+def _distinct_pairs(rows: DataFrame) -> DataFrame:
+    pairs = rows.filter("node <> chosen")
     return pairs.select(F.least("node", "chosen").alias("a"), F.greatest("node", "chosen").alias("b")).distinct()
 
 
@@ -168,7 +187,7 @@ def _close(
 
 
 def packed(hashes: np.ndarray, weights: np.ndarray) -> tuple[bytes, bytes]:
-    """The elements and weights of a node for ``across_blocks``."""
+    """The elements and weights of a node for ``close_sets``: those with weights above 1 first, and these weights."""
     heavy = weights > 1
     return np.append(hashes[heavy], hashes[~heavy]).tobytes(), weights[heavy].astype(np.float32).tobytes()
 
@@ -179,11 +198,20 @@ def _unpacked(elements: bytes, weights: bytes) -> Weighted:
     return hashes[order], np.append(heavy, np.ones(len(hashes) - len(heavy), np.float32))[order].astype(float)
 
 
-def across_blocks(rows: DataFrame, sets: DataFrame, alike: Alike, threshold: float) -> DataFrame:
-    """Pairs (a, b) that link classes within large keys: those that ``alike`` would find in a small one.
+def close_sets(alike: Alike, threshold: float) -> Close:
+    """Pairs that ``alike`` finds similar by ``threshold``, of sets that are ``packed``."""
+
+    def close(first: list[Packed], second: list[Packed], roots: tuple[np.ndarray, np.ndarray], same: bool) -> Iterator[tuple[int, int]]:
+        one, two = ([_unpacked(*row) for row in side] for side in (first, second))
+        return _close(one, two, roots, alike, threshold, same)
+
+    return close
 
-    ``sets`` has (node, elements, weights): the distinct elements of each node as 64-bit numbers in bytes,
-    those with weights above 1 first, and these weights as 32-bit floats in bytes.
+
+def across_blocks(rows: DataFrame, sets: DataFrame, close: Close) -> DataFrame:
+    """Pairs (a, b) that link classes within large keys: those that ``close`` finds.
+
+    ``sets`` has (node, elements, weights), both in bytes: see ``packed`` for those of ``close_sets``.
     Each block of a key meets every other one, and itself, in one place.
     """
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
@@ -202,11 +230,9 @@ def across_blocks(rows: DataFrame, sets: DataFrame, alike: Alike, threshold: flo
     def compare(group: pa.Table) -> pa.Table:
         nodes, block = group.column("node").to_pylist(), group.column("block").to_numpy()
         roots = np.unique(np.array(group.column("root").to_pylist(), dtype=object), return_inverse=True)[1]
-        sets_ = [_unpacked(*row) for row in zip(group.column("elements").to_pylist(), group.column("weights").to_pylist())]
+        sets_ = list(zip(group.column("elements").to_pylist(), group.column("weights").to_pylist()))
         low, high = np.flatnonzero(block == block.min()), np.flatnonzero(block == block.max())
-        found = _close(
-            [sets_[k] for k in low], [sets_[k] for k in high], (roots[low], roots[high]), alike, threshold, block.min() == block.max()
-        )
+        found = close([sets_[k] for k in low], [sets_[k] for k in high], (roots[low], roots[high]), block.min() == block.max())
         pairs = [(nodes[low[i]], nodes[high[j]]) for i, j in found]
         pairs = [(min(p), max(p)) for p in pairs]
         types = group.schema.field("node").type
@@ -229,16 +255,21 @@ def classes(
     threshold: float = 1.0,
     facts: DataFrame | None = None,
     plausible: Plausible | None = None,
+    likely: Plausible | None = None,
+    close: Close | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(node, root) of all linked nodes, and the verified links (a, b) that were needed to find them.
 
     ``verify`` takes pairs (a, b) and returns those that are similar enough.  ``elements`` gives the
-    sets of nodes for ``across_blocks``, which looks for pairs that ``alike`` finds similar by ``threshold``,
-    as ``verify`` does; without it large keys join their pairs as small ones do.  ``facts`` (node, fact) and
-    ``plausible``, a condition on the facts of two nodes, leave out pairs before they are verified.
+    sets of nodes for ``across_blocks``, which looks for pairs that ``close`` finds, or that ``alike`` finds similar by
+    ``threshold``, as ``verify`` does; without it large keys join their pairs as small ones do.  ``facts`` (node, fact) and
+    ``plausible``, a condition on the facts of two nodes, leave out pairs before they are verified, and ``likely``, one
+    on the members' column brief, before they are made distinct.
     """
+    if elements is not None and close is None:
+        close = close_sets(alike, threshold)
     spark = members.sparkSession
-    tested = stage(star_pairs(members, seeds), "pairs")
+    tested = stage(star_pairs(members, seeds) if likely is None else likely_pairs(members, seeds, likely), "pairs")
     free_shuffles(spark)
     links = stage(verify(_only_plausible(tested, facts, plausible)).select("a", "b"), "verified")
     free_shuffles(spark)
@@ -251,7 +282,8 @@ def classes(
         large = stage(rows.filter(F.col("n") > SMALL_KEY), "large-keys")
         if not large.isEmpty():
             sets = stage(elements(large.select("node").distinct()), "elements")
-            rest = rest.union(across_blocks(large, sets, alike, threshold)).distinct()
+            free_shuffles(spark)
+            rest = rest.union(across_blocks(large, sets, close)).distinct()
     rest = stage(rest, "pairs")
     free_shuffles(spark)
     if not rest.isEmpty():
