@@ -213,7 +213,7 @@ def alike(n, words, changes):
 
 def test_large_keys_meet_in_blocks(documents, monkeypatch):
     monkeypatch.setattr(linking, "SMALL_KEY", 8)
-    monkeypatch.setattr(linking, "BLOCK", 16)
+    monkeypatch.setattr(d, "LINES", 16)
     seen, across = [], linking.across
 
     def watched(rows, *rest):

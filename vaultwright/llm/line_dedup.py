@@ -42,6 +42,7 @@ from vaultwright.llm.linking import Close, Packed, classes
 BROADCAST_KEYS = 500_000  # of 24 bytes
 LONGEST = 256  # words of a line, beyond which the length of shared runs no longer matters
 BITS = 256  # of a line's bitmap of words
+LINES = 1024  # of a block in which lines of a large key are compared; each block is sent to every other one
 PART = 1 << 19  # characters of lines that are hashed at a time
 # Bytes of UTF-8: everything in ASCII but letters, digits and the line feed becomes a space.
 _PLAIN = bytes(b if b >= 128 or b == 10 or chr(b).isalnum() else 32 for b in range(256))
@@ -474,6 +475,7 @@ def line_groups(docs: DataFrame, distinct: DataFrame, settings: Settings, salt:
         plausible=plausible,
         likely=likely(settings.similarity),
         close=close_lines(settings.similarity),
+        block=LINES,
     )
     rooted = distinct.select("node", "first", "n").join(labels, "node", "left")
     rooted = rooted.select("node", "first", "n", F.coalesce("root", "node").alias("root"))

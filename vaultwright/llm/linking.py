@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vaultwright.llm.common import free_shuffles, stage
+from vaultwright.llm.common import free_shuffles, stage, staged_for_now
 
 Plausible = Callable[[Column, Column], Column]
 Alike = Callable[[tuple, tuple], float]
@@ -208,13 +208,13 @@ def close_sets(alike: Alike, threshold: float) -> Close:
     return close
 
 
-def across_blocks(rows: DataFrame, sets: DataFrame, close: Close) -> DataFrame:
+def across_blocks(rows: DataFrame, sets: DataFrame, close: Close, size: int | None = None) -> DataFrame:
     """Pairs (a, b) that link classes within large keys: those that ``close`` finds.
 
     ``sets`` has (node, elements, weights), both in bytes: see ``packed`` for those of ``close_sets``.
-    Each block of a key meets every other one, and itself, in one place.
+    Each block of a key, of about ``size`` nodes, meets every other one, and itself, in one place.
     """
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    blocks = F.ceil(F.col("n") / (size or BLOCK)).cast("int")
     placed = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
     met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     met = met.select(
@@ -257,6 +257,7 @@ def classes(
     plausible: Plausible | None = None,
     likely: Plausible | None = None,
     close: Close | None = None,
+    block: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(node, root) of all linked nodes, and the verified links (a, b) that were needed to find them.
 
@@ -264,14 +265,15 @@ def classes(
     sets of nodes for ``across_blocks``, which looks for pairs that ``close`` finds, or that ``alike`` finds similar by
     ``threshold``, as ``verify`` does; without it large keys join their pairs as small ones do.  ``facts`` (node, fact) and
     ``plausible``, a condition on the facts of two nodes, leave out pairs before they are verified, and ``likely``, one
-    on the members' column brief, before they are made distinct.
+    on the members' column brief, before they are made distinct.  ``block`` is the size of the blocks.
     """
     if elements is not None and close is None:
         close = close_sets(alike, threshold)
     spark = members.sparkSession
     tested = stage(star_pairs(members, seeds) if likely is None else likely_pairs(members, seeds, likely), "pairs")
     free_shuffles(spark)
-    links = stage(verify(_only_plausible(tested, facts, plausible)).select("a", "b"), "verified")
+    with staged_for_now(spark):
+        links = stage(verify(_only_plausible(tested, facts, plausible)).select("a", "b"), "verified", outlive=True)
     free_shuffles(spark)
     labels = components(links)
     rows = open_members(members, labels)
@@ -283,7 +285,7 @@ def classes(
         if not large.isEmpty():
             sets = stage(elements(large.select("node").distinct()), "elements")
             free_shuffles(spark)
-            rest = rest.union(across_blocks(large, sets, close)).distinct()
+            rest = rest.union(across_blocks(large, sets, close, block)).distinct()
     rest = stage(rest, "pairs")
     free_shuffles(spark)
     if not rest.isEmpty():
