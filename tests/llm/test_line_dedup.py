@@ -297,3 +297,61 @@ def test_texts_of_many_lines_are_not_shuffled(documents, monkeypatch, packed):
     plan = many._jdf.queryExecution().optimizedPlan().toString().splitlines()
     at = next(i for i, line in enumerate(plan) if "MapInArrow" in line)
     assert not any("Join" in line for line in plan[at : at + 4])
+
+
+def test_near_lines_are_those_that_bitmaps_allow():
+    lines = alike(60, 40, 3) + [d.normalise(" ".join(prose(i, 20 + i).split())) for i in range(60)]
+    lines += [replaced(line, 1, 5) for line in lines[-30:]]
+    facts, roots = d.word_bits(lines), np.arange(len(lines)) % 70
+    one, two = d.near_lines(0.85)(facts[:120], facts[60:], (roots[:120], roots[60:]))
+    words = [line.split() for line in lines]
+    for found, own, others in ((one, range(120), range(60, 150)), (two, range(60, 150), range(120))):
+        for k, i in enumerate(own):
+            most = lambda j: d.allowed_edits(max(len(words[i]), len(words[j])), 0.85)  # noqa: E731, B023
+            if any(roots[i] != roots[j] and distance(words[i], words[j]) <= most(j) for j in others if abs(len(words[i]) - len(words[j])) <= most(j)):
+                assert found[k]
+    assert 20 < one.sum() < 120 and 20 < two.sum() < 90 and (facts[:, 1:] < 0).any()
+
+
+@pytest.mark.parametrize("words", [7, 8, 9, 12, 14, 19, 27, 40, 60, 150, 300])
+def test_lines_of_a_large_key_share_a_run_around_it(words):
+    settings, shared = d.Settings(), 0
+    for seed in range(40):
+        line = d.normalise(" ".join(prose(seed, words).split()))
+        changed = edited(line, int(words * (1 - settings.similarity) + 1e-9), seed)
+        if line == changed:
+            continue
+        of = [d.minimizers([x], settings.similarity)[1].view(np.uint64).tolist() for x in (line, changed)]
+        every = d.long_runs([line, changed], settings.similarity, np.full(1 << 12, 255, np.uint8))
+        assert set(every[1][every[0] == 0]) & set(every[1][every[0] == 1])
+        # Some common key has a run of its own, so it is enough to refine the large ones among them.
+        found = 0
+        for key in set(of[0]) & set(of[1]):
+            marked = np.zeros(1 << 12, np.uint8)
+            marked[key % (1 << 15) >> 3] = 1 << (key & 7)
+            owner, runs = d.long_runs([line, changed], settings.similarity, marked)
+            found += bool(set(runs[owner == 0]) & set(runs[owner == 1]))
+        assert found
+        shared += 1
+    assert shared > 20
+
+
+def test_phrases_of_many_lines_do_not_meet_in_blocks(documents, monkeypatch):
+    monkeypatch.setattr(linking, "SMALL_KEY", 8)
+    blocks, near, across = [], [], linking.near_members
+    monkeypatch.setattr(linking, "near_members", lambda rows, *rest: (near.append(rows.count()), across(rows, *rest))[1])
+    met = linking.across_blocks
+    monkeypatch.setattr(linking, "across_blocks", lambda rows, *rest: (blocks.append(rows.count()), met(rows, *rest))[1])
+    # Windows of three words that all lines have, in lines that are otherwise unlike each other.
+    rows = [(i, " ".join([*prose(i, 12).split(), "one", "of", "the", *prose(500 + i, 12).split()])) for i in range(60)]
+    rows += [(100 + i, replaced(rows[i][1], 2, i)) for i in range(20)]
+    gone = brute(rows, d.Settings())
+    found = {(r["doc_id"], r["n_removed"]) for r in d.report(documents(rows)).collect()}
+    assert found == {(k, int(any(k == i for i, _, _ in gone))) for k, _ in rows} and len(gone) == 20
+    assert near == [0] and blocks == []
+
+
+def test_bitmap_of_keys(spark):
+    keys = [5, -1, 1 << 62, (1 << 15) + 5, -(1 << 63) + 77]
+    whole = np.frombuffer(d.key_bitmap(spark.createDataFrame([(k,) for k in keys], "key long")), np.uint8)
+    assert len(whole) == 1 << 12 and sorted(np.flatnonzero(np.unpackbits(whole, bitorder="little"))) == sorted({k % (1 << 15) for k in keys})

@@ -8,7 +8,9 @@ windows of words the one with the smallest hash, so many that a run of that leng
 them.  So two lines within the threshold always share a key, whatever the edits are and wherever they
 stand.  Shorter runs choose a superset of what longer ones choose, so lines of different lengths meet.
 
-Lines with an equal key are candidates (see ``linking`` for how pairs of large groups are avoided).
+Lines with an equal key are candidates (see ``linking`` for how pairs of large groups are avoided).  The windows of
+keys are short, so common phrases make large groups.  There the whole shared run takes the key's place: its
+smallest window is the key of both lines, so they share each run of that many words around it.
 An edit changes two bits at most of a bitmap of the words; candidates whose bitmaps or lengths differ by
 more than the allowed edits are not verified.  Lines too short for an edit match when equal.
 
@@ -36,13 +38,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vaultwright.llm import linking
 from vaultwright.llm.common import free_shuffles, hash_words, mix, stage, staged_for_now, word_spans
-from vaultwright.llm.linking import Close, Packed, classes
+from vaultwright.llm.linking import Close, Finer, Near, Packed, classes
 
 BROADCAST_KEYS = 500_000  # of 24 bytes
 LONGEST = 256  # words of a line, beyond which the length of shared runs no longer matters
 BITS = 256  # of a line's bitmap of words
 LINES = 1024  # of a block in which lines of a large key are compared; each block is sent to every other one
+MOST_BITS = 28  # of the bitmap of large keys, 32 MB; of 16 bits a key if they are fewer
 PART = 1 << 19  # characters of lines that are hashed at a time
 # Bytes of UTF-8: everything in ASCII but letters, digits and the line feed becomes a space.
 _PLAIN = bytes(b if b >= 128 or b == 10 or chr(b).isalnum() else 32 for b in range(256))
@@ -84,6 +88,23 @@ def runs(similarity: float) -> tuple[int, np.ndarray]:
     return window, np.where(shared > 0, shared - window + 1, 0)
 
 
+@lru_cache
+def run_lengths(similarity: float) -> dict[int, np.ndarray]:
+    """Lengths of shared runs, and by the number of a line's words whether a run of that length is one it may share.
+
+    A pair shares runs of the longer line's edits; of the lengths that each line alone knows of, the smaller counts.
+    """
+    window, choices = runs(similarity)
+    shared = np.where(choices > 0, choices + window - 1, 0)
+    out = {int(n): np.zeros(LONGEST, bool) for n in np.unique(shared[shared > 0])}
+    for longer in range(1, 2 * LONGEST):
+        for words in range(longer - allowed_edits(longer, similarity), longer + 1):
+            m, n = min(words, LONGEST - 1), min(longer, LONGEST - 1)
+            if shared[m] and shared[n]:
+                out[int(min(shared[m], shared[n]))][[m, n]] = True
+    return out
+
+
 def _words(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The hash and the line of each word, and the places of the lines' first words."""
     buffer = np.frombuffer("\n".join(lines).encode("utf-8", "replace"), np.uint8)
@@ -114,16 +135,44 @@ def word_bits(lines: list[str]) -> np.ndarray:
     return np.column_stack([np.diff(first)[: len(lines)], np.packbits(bits, axis=1).view(np.int64).reshape(len(lines), BITS // 64)])
 
 
-def minimizers(lines: list[str], similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """Offsets of each line's keys, and the keys."""
-    window, choices = runs(similarity)
-    words, line, first = _words(lines)
-    count = np.diff(first)
+def _grams(words: np.ndarray, window: int) -> np.ndarray:
     gram, n = np.zeros(len(words), np.uint64), len(words)
     for k in range(window):
         after = np.zeros(n, np.uint64)
         after[: n - k] = words[k:]
         gram = mix(gram ^ after)
+    return gram
+
+
+def long_runs(lines: list[str], similarity: float, marked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The line and hash of each run that may be shared and whose smallest window is a key ``marked`` in a bitmap."""
+    window, _ = runs(similarity)
+    words, line, first = _words(lines)
+    count, n = np.diff(first), len(words)
+    gram = _grams(words, window)
+    left = first[1:][line] - np.arange(n)
+    least, reach, owners, keys = gram.copy(), 1, [], []
+    for length, may_be in sorted(run_lengths(similarity).items()):
+        for k in range(reach, length - window + 1):
+            np.minimum(least[: n - k], gram[k:], out=least[: n - k])
+        reach = max(reach, length - window + 1)
+        place = least & np.uint64(8 * len(marked) - 1)
+        hit = (marked[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
+        at = np.flatnonzero(hit & (left >= length) & may_be[np.minimum(count, LONGEST - 1)][line])
+        run = np.full(len(at), length, np.uint64)
+        for k in range(length):
+            run = mix(run ^ words[at + k])
+        owners.append(line[at])
+        keys.append(run)
+    return np.concatenate(owners), np.concatenate(keys).view(np.int64)
+
+
+def minimizers(lines: list[str], similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets of each line's keys, and the keys."""
+    window, choices = runs(similarity)
+    words, line, first = _words(lines)
+    count, n = np.diff(first), len(words)
+    gram = _grams(words, window)
     left = first[1:][line] - np.arange(n)  # words from here to the line's end
     of = choices[np.minimum(count, LONGEST - 1)][line]
     chosen = np.zeros(n, bool)
@@ -154,9 +203,14 @@ def _split(text: str | None, least_words: int) -> list[tuple[int, str]]:
     return out
 
 
+@lru_cache(200_000)
+def _code(word: str) -> str:
+    return chr(0x4E00 + zlib.crc32(word.encode("utf-8", "replace")) % 20_000)
+
+
 def _codes(clean: str) -> str:
     """One character per word, one of 20,000, so that edit distances count words."""
-    return "".join(chr(0x4E00 + zlib.crc32(w.encode("utf-8", "replace")) % 20_000) for w in clean.split(" "))
+    return "".join(map(_code, clean.split(" ")))
 
 
 def _digests(lines: list[str], salt: int) -> np.ndarray:
@@ -218,6 +272,36 @@ def lines(docs: DataFrame, settings: Settings, salt: int = 0) -> DataFrame:
 
 def line_keys(docs: DataFrame, settings: Settings, salt: int = 0) -> DataFrame:
     """(node, key): the keys of lines."""
+
+    def of(part: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        offsets, keys = minimizers(part, settings.similarity)
+        return np.repeat(np.arange(len(part)), np.diff(offsets)), keys
+
+    return _keyed(docs, of, settings, salt)
+
+
+def run_keys(docs: DataFrame, large: DataFrame, settings: Settings, salt: int = 0) -> DataFrame:
+    """(node, key): the runs around ``large`` keys."""
+    bits = docs.sparkSession.sparkContext.broadcast(key_bitmap(large))
+    return _keyed(docs, lambda part: long_runs(part, settings.similarity, np.frombuffer(bits.value, np.uint8)), settings, salt)
+
+
+def key_bitmap(keys: DataFrame) -> bytes:
+    """The low bits of keys, whose high ones are small by choice; a false hit adds a run, none is lost."""
+    n = min(max((16 * keys.count()).bit_length(), 15), MOST_BITS)
+    chunk = 1 << 15  # bits of one bitmap of Spark
+    place = F.col("key").bitwiseAND(F.lit((1 << n) - 1))
+    found = keys.select(place.alias("place")).groupBy(F.floor(F.col("place") / chunk).alias("chunk"))
+    whole = bytearray((1 << n) // 8)
+    for row in found.agg(F.bitmap_construct_agg(F.col("place") % chunk).alias("bitmap")).toLocalIterator():
+        whole[row.chunk * chunk // 8 : (row.chunk + 1) * chunk // 8] = row.bitmap
+    return bytes(whole)
+
+
+def _keyed(
+    docs: DataFrame, of: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], settings: Settings, salt: int
+) -> DataFrame:
+    """(node, key): of some lines, the line and key of each key."""
     rows = docs.select(F.col("text").cast("string").alias("text"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,8 +310,7 @@ def line_keys(docs: DataFrame, settings: Settings, salt: int = 0) -> DataFrame:
             for start, stop in _pieces(texts):
                 clean = list({c for t in texts[start:stop] for _, c in _split(t, settings.least_words)})
                 for part in _parts(clean):
-                    offsets, keys = minimizers(part, settings.similarity)
-                    owner = np.repeat(np.arange(len(part)), np.diff(offsets))
+                    owner, keys = of(part)
                     order = np.lexsort((keys, owner))
                     owner, keys = owner[order], keys[order]
                     once = np.append(True, (np.diff(owner) != 0) | (np.diff(keys) != 0))[: len(keys)]
@@ -323,6 +406,34 @@ def _common(first: list[np.ndarray], second: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def near_lines(similarity: float) -> Near:
+    """Lines whose facts don't rule out that one of another class is within the threshold."""
+
+    def near(first: np.ndarray, second: np.ndarray, roots: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        found = np.zeros(len(first), bool), np.zeros(len(second), bool)
+        one, two = np.argsort(first[:, 0], kind="stable"), np.argsort(second[:, 0], kind="stable")
+        lengths = second[two, 0]
+        for start in range(0, len(one), 128):
+            some = one[start : start + 128]
+            # Beyond these lengths no line is within the threshold of some.
+            reach = first[some[0], 0] * similarity - 1, first[some[-1], 0] / similarity + 1
+            others = two[np.searchsorted(lengths, reach[0]) : np.searchsorted(lengths, reach[1], "right")]
+            a, b = first[some], second[others]
+            longer = np.maximum(a[:, :1], b[None, :, 0])
+            allowed = np.floor(longer * (1 - similarity) + 1e-9)
+            differing = np.zeros(longer.shape, np.uint16)
+            for k in range(1, first.shape[1]):
+                # Of signed numbers it would be the bits of their absolute value.
+                differing += np.bitwise_count((a[:, k : k + 1] ^ b[None, :, k]).view(np.uint64))
+            may_be = (differing <= 2 * allowed) & (np.abs(a[:, :1] - b[None, :, 0]) <= allowed)
+            may_be &= roots[0][some][:, None] != roots[1][others][None, :]
+            found[0][some] |= may_be.any(axis=1)
+            found[1][others] |= may_be.any(axis=0)
+        return found
+
+    return near
+
+
 def close_lines(similarity: float) -> Close:
     """Pairs of lines within the threshold that link classes; elements are the 16-bit codes of their words.
 
@@ -422,18 +533,27 @@ def likely(similarity: float) -> Callable[[Column, Column], Column]:
 
 
 def line_members(docs: DataFrame, distinct: DataFrame, settings: Settings, salt: int = 0) -> DataFrame:
-    """(node, key, brief): the keys of lines that some other line has as well, one of those that have the same lines."""
+    """(node, key, brief): the keys of lines that some other line has as well, one of those that have the same lines.
+
+    Large keys all stay, as each of them has runs of its own.
+    """
+    return _shared(line_keys(docs, settings, salt), distinct, F.when(F.col("n") > linking.SMALL_KEY, F.col("key")))
+
+
+def _shared(keys: DataFrame, distinct: DataFrame, *apart: Column) -> DataFrame:
+    """(node, key, brief) of the keys of two lines or more; of those with the same lines one, for each value of ``apart``."""
+    spark = keys.sparkSession
     # Most keys are in one line only; the others are kept, with one exchange for both sides.
-    keyed = line_keys(docs, settings, salt).repartition("key")
+    keyed = keys.repartition("key")
     shared = keyed.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi").select("key")
     kept = stage(keyed.join(shared.hint("shuffle_hash"), "key").select("node", "key").distinct(), "line-keys")
-    free_shuffles(docs.sparkSession)
+    free_shuffles(spark)
     # 128 bits tell sets of nodes apart.
     sets = kept.groupBy("key").agg(
         F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("one"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("two")
     )
-    keys = stage(sets.groupBy("n", "one", "two").agg(F.min("key").alias("key")).select("key"), "line-sets")
-    free_shuffles(docs.sparkSession)
+    keys = stage(sets.groupBy("n", "one", "two", *apart).agg(F.min("key").alias("kept")).select(F.col("kept").alias("key")), "line-sets")
+    free_shuffles(spark)
     of = distinct.select("node", brief(F.col("fact")).alias("brief"))
     return kept.join(keys, "key").join(of, "node").select("node", "key", "brief")
 
@@ -465,6 +585,13 @@ def line_groups(docs: DataFrame, distinct: DataFrame, settings: Settings, salt:
     def elements(nodes: DataFrame) -> DataFrame:
         return texts_of(nodes, packed=True).select("node", F.col("codes").alias("elements"), F.lit(b"").alias("weights"))
 
+    def refine(large: DataFrame) -> DataFrame:
+        with staged_for_now(spark):
+            found = _shared(run_keys(docs, large, settings, salt), distinct)
+            found = stage(found, "line-runs", outlive=True)
+        free_shuffles(spark)
+        return found
+
     facts = distinct.select("node", "fact")
     labels, _ = classes(
         members,
@@ -476,6 +603,7 @@ def line_groups(docs: DataFrame, distinct: DataFrame, settings: Settings, salt:
         likely=likely(settings.similarity),
         close=close_lines(settings.similarity),
         block=LINES,
+        finer=Finer(refine, near_lines(settings.similarity)),
     )
     rooted = distinct.select("node", "first", "n").join(labels, "node", "left")
     rooted = rooted.select("node", "first", "n", F.coalesce("root", "node").alias("root"))

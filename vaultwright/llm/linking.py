@@ -6,28 +6,43 @@ that differs between keys.  That joins large groups of copies with as many pairs
 are members.  What is left are keys whose nodes still lie in different classes: only there
 are the remaining pairs across classes compared, so that no link that would join two
 classes is lost, while no pair is made inside a class.
+
+Large keys can be replaced by finer ones, ``Finer``, that similar nodes of a large key must share as well.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vaultwright.llm.common import free_shuffles, stage, staged_for_now
+from vaultwright.llm.common import discard, free_shuffles, stage, staged_for_now
 
 Plausible = Callable[[Column, Column], Column]
 Alike = Callable[[tuple, tuple], float]
 Packed = tuple[bytes, bytes]
 # Pairs of packed sets that link classes: of two blocks, the classes of their sets, and whether they are the same block.
 Close = Callable[[list[Packed], list[Packed], tuple[np.ndarray, np.ndarray], bool], Iterator[tuple[int, int]]]
+# Of two blocks, the facts of their nodes and their classes: which nodes have a plausible partner of another class.
+Near = Callable[[np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray]], tuple[np.ndarray, np.ndarray]]
 
 MAX_ROUNDS = 200
 SMALL_KEY = 32
 BLOCK = 384
+NEAR = 4096  # nodes of a block whose facts are compared
+
+
+@dataclass(frozen=True)
+class Finer:
+    """``refine``: from large keys to members (node, key, brief) of finer ones; ``near``: see ``Near``."""
+
+    refine: Callable[[DataFrame], DataFrame]
+    near: Near
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -91,18 +106,21 @@ def _distinct_pairs(rows: DataFrame) -> DataFrame:
 
 
 def open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """(key, node, root, n) of the keys whose n nodes are not all in one class."""
-    rooted = members.join(labels, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+    """(key, node, root, n) of the keys whose n nodes are not all in one class, and their brief if they have one."""
+    more = [c for c in members.columns if c == "brief"]
+    rooted = members.join(labels, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"), *more)
     open_keys = (
         rooted.groupBy("key")
         .agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n"))
         .filter("lo <> hi")
     )
-    return stage(rooted.join(open_keys.select("key", "n"), "key").select("key", "node", "root", "n"), "open-keys")
+    return stage(rooted.join(open_keys.select("key", "n"), "key").select("key", "node", "root", "n", *more), "open-keys")
 
 
-def across(rows: DataFrame, tested: DataFrame, facts: DataFrame | None, plausible: Plausible | None) -> DataFrame:
-    """The untested pairs of nodes that share a key but not a class, and are plausible by the nodes' facts."""
+def across(
+    rows: DataFrame, tested: DataFrame, facts: DataFrame | None, plausible: Plausible | None, likely: Plausible | None = None
+) -> DataFrame:
+    """The untested pairs of nodes that share a key but not a class, plausible by the nodes' facts and ``likely`` by their briefs."""
     if facts is not None:
         rows = rows.join(facts, "node")
     # Both sides are made alike, so that one exchange serves them.
@@ -113,11 +131,13 @@ def across(rows: DataFrame, tested: DataFrame, facts: DataFrame | None, plausibl
     meet = (F.col("key_a") == F.col("key_b")) & (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b"))
     if facts is not None:
         meet = meet & plausible(F.col("fact_a"), F.col("fact_b"))
+    if likely is not None:
+        meet = meet & likely(F.col("brief_a"), F.col("brief_b"))
     return one.join(two, meet).select("a", "b").distinct().join(tested, ["a", "b"], "left_anti")
 
 
 def _facts(rows: DataFrame, side: str) -> list[Column]:
-    return [F.col("fact").alias(f"fact_{side}")] if "fact" in rows.columns else []
+    return [F.col(c).alias(f"{c}_{side}") for c in ("fact", "brief") if c in rows.columns]
 
 
 def _only_plausible(pairs: DataFrame, facts: DataFrame | None, plausible: Plausible | None) -> DataFrame:
@@ -208,16 +228,12 @@ def close_sets(alike: Alike, threshold: float) -> Close:
     return close
 
 
-def across_blocks(rows: DataFrame, sets: DataFrame, close: Close, size: int | None = None) -> DataFrame:
-    """Pairs (a, b) that link classes within large keys: those that ``close`` finds.
-
-    ``sets`` has (node, elements, weights), both in bytes: see ``packed`` for those of ``close_sets``.
-    Each block of a key, of about ``size`` nodes, meets every other one, and itself, in one place.
-    """
-    blocks = F.ceil(F.col("n") / (size or BLOCK)).cast("int")
+def _met(rows: DataFrame, size: int) -> DataFrame:
+    """(key, i, j, block, node, root): each block of a key, of about ``size`` nodes, meets every other one, and itself."""
+    blocks = F.ceil(F.col("n") / size).cast("int")
     placed = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
     met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    met = met.select(
+    return met.select(
         "key",
         F.least("block", "other").alias("i"),
         F.greatest("block", "other").alias("j"),
@@ -225,6 +241,40 @@ def across_blocks(rows: DataFrame, sets: DataFrame, close: Close, size: int | No
         "node",
         "root",
     )
+
+
+def near_members(rows: DataFrame, facts: DataFrame, near: Near) -> DataFrame:
+    """(key, node, root, n): the n nodes of a key that have a partner of another class by ``near``.
+
+    Facts are short and quickly compared, so that what is long goes to blocks for these nodes only.
+    """
+    met, kinds = _met(rows, NEAR), dict(rows.dtypes)
+
+    def compare(group: pa.Table) -> pa.Table:
+        block = group.column("block").to_numpy()
+        of = np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in group.column("fact").chunks]).reshape(len(block), -1)
+        roots = np.unique(np.array(group.column("root").to_pylist(), dtype=object), return_inverse=True)[1]
+        low, high = np.flatnonzero(block == block.min()), np.flatnonzero(block == block.max())
+        one, two = near(of[low], of[high], (roots[low], roots[high]))
+        return group.select(["key", "node", "root"]).take(pa.array(np.union1d(low[one], high[two])))
+
+    found = (
+        met.join(facts, "node")
+        .groupBy("key", "i", "j")
+        .applyInArrow(compare, f"key {kinds['key']}, node {kinds['node']}, root {kinds['root']}")
+        .distinct()
+    )
+    found = stage(found, "near")
+    return found.join(found.groupBy("key").agg(F.count("*").alias("n")), "key")
+
+
+def across_blocks(rows: DataFrame, sets: DataFrame, close: Close, size: int | None = None) -> DataFrame:
+    """Pairs (a, b) that link classes within large keys: those that ``close`` finds.
+
+    ``sets`` has (node, elements, weights), both in bytes: see ``packed`` for those of ``close_sets``.
+    Blocks of about ``size`` nodes meet in one place.
+    """
+    met = _met(rows, size or BLOCK)
     kind = dict(rows.dtypes)["node"]
 
     def compare(group: pa.Table) -> pa.Table:
@@ -246,6 +296,49 @@ def across_blocks(rows: DataFrame, sets: DataFrame, close: Close, size: int | No
     )
 
 
+def finer_pairs(
+    rows: DataFrame,
+    labels: DataFrame,
+    tested: DataFrame,
+    facts: DataFrame,
+    plausible: Plausible,
+    likely: Plausible,
+    finer: Finer,
+    elements: Callable[[DataFrame], DataFrame],
+    close: Close,
+    block: int | None,
+) -> DataFrame:
+    """Pairs (a, b) to verify among the open ``rows``: of small keys, and of finer keys in the place of large ones.
+
+    Each step removes what only it reads, so that shuffles and staged tables of two of them never add up.
+    """
+    spark = rows.sparkSession
+    few = [stage(across(rows.filter(F.col("n") <= SMALL_KEY), tested, None, None, likely), "pairs")]
+    free_shuffles(spark)
+    blocks = []
+    large = stage(rows.filter(F.col("n") > SMALL_KEY).select("key").distinct(), "large-keys")
+    discard(rows)
+    if not large.isEmpty():
+        members = finer.refine(large)
+        rows = open_members(members, labels)
+        discard(members)
+        free_shuffles(spark)
+        few.append(stage(across(rows.filter(F.col("n") <= SMALL_KEY), tested, None, None, likely), "pairs"))
+        free_shuffles(spark)
+        hot = stage(near_members(rows.filter(F.col("n") > SMALL_KEY), facts, finer.near), "near-keys")
+        discard(rows)
+        free_shuffles(spark)
+        if not hot.isEmpty():
+            sets = stage(elements(hot.select("node").distinct()), "elements")
+            free_shuffles(spark)
+            blocks.append(stage(across_blocks(hot, sets, close, block), "pairs"))
+            discard(sets)
+            free_shuffles(spark)
+    pairs = few[0] if len(few) == 1 else few[0].union(few[1]).distinct()
+    rest = _only_plausible(pairs, facts, plausible)
+    return rest.union(blocks[0]).distinct() if blocks else rest
+
+
 def classes(
     members: DataFrame,
     verify: Callable[[DataFrame], DataFrame],
@@ -258,6 +351,7 @@ def classes(
     likely: Plausible | None = None,
     close: Close | None = None,
     block: int | None = None,
+    finer: Finer | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(node, root) of all linked nodes, and the verified links (a, b) that were needed to find them.
 
@@ -265,7 +359,8 @@ def classes(
     sets of nodes for ``across_blocks``, which looks for pairs that ``close`` finds, or that ``alike`` finds similar by
     ``threshold``, as ``verify`` does; without it large keys join their pairs as small ones do.  ``facts`` (node, fact) and
     ``plausible``, a condition on the facts of two nodes, leave out pairs before they are verified, and ``likely``, one
-    on the members' column brief, before they are made distinct.  ``block`` is the size of the blocks.
+    on the members' column brief, before they are made distinct.  ``block`` is the size of the blocks.  With ``finer``,
+    which needs all of these, large keys are refined first, and ``members`` are removed once they are read.
     """
     if elements is not None and close is None:
         close = close_sets(alike, threshold)
@@ -277,10 +372,14 @@ def classes(
     free_shuffles(spark)
     labels = components(links)
     rows = open_members(members, labels)
+    if finer is not None:
+        discard(members)
     free_shuffles(spark)
-    small = rows if elements is None else rows.filter(F.col("n") <= SMALL_KEY)
-    rest = across(small, tested, facts, plausible)
-    if elements is not None:
+    if finer is not None:
+        rest = finer_pairs(rows, labels, tested, facts, plausible, likely, finer, elements, close, block)
+    else:
+        rest = across(rows if elements is None else rows.filter(F.col("n") <= SMALL_KEY), tested, facts, plausible)
+    if elements is not None and finer is None:
         large = stage(rows.filter(F.col("n") > SMALL_KEY), "large-keys")
         if not large.isEmpty():
             sets = stage(elements(large.select("node").distinct()), "elements")
