@@ -35,6 +35,7 @@ from itertools import count
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,6 +46,7 @@ from vaultwright.llm.linking import Close, Finer, Near, Packed, classes
 BROADCAST_KEYS = 500_000  # of 24 bytes
 LONGEST = 256  # words of a line, beyond which the length of shared runs no longer matters
 BITS = 256  # of a line's bitmap of words
+CODE_BITS = 1024  # of the bitmap of its codes, where these are at hand
 LINES = 1024  # of a block in which lines of a large key are compared; each block is sent to every other one
 MOST_BITS = 28  # of the bitmap of large keys, 32 MB; of 16 bits a key if they are fewer
 PART = 1 << 19  # characters of lines that are hashed at a time
@@ -224,15 +226,14 @@ def _text_key():
     return F.unhex(F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")))
 
 
-def _pieces(texts: list[str | None]) -> Iterator[tuple[int, int]]:
-    """Neighbouring texts of about 4 MB."""
+def _pieces(texts: pa.Array) -> Iterator[tuple[int, list[str | None]]]:
+    """Neighbouring texts of about 4 MB, and where they start; no more than these become Python's strings at a time."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     start = 0
     while start < len(texts):
-        stop, size = start, 0
-        while stop < len(texts) and size < 4 << 20:
-            size += len(texts[stop] or "")
-            stop += 1
-        yield start, stop
+        before = ends[start - 1] if start else 0
+        stop = min(len(texts), int(np.searchsorted(ends, before + (4 << 20))) + 1)
+        yield start, texts.slice(start, stop - start).to_pylist()
         start = stop
 
 
@@ -245,10 +246,9 @@ def lines(docs: DataFrame, settings: Settings, salt: int = 0) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for start, stop in _pieces(texts):
-                found = [_split(t, settings.least_words) for t in texts[start:stop]]
-                owner = pa.array(np.repeat(np.arange(start, stop), [len(f) for f in found]))
+            for start, texts in _pieces(batch.column("text")):
+                found = [_split(t, settings.least_words) for t in texts]
+                owner = pa.array(np.repeat(np.arange(start, start + len(texts)), [len(f) for f in found]))
                 flat = [line for f in found for line in f]
                 clean = [c for _, c in flat]
                 facts = np.concatenate([word_bits(part) for part in _parts(clean)])
@@ -306,9 +306,8 @@ def _keyed(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for start, stop in _pieces(texts):
-                clean = list({c for t in texts[start:stop] for _, c in _split(t, settings.least_words)})
+            for _, texts in _pieces(batch.column("text")):
+                clean = list({c for t in texts for _, c in _split(t, settings.least_words)})
                 for part in _parts(clean):
                     owner, keys = of(part)
                     order = np.lexsort((keys, owner))
@@ -335,8 +334,8 @@ def line_texts(docs: DataFrame, wanted: DataFrame, settings: Settings, salt: int
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                clean = list({c for _, c in _split(text, settings.least_words)})
+            for _, texts in _pieces(batch.column("text")):
+                clean = list({c for t in texts for _, c in _split(t, settings.least_words)})
                 codes = [_codes(c).encode("utf-16-le") if packed else _codes(c) for c in clean]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(_digests(clean, salt)[:, 0].copy()), pa.array(codes, kind)], names=["node", "codes"]
@@ -377,33 +376,29 @@ def _distances(first: list[np.ndarray], second: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _numbered(codes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """The sequence of each code, and the code with how often it stood in the sequence before."""
-    owner = np.repeat(np.arange(len(codes)), [len(c) for c in codes])
-    word = np.concatenate(codes).astype(np.int64)
-    order = np.lexsort((word, owner))
-    owner, word = owner[order], word[order]
-    at = np.arange(len(word))
-    fresh = np.append(True, (np.diff(owner) != 0) | (np.diff(word) != 0))[: len(word)]
-    return owner, word << 32 | at - np.maximum.accumulate(np.where(fresh, at, 0))
-
-
-def _common(first: list[np.ndarray], second: list[np.ndarray]) -> np.ndarray:
-    """The number of common words, repeated ones as often as both have them, for every two sequences."""
-    (of_a, a), (of_b, b) = _numbered(first), _numbered(second)
-    kinds = np.intersect1d(a, b)
-    out = np.zeros((len(first), len(second)), np.float32)
-    for start in range(0, len(kinds), 4096):
-        some = kinds[start : start + 4096]
-        tables = []
-        for of, words, n in ((of_a, a, len(first)), (of_b, b, len(second))):
-            at = np.minimum(np.searchsorted(some, words), len(some) - 1)
-            here = some[at] == words
-            table = np.zeros((n, len(some)), np.float32)
-            table[of[here], at[here]] = 1
-            tables.append(table)
-        out += tables[0] @ tables[1].T
-    return out
+def _plausible_pairs(
+    first: np.ndarray, second: np.ndarray, roots: tuple[np.ndarray, np.ndarray], similarity: float
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows of first and of second, and which of their pairs are of two classes and may be within the threshold.
+
+    Rows are lines: the number of their words and a bitmap of them, as longs.  Pairs left out are neither.
+    """
+    one, two = np.argsort(first[:, 0], kind="stable"), np.argsort(second[:, 0], kind="stable")
+    lengths = second[two, 0]
+    for start in range(0, len(one), 128):
+        some = one[start : start + 128]
+        # Beyond these lengths no line is within the threshold of some.
+        reach = first[some[0], 0] * similarity - 1, first[some[-1], 0] / similarity + 1
+        others = two[np.searchsorted(lengths, reach[0]) : np.searchsorted(lengths, reach[1], "right")]
+        a, b = first[some], second[others]
+        longer = np.maximum(a[:, :1], b[None, :, 0])
+        allowed = np.floor(longer * (1 - similarity) + 1e-9)
+        differing = np.zeros(longer.shape, np.uint16)
+        for k in range(1, first.shape[1]):
+            # Of signed numbers it would be the bits of their absolute value.
+            differing += np.bitwise_count((a[:, k : k + 1] ^ b[None, :, k]).view(np.uint64))
+        may_be = (differing <= 2 * allowed) & (np.abs(a[:, :1] - b[None, :, 0]) <= allowed)
+        yield some, others, may_be & (roots[0][some][:, None] != roots[1][others][None, :])
 
 
 def near_lines(similarity: float) -> Near:
@@ -411,22 +406,7 @@ def near_lines(similarity: float) -> Near:
 
     def near(first: np.ndarray, second: np.ndarray, roots: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         found = np.zeros(len(first), bool), np.zeros(len(second), bool)
-        one, two = np.argsort(first[:, 0], kind="stable"), np.argsort(second[:, 0], kind="stable")
-        lengths = second[two, 0]
-        for start in range(0, len(one), 128):
-            some = one[start : start + 128]
-            # Beyond these lengths no line is within the threshold of some.
-            reach = first[some[0], 0] * similarity - 1, first[some[-1], 0] / similarity + 1
-            others = two[np.searchsorted(lengths, reach[0]) : np.searchsorted(lengths, reach[1], "right")]
-            a, b = first[some], second[others]
-            longer = np.maximum(a[:, :1], b[None, :, 0])
-            allowed = np.floor(longer * (1 - similarity) + 1e-9)
-            differing = np.zeros(longer.shape, np.uint16)
-            for k in range(1, first.shape[1]):
-                # Of signed numbers it would be the bits of their absolute value.
-                differing += np.bitwise_count((a[:, k : k + 1] ^ b[None, :, k]).view(np.uint64))
-            may_be = (differing <= 2 * allowed) & (np.abs(a[:, :1] - b[None, :, 0]) <= allowed)
-            may_be &= roots[0][some][:, None] != roots[1][others][None, :]
+        for some, others, may_be in _plausible_pairs(first, second, roots, similarity):
             found[0][some] |= may_be.any(axis=1)
             found[1][others] |= may_be.any(axis=0)
         return found
@@ -434,23 +414,33 @@ def near_lines(similarity: float) -> Near:
     return near
 
 
+def _code_bits(codes: list[np.ndarray]) -> np.ndarray:
+    """Like ``word_bits``, of codes, in a bitmap of ``CODE_BITS``."""
+    sizes = np.array([len(c) for c in codes])
+    bits = np.zeros((len(codes), CODE_BITS), bool)
+    bits[np.repeat(np.arange(len(codes)), sizes), np.concatenate(codes).astype(np.int64) % CODE_BITS] = True
+    return np.column_stack([sizes, np.packbits(bits, axis=1).view(np.int64).reshape(len(codes), -1)])
+
+
 def close_lines(similarity: float) -> Close:
     """Pairs of lines within the threshold that link classes; elements are the 16-bit codes of their words.
 
-    k edits leave all but k words of the longer line in common.  A pair whose classes are already linked by pairs
+    An edit changes two bits at most of a bitmap of the codes.  A pair whose classes are already linked by pairs
     before it is left out.
     """
 
     def close(first: list[Packed], second: list[Packed], roots: tuple[np.ndarray, np.ndarray], same: bool) -> Iterator[tuple[int, int]]:
         one, two = ([np.frombuffer(codes, np.uint16) for codes, _ in side] for side in (first, second))
-        n_a, n_b = (np.array([len(x) for x in side]) for side in (one, two))
-        longer = np.maximum(n_a[:, None], n_b[None, :])
-        allowed = np.floor(longer * (1 - similarity) + 1e-9).astype(np.int64)
-        may_be = (np.abs(n_a[:, None] - n_b[None, :]) <= allowed) & (roots[0][:, None] != roots[1][None, :])
-        if may_be.any():
-            may_be &= longer - _common(one, two) <= allowed
-        pairs = np.argwhere(np.triu(may_be) if same else may_be)
-        pairs = pairs[np.argsort(longer[pairs[:, 0], pairs[:, 1]], kind="stable")]  # alike lengths are compared together
+        a, b = _code_bits(one), _code_bits(two)
+        pairs = [np.zeros((0, 2), np.int64)]
+        for some, others, may_be in _plausible_pairs(a, b, roots, similarity):
+            i, j = np.nonzero(may_be)
+            i, j = some[i], others[j]
+            pairs.append(np.column_stack([i, j])[(i < j) | (not same)])
+        pairs = np.concatenate(pairs)
+        longer = np.maximum(a[pairs[:, 0], 0], b[pairs[:, 1], 0])
+        order = np.argsort(longer, kind="stable")  # alike lengths are compared together
+        pairs, allowed = pairs[order], np.floor(longer[order] * (1 - similarity) + 1e-9)
         linked: dict[int, int] = {}
 
         def root(x: int) -> int:
@@ -460,13 +450,14 @@ def close_lines(similarity: float) -> Close:
 
         step = 64
         for start in range(0, len(pairs), step):
-            left = [(i, j) for i, j in pairs[start : start + step].tolist() if root(roots[0][i]) != root(roots[1][j])]
+            some = zip(pairs[start : start + step].tolist(), allowed[start : start + step].tolist())
+            left = [(i, j, most) for (i, j), most in some if root(roots[0][i]) != root(roots[1][j])]
             if not left:
                 continue
-            found = _distances([one[i] for i, _ in left], [two[j] for _, j in left])
-            for (i, j), distance in zip(left, found.tolist()):
+            found = _distances([one[i] for i, _, _ in left], [two[j] for _, j, _ in left])
+            for (i, j, most), distance in zip(left, found.tolist()):
                 x, y = root(roots[0][i]), root(roots[1][j])
-                if distance <= allowed[i, j] and x != y:
+                if distance <= most and x != y:
                     linked[x] = y
                     yield i, j
 

@@ -243,12 +243,17 @@ def _met(rows: DataFrame, size: int) -> DataFrame:
     )
 
 
+def _together(met: DataFrame) -> DataFrame:
+    """Blocks that meet are put into one partition; partitions of few bytes are much work, so they are not merged."""
+    return met.repartition(int(met.sparkSession.conf.get("spark.sql.shuffle.partitions")), "key", "i", "j")
+
+
 def near_members(rows: DataFrame, facts: DataFrame, near: Near) -> DataFrame:
     """(key, node, root, n): the n nodes of a key that have a partner of another class by ``near``.
 
     Facts are short and quickly compared, so that what is long goes to blocks for these nodes only.
     """
-    met, kinds = _met(rows, NEAR), dict(rows.dtypes)
+    kinds = dict(rows.dtypes)
 
     def compare(group: pa.Table) -> pa.Table:
         block = group.column("block").to_numpy()
@@ -259,7 +264,7 @@ def near_members(rows: DataFrame, facts: DataFrame, near: Near) -> DataFrame:
         return group.select(["key", "node", "root"]).take(pa.array(np.union1d(low[one], high[two])))
 
     found = (
-        met.join(facts, "node")
+        _together(_met(rows, NEAR).join(facts, "node"))
         .groupBy("key", "i", "j")
         .applyInArrow(compare, f"key {kinds['key']}, node {kinds['node']}, root {kinds['root']}")
         .distinct()
@@ -289,7 +294,7 @@ def across_blocks(rows: DataFrame, sets: DataFrame, close: Close, size: int | No
         return pa.table({"a": pa.array([a for a, _ in pairs], types), "b": pa.array([b for _, b in pairs], types)})
 
     return (
-        met.join(sets, "node")
+        _together(met.join(sets, "node"))
         .groupBy("key", "i", "j")
         .applyInArrow(compare, f"a {kind}, b {kind}")
         .distinct()
