@@ -46,7 +46,6 @@ from vaultwright.llm.linking import Close, Finer, Near, Packed, classes
 BROADCAST_KEYS = 500_000  # of 24 bytes
 LONGEST = 256  # words of a line, beyond which the length of shared runs no longer matters
 BITS = 256  # of a line's bitmap of words
-CODE_BITS = 1024  # of the bitmap of its codes, where these are at hand
 LINES = 1024  # of a block in which lines of a large key are compared; each block is sent to every other one
 MOST_BITS = 28  # of the bitmap of large keys, 32 MB; of 16 bits a key if they are fewer
 PART = 1 << 19  # characters of lines that are hashed at a time
@@ -205,14 +204,18 @@ def _split(text: str | None, least_words: int) -> list[tuple[int, str]]:
     return out
 
 
-@lru_cache(200_000)
-def _code(word: str) -> str:
-    return chr(0x4E00 + zlib.crc32(word.encode("utf-8", "replace")) % 20_000)
+class _Known(dict):
+    """The characters of words, as far as they were asked for."""
 
+    def __missing__(self, word: str) -> str:
+        self[word] = code = chr(0x4E00 + zlib.crc32(word.encode("utf-8", "replace")) % 20_000)
+        return code
 
-def _codes(clean: str) -> str:
+
+def _codes(clean: str, known: _Known | None = None) -> str:
     """One character per word, one of 20,000, so that edit distances count words."""
-    return "".join(map(_code, clean.split(" ")))
+    known = _Known() if known is None else known
+    return "".join([known[w] for w in clean.split(" ")])
 
 
 def _digests(lines: list[str], salt: int) -> np.ndarray:
@@ -336,7 +339,8 @@ def line_texts(docs: DataFrame, wanted: DataFrame, settings: Settings, salt: int
         for batch in batches:
             for _, texts in _pieces(batch.column("text")):
                 clean = list({c for t in texts for _, c in _split(t, settings.least_words)})
-                codes = [_codes(c).encode("utf-16-le") if packed else _codes(c) for c in clean]
+                known = _Known()
+                codes = [_codes(c, known).encode("utf-16-le") if packed else _codes(c, known) for c in clean]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(_digests(clean, salt)[:, 0].copy()), pa.array(codes, kind)], names=["node", "codes"]
                 )
@@ -376,6 +380,35 @@ def _distances(first: list[np.ndarray], second: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def _numbered(codes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The sequence of each code, and the code with how often it stood in the sequence before."""
+    owner = np.repeat(np.arange(len(codes)), [len(c) for c in codes])
+    word = np.concatenate(codes).astype(np.int64)
+    order = np.lexsort((word, owner))
+    owner, word = owner[order], word[order]
+    at = np.arange(len(word))
+    fresh = np.append(True, (np.diff(owner) != 0) | (np.diff(word) != 0))[: len(word)]
+    return owner, word << 32 | at - np.maximum.accumulate(np.where(fresh, at, 0))
+
+
+def _common(first: list[np.ndarray], second: list[np.ndarray]) -> np.ndarray:
+    """The number of common words, repeated ones as often as both have them, for every two sequences."""
+    (of_a, a), (of_b, b) = _numbered(first), _numbered(second)
+    kinds = np.intersect1d(a, b)
+    out = np.zeros((len(first), len(second)), np.float32)
+    for start in range(0, len(kinds), 4096):
+        some = kinds[start : start + 4096]
+        tables = []
+        for of, words, n in ((of_a, a, len(first)), (of_b, b, len(second))):
+            at = np.minimum(np.searchsorted(some, words), len(some) - 1)
+            here = some[at] == words
+            table = np.zeros((n, len(some)), np.float32)
+            table[of[here], at[here]] = 1
+            tables.append(table)
+        out += tables[0] @ tables[1].T
+    return out
+
+
 def _plausible_pairs(
     first: np.ndarray, second: np.ndarray, roots: tuple[np.ndarray, np.ndarray], similarity: float
 ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -414,33 +447,23 @@ def near_lines(similarity: float) -> Near:
     return near
 
 
-def _code_bits(codes: list[np.ndarray]) -> np.ndarray:
-    """Like ``word_bits``, of codes, in a bitmap of ``CODE_BITS``."""
-    sizes = np.array([len(c) for c in codes])
-    bits = np.zeros((len(codes), CODE_BITS), bool)
-    bits[np.repeat(np.arange(len(codes)), sizes), np.concatenate(codes).astype(np.int64) % CODE_BITS] = True
-    return np.column_stack([sizes, np.packbits(bits, axis=1).view(np.int64).reshape(len(codes), -1)])
-
-
 def close_lines(similarity: float) -> Close:
     """Pairs of lines within the threshold that link classes; elements are the 16-bit codes of their words.
 
-    An edit changes two bits at most of a bitmap of the codes.  A pair whose classes are already linked by pairs
+    k edits leave all but k words of the longer line in common.  A pair whose classes are already linked by pairs
     before it is left out.
     """
 
     def close(first: list[Packed], second: list[Packed], roots: tuple[np.ndarray, np.ndarray], same: bool) -> Iterator[tuple[int, int]]:
         one, two = ([np.frombuffer(codes, np.uint16) for codes, _ in side] for side in (first, second))
-        a, b = _code_bits(one), _code_bits(two)
-        pairs = [np.zeros((0, 2), np.int64)]
-        for some, others, may_be in _plausible_pairs(a, b, roots, similarity):
-            i, j = np.nonzero(may_be)
-            i, j = some[i], others[j]
-            pairs.append(np.column_stack([i, j])[(i < j) | (not same)])
-        pairs = np.concatenate(pairs)
-        longer = np.maximum(a[pairs[:, 0], 0], b[pairs[:, 1], 0])
-        order = np.argsort(longer, kind="stable")  # alike lengths are compared together
-        pairs, allowed = pairs[order], np.floor(longer[order] * (1 - similarity) + 1e-9)
+        n_a, n_b = (np.array([len(x) for x in side]) for side in (one, two))
+        longer = np.maximum(n_a[:, None], n_b[None, :])
+        allowed = np.floor(longer * (1 - similarity) + 1e-9).astype(np.int64)
+        may_be = (np.abs(n_a[:, None] - n_b[None, :]) <= allowed) & (roots[0][:, None] != roots[1][None, :])
+        if may_be.any():
+            may_be &= longer - _common(one, two) <= allowed
+        pairs = np.argwhere(np.triu(may_be) if same else may_be)
+        pairs = pairs[np.argsort(longer[pairs[:, 0], pairs[:, 1]], kind="stable")]  # alike lengths are compared together
         linked: dict[int, int] = {}
 
         def root(x: int) -> int:
@@ -450,14 +473,13 @@ def close_lines(similarity: float) -> Close:
 
         step = 64
         for start in range(0, len(pairs), step):
-            some = zip(pairs[start : start + step].tolist(), allowed[start : start + step].tolist())
-            left = [(i, j, most) for (i, j), most in some if root(roots[0][i]) != root(roots[1][j])]
+            left = [(i, j) for i, j in pairs[start : start + step].tolist() if root(roots[0][i]) != root(roots[1][j])]
             if not left:
                 continue
-            found = _distances([one[i] for i, _, _ in left], [two[j] for _, j, _ in left])
-            for (i, j, most), distance in zip(left, found.tolist()):
+            found = _distances([one[i] for i, _ in left], [two[j] for _, j in left])
+            for (i, j), distance in zip(left, found.tolist()):
                 x, y = root(roots[0][i]), root(roots[1][j])
-                if distance <= most and x != y:
+                if distance <= allowed[i, j] and x != y:
                     linked[x] = y
                     yield i, j
 
